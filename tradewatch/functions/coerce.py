@@ -7,6 +7,7 @@ variants where a JSON string must be told apart from a JSON number, object or ar
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
@@ -92,6 +93,11 @@ def tag_slugs(tags_json: Column) -> Column:
     return F.to_json(F.filter(slugs, lambda slug: slug.isNotNull() & (slug != "")))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is evaluated once, however often `use` refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def json_items(json_text: Column) -> Column:
     """Texts of the items of one JSON value: the items of an array, or the value itself.
 
@@ -99,14 +105,18 @@ def json_items(json_text: Column) -> Column:
     item. Unparseable text gives NULL.
     """
     wrapped = F.from_json(F.concat(F.lit("["), json_text, F.lit("]")), "array<string>")
-    body = F.when(F.size(wrapped) == 1, wrapped[0])
-    return F.when(body.startswith("["), F.from_json(body, "array<string>")).when(body.isNotNull(), F.array(body))
+    return bound(
+        bound(wrapped, lambda w: F.when(F.size(w) == 1, w[0])),
+        lambda body: F.when(body.startswith("["), F.from_json(body, "array<string>")).when(
+            body.isNotNull(), F.array(body)
+        ),
+    )
 
 
 def json_object(json_text: Column, schema: str) -> Column:
     """One JSON object as a struct; NULL for arrays, scalars and anything unparseable."""
     wrapped = F.from_json(F.concat(F.lit("["), json_text, F.lit("]")), f"array<struct<{schema}>>")
-    return F.when(F.size(wrapped) == 1, wrapped[0])
+    return bound(wrapped, lambda w: F.when(F.size(w) == 1, w[0]))
 
 
 def blank_to_null(text: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions.coerce import instant, iso_timestamp, json_object
+from tradewatch.operators.once import computed_once
 
 
 def source_summary(trades: DataFrame, as_of: datetime) -> DataFrame:
@@ -39,9 +40,9 @@ def ingest_freshness(trades: DataFrame, source: str) -> DataFrame:
 
 def parsed_logs(lines: DataFrame) -> DataFrame:
     """Collector log lines (`value`) as event, idx, level and time."""
-    parsed = json_object(F.col("value"), "event string, idx bigint, `timestamp` string, level string")
+    fields = "event string, idx bigint, `timestamp` string, level string"
     return (
-        lines.select(parsed.alias("l"))
+        computed_once(lines.select("value"), l=json_object(F.col("value"), fields))
         .filter(F.col("l").isNotNull())
         .select("l.event", "l.idx", "l.level", iso_timestamp(F.col("l.timestamp")).alias("ts"))
     )

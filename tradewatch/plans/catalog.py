@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch.functions.coerce import blank_to_null, to_double
+from tradewatch.operators.once import computed_once
 from tradewatch.operators.skew import first_per_key, salted_join
 from tradewatch.operators.subscribe import open_tickers, tradable_markets
 from tradewatch.operators.upsert import CLOSED, SETTLED, upsert
@@ -17,9 +18,9 @@ from tradewatch.sources.pages import event_markets, normalise_markets_a, normali
 
 def traded_series(series_items: DataFrame) -> DataFrame:
     """Series items with lifetime volume above zero; missing or unreadable volume counts as zero."""
-    fields = F.from_json("payload", "ticker string, volume_fp string")
-    volume = F.coalesce(to_double(fields["volume_fp"]), F.lit(0.0))
-    return series_items.withColumn("series_ticker", fields["ticker"]).filter(volume > 0)
+    parsed = computed_once(series_items, s=F.from_json("payload", "ticker string, volume_fp string"))
+    volume = F.coalesce(to_double(F.col("s.volume_fp")), F.lit(0.0))
+    return parsed.filter(volume > 0).select(*series_items.columns, F.col("s.ticker").alias("series_ticker"))
 
 
 def discover_markets(event_items: DataFrame, order: list[str]) -> DataFrame:
@@ -28,8 +29,8 @@ def discover_markets(event_items: DataFrame, order: list[str]) -> DataFrame:
     `order` names the columns that give the discovery order of event items (tag, page, position).
     Markets without an id are skipped.
     """
-    markets = event_markets(event_items).withColumn(
-        "id", blank_to_null(F.from_json("payload", "id string")["id"])
+    markets = computed_once(
+        event_markets(event_items), id=blank_to_null(F.from_json("payload", "id string")["id"])
     )
     return first_per_key(
         markets.filter(F.col("id").isNotNull()), ["id"], [F.col(c) for c in [*order, "market_position"]]

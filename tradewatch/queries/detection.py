@@ -53,16 +53,17 @@ def _baseline_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             timedelta(days=1500),
             keys=("source", "market_id"),
             recent=timedelta(days=365),
-        ).drop("source")
+        ),
+        2,
     )
 
 
-def _shown_baseline(found: DataFrame) -> DataFrame:
+def _shown_baseline(found: DataFrame, decimals: int = 6) -> DataFrame:
     return found.select(
         "market_id",
         "n_trades",
         "n_recent",
-        *[r6(c) for c in ("average_size", "stddev_size", "average_notional", "stddev_notional")],
+        *[r6(c, decimals=decimals) for c in ("average_size", "stddev_size", "average_notional", "stddev_notional")],
     )
 
 
@@ -170,10 +171,10 @@ baseline AS (
 )"""
 
 
-_BASELINE_COLUMNS = f"""
-SELECT market_id, n_trades, n_recent, {r6_sql("average_size", "average_size")},
-       {r6_sql("stddev_size", "stddev_size")}, {r6_sql("average_notional", "average_notional")},
-       {r6_sql("stddev_notional", "stddev_notional")}
+def _baseline_columns(decimals: int = 6) -> str:
+    names = ("average_size", "stddev_size", "average_notional", "stddev_notional")
+    return f"""
+SELECT market_id, n_trades, n_recent, {", ".join(r6_sql(n, n, decimals) for n in names)}
 FROM baseline"""
 
 
@@ -216,9 +217,9 @@ SELECT source, market_id, trade_id, ts, timezone('America/Denver', timezone('UTC
        {r6_sql("price * size", "notional")}
 FROM trades, clock
 WHERE ts > as_of - INTERVAL 1 DAY AND ts <= as_of AND size IS NOT NULL AND price IS NOT NULL""",
-    "rolling_baseline": f"WITH {views.TRADES_SQL}, {_baseline_sql('7 DAY', '1 DAY')} {_BASELINE_COLUMNS}",
+    "rolling_baseline": f"WITH {views.TRADES_SQL}, {_baseline_sql('7 DAY', '1 DAY')} {_baseline_columns()}",
     "rolling_baseline_by_source": (
-        f"WITH {views.TRADES_WIDE_SQL}, {_baseline_sql('1500 DAY', '365 DAY')} {_BASELINE_COLUMNS}"
+        f"WITH {views.TRADES_WIDE_SQL}, {_baseline_sql('1500 DAY', '365 DAY')} {_baseline_columns(2)}"
     ),
     "alerts_enriched": _ALERTS_SQL,
     "alerts_new_only": _ALERTS_SQL

@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def r6(name: str, alias: str | None = None) -> Column:
+def r6(name: str, alias: str | None = None, decimals: int = 6) -> Column:
     """Six decimals. The tiny offset keeps exact ties from falling either way by their last bit."""
-    return F.round(F.col(name) + 1e-9, 6).alias(alias or name.split(".")[-1])
+    return F.round(F.col(name) + 1e-9, decimals).alias(alias or name.split(".")[-1])
 
 
-def r6_sql(expression: str, alias: str) -> str:
-    return f"round({expression} + 1e-9, 6) AS {alias}"
+def r6_sql(expression: str, alias: str, decimals: int = 6) -> str:
+    return f"round({expression} + 1e-9, {decimals}) AS {alias}"
 
 
 def wall(name: str, alias: str | None = None) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.functions.coerce import blank_to_null
+from tradewatch.operators.once import computed_once
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,7 @@ def valid_subscriptions(items: DataFrame) -> DataFrame:
         F.ltrim("payload").startswith("{"),
         F.from_json("payload", ", ".join(f"{n} string" for n in names)),
     )
-    rows = items.withColumn("s", fields)
+    rows = computed_once(items, s=fields)
     kept = F.lit(True)
     for name in names:
         kept = kept & blank_to_null(F.col(f"s.{name}")).isNotNull()

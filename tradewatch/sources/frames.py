@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewatch import fixed
 from tradewatch.functions.coerce import blank_to_null, epoch_ms, json_items, json_object, to_double, to_long
+from tradewatch.operators.once import computed_once
 from tradewatch.operators.skew import last_per_key, salted_join
 from tradewatch.schemas import TRADES
 
@@ -30,22 +31,29 @@ def _complete(trades: DataFrame) -> DataFrame:
 
 
 def messages_a(frames: DataFrame) -> DataFrame:
-    """Frames with `type` and `msg`; both NULL for text that is no JSON object."""
-    return frames.withColumn("frame", json_object(F.col("value"), _FRAME_A)).select(
-        *frames.columns, F.col("frame").isNotNull().alias("is_object"), "frame.type", "frame.msg"
+    """The `type` and `msg` of frames; both NULL for text that is no JSON object."""
+    return computed_once(frames, frame=json_object(F.col("value"), _FRAME_A)).select(
+        F.col("frame").isNotNull().alias("is_object"), "frame.type", "frame.msg"
     )
 
 
 def _fields_a(messages: DataFrame, source: str, ingested_at: Column) -> DataFrame:
-    fields = F.from_json("msg", _TRADE_A)
-    return messages.withColumn("m", fields).select(
-        *messages.columns,
+    parsed = computed_once(messages, m=F.from_json("msg", _TRADE_A))
+    fields = computed_once(
+        parsed,
+        ts=epoch_ms(F.col("m.ts_ms")),
+        price=to_double(F.col("m.yes_price_dollars")),
+        size=to_double(F.col("m.count_fp")).try_cast("bigint").cast("double"),
+    )
+    return fields.select(
+        "is_object",
+        "type",
         F.lit(source).alias("source"),
         F.col("m.market_ticker").alias("market_id"),
         F.col("m.trade_id").alias("trade_id"),
-        epoch_ms(F.col("m.ts_ms")).alias("ts"),
-        to_double(F.col("m.yes_price_dollars")).alias("price"),
-        to_double(F.col("m.count_fp")).try_cast("bigint").cast("double").alias("size"),
+        "ts",
+        "price",
+        "size",
         F.col("m.taker_side").alias("side"),
         F.col("msg").alias("raw"),
         ingested_at.cast("timestamp").alias("ingested_at"),
@@ -63,12 +71,11 @@ def parse_frames_a(frames: DataFrame, ingested_at: Column, source: str = "venue_
 
 
 def events_b(frames: DataFrame) -> DataFrame:
-    """One row per event of a frame, which holds one event or an array of them."""
-    return (
-        frames.filter(F.trim("value") != fixed.KEEPALIVE_B)
-        .select(*frames.columns, F.explode_outer(json_items(F.col("value"))).alias("event"))
-        .withColumn("e", F.when(F.col("event").startswith("{"), F.from_json("event", _EVENT_B)))
+    """One row per event of a frame, which holds one event or an array of them: text and fields."""
+    events = frames.filter(F.trim("value") != fixed.KEEPALIVE_B).select(
+        F.explode_outer(json_items(F.col("value"))).alias("event")
     )
+    return computed_once(events, e=F.when(F.col("event").startswith("{"), F.from_json("event", _EVENT_B)))
 
 
 def routing(tokens: DataFrame, order: str = "position") -> DataFrame:
@@ -91,15 +98,21 @@ def routing(tokens: DataFrame, order: str = "position") -> DataFrame:
 
 
 def _fields_b(events: DataFrame, routes: DataFrame, source: str, ingested_at: Column, how: str) -> DataFrame:
-    parsed = events.select(
+    fields = computed_once(
+        events,
+        ts=epoch_ms(to_long(F.col("e.timestamp"))),
+        price=to_double(F.col("e.price")),
+        size=to_double(F.col("e.size")),
+    )
+    parsed = fields.select(
         "event",
         F.col("e.event_type").alias("event_type"),
         F.col("e.asset_id").alias("asset_id"),
         F.lit(source).alias("source"),
         F.col("e.transaction_hash").alias("trade_id"),
-        epoch_ms(to_long(F.col("e.timestamp"))).alias("ts"),
-        to_double(F.col("e.price")).alias("price"),
-        to_double(F.col("e.size")).alias("size"),
+        "ts",
+        "price",
+        "size",
         F.col("event").alias("raw"),
         ingested_at.cast("timestamp").alias("ingested_at"),
     )

@@ -16,6 +16,7 @@ from tradewatch.functions.coerce import (
     text_array_item,
     to_double,
 )
+from tradewatch.operators.once import computed_once
 
 
 def read_pages(spark: SparkSession, path: str, items_key: str, tags: str) -> DataFrame:
@@ -49,7 +50,7 @@ def _from_fields(parsed: Column, fields) -> list[Column]:
 def normalise_markets_a(items: DataFrame, source: str = "venue_a") -> DataFrame:
     """Venue-A market payloads (`payload`, `series_ticker`, `category`) as staged market rows."""
     fields = [("ticker", "ticker", "text"), *[(name, name, kind) for name, kind in fixed.MARKET_A_FIELDS]]
-    parsed = items.withColumn("p", json_object(F.col("payload"), parse_schema([(f, k) for f, _, k in fields])))
+    parsed = computed_once(items, p=json_object(F.col("payload"), parse_schema([(f, k) for f, _, k in fields])))
     rows = parsed.select(
         F.lit(source).alias("source"), "series_ticker", "category", *_from_fields(F.col("p"), fields)
     )
@@ -60,7 +61,7 @@ def normalise_series(items: DataFrame, source: str = "venue_a") -> DataFrame:
     """Series payloads (`payload`, `category` = the queried category) as series rows."""
     fields = [("ticker", "ticker", "text"), *[(name, name, kind) for name, kind in fixed.SERIES_FIELDS]]
     wanted = parse_schema([("category", "text"), *[(f, k) for f, _, k in fields]])
-    parsed = items.withColumn("p", json_object(F.col("payload"), wanted))
+    parsed = computed_once(items, p=json_object(F.col("payload"), wanted))
     rows = parsed.select(
         F.lit(source).alias("source"),
         F.coalesce(blank_to_null(F.col("p.category")), F.col("category")).alias("category"),
@@ -77,9 +78,10 @@ def normalise_markets_b(items: DataFrame, source: str = "venue_b") -> DataFrame:
     """
     own = [("outcomes", "only_text"), ("outcomePrices", "only_text"), ("clobTokenIds", "only_text")]
     wanted = parse_schema([*own, *[(name, kind) for name, _, kind in fixed.MARKET_B_FIELDS]])
-    parsed = items.select(
-        json_object(F.col("payload"), wanted).alias("p"),
-        json_object(F.col("event"), "id string, ticker string, slug string, title string, tags string").alias("ev"),
+    parsed = computed_once(
+        items,
+        p=json_object(F.col("payload"), wanted),
+        ev=json_object(F.col("event"), "id string, ticker string, slug string, title string, tags string"),
     ).select(
         "p",
         "ev",
