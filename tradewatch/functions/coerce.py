@@ -1,8 +1,10 @@
-"""Safe conversions of JSON values and instants, all as Column expressions.
+"""Safe conversions of JSON values and instants.
 
 Payloads are parsed once with ``from_json`` into a schema whose field types keep what the later
 check needs: plain strings for text, JSON text and doubles, real booleans for strict booleans, and
-variants where a JSON string must be told apart from a JSON number, object or array.
+variants where a JSON string must be told apart from a JSON number, object or array. The checks of
+single fields are SQL expressions over the parsed field's name, because they are applied to long
+lists of fields.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ _PARSED_AS = {
     "only_text": "variant",
 }
 
-_NUMBER = r"^[+-]?(\d(_?\d)*\.?(\d(_?\d)*)?|\.\d(_?\d)*)([eE][+-]?\d(_?\d)*)?$"
-_INTEGER = r"^[+-]?\d(_?\d)*$"
+_NUMBER = r"^\s*[+-]?(\d(_?\d)*\.?(\d(_?\d)*)?|\.\d(_?\d)*)([eE][+-]?\d(_?\d)*)?\s*$"
+_INTEGER = r"^\s*[+-]?\d(_?\d)*\s*$"
 
 
 def parse_schema(fields) -> str:
@@ -34,56 +36,46 @@ def parse_schema(fields) -> str:
     return ", ".join(f"`{name}` {_PARSED_AS[kind]}" for name, kind in fields)
 
 
-def coerce(parsed: Column, kind: str) -> Column:
-    """Turn a value parsed by `parse_schema` into its final type; bad values become NULL."""
-    if kind == "double":
-        return to_double(parsed)
-    if kind == "long":
-        return to_long(parsed)
-    if kind == "timestamp":
-        return iso_timestamp(parsed)
-    if kind == "only_text":
-        return only_text(parsed)
-    return parsed
+def coerce(field: str, kind: str) -> str:
+    """SQL for the final value of a field parsed by `parse_schema`; bad values become NULL."""
+    convert = {"double": to_double, "long": to_long, "timestamp": iso_timestamp, "only_text": only_text}
+    return convert[kind](field) if kind in convert else field
 
 
-def to_double(text: Column) -> Column:
+def to_double(text: str) -> str:
     """A finite double from numeric text, else NULL (also for NaN and infinities)."""
-    trimmed = F.trim(text)
-    value = F.when(trimmed.rlike(_NUMBER), F.replace(trimmed, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+    value = f"CASE WHEN {text} RLIKE r'{_NUMBER}' THEN try_cast(replace({text}, '_', '') AS DOUBLE) END"
+    return f"nullif(nullif({value}, double('Infinity')), double('-Infinity'))"
 
 
-def _variant_is_text(value: Column) -> Column:
-    return F.schema_of_variant(value) == "STRING"
-
-
-def to_long(value: Column) -> Column:
+def to_long(value: str) -> str:
     """A bigint from a variant: JSON numbers are cut toward zero, text must be a whole number."""
-    text = F.trim(F.try_variant_get(value, "$", "string"))
-    from_text = F.when(text.rlike(_INTEGER), F.replace(text, F.lit("_"), F.lit("")).try_cast("bigint"))
-    return F.when(_variant_is_text(value), from_text).otherwise(F.try_variant_get(value, "$", "bigint"))
+    text = f"try_variant_get({value}, '$', 'string')"
+    return (
+        f"CASE WHEN schema_of_variant({value}) = 'STRING'"
+        f" THEN CASE WHEN {text} RLIKE r'{_INTEGER}' THEN try_cast(replace({text}, '_', '') AS BIGINT) END"
+        f" ELSE try_variant_get({value}, '$', 'bigint') END"
+    )
 
 
-def only_text(value: Column) -> Column:
+def only_text(value: str) -> str:
     """The text of a variant that holds a JSON string, NULL for every other JSON type."""
-    return F.when(_variant_is_text(value), F.try_variant_get(value, "$", "string"))
+    return f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN try_variant_get({value}, '$', 'string') END"
 
 
-def iso_timestamp(text: Column) -> Column:
+def iso_timestamp(text: str) -> str:
     """Keep only text that begins like an ISO date and time."""
-    return F.when(text.rlike(ISO_START), text.try_cast("timestamp"))
+    return f"CASE WHEN {text} RLIKE r'{ISO_START}' THEN try_cast({text} AS TIMESTAMP) END"
 
 
-def epoch_ms(ms: Column) -> Column:
+def epoch_ms(ms: str) -> str:
     """Epoch milliseconds, whole or fractional, as an instant."""
-    micros = F.round(ms.cast("double") * 1000.0).try_cast("bigint")
-    return F.timestamp_micros(micros)
+    return f"timestamp_micros(try_cast(round(CAST({ms} AS DOUBLE) * 1000) AS BIGINT))"
 
 
-def text_array_item(json_text: Column, position: int) -> Column:
+def text_array_item(json_text: str, position: int) -> str:
     """Item `position` (from 1) of JSON array text; NULL when short or not an array."""
-    return F.try_element_at(F.from_json(json_text, "array<string>"), F.lit(position))
+    return f"try_element_at(from_json({json_text}, 'array<string>'), {position})"
 
 
 def tag_slugs(tags_json: Column) -> Column:
@@ -130,7 +122,7 @@ def micros_of(moment: datetime) -> int:
 
 def instant(moment: datetime) -> Column:
     """A timestamp literal; a datetime without zone is taken as UTC, whatever the session zone."""
-    return F.timestamp_micros(F.lit(micros_of(moment)).cast("bigint"))
+    return F.expr(f"timestamp_micros({micros_of(moment)})")
 
 
 def local_time(ts: Column, zone: str) -> Column:

@@ -14,6 +14,4 @@ def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
     """
     values = F.struct(*[value.alias(name) for name, value in columns.items()])
     kept = [c for c in df.columns if c not in columns]
-    return df.select(*kept, F.explode_outer(F.array(values)).alias("__once")).select(
-        *kept, *[F.col("__once")[name].alias(name) for name in columns]
-    )
+    return df.select(*kept, F.explode_outer(F.array(values)).alias("__once")).select(*kept, "__once.*")

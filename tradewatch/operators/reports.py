@@ -44,7 +44,7 @@ def parsed_logs(lines: DataFrame) -> DataFrame:
     return (
         computed_once(lines.select("value"), l=json_object(F.col("value"), fields))
         .filter(F.col("l").isNotNull())
-        .select("l.event", "l.idx", "l.level", iso_timestamp(F.col("l.timestamp")).alias("ts"))
+        .select("l.event", "l.idx", "l.level", F.expr(iso_timestamp("l.timestamp")).alias("ts"))
     )
 
 

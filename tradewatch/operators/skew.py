@@ -68,7 +68,7 @@ def heavy_split_join(
     found = joined.withColumn("__found", F.coalesce("__top", "__rest"))
     if how == "inner":
         found = found.filter(F.col("__found").isNotNull())
-    return found.select(*left.columns, *[F.col("__found")[v].alias(v) for v in values])
+    return found.select(*left.columns, "__found.*")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -76,7 +76,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return (
         df.groupBy(*keys)
         .agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__row"))
-        .select(*[F.col("__row")[c].alias(c) for c in df.columns])
+        .select("__row.*")
     )
 
 
@@ -84,7 +84,7 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return (
         df.groupBy(*keys)
         .agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("__row"))
-        .select(*[F.col("__row")[c].alias(c) for c in df.columns])
+        .select("__row.*")
     )
 
 

@@ -19,7 +19,7 @@ from tradewatch.sources.pages import event_markets, normalise_markets_a, normali
 def traded_series(series_items: DataFrame) -> DataFrame:
     """Series items with lifetime volume above zero; missing or unreadable volume counts as zero."""
     parsed = computed_once(series_items, s=F.from_json("payload", "ticker string, volume_fp string"))
-    volume = F.coalesce(to_double(F.col("s.volume_fp")), F.lit(0.0))
+    volume = F.coalesce(F.expr(to_double("s.volume_fp")), F.lit(0.0))
     return parsed.filter(volume > 0).select(*series_items.columns, F.col("s.ticker").alias("series_ticker"))
 
 
@@ -76,7 +76,7 @@ def refresh_catalog_a(
     found = salted_join(market_items.drop("category"), followed, ["series_ticker"])
     staged = normalise_markets_a(found)
     return CatalogA(
-        series=normalise_series(series_items).drop("queried_category"),
+        series=normalise_series(series_items),
         markets=upsert(target, staged, ["source", "ticker"], as_of, SETTLED),
         subscriptions=open_tickers(staged, manual),
         counts=discovery_counts(staged, ["category", "series_ticker"]),

@@ -57,7 +57,7 @@ def _series_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(normalise_series(_series_items(spark, sf_dir)).drop("queried_category"))
+    return _zoneless(normalise_series(_series_items(spark, sf_dir)))
 
 
 def _traded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,12 +156,10 @@ VERDICT = (
 
 def conform(df, schema: T.StructType):
     """Project to exactly the columns and types of `schema`; absent columns become NULL."""
-    from pyspark.sql import functions as F
-
     present = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in schema.fields
         ]
     )

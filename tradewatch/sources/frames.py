@@ -41,9 +41,9 @@ def _fields_a(messages: DataFrame, source: str, ingested_at: Column) -> DataFram
     parsed = computed_once(messages, m=F.from_json("msg", _TRADE_A))
     fields = computed_once(
         parsed,
-        ts=epoch_ms(F.col("m.ts_ms")),
-        price=to_double(F.col("m.yes_price_dollars")),
-        size=to_double(F.col("m.count_fp")).try_cast("bigint").cast("double"),
+        ts=F.expr(epoch_ms("m.ts_ms")),
+        price=F.expr(to_double("m.yes_price_dollars")),
+        size=F.expr(f"CAST(try_cast({to_double('m.count_fp')} AS BIGINT) AS DOUBLE)"),
     )
     return fields.select(
         "is_object",
@@ -100,9 +100,9 @@ def routing(tokens: DataFrame, order: str = "position") -> DataFrame:
 def _fields_b(events: DataFrame, routes: DataFrame, source: str, ingested_at: Column, how: str) -> DataFrame:
     fields = computed_once(
         events,
-        ts=epoch_ms(to_long(F.col("e.timestamp"))),
-        price=to_double(F.col("e.price")),
-        size=to_double(F.col("e.size")),
+        ts=F.expr(epoch_ms(to_long("e.timestamp"))),
+        price=F.expr(to_double("e.price")),
+        size=F.expr(to_double("e.size")),
     )
     parsed = fields.select(
         "event",

@@ -10,7 +10,6 @@ from tradewatch.functions.coerce import (
     blank_to_null,
     coerce,
     json_object,
-    only_text,
     parse_schema,
     tag_slugs,
     text_array_item,
@@ -43,18 +42,17 @@ def event_markets(events: DataFrame) -> DataFrame:
     )
 
 
-def _from_fields(parsed: Column, fields) -> list[Column]:
-    return [coerce(parsed[name], kind).alias(column) for name, column, kind in fields]
+def _from_fields(parsed: str, fields) -> list[Column]:
+    return [F.expr(f"{coerce(f'{parsed}.`{name}`', kind)} AS `{column}`") for name, column, kind in fields]
 
 
 def normalise_markets_a(items: DataFrame, source: str = "venue_a") -> DataFrame:
     """Venue-A market payloads (`payload`, `series_ticker`, `category`) as staged market rows."""
     fields = [("ticker", "ticker", "text"), *[(name, name, kind) for name, kind in fixed.MARKET_A_FIELDS]]
     parsed = computed_once(items, p=json_object(F.col("payload"), parse_schema([(f, k) for f, _, k in fields])))
-    rows = parsed.select(
-        F.lit(source).alias("source"), "series_ticker", "category", *_from_fields(F.col("p"), fields)
+    return parsed.select(F.lit(source).alias("source"), "series_ticker", "category", *_from_fields("p", fields)).select(
+        *schemas.MARKETS_A_STAGED.fieldNames()
     )
-    return schemas.conform(rows, schemas.MARKETS_A_STAGED)
 
 
 def normalise_series(items: DataFrame, source: str = "venue_a") -> DataFrame:
@@ -62,13 +60,11 @@ def normalise_series(items: DataFrame, source: str = "venue_a") -> DataFrame:
     fields = [("ticker", "ticker", "text"), *[(name, name, kind) for name, kind in fixed.SERIES_FIELDS]]
     wanted = parse_schema([("category", "text"), *[(f, k) for f, _, k in fields]])
     parsed = computed_once(items, p=json_object(F.col("payload"), wanted))
-    rows = parsed.select(
+    return parsed.select(
         F.lit(source).alias("source"),
         F.coalesce(blank_to_null(F.col("p.category")), F.col("category")).alias("category"),
-        F.col("category").alias("queried_category"),
-        *_from_fields(F.col("p"), fields),
-    )
-    return rows.select(*[c for c in schemas.SERIES.fieldNames() if c != "resolved_at"], "queried_category")
+        *_from_fields("p", fields),
+    ).select(*[c for c in schemas.SERIES.fieldNames() if c != "resolved_at"])
 
 
 def normalise_markets_b(items: DataFrame, source: str = "venue_b") -> DataFrame:
@@ -76,33 +72,28 @@ def normalise_markets_b(items: DataFrame, source: str = "venue_b") -> DataFrame:
 
     The two outcomes become parallel YES/NO columns, taken from JSON array texts.
     """
-    own = [("outcomes", "only_text"), ("outcomePrices", "only_text"), ("clobTokenIds", "only_text")]
-    wanted = parse_schema([*own, *[(name, kind) for name, _, kind in fixed.MARKET_B_FIELDS]])
+    own = [
+        ("outcomes", "outcomes_raw", "only_text"),
+        ("outcomePrices", "outcome_prices_raw", "only_text"),
+        ("clobTokenIds", "clob_token_ids_raw", "only_text"),
+    ]
+    wanted = parse_schema([(name, kind) for name, _, kind in [*own, *fixed.MARKET_B_FIELDS]])
     parsed = computed_once(
         items,
         p=json_object(F.col("payload"), wanted),
         ev=json_object(F.col("event"), "id string, ticker string, slug string, title string, tags string"),
-    ).select(
-        "p",
-        "ev",
-        only_text(F.col("p.outcomes")).alias("outcomes_raw"),
-        only_text(F.col("p.outcomePrices")).alias("outcome_prices_raw"),
-        only_text(F.col("p.clobTokenIds")).alias("clob_token_ids_raw"),
-    )
-    rows = parsed.select(
+    ).select("p", "ev", *_from_fields("p", own))
+    return parsed.select(
         F.lit(source).alias("source"),
         F.col("ev.id").alias("event_id"),
         F.col("ev.ticker").alias("event_ticker"),
         F.col("ev.slug").alias("event_slug"),
         F.col("ev.title").alias("event_title"),
         tag_slugs(F.col("ev.tags")).alias("event_tag_slugs"),
-        "outcomes_raw",
-        "outcome_prices_raw",
-        "clob_token_ids_raw",
-        text_array_item(F.col("clob_token_ids_raw"), 1).alias("yes_token_id"),
-        text_array_item(F.col("clob_token_ids_raw"), 2).alias("no_token_id"),
-        to_double(text_array_item(F.col("outcome_prices_raw"), 1)).alias("yes_price"),
-        to_double(text_array_item(F.col("outcome_prices_raw"), 2)).alias("no_price"),
-        *_from_fields(F.col("p"), fixed.MARKET_B_FIELDS),
-    )
-    return schemas.conform(rows, schemas.MARKETS_B_STAGED)
+        *[column for _, column, _ in own],
+        F.expr(text_array_item("clob_token_ids_raw", 1)).alias("yes_token_id"),
+        F.expr(text_array_item("clob_token_ids_raw", 2)).alias("no_token_id"),
+        F.expr(to_double(text_array_item("outcome_prices_raw", 1))).alias("yes_price"),
+        F.expr(to_double(text_array_item("outcome_prices_raw", 2))).alias("no_price"),
+        *_from_fields("p", fixed.MARKET_B_FIELDS),
+    ).select(*schemas.MARKETS_B_STAGED.fieldNames())
