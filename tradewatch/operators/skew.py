@@ -42,16 +42,23 @@ def heavy_split_join(
     heavy: int = 1000,
     salts: int = 4096,
 ) -> DataFrame:
-    """Join `left` with one row per key in `right`, where `right.weight` counts the key's left rows.
+    """Join `left` with a table per key, `right`, where `right.weight` counts the key's left rows.
 
-    The `heavy` keys with the most rows are broadcast (never more than `heavy` rows, so the size is
-    bounded whatever the data); their left rows are answered in place and then spread at random
-    over the shuffle. Every other key holds at most 1/`heavy` of the left rows and is joined by a
-    normal shuffle. Both uses of `right` read the same columns, so its exchange is computed once.
+    The keys with the most rows are broadcast (never more than `heavy` rows, so the size is bounded
+    whatever the data); their left rows are answered in place and then spread over the shuffle.
+    Every other key holds at most 1/`heavy` of the left rows and is joined by a normal shuffle.
+    Both uses of `right` read the same columns, so its exchange is computed once.
     """
     values = [c for c in right.columns if c not in on]
-    top = right.orderBy(F.desc(weight), *on).limit(heavy)
-    top = top.select(*on, F.struct(*values).alias("__top"))
+    # The lightest weight of a full top list is left to the shuffle: some of its rows may be cut off.
+    whole = W.partitionBy(F.lit(0))
+    top = (
+        right.orderBy(F.desc(weight))
+        .limit(heavy)
+        .withColumn("__cut", F.when(F.count(F.lit(1)).over(whole) == heavy, F.min(weight).over(whole)))
+        .filter(F.col("__cut").isNull() | (F.col(weight) > F.col("__cut")))
+        .select(*on, F.struct(*values).alias("__top"))
+    )
     tagged = left.join(F.broadcast(top), list(on), "left")
     keyless = F.lit(False)
     for key in on:

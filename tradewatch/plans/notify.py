@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tradewatch.functions.coerce import blank_to_null, instant
 from tradewatch.functions.text import alert_message, thread_key, thread_title
 from tradewatch.operators.skew import first_per_key
+from tradewatch.sources.tables import replace_days
 
 
 def pending_queue(alerts: DataFrame, limit: int = 50) -> DataFrame:
@@ -73,6 +74,7 @@ def notifications(
             "rank_in_group",
             "is_starter",
             "alert_id",
+            "detected_at",
             "source",
             "series_ticker",
             "market_id",
@@ -119,6 +121,17 @@ def mark_notified(alerts: DataFrame, settled: DataFrame, as_of: datetime) -> Dat
     )
 
 
+def apply_deliveries(alerts: DataFrame, path: str, settled: DataFrame, as_of: datetime) -> None:
+    """Update the stored alerts table at `path`, which `alerts` was read from.
+
+    Only the days of sent alerts are read and rewritten; there are at most as many as queue rows.
+    """
+    sent_days = settled.filter("sent").select(F.to_date("detected_at").alias("d")).distinct().collect()
+    if sent_days:
+        touched = alerts.filter(F.col("detected_date").isin([row["d"] for row in sent_days]))
+        replace_days(mark_notified(touched, settled, as_of), path, "detected_date")
+
+
 def thread_buckets(settled: DataFrame) -> DataFrame:
     """The cycle's sent alerts by thread, NULL for none; no larger than the queue."""
     return (

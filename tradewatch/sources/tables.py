@@ -12,25 +12,33 @@ from pyspark.sql import types as T
 from tradewatch.functions.coerce import instant
 
 
+def laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    """Rows gathered by folder and sorted by the clustering columns, in files of even size.
+
+    The rebalance hint lets Spark split a busy day over many tasks and merge quiet ones, in one pass
+    over the input. Sorted files let readers skip row groups by market.
+    """
+    balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return balanced.sortWithinPartitions(*partition_by, *cluster_by)
+
+
 def write_table(
     df: DataFrame,
     path: str,
     mode: str = "append",
     partition_by: Sequence[str] = (),
     cluster_by: Sequence[str] = (),
+    replace: str = "static",
 ) -> None:
-    """Write parquet partitioned by folders and sorted by the clustering columns.
+    """Write parquet in the given layout.
 
-    Ranges over partition and clustering columns give every file a narrow key range (so row groups
-    can be skipped) and cut one busy day over many tasks. End `cluster_by` with a fine column such
-    as the timestamp, and one busy market is cut as well.
+    With mode ``overwrite``, `replace` says what goes: ``static`` the whole table, ``dynamic`` only the
+    folders that occur in `df`.
     """
-    order = [*partition_by, *cluster_by]
-    laid = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
-    writer = laid.write.mode(mode)
+    writer = laid_out(df, partition_by, cluster_by).write.mode(mode).option("partitionOverwriteMode", replace)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.option("partitionOverwriteMode", "static").parquet(path)
+    writer.parquet(path)
 
 
 def with_day(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -81,25 +89,12 @@ def refresh_series(series: DataFrame, path: str, as_of: datetime) -> None:
 
 def replace_subscriptions(subscriptions: DataFrame, path: str) -> None:
     """Replace the subscriptions of the sources present in `subscriptions`, leave other sources alone."""
-    (
-        subscriptions.repartitionByRange("source", "market_id")
-        .sortWithinPartitions("source", "market_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source")
-        .parquet(path)
-    )
+    write_table(subscriptions, path, "overwrite", ["source"], ["market_id"], "dynamic")
 
 
-def replace_days(df: DataFrame, path: str, day: str) -> None:
+def replace_days(df: DataFrame, path: str, day: str, cluster_by: Sequence[str] = ("source", "market_id")) -> None:
     """Rewrite only the days present in `df`; it may have been read from the same table."""
-    (
-        df.repartitionByRange(day, *[c for c in ("source", "market_id", "alert_id") if c in df.columns])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(path)
-    )
+    write_table(df, path, "overwrite", [day], cluster_by, "dynamic")
 
 
 def write_transcripts(entries: DataFrame, path: str, folder: Column | None = None) -> None:
@@ -108,9 +103,11 @@ def write_transcripts(entries: DataFrame, path: str, folder: Column | None = Non
     With very many debates give `folder`, a coarser grouping of them, to avoid a folder for each.
     """
     (
-        entries.withColumn("folder", F.col("debate_id") if folder is None else folder)
-        .repartitionByRange("folder", "debate_id", "seq")
-        .sortWithinPartitions("folder", "debate_id", "seq")
+        laid_out(
+            entries.withColumn("folder", F.col("debate_id") if folder is None else folder),
+            ["folder"],
+            ["debate_id", "seq"],
+        )
         .write.mode("append")
         .partitionBy("folder")
         .json(path)

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tradewatch import schemas
 from tradewatch.plans.detect import DetectParams, detect_anomalies
 from tradewatch.sources.frames import parse_frames_a, parse_frames_b
-from tradewatch.sources.tables import with_day
+from tradewatch.sources.tables import with_day, write_table
 
 # One run per five minutes; a drain of what is there uses {"availableNow": True}.
 FLUSH = {"processingTime": "300 seconds"}
@@ -34,13 +34,8 @@ def frame_stream(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 
 def _replace_batch(df: DataFrame, path: str, day: str, batch: str) -> None:
-    (
-        df.withColumn(_BATCH, F.lit(batch))
-        .repartitionByRange(day, "source", "market_id", "trade_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day, _BATCH)
-        .parquet(path)
+    write_table(
+        df.withColumn(_BATCH, F.lit(batch)), path, "overwrite", [day, _BATCH], ["source", "market_id"], "dynamic"
     )
 
 
