@@ -32,14 +32,23 @@ def alert_reason(
     volume: Column,
     volume_24h: Column,
 ) -> Column:
+    """Why a trade was flagged.
+
+    Computed figures are rounded to nine decimals first, so that the order in which a baseline was
+    summed up cannot tip a figure that lies half-way between two printed ones.
+    """
+
+    def steady(value: Column) -> Column:
+        return F.round(F.coalesce(value, F.lit(0.0)), 9)
+
     return F.format_string(
         "size=%.2f (z=%.2f vs avg %.1f), notional=$%.2f (z=%.2f vs avg $%.2f), market vol=%s (24h %s)",
         size,
-        F.coalesce(size_z, F.lit(0.0)),
-        avg_size,
+        steady(size_z),
+        steady(avg_size),
         notional,
-        F.coalesce(notional_z, F.lit(0.0)),
-        avg_notional,
+        steady(notional_z),
+        steady(avg_notional),
         format_volume(volume),
         format_volume(volume_24h),
     )

@@ -10,6 +10,7 @@ from tradewatch.plans.accounting import (
     budget_flags,
     cost_by_provider,
     debate_accounts,
+    debate_rows,
     prompt_lines,
     prompt_prefixes,
     turns,
@@ -24,7 +25,7 @@ from tradewatch.plans.requests import (
     valid_requests,
 )
 from tradewatch.queries import notify, views
-from tradewatch.queries.shape import r6, r6_sql, wall
+from tradewatch.queries.shape import fixed_sql, r6, r6_sql, wall
 
 
 def _looked_up(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +116,29 @@ def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished debates as rows for the debates table."""
+    accounts = debate_accounts(views.transcripts(spark, sf_dir), views.BUDGET)
+    asked = views.table(spark, sf_dir, "conversations").filter(F.col("turn") == 0)
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    requests = asked.select(
+        F.col("conv_id").cast("string").alias("debate_id"),
+        F.concat(F.lit("a"), "conv_id").alias("alert_id"),
+        F.lit("manual").alias("source"),
+        F.lit(None).cast("string").alias("series_ticker"),
+        F.concat(F.lit("a"), "conv_id").alias("market_id"),
+        F.left("text", F.lit(40)).alias("title"),
+        start.alias("started_at"),
+        F.timestamp_micros(F.unix_micros(start) + F.col("conv_id") * 1000000).alias("finished_at"),
+        F.concat(F.lit("t"), F.col("conv_id") % 7).alias("thread_id"),
+    )
+    return debate_rows(accounts, requests).select(
+        "debate_id", "alert_id", "source", "market_id", "title", wall("started_at"), wall("finished_at"), "outcome",
+        "turn_count", r6("total_cost_usd"), F.col("cost_by_provider").startswith("{").alias("has_costs"),
+        "discord_thread_id",
+    )
+
+
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation texts as moderator answers, with JSON of several kinds put into them."""
     key = F.col("conv_id") * 31 + F.col("turn")
@@ -172,6 +196,7 @@ QUERIES = {
     "debate_cost": _cost,
     "debate_budget_flags": _flags,
     "debate_outcome": _outcome,
+    "debate_rows": _rows,
     "decision_parse": _decisions,
     "prompt_lines": _prompt_lines,
     "prompt_snapshot": _prompt_prefixes,
@@ -227,6 +252,35 @@ FROM flagged""",
 SELECT debate_id, outcome, turn_count, {r6_sql("total_cost_usd", "total_cost_usd")},
        {r6_sql("total_cost_usd", "booked_usd")}
 FROM outcomes""",
+    "debate_rows": f"""WITH {views.TRANSCRIPTS_SQL}
+SELECT debate_id, 'a' || debate_id AS alert_id, 'manual' AS source, 'a' || debate_id AS market_id,
+       left(text, 40) AS title, TIMESTAMP '2024-01-01' AS started_at,
+       TIMESTAMP '2024-01-01' + to_seconds(conv_id) AS finished_at, outcome, turn_count,
+       {r6_sql("total_cost_usd", "total_cost_usd")}, TRUE AS has_costs, 't' || (conv_id % 7) AS discord_thread_id
+FROM outcomes JOIN conversations ON debate_id = CAST(conv_id AS VARCHAR) AND turn = 0""",
+    "message_render": f"""WITH {views.TRANSCRIPTS_SQL}, bodies AS (
+  SELECT *, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS body,
+         upper(left(provider, 1)) || substr(provider, 2) AS label
+  FROM transcripts
+), messages AS (
+  SELECT debate_id, turn, provider,
+         CASE WHEN moderator
+              THEN '**Moderator — Turn ' || turn || '**  ·  decision: `' || decision || '`  ·  cost: $'
+                   || {fixed_sql("cost_usd", 4)}
+              WHEN body <> ''
+              THEN '**' || label || ' — Turn ' || turn || '**  ·  searches: ' || search_count || '  ·  cost: $'
+                   || {fixed_sql("cost_usd", 4)} || chr(10) || body END AS message
+  FROM bodies
+)
+SELECT debate_id, turn, provider,
+       CASE WHEN length(message) > 1950 THEN left(message, 1932) || chr(10) || '_…[truncated]_' ELSE message END
+         AS message
+FROM messages WHERE message IS NOT NULL""",
+    "verdict_render": f"""
+SELECT 'd' || event_id AS debate_id,
+       '**Debate verdict — ' || CASE event_type WHEN 'view' THEN 'consensus' ELSE 'deadlock' END || '**' || chr(10)
+         || '**Probability YES: ' || {fixed_sql("CAST(event_id % 100 AS DOUBLE) / 100 * 100", 0)} || '%**' AS message
+FROM events WHERE event_type IN ('view', 'signup')""",
     "decision_parse": """
 WITH keyed AS (SELECT conv_id, turn, conv_id * 31 + turn AS k FROM conversations)
 SELECT conv_id, turn,

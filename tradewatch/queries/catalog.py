@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch import fixed, schemas
 from tradewatch.operators.subscribe import delta_counts, open_tickers, subscription_delta, tradable_markets
 from tradewatch.operators.upsert import CLOSED, SETTLED, upsert
-from tradewatch.plans.catalog import discover_markets, discovery_counts, traded_series
+from tradewatch.plans.catalog import (
+    discover_markets,
+    discovery_counts,
+    refresh_catalog_a,
+    refresh_catalog_b,
+    traded_series,
+)
 from tradewatch.queries import payloads, views
 from tradewatch.queries.shape import r6, r6_sql, wall
 from tradewatch.session import shared_folder
@@ -19,6 +27,9 @@ _B = list(fixed.MARKET_B_FIELDS)
 _S = [("ticker", "ticker", "text"), *[(name, name, kind) for name, kind in fixed.SERIES_FIELDS]]
 
 
+_RUN = datetime(2024, 2, 1)
+
+
 def _zoneless(df: DataFrame) -> DataFrame:
     return df.select(*[wall(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
 
@@ -124,10 +135,8 @@ def _catalog(spark: SparkSession, sf_dir: str, key: str) -> tuple[DataFrame, Dat
 
 
 def _upsert(spark: SparkSession, sf_dir: str, key: str, freeze: str) -> DataFrame:
-    from datetime import datetime
-
     target, staged = _catalog(spark, sf_dir, key)
-    return _zoneless(upsert(target, staged, ["source", key], datetime(2024, 2, 1), freeze))
+    return _zoneless(upsert(target, staged, ["source", key], _RUN, freeze))
 
 
 def _upsert_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,6 +203,47 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_series(items).select("source", "ticker", "category", "title", "tags", r6("volume_fp"))
 
 
+def _refresh_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as venue-A markets of the suppliers' series; every third is in the target already."""
+    key = F.col("p_partkey")
+    parts = views.table(spark, sf_dir, "part")
+    market_items = parts.select(
+        payloads.render(_A, "p_partkey").alias("payload"), F.concat(F.lit("ticker-"), key % 13).alias("series_ticker")
+    )
+    target = schemas.conform(
+        parts.filter(key % 3 == 0).select(
+            F.lit("venue_a").alias("source"),
+            F.concat(F.lit("ticker-"), key).alias("ticker"),
+            F.lit("old").alias("category"),
+            F.when(key % 2 == 0, F.lit("2023-01-01 00:00:00").cast("timestamp")).alias("settlement_ts"),
+            F.lit("2020-01-01 00:00:00").cast("timestamp").alias("resolved_at"),
+        ),
+        schemas.MARKETS_A,
+    )
+    manual = spark.createDataFrame([("manual-1",)], "ticker string")
+    refreshed = refresh_catalog_a(_series_items(spark, sf_dir), market_items, target, manual, _RUN)
+    return refreshed.markets.select("source", "ticker", "category", "status", wall("resolved_at"))
+
+
+def _refresh_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored events as tagged pages; the markets found first, less those closed in the target."""
+    items = _event_items(spark, sf_dir)
+    target = schemas.conform(
+        views.table(spark, sf_dir, "events")
+        .select("user_id")
+        .distinct()
+        .select(
+            F.lit("venue_b").alias("source"),
+            F.concat(F.lit("m"), "user_id").alias("id"),
+            F.lit("old").alias("event_id"),
+            F.when(F.col("user_id") % 3 == 0, True).when(F.col("user_id") % 3 == 1, False).alias("closed"),
+            F.lit("2020-01-01 00:00:00").cast("timestamp").alias("resolved_at"),
+        ),
+        schemas.MARKETS_B,
+    )
+    return refresh_catalog_b(items, target, _RUN).markets.select("source", "id", "event_id", "closed", wall("resolved_at"))
+
+
 QUERIES = {
     "normalise_markets_a": _markets_a,
     "normalise_markets_b": _markets_b,
@@ -209,6 +259,8 @@ QUERIES = {
     "subscription_delta": _delta,
     "subscription_delta_counts": _delta_counts,
     "landed_pages": _pages,
+    "catalog_refresh_a": _refresh_a,
+    "catalog_refresh_b": _refresh_b,
 }
 
 
@@ -315,4 +367,30 @@ SELECT added, removed, added + removed > 0 AS changed FROM counts""",
 SELECT 'venue_a' AS source, 's' || c_custkey AS ticker, lower(c_mktsegment) AS category, c_name AS title,
        '["' || c_mktsegment || '"]' AS tags, {r6_sql("c_acctbal", "volume_fp")}
 FROM customer""",
+    "catalog_refresh_a": f"""
+WITH followed AS (
+  SELECT 'ticker-' || s_suppkey AS series_ticker, 'c' || s_nationkey AS category
+  FROM supplier
+  WHERE s_suppkey % 3 < 2 AND s_suppkey % 1000 + {[f for f, _, _ in _S].index("volume_fp")} > 0
+), staged AS (
+  SELECT 'ticker-' || p_partkey AS ticker, f.category, 'status-' || p_partkey AS status
+  FROM part JOIN followed f ON f.series_ticker = 'ticker-' || (p_partkey % 13)
+), target AS (
+  SELECT 'ticker-' || p_partkey AS ticker, p_partkey % 2 = 0 AS settled FROM part WHERE p_partkey % 3 = 0
+)
+SELECT 'venue_a' AS source, ticker,
+       CASE WHEN s.ticker IS NOT NULL AND NOT coalesce(t.settled, FALSE) THEN s.category ELSE 'old' END AS category,
+       CASE WHEN s.ticker IS NOT NULL AND NOT coalesce(t.settled, FALSE) THEN s.status END AS status,
+       CASE WHEN s.ticker IS NOT NULL AND NOT coalesce(t.settled, FALSE) THEN TIMESTAMP '2024-02-01'
+            ELSE TIMESTAMP '2020-01-01' END AS resolved_at
+FROM staged s FULL JOIN target t USING (ticker)""",
+    "catalog_refresh_b": f"""{_DISCOVER_SQL}, target AS (
+  SELECT DISTINCT 'm' || user_id AS id, CASE user_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS closed FROM events
+), staged AS (SELECT id, CAST(event_id AS VARCHAR) AS event_id FROM found WHERE rn = 1)
+SELECT 'venue_b' AS source, id,
+       CASE WHEN coalesce(t.closed, FALSE) OR s.id IS NULL THEN 'old' ELSE s.event_id END AS event_id,
+       CASE WHEN coalesce(t.closed, FALSE) OR s.id IS NULL THEN t.closed END AS closed,
+       CASE WHEN coalesce(t.closed, FALSE) OR s.id IS NULL THEN TIMESTAMP '2020-01-01' ELSE TIMESTAMP '2024-02-01' END
+         AS resolved_at
+FROM staged s FULL JOIN target t USING (id)""",
 }

@@ -12,7 +12,7 @@ from tradewatch.functions.text import alert_message
 from tradewatch.operators.baseline import recent_trades, rolling_baseline
 from tradewatch.plans.detect import DetectParams, detect_anomalies, enriched_alerts, unusual_trades
 from tradewatch.queries import views
-from tradewatch.queries.shape import r6, r6_sql, wall
+from tradewatch.queries.shape import fixed_sql, r6, r6_sql, wall
 
 # Thresholds at which the test data shows unusual trades.
 PARAMS = DetectParams(
@@ -205,6 +205,36 @@ SELECT alert_id, coalesce(a.series_ticker, b.event_ticker) AS series_ticker,
 FROM flagged f LEFT JOIN markets_a a ON market_id = a.ticker LEFT JOIN markets_b b ON market_id = b.id
 LEFT JOIN series s ON a.series_ticker = s.ticker"""
 
+def volume_sql(v: str) -> str:
+    scaled = " ".join(
+        f"WHEN abs({v}) >= {unit} THEN '$' || {fixed_sql(f'{v} / {unit}', 1)} || '{letter}'"
+        for unit, letter in (("1e9::DOUBLE", "B"), ("1e6::DOUBLE", "M"), ("1e3::DOUBLE", "K"))
+    )
+    return f"CASE WHEN {v} IS NULL THEN '$0' {scaled} ELSE '$' || {fixed_sql(v, 0)} END"
+
+
+def message_sql(title: str, side: str, reason: str) -> str:
+    return f"""'Unusual trade on ' || market_id || ' (' || source || ')' || chr(10)
+  || '**' || CASE WHEN coalesce({title}, '') <> '' THEN '_' || {title} || '_' || chr(10) ELSE '' END || '**'
+  || 'Side: ' || coalesce(nullif({side}, ''), '?') || '  Size: ' || CAST(size AS VARCHAR)
+  || '  Price: $' || {fixed_sql("price", 3)} || '  Notional: $' || {fixed_sql("notional", 2)} || chr(10)
+  || 'Trigger: ' || {reason} || chr(10)
+  || 'Trade time: ' || regexp_replace(strftime(trade_ts, '%Y-%m-%dT%H:%M:%S.%f'), '[.]000000$', '')"""
+
+
+_REASON_SQL = f"""'size=' || {fixed_sql("size", 2)} || ' (z=' || {fixed_sql("round(size_zscore, 9)", 2)} || ' vs avg '
+  || {fixed_sql("round(average_size, 9)", 1)} || '), notional=$' || {fixed_sql("notional", 2)} || ' (z='
+  || {fixed_sql("round(notional_zscore, 9)", 2)} || ' vs avg $' || {fixed_sql("round(average_notional, 9)", 2)}
+  || '), market vol=' || {volume_sql("volume")} || ' (24h ' || {volume_sql("volume_24h")} || ')'"""
+
+_TEXT_SQL = f"""{FLAGGED_SQL}, {views.DIMENSIONS_SQL}, described AS (
+  SELECT f.*, coalesce(a.title, b.slug_title) AS title, coalesce(a.volume_fp * 100, b.volume) AS volume,
+         coalesce(a.volume_24h_fp * 100, b.volume_24h) AS volume_24h,
+         timezone('America/Denver', timezone('UTC', ts)) AS trade_ts
+  FROM flagged f LEFT JOIN markets_a a ON market_id = a.ticker LEFT JOIN markets_b b ON market_id = b.id
+), reasoned AS (SELECT *, {_REASON_SQL} AS reason FROM described)
+SELECT alert_id, reason, {message_sql("title", "side", "reason")} AS message FROM reasoned"""
+
 UNUSUAL_COLUMNS = f"""
 SELECT alert_id, source, market_id, trade_id, ts, side, price, size, {r6_sql("notional", "notional")},
        {r6_sql("size_zscore", "size_zscore")}, {r6_sql("notional_zscore", "notional_zscore")}
@@ -234,6 +264,7 @@ ranked AS (
 )
 SELECT alert_id, market_id, trade_id, size, {r6_sql("notional", "notional")}, {r6_sql("size_zscore", "size_zscore")}
 FROM ranked WHERE rn = 1""",
+    "alert_reason_text": _TEXT_SQL,
     "local_trade_time": """
 SELECT CAST(event_id AS VARCHAR) AS trade_id, timezone('America/Denver', timezone('UTC', ts)) AS trade_ts,
        CAST(timezone('America/Denver', timezone('UTC', ts)) AS DATE) AS local_date, CAST(ts AS DATE) AS utc_date

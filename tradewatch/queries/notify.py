@@ -19,6 +19,7 @@ from tradewatch.plans.notify import (
 )
 from tradewatch.plans.requests import thread_latest_alert
 from tradewatch.queries import views
+from tradewatch.queries.detection import message_sql
 from tradewatch.queries.shape import wall
 from tradewatch.sources.tables import outbox
 
@@ -153,6 +154,12 @@ SELECT alert_id, source, series_ticker, market_id, title, group_thread AS thread
 SELECT alert_id AS key, CAST(json_object('alert_id', alert_id, 'source', source, 'series_ticker', series_ticker,
        'market_id', market_id, 'title', title, 'thread_id', group_thread) AS VARCHAR) AS value
 FROM chosen WHERE rn = 1""",
+    "notification_texts": f"""{_SETTLED_SQL}
+SELECT alert_id, reused AS thread_id,
+       CASE WHEN rank_in_group = 1 AND reused IS NULL
+            THEN left(coalesce(series_title, title, source || ': ' || market_id), 100) END AS thread_title,
+       {message_sql("title", "side", "reason")} AS message
+FROM settled""",
     "thread_latest_alert": f"""WITH {views.ALERTS_SQL}
 SELECT discord_thread_id, alert_id, source, series_ticker, market_id, title FROM alerts
 WHERE discord_thread_id IS NOT NULL
