@@ -81,6 +81,30 @@ def test_venue_b_batch_run_again_replaces_its_rows(spark, tmp_path):
     assert keys(spark.read.schema(schemas.TRADES).parquet(out)) == keys(parse_frames_b(frames, tokens, stamp()))
 
 
+def test_a_batch_that_failed_is_done_again(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    frames, tokens = views.frames_b(spark, SF), views.tokens(spark, SF)
+    frames.repartition(4).write.text(folder)
+    calls = []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return tokens
+
+    def drain():
+        jobs.ingest_b(
+            jobs.frame_stream(spark, folder, 1), flaky, out, state, stamp(), trigger=DRAIN
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        drain()
+    drain()
+    assert len(calls) == 5
+    assert keys(spark.read.schema(schemas.TRADES).parquet(out)) == keys(parse_frames_b(frames, tokens, stamp()))
+
+
 @pytest.fixture
 def stored_trades(spark, tmp_path):
     path = str(tmp_path / "trades")

@@ -83,7 +83,8 @@ def _event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("").alias("id")),
         F.struct(F.concat(F.lit("m"), user * 2).alias("id")),
     )
-    tag = F.array_position(F.array(*[F.lit(t) for t in ("view", "click", "purchase", "signup", "error")]), F.col("event_type"))
+    tags = F.array(*[F.lit(t) for t in ("view", "click", "purchase", "signup", "error")])
+    tag = F.array_position(tags, F.col("event_type"))
     return views.table(spark, sf_dir, "events").select(
         "event_type",
         tag.alias("tag_position"),

@@ -45,8 +45,9 @@ def _logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("heartbeat")
     )
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    connection = F.col("user_id") % 32
     line = F.to_json(
-        F.struct(name.alias("event"), (F.col("user_id") % 32).alias("idx"), iso.alias("timestamp"), F.lit("info").alias("level"))
+        F.struct(name.alias("event"), connection.alias("idx"), iso.alias("timestamp"), F.lit("info").alias("level"))
     )
     return views.table(spark, sf_dir, "events").select(
         F.when(F.col("event_id") % 103 == 0, "plain text").otherwise(line).alias("value")
@@ -86,8 +87,9 @@ def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     replace_subscriptions(followed.unionByName(followed.withColumn("source", F.lit("venue_a"))), f"{root}/subs")
     replace_subscriptions(followed.filter(F.col("no_token_id").isNotNull()), f"{root}/subs")
+    evolved = read_table(spark, f"{root}/alerts", schemas.ALERTS, "reviewed_by string, detected_date date")
     stored = [
-        ("alerts", read_table(spark, f"{root}/alerts", schemas.ALERTS, "reviewed_by string, detected_date date"), "alert_id"),
+        ("alerts", evolved.filter(F.col("reviewed_by").isNull()), "alert_id"),
         ("debates", read_table(spark, f"{root}/debates", schemas.DEBATES), "debate_id"),
         ("subscriptions", read_table(spark, f"{root}/subs", schemas.SUBSCRIPTIONS), "market_id"),
     ]

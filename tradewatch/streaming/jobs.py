@@ -49,7 +49,8 @@ def ingest_a(
 ) -> StreamingQuery:
     """Venue-A frames into the trades table through the exactly-once file sink.
 
-    `dedup_within` drops repeats of a trade id within that event-time span.
+    `dedup_within` drops repeats of a trade id within that event-time span. The state holds one row per
+    id, and a group of copies can fill at most one batch, whose size `frame_stream` sets.
     """
     trades = parse_frames_a(frames, F.current_timestamp() if ingested_at is None else ingested_at)
     if dedup_within:
