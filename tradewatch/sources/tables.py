@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tradewatch.functions.coerce import instant
+from tradewatch.functions.coerce import instant, micros_of
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
@@ -120,6 +121,38 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, extra: str
     return spark.read.schema(full).parquet(path)
 
 
+def write_version(df: DataFrame, path: str, as_of: datetime, cluster_by: Sequence[str] = ()) -> None:
+    """Write a table's next version beside the earlier ones, for tables computed from themselves."""
+    version = f"{path}/version={micros_of(as_of)}"
+    write_table(df, version, "overwrite", cluster_by=cluster_by)
+
+
+def read_latest(
+    spark: SparkSession, path: str, schema: T.StructType, before: datetime | None = None
+) -> DataFrame:
+    """The latest version of a table, or the latest older than `before`; empty where there is none.
+
+    A job that writes the version of its own moment reads what came before it. Run again after a
+    failure, it starts from the same rows and replaces what it had written.
+    """
+    versions = read_if_there(spark, path, schema, "version bigint")
+    if before is not None:
+        versions = versions.filter(F.col("version") < F.lit(micros_of(before)))
+    newest = versions.agg(F.max("version").alias("v")).first()["v"]
+    return versions.filter(F.col("version") == F.lit(newest)).select(*schema.fieldNames())
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType, extra: str = "") -> DataFrame:
+    """`read_table`, or no rows where nothing has been written yet."""
+    try:
+        return read_table(spark, path, schema, extra)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        more = T.StructType.fromDDL(extra).fields if extra else []
+        return spark.createDataFrame([], T.StructType([*schema.fields, *more]))
+
+
 def outbox(messages: DataFrame, key: str) -> DataFrame:
     """Messages as (key, value) with a JSON value, NULL fields kept, ready for a message topic."""
     body = F.to_json(F.struct(*messages.columns), {"ignoreNullFields": "false"})

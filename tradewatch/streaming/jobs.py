@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tradewatch import schemas
 from tradewatch.plans.detect import DetectParams, detect_anomalies
 from tradewatch.sources.frames import parse_frames_a, parse_frames_b
-from tradewatch.sources.tables import with_day, write_table
+from tradewatch.sources.tables import read_if_there, with_day, write_table
 
 # One run per five minutes; a drain of what is there uses {"availableNow": True}.
 FLUSH = {"processingTime": "300 seconds"}
@@ -100,15 +99,7 @@ def _table_schema(schema: T.StructType, day: str) -> T.StructType:
 
 def alerts_table(spark: SparkSession, path: str) -> DataFrame:
     """The alerts written by `detect`; empty before its first batch."""
-    schema = T.StructType(
-        [*_table_schema(schemas.ALERTS, "detected_date").fields, T.StructField(_BATCH, T.StringType())]
-    )
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return read_if_there(spark, path, schemas.ALERTS, f"detected_date date, {_BATCH} string")
 
 
 def detect(
