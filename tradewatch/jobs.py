@@ -73,7 +73,7 @@ class Warehouse:
 
 
 def ingest(w: Warehouse, as_of: datetime) -> None:
-    """Land the waiting frames of both venues in the trades table."""
+    """Land the frames of both venues in the trades table, once; `streaming.jobs` keeps doing so."""
     tokens = w.subscriptions().filter("yes_token_id IS NOT NULL").withColumn("position", F.lit(0))
     frames_a, frames_b = (w.spark.read.text(w.path(f"landed/frames_{v}")) for v in "ab")
     append_trades(ingest_trades(frames_a, frames_b, tokens, instant(as_of)), w.path("trades"))
@@ -133,7 +133,8 @@ def resolve(w: Warehouse, as_of: datetime) -> None:
     asked = sent.select(fields.alias("r")).select("r.*").withColumn("requested_at", instant(as_of))
     looked = reuse_lookup(valid_requests(asked), w.debates())
     fresh_runs(looked).write.mode("overwrite").parquet(w.path("fresh_requests"))
-    append_debates(cached_rows(looked), w.path("debates"))
+    answered = cached_rows(looked).join(w.debates().select("debate_id"), "debate_id", "left_anti")
+    append_debates(schemas.conform(answered, schemas.DEBATES), w.path("debates"))
 
 
 JOBS = {
