@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from tradewatch import queries as registry
 from tests.oracle import connect, duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
