@@ -31,10 +31,77 @@ def op5_packed(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1)
 
 
+def op6_repetition(spark, sf_dir):
+    from tradewatch.llm.suffixrules import repetition_rules
+
+    return repetition_rules(table(spark, sf_dir, "documents"))
+
+
+def op7_substrings(spark, sf_dir):
+    from tradewatch.llm.bwtdedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
+def op8_near_duplicates(spark, sf_dir):
+    from tradewatch.llm.pigeonring import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_decontaminated(spark, sf_dir):
+    from tradewatch.llm.fmindex import find_benchmark, judged
+
+    found = judged(find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), b1 AS (
+  SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 11))) AS i FROM b WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[i:i + 12], ' ') AS win FROM b1
+), sizes AS (SELECT DISTINCT size FROM windows), d1 AS (
+  SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size
+), hits AS (
+  SELECT d1.doc_id, i, d1.size, item_id FROM d1 JOIN windows ON d1.size = windows.size AND win = array_to_string(w[i:i + d1.size - 1], ' ')
+), places AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY 1
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY 1
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN places USING (doc_id) LEFT JOIN items USING (doc_id)
+""".replace("\\\\", "\\")
+
+
+def op10_languages(spark, sf_dir):
+    from tradewatch.llm.kneserney import fit, fold, predict
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold() == 2, F.lit(False))
+    models, calibration = fit(docs, held_out)
+    found = predict(docs, models, calibration)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_shards": op2_shards,
     "op5_packed": op5_packed,
+    "op6_repetition": op6_repetition,
+    "op7_substrings": op7_substrings,
+    "op8_near_duplicates": op8_near_duplicates,
+    "op9_decontaminated": op9_decontaminated,
+    "op10_languages": op10_languages,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_decontaminated": OP9_SQL}

@@ -18,7 +18,7 @@ CACHED_CHUNKS = 1_500_000
 #: Length up to which a chunk is kept; longer ones are encoded each time.
 CACHED_CHARS = 64
 #: Letters from here on are left to the library's own rules on what a letter is.
-PLAIN_LETTERS = "԰"
+PLAIN_LETTERS = "\u0530"
 _IDS = np.dtype("<u4")
 _loaded: dict[str, ChunkEncoder] = {}
 
