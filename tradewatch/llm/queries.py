@@ -25,6 +25,25 @@ def op2_shards(spark, sf_dir):
     return assign_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op3_personal_data(spark, sf_dir):
+    from tradewatch.llm.semicrf import find_personal_data, fit
+
+    docs = table(spark, sf_dir, "documents")
+    return find_personal_data(docs, fit(docs))
+
+
+#: The contract's rules for urls.
+URL_RULES = {
+    "com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block",
+}
+
+
+def op4_urls(spark, sf_dir):
+    from tradewatch.llm.linkgraph import url_verdicts
+
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_packed(spark, sf_dir):
     from tradewatch.llm.bm25pack import pack_documents
 
@@ -96,6 +115,8 @@ def op10_languages(spark, sf_dir):
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_shards": op2_shards,
+    "op3_personal_data": op3_personal_data,
+    "op4_urls": op4_urls,
     "op5_packed": op5_packed,
     "op6_repetition": op6_repetition,
     "op7_substrings": op7_substrings,
