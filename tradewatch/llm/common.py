@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tradewatch.session import prepare, shared_folder
 
@@ -36,3 +37,18 @@ def ranges(starts, lengths):
     owner = np.repeat(np.arange(len(starts)), lengths)
     before = np.cumsum(lengths) - lengths
     return np.arange(len(owner)) - before[owner] + np.asarray(starts)[owner], owner
+
+
+#: Column in which whole rows go through an operator, safe from clashing names.
+ROW = "_doc"
+
+
+def carried(docs: DataFrame, names: list[str], carry: bool) -> DataFrame:
+    """The named columns and, if asked for, each row as a struct beside them."""
+    whole = F.struct(*[F.col(f"`{x}`") for x in docs.columns]).alias(ROW)
+    return docs.select(*names, *[whole] * carry)
+
+
+def schema_of(ddl: str, docs: DataFrame, carry: bool) -> StructType:
+    out = StructType.fromDDL(ddl)
+    return out.add(ROW, docs.schema) if carry else out

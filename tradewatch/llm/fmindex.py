@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewatch.llm.common import ROW, carried, schema_of
 from tradewatch.llm.suffixes import WaveletMatrix, suffix_array
 
 WINDOW = 13
@@ -140,11 +141,11 @@ def _union(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(first[new].tolist(), reach[np.append(new[1:] - 1, len(reach) - 1)].tolist(), strict=True))
 
 
-def _searched(windows, sample: int, shard_words: int):
+def _searched(windows, sample: int, shard_words: int, carry: bool):
     def run(batches):
         block = windows.value
         known = block.vocabulary.get
-        names, rows, texts, numbers, counts, n = [], [], [], [], [], 0
+        names, rows, texts, numbers, counts, n, whole = [], [], [], [], [], 0, []
 
         def judged():
             flat = np.concatenate(numbers)
@@ -164,11 +165,14 @@ def _searched(windows, sample: int, shard_words: int):
                 out["removal"].append([{"start": places[x][0], "stop": places[y - 1][1]} for x, y in spans])
                 found = set().union(*[block.items[w] for w in np.unique(which[a:b]).tolist()])
                 out["items"].append(sorted(found, key=lambda x: (x is None, x or 0)))
-            return pa.RecordBatch.from_pydict(out, _ARROW)
+            found = pa.RecordBatch.from_pydict(out, _ARROW)
+            return found.append_column(ROW, pa.concat_arrays(whole)) if carry else found
 
         for batch in batches:
             columns = [batch.column(x).to_pylist() for x in ("doc_id", "_row", "text")]
-            for name, row, text in zip(*columns, strict=True):
+            for k, (name, row, text) in enumerate(zip(*columns, strict=True)):
+                if carry:
+                    whole.append(batch.column(ROW).slice(k, 1))
                 words = words_of(text)
                 names.append(name)
                 rows.append(row)
@@ -180,7 +184,7 @@ def _searched(windows, sample: int, shard_words: int):
                 n += len(words)
                 if n >= shard_words:
                     yield judged()
-                    names, rows, texts, numbers, counts, n = [], [], [], [], [], 0
+                    names, rows, texts, numbers, counts, n, whole = [], [], [], [], [], 0, []
         if names:
             yield judged()
 
@@ -189,26 +193,29 @@ def _searched(windows, sample: int, shard_words: int):
 
 def find_benchmark(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, sample: int = SAMPLE,
-    block_bytes: int = BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES, carry: bool = False,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, spans (hit words, last exclusive), removal (the same in code points), items."""
+    """One row per document: doc_id, n_words, spans (hit words, last exclusive), removal (the same in code points), items
+    and, with ``carry``, the row itself as a struct."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text")
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    rows = docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+    rows = carried(docs, ["doc_id", "text"], carry).withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.select("doc_id", "text", "_row", *[ROW] * carry)
     found = []
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
         windows = spark.sparkContext.broadcast(Windows([tuple(x) for x in own], window))
-        found.append(rows.mapInArrow(_searched(windows, sample, shard_words), SCHEMA))
+        found.append(rows.mapInArrow(_searched(windows, sample, shard_words, carry), schema_of(SCHEMA, docs, carry)))
     if blocks == 1:
         return found[0].drop("_row")
     together = found[0]
     for other in found[1:]:
         together = together.unionAll(other)
-    flat = {x: F.flatten(F.collect_list(x)).alias(x) for x in ("spans", "removal", "items")}
-    return together.groupBy("_row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *flat.values()).drop("_row")
+    once = [F.first(x).alias(x) for x in ("doc_id", "n_words", *[ROW] * carry)]
+    flat = [F.flatten(F.collect_list(x)).alias(x) for x in ("spans", "removal", "items")]
+    return together.groupBy("_row").agg(*once, *flat).drop("_row")
 
 
 def judged(found: DataFrame, least: int = LEAST_SHARE) -> DataFrame:

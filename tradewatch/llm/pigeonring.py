@@ -27,7 +27,7 @@ from tradewatch.llm.common import stored
 from tradewatch.llm.components import components
 
 SHINGLE, MOST, PARTS, BUCKET, SEED = 3, 2, 9, 64, 42
-_ARROW = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+_ARROW = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("fp", pa.int64())])
 
 
 def simhash(text: str | None, shingle: int = SHINGLE) -> int:
@@ -49,14 +49,15 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and ``fp``, the 64 bits as a signed long, of every row."""
+    """doc_id, ``row`` (where it is read) and ``fp``, the 64 bits as a signed long, of every row."""
 
     def run(batches):
         for batch in batches:
             found = np.array([simhash(x, shingle) for x in batch.column("text").to_pylist()], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(found)], schema=_ARROW)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("row"), pa.array(found)], schema=_ARROW)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    return rows.mapInArrow(run, "doc_id long, row long, fp long")
 
 
 def ring_masks(start: int, parts: int, most: int) -> list[tuple[int, int]]:
@@ -107,13 +108,21 @@ def near_pairs(fps: DataFrame, most: int = MOST, parts: int = PARTS, bucket: int
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
-    """doc_id, fingerprint (16 lowercase hexadecimal digits) and component_id of every row."""
+    """doc_id, fingerprint (16 lowercase hexadecimal digits), component_id, row, and first: whether it is the one row of its
+    component that stays (the smallest id, of rows with one id the one that is read first)."""
     rows = stored(fingerprints(docs, shingle), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    nodes = rows.groupBy("fp").agg(F.min(place).alias("least"))
     roots = components(near_pairs(nodes, most))
     nodes = stored(nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "fp-roots")
-    least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = nodes.join(least, "root").select("fp", "component_id")
+    least = nodes.groupBy("root").agg(F.min("least").alias("least"))
+    known = nodes.drop("least").join(least, "root").select("fp", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("_first"))
     return rows.join(known, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "row", (F.col("row") == F.col("_first")).alias("first")
     )
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    stay = near_duplicates(docs, shingle, most).where("first").select(F.col("row").alias("_near_row"))
+    return docs.withColumn("_near_row", F.monotonically_increasing_id()).join(stay, "_near_row").drop("_near_row")

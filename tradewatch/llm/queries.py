@@ -65,7 +65,7 @@ def op7_substrings(spark, sf_dir):
 def op8_near_duplicates(spark, sf_dir):
     from tradewatch.llm.pigeonring import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 def op9_decontaminated(spark, sf_dir):
@@ -112,6 +112,12 @@ def op10_languages(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_shards": op2_shards,
@@ -123,6 +129,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_decontaminated": op9_decontaminated,
     "op10_languages": op10_languages,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {"op9_decontaminated": OP9_SQL}

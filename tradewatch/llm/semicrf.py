@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewatch.llm.common import ROW, carried, schema_of
+
 KINDS = ("email", "ip", "card", "phone")
 # fixed values: the base patterns
 PATTERNS = {
@@ -258,8 +260,8 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]
 _COUNTS = [f"n_{kind}" for kind in KINDS]
 
 
-def find_personal_data(docs: DataFrame, weights, with_text: bool = False) -> DataFrame:
-    """doc_id, the base spans of each kind (counts), base_sha256, spans, n_added and, if asked for, ``masked``."""
+def find_personal_data(docs: DataFrame, weights, with_text: bool = False, carry: bool = False) -> DataFrame:
+    """doc_id, the base spans of each kind (counts), base_sha256, spans, n_added and, if asked for, ``masked`` and the row."""
     names = ["doc_id", *_COUNTS, "base_sha256", "spans", "n_added", *["masked"] * with_text]
     types = [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()] + [pa.string()] * with_text
 
@@ -273,7 +275,8 @@ def find_personal_data(docs: DataFrame, weights, with_text: bool = False) -> Dat
                 row = (doc_id, *counts, digest, written(spans), len(spans) - len(base))
                 out.append(row + ((None if text is None else masked(text, spans),) if with_text else ()))
             columns = list(zip(*out, strict=True)) or [[] for _ in names]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names=names)
+            arrays = [pa.array(x, t) for x, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays + [batch.column(ROW)] * carry, names=names + [ROW] * carry)
 
     schema = "doc_id long, " + ", ".join(f"{x} long" for x in _COUNTS) + ", base_sha256 string, spans string, n_added long" + ", masked string" * with_text
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return carried(docs, ["doc_id", "text"], carry).mapInArrow(run, schema_of(schema, docs, carry))
