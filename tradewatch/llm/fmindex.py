@@ -52,14 +52,13 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class FmIndex:
-    """Counts and places of patterns in a sequence of symbols (1 and up; 0 ends the sequence)."""
+    """Counts and places of patterns in a sequence of symbols (1 to ``top``; 0 ends the sequence)."""
 
-    def __init__(self, symbols: np.ndarray, sample: int = SAMPLE):
+    def __init__(self, symbols: np.ndarray, top: int, sample: int = SAMPLE):
         text = np.concatenate([symbols, [0]]).astype(np.int64)
         self.n = len(text)
         places = suffix_array(text)
         bwt = text[places - 1]
-        top = int(text.max(initial=0))
         self.below = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
         self.bwt = bwt
         self.tree = WaveletMatrix(bwt, max(1, top.bit_length()))
@@ -125,7 +124,7 @@ class Windows:
         inner = np.arange(len(owner)) - (np.cumsum(lengths + 1) - lengths - 1)[owner]
         origin = begins[owner] + inner
         text = np.where(inner < lengths[owner], numbers[np.minimum(origin, len(numbers) - 1)], 1)
-        index = FmIndex(text, sample)
+        index = FmIndex(text, len(self.vocabulary) + 1, sample)
         low, high = index.intervals(self.patterns, self.lengths)
         counts = np.maximum(high - low, 0)
         which = np.repeat(np.arange(len(counts)), counts)

@@ -51,7 +51,8 @@ def _frequent(left: np.ndarray, right: np.ndarray, least: int):
     slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
     may = np.flatnonzero(np.bincount(slot, minlength=1 << _HASH_BITS)[slot] >= least)
     found, inverse, counts = np.unique(key[may], return_inverse=True, return_counts=True)
-    order = np.lexsort((found, -counts))
+    # pairs of one count in mixed order: in rising order, a run of them would give way to its first
+    order = np.lexsort((found * np.uint64(0xC2B2AE3D27D4EB4F), -counts))
     order = order[counts[order] >= least]
     rank = np.full(len(found), len(order), np.int64)
     rank[order] = np.arange(len(order))

@@ -49,7 +49,10 @@ class ChunkEncoder(dict):
     def _word(self, word: str) -> bytes:
         """The ids of one run of letters with or without a blank before it."""
         if self.lowers:
-            word = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
+            lower = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
+            if not lower.isalpha():  # a letter whose lower case has a mark of its own
+                return self._whole(word)
+            word = lower
         spelled = word if word.isascii() and word[0] != " " else "".join([self.letters[x] for x in word.encode()])
         return np.array([x.id for x in self.tokenizer.model.tokenize(spelled)], _IDS).tobytes()
 
