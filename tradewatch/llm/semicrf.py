@@ -276,7 +276,7 @@ def find_personal_data(docs: DataFrame, weights, with_text: bool = False, carry:
                 out.append(row + ((None if text is None else masked(text, spans),) if with_text else ()))
             columns = list(zip(*out, strict=True)) or [[] for _ in names]
             arrays = [pa.array(x, t) for x, t in zip(columns, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays + [batch.column(ROW)] * carry, names=names + [ROW] * carry)
+            yield pa.RecordBatch.from_arrays(arrays + [batch.column(x) for x in [ROW] * carry], names=names + [ROW] * carry)
 
     schema = "doc_id long, " + ", ".join(f"{x} long" for x in _COUNTS) + ", base_sha256 string, spans string, n_added long" + ", masked string" * with_text
     return carried(docs, ["doc_id", "text"], carry).mapInArrow(run, schema_of(schema, docs, carry))
