@@ -49,6 +49,14 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+_LOW = np.uint64(PIECE.bit_length())
+
+
+def anchor_place(context: np.ndarray, window: int, gram: int = GRAM) -> int:
+    """Where the anchor that all windows of ``context`` share begins."""
+    return int(np.argmin(gram_hashes(context[:window], gram) >> _LOW))
+
+
 def anchors(data: np.ndarray, window: int, gram: int = GRAM):
     """(first, last, hash): the windows from ``first`` to ``last`` share an anchor with that hash. Ends are inclusive."""
     firsts, lasts, hashes = [], [], []
@@ -58,9 +66,8 @@ def anchors(data: np.ndarray, window: int, gram: int = GRAM):
             break
         own = gram_hashes(part, gram)
         places = np.arange(len(own), dtype=np.uint64)
-        low = np.uint64(PIECE.bit_length())
-        best = _least((own >> low << low) | places, window - gram + 1)
-        place = (best & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+        best = _least((own >> _LOW << _LOW) | places, window - gram + 1)
+        place = (best & ((np.uint64(1) << _LOW) - np.uint64(1))).astype(np.int64)
         first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         firsts.append(first + at)
         lasts.append(np.append(first[1:], len(place)) - 1 + at)

@@ -11,8 +11,10 @@ expanded: the intervals of strings of 8 bytes are extended backwards, one byte a
 interval whose right end is new ends a run of suffixes that agree on no more bytes than its length so far; so common prefixes come out by
 rising value, and expansion stops at ``length``: places not reached by then are strings that repeat.
 
-An anchor with more than ``most_contexts`` different contexts (a passage that very many documents share) is taken apart: the 128-bit
-hashes of its strings are counted, which is exact and needs no group.
+An anchor with more than ``most_contexts`` different contexts (a passage that very many documents share) is divided again. Its
+strings fall into classes by how far the anchor stands from their start, ``CLASS`` distances to a class, and by the bytes that all
+strings of a class have in common. Classes are judged like anchors. One that is still too large, because the few bytes around
+its common ones differ that often, is not ordered: the 128-bit hashes of its strings are counted, which is exact and needs no group.
 
 Null texts are empty. Texts shorter than ``length`` keep all. Repeated rows are documents of their own and so repeat each
 other. An empty table gives no rows. Ids may be null or occur several times. Other columns are not read.
@@ -27,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.anchors import anchors
+from tradewatch.llm.anchors import anchor_place, anchors
 from tradewatch.llm.common import ranges, stored
 from tradewatch.llm.suffixes import suffix_array
 
 LENGTH = 200
-MOST_CONTEXTS = 512
+MOST_CONTEXTS = 1024
+CLASS = 8
 #: Bytes of contexts that are sorted together.
 BATCH_BYTES = 1 << 18
 #: Intervals with more suffixes than this ask for the places of each byte instead of listing their suffixes.
@@ -180,6 +183,33 @@ def _expanded(length: int, batch_bytes: int):
     return run
 
 
+def _classes(length: int):
+    """The parts of a context that hold the strings of one class each."""
+    schema = pa.schema([(x, pa.int64()) for x in ("h", "c")] + [("at", pa.int32())] + [(x, pa.int64()) for x in ("h2", "c2", "copies")] + [("part", pa.binary())])
+
+    def run(batches):
+        from xxhash import xxh64_intdigest
+
+        def signed(x):
+            return x - (1 << 64) if x >> 63 else x
+
+        for batch in batches:
+            out = {x: [] for x in schema.names}
+            for h, c, twice, context in zip(*[batch.column(x).to_pylist() for x in ("h", "c", "twice", "context")], strict=True):
+                n, place = len(context) - length + 1, anchor_place(np.frombuffer(context, np.uint8), length)
+                for number in range((place - n + 1) // CLASS, place // CLASS + 1):
+                    near, far = number * CLASS, (number + 1) * CLASS - 1
+                    first, last = max(0, place - far), min(n - 1, place - near)
+                    common = context[place - near : place - far + length]
+                    part = context[first : last + length]
+                    key = xxh64_intdigest(f"{h} {number} ".encode() + common, 11)
+                    for name, value in zip(out, (h, c, first, signed(key), signed(xxh64_intdigest(part, 7)), 1 + twice, part), strict=True):
+                        out[name].append(value)
+            yield pa.RecordBatch.from_pydict(out, schema)
+
+    return run
+
+
 def _strings(length: int):
     """The 128-bit hash of every string of a context."""
     schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("h", pa.int64()), ("c", pa.int64()), ("at", pa.int32()), ("copies", pa.int64())])
@@ -220,6 +250,14 @@ def _removed(length: int, with_kept: bool):
     return run
 
 
+def _judged(contexts: DataFrame, length: int, batch_bytes: int) -> DataFrame:
+    return contexts.repartition("h").sortWithinPartitions("h", "c").select("h", "c", "twice", "context").mapInArrow(_expanded(length, batch_bytes), MARKS)
+
+
+def _moved(by: str):
+    return [F.transform(x, lambda k: k + F.col(by)).alias(x) for x in ("begins", "ends")]
+
+
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, most_contexts: int = MOST_CONTEXTS, batch_bytes: int = BATCH_BYTES, with_kept: bool = True
 ) -> DataFrame:
@@ -228,7 +266,8 @@ def remove_repeats(
     found = rows.select("_row", "text").mapInArrow(_anchored(length), "_row long, h array<long>, c array<long>, first array<int>, n array<int>")
     found = stored(found, "anchors")
     flat = found.select("_row", F.explode(F.arrays_zip("h", "c", "first", "n")).alias("x")).select("_row", "x.*")
-    often = flat.groupBy("h").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1").select("h")
+    # a table of its own, so that the join has two exchanges and can split an anchor that very many places share
+    often = stored(flat.groupBy("h").agg(F.count(F.lit(1)).alias("seen")).where("seen > 1").select("h"), "anchors-often")
     again = stored(flat.join(often, "h"), "anchors-again")
     # the sum with zero makes a key of its own, so that copies are counted before they are shuffled
     contexts = (
@@ -237,24 +276,34 @@ def remove_repeats(
     )
     contexts = stored(contexts, "contexts")
     shared = contexts.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > most_contexts).select("h", F.lit(True).alias("shared"))
+    shared = stored(shared, "anchors-shared")
     wanted = contexts.join(shared, "h", "left").select(
         F.col("at._row").alias("_row"),
         F.struct("h", "c", "twice", F.coalesce("shared", F.lit(False)).alias("shared"), "at.first", "at.n").alias("x"),
     )
     texts = rows.join(wanted.groupBy("_row").agg(F.collect_list("x").alias("wanted")), "_row").select("text", "wanted")
     cut = stored(texts.mapInArrow(_cut(length), "h long, c long, twice boolean, shared boolean, context binary"), "context-bytes")
-    marks = cut.where("not shared").repartition("h").sortWithinPartitions("h", "c").mapInArrow(_expanded(length, batch_bytes), MARKS)
-    strings = cut.where("shared").mapInArrow(_strings(length), "u long, v long, h long, c long, at int, copies long")
+    marks = _judged(cut.where("not shared"), length, batch_bytes)
+    classes = cut.where("shared").mapInArrow(_classes(length), "h long, c long, at int, h2 long, c2 long, copies long, part binary")
+    classes = stored(classes, "context-classes")
+    parts = classes.groupBy("h2", "c2").agg((F.sum("copies") > 1).alias("twice"), F.first("part").alias("context"))
+    parts = stored(parts.select(F.col("h2").alias("h"), F.col("c2").alias("c"), "twice", "context"), "class-parts")
+    sizes = parts.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.max("twice").alias("any")).where("k > 1 or any").select("h", "k")
+    parts = parts.join(stored(sizes, "class-sizes"), "h")
+    within = _judged(parts.where(F.col("k") <= most_contexts), length, batch_bytes)
+    strings = parts.where(F.col("k") > most_contexts).mapInArrow(_strings(length), "u long, v long, h long, c long, at int, copies long")
     strings = stored(strings, "shared-strings")
-    twice = strings.groupBy("u", "v").agg(F.sum("copies").alias("seen")).where("seen > 1").select("u", "v")
-    apart = strings.join(twice, ["u", "v"]).groupBy("h", "c").agg(F.collect_list("at").alias("begins"))
-    apart = apart.select("h", "c", "begins", F.transform("begins", lambda x: x + 1).alias("ends"))
-    marks = stored(marks.unionAll(apart), "repeat-marks")
+    often = stored(strings.groupBy("u", "v").agg(F.sum("copies").alias("seen")).where("seen > 1").select("u", "v"), "strings-again")
+    counted = strings.join(often, ["u", "v"]).groupBy("h", "c").agg(F.collect_list("at").alias("begins"))
+    counted = counted.select("h", "c", "begins", F.transform("begins", lambda x: x + 1).alias("ends"))
+    within = stored(within.unionAll(counted), "class-marks").select(F.col("h").alias("h2"), F.col("c").alias("c2"), "begins", "ends")
+    moved = classes.select("h", "c", "at", "h2", "c2").join(within, ["h2", "c2"])
+    marks = stored(marks.unionAll(moved.select("h", "c", *_moved("at"))), "repeat-marks")
     spans = (
         again.join(marks, ["h", "c"])
-        .select("_row", F.transform("begins", lambda x: x + F.col("first")).alias("b"), F.transform("ends", lambda x: x + F.col("first")).alias("e"))
+        .select("_row", *_moved("first"))
         .groupBy("_row")
-        .agg(F.flatten(F.collect_list("b")).alias("begins"), F.flatten(F.collect_list("e")).alias("ends"))
+        .agg(F.flatten(F.collect_list("begins")).alias("begins"), F.flatten(F.collect_list("ends")).alias("ends"))
     )
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
     return rows.join(spans, "_row", "left").select("doc_id", "text", "begins", "ends").mapInArrow(_removed(length, with_kept), schema)
