@@ -78,6 +78,7 @@ def test_benchmark_against_brute_force(spark, block_bytes):
     texts = [" ".join(random.choices(words, k=random.randrange(0, 60))) for _ in range(30)] + ODD_TEXTS
     items = [(k, " ".join(random.choices(words, k=random.choice([0, 2, 3, 5, 14, 20])))) for k in range(8)]
     items += [(8, texts[3]), (8, texts[3]), (9, texts[4].upper()), (10, None), (11, ODD_TEXTS[0]), (12, "QUICK, brown")]
+    texts[12] = texts[3].upper() + " A B " + texts[11].upper()
     docs = [(k % 35, x) for k, x in enumerate(texts)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = judged(find_benchmark(frame(spark, docs), bench, shard_words=100, sample=4, block_bytes=block_bytes)).collect()

@@ -34,7 +34,8 @@ LEAST_SHARE = 20
 SHARD_WORDS = 1 << 21
 SAMPLE = 8
 BLOCK_BYTES = 16 << 20
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word of the text as it is written, capitals included.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _TABLE = bytes(
     x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122 or x >= 128 else 32 for x in range(256)
 )
