@@ -9,8 +9,10 @@ from tradewatch.sources.tables import append_debates
 NOW = datetime(2024, 6, 1, 12, tzinfo=timezone.utc)
 
 
-def land(root, path, body):
-    file = root / "landed" / path
+def land(root, path, body, at=None):
+    name, _, rest = path.partition("/")
+    run = f"{name}/run={int((at or NOW - timedelta(days=1)).timestamp() * 1_000_000)}/{rest}" if rest else path
+    file = root / "landed" / run
     file.parent.mkdir(parents=True, exist_ok=True)
     file.write_text(body if isinstance(body, str) else json.dumps(body))
 
@@ -53,9 +55,11 @@ def test_one_day(spark, tmp_path):
     assert sorted((r["source"], r["market_id"]) for r in w.subscriptions().collect()) == [
         ("venue_a", "MANUAL"), ("venue_a", "S1-M1"), ("venue_b", "77")]
 
+    second = NOW - timedelta(hours=2)
+    land(tmp_path, "series/category=Politics/page=1/p.json", {"series": [{"ticker": "S1", "title": "Series one", "volume_fp": "5"}]}, second)
     land(tmp_path, "markets/series_ticker=S1/page=1/p.json", {"markets": [
         {"ticker": "S1-M1", "title": "renamed", "status": "active", "volume_fp": 30},
-        {"ticker": "S1-M2", "title": "too late", "status": "settled"}]})
+        {"ticker": "S1-M2", "title": "too late", "status": "settled"}]}, second)
     for _attempt in range(2):
         jobs.refresh_a(w, NOW - timedelta(hours=1))
     assert {r["ticker"]: r["title"] for r in w.markets_a().collect()} == {"S1-M1": "renamed", "S1-M2": "S1 second"}
@@ -64,21 +68,30 @@ def test_one_day(spark, tmp_path):
     land(tmp_path, "frames_a/1.txt", "\n".join([*past, trade_a("S1-M1", "big", 5, 9000), "garbage"]))
     past = [trade_b("y77", i, 60 + i, 100 + i % 3) for i in range(40)]
     land(tmp_path, "frames_b/1.txt", "\n".join([*past, trade_b("n77", "big", 4, 9000.5), "PONG"]))
-    jobs.ingest(w, NOW)
+    for _attempt in range(2):
+        jobs.ingest(w, NOW)
+    assert w.trades().count() == 82
+    jobs.ingest(w, NOW + timedelta(minutes=1))
     assert w.trades().count() == 82
 
-    jobs.detect(w, NOW)
+    for _attempt in range(2):
+        jobs.detect(w, NOW)
     jobs.detect(w, NOW + timedelta(minutes=15))
     alerts = {r["market_id"]: r for r in w.alerts().collect()}
     assert w.alerts().count() == 2
     assert (alerts["S1-M1"]["title"], alerts["S1-M1"]["series_title"], alerts["S1-M1"]["volume"]) == ("renamed", "Series one", 3000.0)
     assert (alerts["77"]["title"], alerts["77"]["series_title"], alerts["77"]["side"]) == ("Will It Rain?", "Rain", "no")
 
-    jobs.notify(w, NOW)
+    for _attempt in range(2):
+        jobs.notify(w, NOW + timedelta(minutes=20))
     queue = spark.read.parquet(w.path("outgoing")).collect()
     land(tmp_path, "deliveries/1.json", "\n".join(
-        json.dumps({"alert_id": r["alert_id"], "thread_id": f"t-{r['market_id']}", "ok": True}) for r in queue))
-    jobs.deliver(w, NOW + timedelta(minutes=1))
+        json.dumps({"alert_id": r["alert_id"], "thread_id": f"t-{r['market_id']}", "ok": True}) for r in queue), NOW + timedelta(minutes=21))
+    assert len(queue) == 2
+    for _attempt in range(2):
+        jobs.deliver(w, NOW + timedelta(minutes=22))
+    jobs.deliver(w, NOW + timedelta(minutes=27))
+    assert spark.read.parquet(w.path("requests")).count() == 2
     assert {r["discord_thread_id"] for r in w.alerts().collect()} == {"t-77", "t-S1-M1"}
     assert w.alerts().filter("notified_at IS NULL").count() == 0
 
@@ -88,7 +101,26 @@ def test_one_day(spark, tmp_path):
         " started_at timestamp, finished_at timestamp, outcome string, verdict string"), schemas.DEBATES)
     append_debates(done, w.path("debates"))
     for _attempt in range(2):
-        jobs.resolve(w, NOW + timedelta(minutes=2))
+        jobs.resolve(w, NOW + timedelta(minutes=30))
+    jobs.resolve(w, NOW + timedelta(minutes=40))
     cached = w.debates().filter("outcome = 'cached'").collect()
     assert [(r["market_id"], r["source_debate_id"]) for r in cached] == [("S1-M1", "d1")]
     assert [r["market_id"] for r in spark.read.parquet(w.path("fresh_requests")).collect()] == ["77"]
+
+    # a command asks again, and a finished debate is booked
+    asked = {"command_id": "c1", "thread_id": "t-77", "question": "Will it snow?"}
+    land(tmp_path, "commands/1.json", json.dumps(asked), NOW + timedelta(minutes=41))
+    for _attempt in range(2):
+        jobs.command(w, NOW + timedelta(minutes=42))
+    jobs.resolve(w, NOW + timedelta(minutes=43))
+    fresh = [r["title"] for r in spark.read.parquet(w.path("fresh_requests")).collect()]
+    assert sorted(fresh) == ["Will It Rain?", "Will it snow?"]
+    line = {"debate_id": "d9", "seq": 1, "turn": 1, "provider": "grok", "moderator": False, "text": "yes", "cost_usd": 0.25}
+    land(tmp_path, "transcripts/1.json", json.dumps(line), NOW + timedelta(minutes=44))
+    run = {"debate_id": "d9", "alert_id": "a9", "source": "venue_b", "market_id": "77", "title": "Will It Rain?",
+           "started_at": "2024-06-01T12:40:00Z", "finished_at": "2024-06-01T12:50:00Z"}
+    land(tmp_path, "debate_runs/1.json", json.dumps(run), NOW + timedelta(minutes=44))
+    for _attempt in range(2):
+        jobs.account(w, NOW + timedelta(minutes=45))
+    booked = w.debates().filter("debate_id = 'd9'").collect()
+    assert [(r["outcome"], r["total_cost_usd"]) for r in booked] == [("open", 0.25)]

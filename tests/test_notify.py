@@ -5,16 +5,17 @@ from pyspark.sql import functions as F
 
 from tradewatch import schemas
 from tradewatch.plans.notify import (
-    apply_deliveries,
     debate_requests,
     mark_notified,
     notifications,
     pending_queue,
     recent_threads,
+    sent_state,
     settle_deliveries,
     thread_buckets,
+    with_state,
 )
-from tradewatch.sources.tables import append_alerts, outbox
+from tradewatch.sources.tables import STATE, append_alerts, append_state, outbox, read_table
 
 NOW = datetime(2024, 6, 1, 12)
 
@@ -54,7 +55,7 @@ def test_queue_order_and_groups(spark):
     assert [(r["alert_id"], r["group_pos"], r["is_starter"]) for r in rows] == [
         ("a3", 1, True), ("a4", 2, True), ("a5", 2, False), ("a2", 4, True), ("a1", 4, False), ("a6", 6, True)]
     assert rows[0]["thread_key"] == "m3"
-    assert [r["alert_id"] for r in pending_queue(alerts(spark, ROWS), 2).orderBy("queue_pos").collect()] == ["a3", "a4"]
+    assert [r["page"] for r in pending_queue(alerts(spark, ROWS), 2).orderBy("queue_pos").collect()] == [1, 1, 2, 2, 3, 3]
 
 
 def test_recent_thread_is_latest_within_hour(spark):
@@ -106,14 +107,30 @@ def test_requests_once_per_market(spark, settled):
     assert sent["a6"] == '{"alert_id":"a6","source":"src","series_ticker":"S6","market_id":"m6","title":"z","thread_id":"t-new"}'
 
 
-def test_stored_alerts_are_updated_in_place(spark, tmp_path):
-    path = str(tmp_path / "alerts")
-    append_alerts(alerts(spark, [*ROWS, ("old", None, None, "w", "m", 60 * 24 * 3, 60, None)]), path)
-    stored = spark.read.parquet(path)
+def test_state_is_kept_apart_from_alerts(spark, tmp_path):
+    path, state = str(tmp_path / "alerts"), str(tmp_path / "state")
+    append_alerts(alerts(spark, ROWS), path)
+    stored = read_table(spark, path, schemas.ALERTS)
     queue = notifications(stored, NOW)
-    reports = queue.select("alert_id", F.lit("t").alias("thread_id"), F.lit(True).alias("ok"))
-    settled = settle_deliveries(queue, spark.createDataFrame(reports.collect(), reports.schema))
-    apply_deliveries(stored, path, settled, NOW)
-    after = spark.read.parquet(path)
-    assert after.count() == len(ROWS) + 1
-    assert after.filter("notified_at IS NULL").count() == 0
+    reports = [(r["alert_id"], "t", True) for r in queue.collect()]
+    # repeated, contradictory and unknown reports
+    reports += [(reports[0][0], "t", True), (reports[0][0], None, False), ("nobody", "t", True)]
+    settled = settle_deliveries(queue, spark.createDataFrame(reports, "alert_id string, thread_id string, ok boolean"))
+    # detection adds an alert between reading and writing
+    append_alerts(alerts(spark, [("late", None, None, "w", "m", 1, None, None)]), path)
+    for _attempt in range(2):
+        append_state(sent_state(settled, NOW), state, "c1")
+    later = sent_state(settled.limit(1), NOW + timedelta(hours=1))
+    append_state(later, state, "c2")
+    after = with_state(read_table(spark, path, schemas.ALERTS), read_table(spark, state, STATE)).collect()
+    assert len(after) == len(ROWS) + 1
+    assert [r["alert_id"] for r in after if r["notified_at"] is None] == ["late"]
+    assert sum(r["notified_at"] == NOW + timedelta(hours=1) for r in after) == 1
+
+
+def test_more_alerts_than_a_page_all_wait_their_turn(spark):
+    many = [(f"x{k:03}", None, None, "src", f"title {k % 7}", f"m{k}", k, None, None) for k in range(130)]
+    many = [(i, s, st, t, m, ago, told, th) for i, s, st, _, t, m, ago, told, th in many]
+    rows = pending_queue(alerts(spark, many), 50).collect()
+    assert sorted(r["queue_pos"] for r in rows) == list(range(1, 131))
+    assert {p: sum(r["page"] == p for r in rows) for p in (1, 2, 3)} == {1: 50, 2: 50, 3: 30}

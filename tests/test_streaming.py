@@ -1,12 +1,11 @@
 import json
-from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tradewatch import schemas
-from tradewatch.plans.detect import DetectParams, detect_anomalies
 from tradewatch.queries import views
+from tradewatch.queries.ingest import STREAM_PARAMS, odd_clock_trades, stream_detect
 from tradewatch.sources.frames import parse_frames_a, parse_frames_b
 from tradewatch.sources.tables import append_trades
 from tradewatch.streaming import jobs
@@ -39,14 +38,14 @@ def test_venue_a_stream_equals_batch_and_resumes(spark, tmp_path):
     assert keys(drain()) == keys(parse_frames_a(lines, stamp()))
 
 
-def test_repeats_are_dropped_within_the_watermark(spark, tmp_path):
+def test_repeats_are_dropped(spark, tmp_path):
     folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     base = {"market_ticker": "m", "yes_price_dollars": "0.5", "count_fp": "1"}
     rows = [{"type": "trade", "msg": {**base, "ts_ms": 1704067200000 + i, "trade_id": f"t{i % 3}"}} for i in range(9)]
     frames = spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")
     frames.repartition(2).write.text(folder)
     jobs.ingest_a(
-        jobs.frame_stream(spark, folder), out, state, stamp(), dedup_within="10 minutes", trigger=DRAIN
+        jobs.frame_stream(spark, folder), out, state, stamp(), dedup=True, trigger=DRAIN
     ).awaitTermination()
     assert sorted(r["trade_id"] for r in spark.read.schema(schemas.TRADES).parquet(out).collect()) == ["t0", "t1", "t2"]
 
@@ -105,58 +104,50 @@ def test_a_batch_that_failed_is_done_again(spark, tmp_path):
     assert keys(spark.read.schema(schemas.TRADES).parquet(out)) == keys(parse_frames_b(frames, tokens, stamp()))
 
 
-@pytest.fixture
-def stored_trades(spark, tmp_path):
-    path = str(tmp_path / "trades")
-    trades = views.trades(spark, SF)
-    cut = views.latest(trades, "ts") - timedelta(days=3)
-    append_trades(trades.filter(F.col("ts") <= F.lit(cut)), path)
-    return path, trades.filter(F.col("ts") > F.lit(cut))
-
-
-PARAMS = DetectParams(baseline=timedelta(days=30), min_notional=20.0, z_limit=1.5)
-
+def test_both_venues_share_one_table(spark, tmp_path):
+    a, b, out = (str(tmp_path / n) for n in ("a", "b", "out"))
+    frames_a, frames_b, tokens = views.frames_a(spark, SF), views.frames_b(spark, SF), views.tokens(spark, SF)
+    frames_a.repartition(3).write.text(a)
+    frames_b.repartition(2).write.text(b)
+    for attempt in ("s", "again"):
+        for name, frames in (("a", a), ("b", b)):
+            stream, state = jobs.frame_stream(spark, frames, 1), str(tmp_path / f"{attempt}{name}")
+            if name == "a":
+                query = jobs.ingest_a(stream, out, state, stamp(), dedup=True, trigger=DRAIN)
+            else:
+                query = jobs.ingest_b(stream, lambda: tokens, out, state, stamp(), dedup=True, trigger=DRAIN)
+            query.awaitTermination()
+        want = keys(parse_frames_a(frames_a, stamp())) + keys(parse_frames_b(frames_b, tokens, stamp()))
+        assert keys(jobs.trades_table(spark, out)) == sorted(want)
+
+
+def test_detection_does_not_depend_on_batches_or_clocks(spark):
+    def found(files):
+        return sorted(tuple(r) for r in stream_detect(spark, SF, files).collect())
+
+    whole = found(None)
+    assert whole and found(1) == whole
+
+
+def test_second_attempt_of_a_batch_adds_nothing(spark, tmp_path):
+    path, alerts = str(tmp_path / "trades"), str(tmp_path / "alerts")
+    append_trades(odd_clock_trades(spark, SF), path)
+
+    def run(state):
+        jobs.detect(
+            jobs.trade_stream(spark, path),
+            lambda: jobs.trades_table(spark, path),
+            lambda: (views.markets_a(spark, SF), views.markets_b(spark, SF), views.series(spark, SF)),
+            alerts,
+            str(tmp_path / state),
+            STREAM_PARAMS,
+            trigger=DRAIN,
+        ).awaitTermination()
+        return sorted(r["trade_id"] for r in jobs.alerts_table(spark, alerts).collect())
 
-def run_detect(spark, path, alerts, state):
-    schema = jobs.trade_stream(spark, path).schema
-    jobs.detect(
-        jobs.trade_stream(spark, path),
-        lambda: spark.read.schema(schema).parquet(path),
-        lambda: (views.markets_a(spark, SF), views.markets_b(spark, SF), views.series(spark, SF)),
-        alerts,
-        state,
-        PARAMS,
-        trigger=DRAIN,
-    ).awaitTermination()
-    return sorted(r["trade_id"] for r in jobs.alerts_table(spark, alerts).collect())
-
-
-def test_detection_stream(spark, tmp_path, stored_trades):
-    path, later = stored_trades
-    alerts, state = str(tmp_path / "alerts"), str(tmp_path / "state")
-    before = run_detect(spark, path, alerts, state)
-    assert before and len(before) == len(set(before))
-    assert run_detect(spark, path, alerts, state) == before
-    append_trades(later, path)
-    after = run_detect(spark, path, alerts, state)
-    assert set(before) < set(after) and len(after) == len(set(after))
-    # The second batch equals a batch run over the same span, less what was known.
-    trades = views.trades(spark, SF)
-    as_of = views.latest(trades, "ts")
-    span = as_of - views.latest(later.orderBy("ts").limit(1), "ts") + timedelta(microseconds=1)
-    dims = (views.markets_a(spark, SF), views.markets_b(spark, SF), views.series(spark, SF))
-    batch = detect_anomalies(
-        trades, *dims, spark.createDataFrame([], schemas.ALERTS), as_of, DetectParams(**{**vars(PARAMS), "lookback": span})
-    )
-    assert sorted(set(after) - set(before)) == sorted(r["trade_id"] for r in batch.collect())
-
-
-def test_second_attempt_of_a_batch_adds_nothing(spark, tmp_path, stored_trades):
-    path, _ = stored_trades
-    alerts = str(tmp_path / "alerts")
-    first = run_detect(spark, path, alerts, str(tmp_path / "state"))
+    first = run("state")
     # A lost checkpoint makes batch 0 run again over the same trades.
-    assert run_detect(spark, path, alerts, str(tmp_path / "other")) == first
+    assert first and run("other") == first
 
 
 def test_windows_in_a_stream_equal_batch(spark, tmp_path):

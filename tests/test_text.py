@@ -43,8 +43,11 @@ def test_entry_messages(spark):
     assert one(spark, agent, p="grok", t=2, s=3, c=0.12345, x="  hi\n") == "**Grok — Turn 2**  ·  searches: 3  ·  cost: $0.1235\nhi"
     assert one(spark, agent, p="grok", t=2, s=3, c=0.1, x=" \n ") is None
     long = one(spark, agent, p="other", t=1, s=0, c=0.0, x="y" * 3000)
-    assert long.startswith("**Other — Turn 1**") and long.endswith("\n_…[truncated]_")
-    assert len(long) == 1932 + len("\n_…[truncated]_")
+    assert long.startswith("**Other — Turn 1**") and long.endswith("y" * 3000)
+    parts = one(spark, text.message_parts(F.col("x"), 1000), x="ab" * 1250)
+    assert [p["part_no"] for p in parts] == [1, 2, 3] and "".join(p["text"] for p in parts) == "ab" * 1250
+    assert max(len(p["text"]) for p in parts) == 1000
+    assert [tuple(p) for p in one(spark, text.message_parts(F.col("x")), x="")] == [(1, "")]
     moderator = text.moderator_message(F.col("t"), F.col("d"), F.col("c"), F.col("r"))
     assert one(spark, moderator, t=1, d="continue", c=0.0, r="") == "**Moderator — Turn 1**  ·  decision: `continue`  ·  cost: $0.0000"
 
@@ -53,9 +56,11 @@ def test_verdict(spark):
     message = text.verdict_message(F.col("v"), F.col("o"), F.col("c"))
     full = '{"probability": 0.42, "summary": "S", "key_evidence": ["1","2","3","4","5","6"], "dissenters": [{"agent": "A", "view": "V"}, {}]}'
     assert one(spark, message, v=full, o="consensus", c=None) == (
-        "**Debate verdict — consensus**\n**Probability YES: 42%**\nS\n\n_Key evidence:_\n- 1\n- 2\n- 3\n- 4\n- 5"
+        "**Debate verdict — consensus**\n**Probability YES: 42%**\nS\n\n_Key evidence:_\n- 1\n- 2\n- 3\n- 4\n- 5\n- 6"
         "\n\n_Dissenters:_\n- **A**: V\n- **?**: "
     )
+    assert one(spark, message, v='{"probability": "0.4"}', o=None, c=None) == "**Debate verdict**\n**Probability YES: 40%**"
+    assert one(spark, message, v='{"probability": "likely"}', o=None, c=None) == "**Debate verdict**\n**Probability YES: likely**"
     assert one(spark, message, v=full, o="consensus", c="10:20 UTC").startswith("**Debate verdict (cached from 10:20 UTC)**\n")
     assert one(spark, message, v=None, o="error", c=None) == "**Debate verdict — error**\n_No verdict produced._"
 
@@ -79,7 +84,7 @@ def test_thread_titles(spark):
     title = text.thread_title(F.col("a"), F.col("b"), F.col("c"), F.col("d"))
     assert one(spark, title, a="", b="T", c="s", d="m") == "T"
     assert one(spark, title, a=None, b="", c="s", d="m") == "s: m"
-    assert len(one(spark, title, a="x" * 150, b="T", c="s", d="m")) == 100
+    assert len(one(spark, title, a="x" * 150, b="T", c="s", d="m")) == 150
 
 
 def test_cached_label_without_time(spark):

@@ -75,8 +75,11 @@ def test_subscriptions_of_other_sources_stay(spark, tmp_path):
     from tradewatch.sources.tables import read_table, replace_subscriptions
 
     path = str(tmp_path / "subs")
-    first = spark.createDataFrame([("a", "m1", "y", "n"), ("b", "m2", "y", "n")], schemas.SUBSCRIPTIONS)
-    replace_subscriptions(first, path)
-    replace_subscriptions(spark.createDataFrame([("a", "m9", "y", "n")], schemas.SUBSCRIPTIONS), path)
+    first = spark.createDataFrame([("a", "m1", "y", "n", 0), ("b", "m2", "y", "n", 1)], schemas.SUBSCRIPTIONS)
+    for source in "ab":
+        replace_subscriptions(first, path, source)
+    replace_subscriptions(spark.createDataFrame([("a", "m9", "y", "n", 0)], schemas.SUBSCRIPTIONS), path, "a")
     stored = read_table(spark, path, schemas.SUBSCRIPTIONS)
     assert sorted((r["source"], r["market_id"]) for r in stored.collect()) == [("a", "m9"), ("b", "m2")]
+    replace_subscriptions(first.limit(0), path, "a")
+    assert [r["source"] for r in read_table(spark, path, schemas.SUBSCRIPTIONS).collect()] == ["b"]

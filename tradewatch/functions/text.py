@@ -64,10 +64,8 @@ def thread_key(series_ticker: Column, market_id: Column) -> Column:
 
 
 def thread_title(series_title: Column, title: Column, source: Column, market_id: Column) -> Column:
-    full = F.coalesce(
-        blank_to_null(series_title), blank_to_null(title), F.concat(source, F.lit(": "), market_id)
-    )
-    return F.left(full, F.lit(fixed.THREAD_TITLE_CAP))
+    """The whole title; a receiver with a limit takes the first of its `message_parts`."""
+    return F.coalesce(blank_to_null(series_title), blank_to_null(title), F.concat(source, F.lit(": "), market_id))
 
 
 def alert_message(
@@ -105,11 +103,13 @@ def provider_label(provider: Column) -> Column:
     )
 
 
-def _capped(body: Column) -> Column:
-    return F.when(
-        F.length(body) > fixed.MESSAGE_CAP,
-        F.concat(F.left(body, F.lit(fixed.MESSAGE_KEEP)), F.lit(fixed.TRUNCATED)),
-    ).otherwise(body)
+def message_parts(body: Column, size: int = fixed.MESSAGE_PART) -> Column:
+    """A text as parts (part_no from 1, text) that each fit the receiver; together they are the whole text."""
+    last = F.greatest(F.lit(1), F.ceil(F.length(body) / F.lit(size)).cast("int"))
+    return F.transform(
+        F.sequence(F.lit(1), last),
+        lambda k: F.struct(k.alias("part_no"), F.substring(body, (k - 1) * size + 1, F.lit(size)).alias("text")),
+    )
 
 
 def _stripped(text: Column) -> Column:
@@ -126,7 +126,7 @@ def agent_message(provider: Column, turn: Column, searches: Column, cost: Column
         F.coalesce(searches, F.lit(0)).cast("string"),
         F.coalesce(cost, F.lit(0.0)),
     )
-    return F.when(body.isNotNull(), _capped(F.concat(header, F.lit("\n"), body)))
+    return F.when(body.isNotNull(), F.concat(header, F.lit("\n"), body))
 
 
 def moderator_message(turn: Column, decision: Column, cost: Column, rationale: Column) -> Column:
@@ -136,7 +136,7 @@ def moderator_message(turn: Column, decision: Column, cost: Column, rationale: C
         F.coalesce(blank_to_null(decision), F.lit("?")),
         F.coalesce(cost, F.lit(0.0)),
     )
-    return _capped(F.concat_ws("\n", header, blank_to_null(_stripped(rationale))))
+    return F.concat_ws("\n", header, blank_to_null(_stripped(rationale)))
 
 
 def verdict_message(verdict_json: Column, outcome: Column, cached_from: Column) -> Column:
@@ -151,18 +151,18 @@ def verdict_message(verdict_json: Column, outcome: Column, cached_from: Column)
         .when(outcome.isNotNull(), F.coalesce(F.try_element_at(by_outcome, outcome), F.lit(fixed.VERDICT_HEADER)))
         .otherwise(F.lit(fixed.VERDICT_HEADER))
     )
-    probability = F.when(
-        verdict["probability"].isNotNull(),
-        F.format_string("**Probability YES: %.0f%%**", verdict["probability"] * 100),
-    )
+    said = verdict["probability"]
+    number = said.try_cast("double")
+    probability = (
+        F.when(number.isNotNull(), F.format_string("**Probability YES: %.0f%%**", number * 100))
+        .when(said.isNotNull(), F.format_string("**Probability YES: %s**", said))
+    )
     evidence = F.when(
         F.size(verdict["key_evidence"]) > 0,
         F.concat(
             F.lit("\n_Key evidence:_\n"),
             F.array_join(
-                F.transform(
-                    F.slice(verdict["key_evidence"], 1, fixed.EVIDENCE_CAP), lambda e: F.concat(F.lit("- "), e)
-                ),
+                F.transform(verdict["key_evidence"], lambda e: F.concat(F.lit("- "), e)),
                 "\n",
             ),
         ),

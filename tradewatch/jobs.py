@@ -2,31 +2,45 @@
 
     spark-submit tradewatch/jobs.py detect --root s3://bucket/warehouse --as-of 2024-06-01T12:00:00
 
-The folder holds the landed inputs (`landed/...`) and every table the jobs keep.
+The folder holds the landed inputs (`landed/<name>/run=<microseconds>/...`) and every table the jobs keep. A job takes what
+landed since it last finished. A job run again for the same moment replaces what it wrote for it.
 """
 
 from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewatch import schemas
-from tradewatch.functions.coerce import instant
+from tradewatch.functions.coerce import instant, micros_of
+from tradewatch.plans.accounting import debate_accounts, debate_rows
 from tradewatch.plans.catalog import refresh_catalog_a, refresh_catalog_b
-from tradewatch.plans.detect import DetectParams, detect_anomalies
+from tradewatch.plans.detect import DetectParams, alerts_since, detect_anomalies
 from tradewatch.plans.ingest import ingest_trades
-from tradewatch.plans.notify import apply_deliveries, debate_requests, notifications, settle_deliveries
-from tradewatch.plans.requests import cached_rows, fresh_runs, reuse_lookup, valid_requests
+from tradewatch.plans.notify import debate_requests, notifications, sent_state, settle_deliveries, with_state
+from tradewatch.plans.requests import (
+    cached_rows,
+    command_requests,
+    fresh_runs,
+    recent_debates,
+    reuse_lookup,
+    valid_requests,
+)
 from tradewatch.session import prepare
 from tradewatch.sources.config import read_intent
 from tradewatch.sources.pages import read_pages
 from tradewatch.sources.tables import (
+    BATCH,
+    STATE,
     append_alerts,
     append_debates,
+    append_state,
     append_trades,
     outbox,
     read_if_there,
@@ -38,6 +52,12 @@ from tradewatch.sources.tables import (
 )
 
 _DELIVERIES = "alert_id string, thread_id string, ok boolean"
+_COMMANDS = "command_id string, thread_id string, question string"
+_RUNS = (
+    "debate_id string, alert_id string, source string, series_ticker string, market_id string, title string,"
+    " started_at timestamp, finished_at timestamp, thread_id string"
+)
+_FINISHED = T.StructType().add("number", T.LongType())
 
 
 @dataclass(frozen=True)
@@ -51,13 +71,56 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
     def trades(self) -> DataFrame:
-        return read_if_there(self.spark, self.path("trades"), schemas.TRADES, "trade_date date")
-
-    def alerts(self) -> DataFrame:
-        return read_if_there(self.spark, self.path("alerts"), schemas.ALERTS, "detected_date date")
+        return read_if_there(self.spark, self.path("trades"), schemas.TRADES, f"{BATCH} string, trade_date date")
+
+    def alerts(self, as_of: datetime | None = None, kept: timedelta = timedelta(days=7)) -> DataFrame:
+        """All alerts, or with `as_of` those of the last `kept`, with who was told of them by then."""
+        alerts = read_if_there(self.spark, self.path("alerts"), schemas.ALERTS, f"{BATCH} string, detected_date date")
+        state = read_if_there(self.spark, self.path("alert_state"), STATE, f"{BATCH} string, notified_date date")
+        if as_of is not None:
+            alerts = alerts_since(alerts, as_of - kept)
+            low = F.to_date(instant(as_of - kept))
+            state = state.filter((F.col("notified_date") >= low) & (F.col("notified_at") < instant(as_of)))
+        return with_state(alerts, state)
 
     def debates(self) -> DataFrame:
-        return read_if_there(self.spark, self.path("debates"), schemas.DEBATES, "started_date date")
+        return read_if_there(self.spark, self.path("debates"), schemas.DEBATES, f"{BATCH} string, started_date date")
+
+    def since(self, job: str, as_of: datetime) -> int:
+        """When the job last finished before this run, in microseconds; 0 if never."""
+        done = read_if_there(self.spark, self.path("runs"), _FINISHED, "job string, finished bigint")
+        last = done.filter((F.col("job") == job) & (F.col("finished") < micros_of(as_of))).agg(F.max("finished").alias("at"))
+        return last.first()["at"] or 0
+
+    def finish(self, job: str, as_of: datetime) -> None:
+        """Note that the run is over; only then do later runs begin behind it. A run that broke off begins anew."""
+        number = micros_of(as_of)
+        row = self.spark.createDataFrame([(number,)], _FINISHED).coalesce(1)
+        row.write.mode("overwrite").parquet(f"{self.path('runs')}/job={job}/finished={number}")
+
+    def landed(self, name: str, job: str, as_of: datetime, newest: bool = False) -> list[str] | None:
+        """The folders `landed/<name>/run=<microseconds>` that belong to this run: landed behind the last run of the job
+        and not after this one. None if there are none."""
+        runs = [x for x in self._folders(f"landed/{name}", "run") if self.since(job, as_of) < x <= micros_of(as_of)]
+        return [self.path(f"landed/{name}/run={x}") for x in (runs[-1:] if newest else runs)] or None
+
+    def batches(self, name: str, job: str, as_of: datetime) -> DataFrame:
+        """The rows of a table's batches that belong to this run of the job, with their batch."""
+        low, high = self.since(job, as_of), micros_of(as_of)
+        at = F.regexp_extract(F.col(BATCH), "^r([0-9]+)", 1).cast("bigint")
+        try:
+            rows = self.spark.read.parquet(self.path(name))
+        except AnalysisException:
+            return self.spark.createDataFrame([], f"{BATCH} string")
+        return rows.filter((at > low) & (at <= high))
+
+    def _folders(self, name: str, key: str) -> list[int]:
+        """The numbers of the folders below; names only, no file is opened."""
+        try:
+            files = self.spark.read.format("binaryFile").load(self.path(name))
+        except AnalysisException:
+            return []
+        return sorted(int(r[key]) for r in files.select(key).distinct().collect()) if key in files.columns else []
 
     def markets_a(self, before: datetime | None = None) -> DataFrame:
         return read_latest(self.spark, self.path("markets_a"), schemas.MARKETS_A, before)
@@ -72,69 +135,119 @@ class Warehouse:
         return read_if_there(self.spark, self.path("subscriptions"), schemas.SUBSCRIPTIONS)
 
 
+def _stamped(as_of: datetime) -> str:
+    return f"r{micros_of(as_of)}"
+
+
 def ingest(w: Warehouse, as_of: datetime) -> None:
-    """Land the frames of both venues in the trades table, once; `streaming.jobs` keeps doing so."""
-    tokens = w.subscriptions().filter("yes_token_id IS NOT NULL").withColumn("position", F.lit(0))
-    frames_a, frames_b = (w.spark.read.text(w.path(f"landed/frames_{v}")) for v in "ab")
-    append_trades(ingest_trades(frames_a, frames_b, tokens, instant(as_of)), w.path("trades"))
+    """The frames that landed since the last run into the trades table; `streaming.jobs` keeps doing so."""
+    tokens = w.subscriptions().filter("yes_token_id IS NOT NULL")
+    frames = [w.landed(f"frames_{v}", "ingest", as_of) for v in "ab"]
+    text = [w.spark.createDataFrame([], "value string") if f is None else w.spark.read.text(f) for f in frames]
+    append_trades(ingest_trades(*text, tokens, instant(as_of)), w.path("trades"), _stamped(as_of))
+    w.finish("ingest", as_of)
 
 
 def refresh_a(w: Warehouse, as_of: datetime) -> None:
-    """Venue-A catalogue from landed series and market pages."""
+    """Venue-A catalogue from the series and market pages of the newest landed run."""
+    pages = w.landed("series", "refresh-a", as_of, newest=True)
+    if pages is None:
+        return
     intent = read_intent(w.spark, w.path("landed/intent.json"))
-    series = read_pages(w.spark, w.path("landed/series"), "series", "category string, page int")
+    series = read_pages(w.spark, pages[0], "series", "category string, page int")
     followed = series.filter(F.col("category").isin(list(intent.categories)))
-    markets = read_pages(w.spark, w.path("landed/markets"), "markets", "series_ticker string, page int")
+    markets = read_pages(w.spark, pages[0].replace("/series/", "/markets/"), "markets", "series_ticker string, page int")
     manual = w.spark.createDataFrame([(t,) for t in intent.tickers], "ticker string")
     found = refresh_catalog_a(followed, markets, w.markets_a(as_of), manual, as_of)
     refresh_series(found.series, w.path("series"), as_of)
     write_version(found.markets, w.path("markets_a"), as_of, ["source", "category", "status"])
     tickers = found.subscriptions.select(F.lit("venue_a").alias("source"), F.col("ticker").alias("market_id"))
-    replace_subscriptions(schemas.conform(tickers, schemas.SUBSCRIPTIONS), w.path("subscriptions"))
+    replace_subscriptions(schemas.conform(tickers, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_a")
+    w.finish("refresh-a", as_of)
 
 
 def refresh_b(w: Warehouse, as_of: datetime) -> None:
-    """Venue-B catalogue from landed event pages, tags in the order of the intent file."""
+    """Venue-B catalogue from the event pages of the newest landed run, tags in the order of the intent file."""
+    pages = w.landed("events", "refresh-b", as_of, newest=True)
+    if pages is None:
+        return
     intent = read_intent(w.spark, w.path("landed/intent.json"))
-    events = read_pages(w.spark, w.path("landed/events"), "events", "tag string, page int")
+    events = read_pages(w.spark, pages[0], "events", "tag string, page int")
     order = w.spark.createDataFrame(list(enumerate(intent.tag_slugs)), "tag_position int, tag string")
     found = refresh_catalog_b(events.join(F.broadcast(order), "tag"), w.markets_b(as_of), as_of)
     write_version(found.markets, w.path("markets_b"), as_of, ["source", "closed", "accepting_orders"])
     tokens = found.subscriptions.withColumn("source", F.lit("venue_b"))
-    replace_subscriptions(schemas.conform(tokens, schemas.SUBSCRIPTIONS), w.path("subscriptions"))
+    replace_subscriptions(schemas.conform(tokens, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_b")
+    w.finish("refresh-b", as_of)
 
 
 def detect(w: Warehouse, as_of: datetime, params: DetectParams = DetectParams()) -> None:
+    mine = _stamped(as_of)
+    known = w.alerts().filter(F.col(BATCH) != mine)
     found = detect_anomalies(
-        w.trades(), w.markets_a(), w.markets_b(), w.series(), w.alerts(), as_of, params, known_since=params.lookback
+        w.trades(), w.markets_a(), w.markets_b(), w.series(), known, as_of, params, known_since=params.lookback
     )
-    append_alerts(found, w.path("alerts"))
+    append_alerts(found, w.path("alerts"), mine)
 
 
 def notify(w: Warehouse, as_of: datetime) -> None:
-    """Hand the next queue to the sender."""
-    write_table(notifications(w.alerts(), as_of), w.path("outgoing"), "overwrite", cluster_by=["queue_pos"])
+    """Hand the waiting alerts to the sender; what an earlier cycle handed on stays in its own folder."""
+    queue = notifications(w.alerts(as_of), as_of)
+    write_table(queue, f"{w.path('outgoing')}/{BATCH}={_stamped(as_of)}", "overwrite", cluster_by=["queue_pos"])
 
 
 def deliver(w: Warehouse, as_of: datetime) -> None:
-    """Take over what the sender reports: stamp the alerts and hand on debate requests."""
+    """Take over what the sender reports: note who was told and hand on debate requests."""
     intent = read_intent(w.spark, w.path("landed/intent.json"))
-    reports = w.spark.read.schema(_DELIVERIES).json(w.path("landed/deliveries"))
-    settled = settle_deliveries(w.spark.read.parquet(w.path("outgoing")), reports)
+    landed = w.landed("deliveries", "deliver", as_of)
+    if landed is None:
+        return
+    reports = w.spark.read.schema(_DELIVERIES).json(landed)
+    queue = w.batches("outgoing", "deliver", as_of)
+    settled = settle_deliveries(queue, reports)
     asked = debate_requests(settled, intent.debates_enabled, intent.debates_auto_publish)
-    outbox(asked, "alert_id").write.mode("overwrite").parquet(w.path("requests"))
-    apply_deliveries(w.alerts(), w.path("alerts"), settled, as_of)
+    mine = _stamped(as_of)
+    write_table(outbox(asked, "alert_id"), f"{w.path('requests')}/{BATCH}={mine}", "overwrite")
+    append_state(sent_state(settled, as_of), w.path("alert_state"), mine)
+    w.finish("deliver", as_of)
+
+
+def command(w: Warehouse, as_of: datetime) -> None:
+    """Commands that landed since the last run become requests beside those of the notification cycles."""
+    landed = w.landed("commands", "command", as_of)
+    if landed is None:
+        return
+    commands = w.spark.read.schema(_COMMANDS).json(landed)
+    asked = command_requests(commands, w.alerts(as_of))
+    write_table(outbox(asked, "alert_id"), f"{w.path('requests')}/{BATCH}={_stamped(as_of)}c", "overwrite")
+    w.finish("command", as_of)
 
 
 def resolve(w: Warehouse, as_of: datetime) -> None:
-    """Answer requests from recent debates; the others go on to a fresh run."""
-    sent = w.spark.read.schema("key string, value string").parquet(w.path("requests"))
+    """Answer the requests since the last run from recent debates; the others go on to a fresh run."""
+    sent = w.batches("requests", "resolve", as_of)
+    if "value" not in sent.columns:
+        return
     fields = F.from_json("value", schemas.REQUESTS)
-    asked = sent.select(fields.alias("r")).select("r.*").withColumn("requested_at", instant(as_of))
-    looked = reuse_lookup(valid_requests(asked), w.debates())
-    fresh_runs(looked).write.mode("overwrite").parquet(w.path("fresh_requests"))
-    answered = cached_rows(looked).join(w.debates().select("debate_id"), "debate_id", "left_anti")
-    append_debates(schemas.conform(answered, schemas.DEBATES), w.path("debates"))
+    asked = valid_requests(sent.select(fields.alias("r")).select("r.*")).withColumn("requested_at", instant(as_of))
+    mine = _stamped(as_of)
+    others = w.debates().filter(F.col(BATCH) != mine)
+    looked = reuse_lookup(asked, recent_debates(others, asked))
+    write_table(fresh_runs(looked), f"{w.path('fresh_requests')}/{BATCH}={mine}", "overwrite")
+    answered = cached_rows(looked).join(recent_debates(others, asked).select("debate_id"), "debate_id", "left_anti")
+    append_debates(schemas.conform(answered, schemas.DEBATES), w.path("debates"), mine)
+    w.finish("resolve", as_of)
+
+
+def account(w: Warehouse, as_of: datetime, limit_usd: float = 0.50) -> None:
+    """Finished debates that landed since the last run (what was asked, and transcripts) as rows of the debates table."""
+    runs, lines = (w.landed(x, "account", as_of) for x in ("debate_runs", "transcripts"))
+    if runs is None or lines is None:
+        return
+    accounts = debate_accounts(w.spark.read.schema(schemas.TRANSCRIPTS).json(lines), limit_usd)
+    rows = debate_rows(accounts, w.spark.read.schema(_RUNS).json(runs))
+    append_debates(schemas.conform(rows, schemas.DEBATES), w.path("debates"), f"{_stamped(as_of)}d")
+    w.finish("account", as_of)
 
 
 JOBS = {
@@ -144,7 +257,9 @@ JOBS = {
     "detect": detect,
     "notify": notify,
     "deliver": deliver,
+    "command": command,
     "resolve": resolve,
+    "account": account,
 }
 
 

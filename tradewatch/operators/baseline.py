@@ -29,7 +29,12 @@ def trades_between(trades: DataFrame, as_of: datetime, lookback: timedelta) -> D
 def recent_trades(
     trades: DataFrame, as_of: datetime, lookback: timedelta = timedelta(minutes=30), zone: str = "America/Denver"
 ) -> DataFrame:
-    return trades_between(trades, as_of, lookback).select(
+    return trade_facts(trades_between(trades, as_of, lookback), zone)
+
+
+def trade_facts(trades: DataFrame, zone: str = "America/Denver", *more: Column) -> DataFrame:
+    """What detection looks at of each trade."""
+    return trades.select(
         "source",
         "market_id",
         "trade_id",
@@ -39,6 +44,7 @@ def recent_trades(
         "size",
         "side",
         (F.col("price") * F.col("size")).alias("notional"),
+        *more,
     )
 
 
@@ -75,6 +81,71 @@ def rolling_baseline(
     )
 
 
+_MEASURES = ("size", "notional")
+
+
+def baseline_cells(trades: DataFrame, keys: Sequence[str], every: timedelta) -> DataFrame:
+    """Partial baselines that can be merged: count, mean and squared deviations per key, time cell and cell of arrival.
+
+    A cell is named by its end. Cells can be stored and added to as trades arrive; a baseline at the end of any
+    cell needs no single trade.
+    """
+    width = every // timedelta(microseconds=1)
+
+    def cell(at: str) -> Column:
+        return F.timestamp_micros((F.ceil(F.unix_micros(at) / F.lit(width)) * F.lit(width)).cast("bigint"))
+
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    rows = trades.filter(known).select(
+        *keys, cell("ts").alias("cell"), cell("ingested_at").alias("arrived"), "size", (F.col("price") * F.col("size")).alias("notional")
+    )
+    spread = [x for m in _MEASURES for x in (F.avg(m).alias(f"mean_{m}"), (F.var_pop(m) * F.count(m)).alias(f"squares_{m}"))]
+    return rows.groupBy(*keys, "cell", "arrived").agg(F.count(F.lit(1)).alias("n"), *spread)
+
+
+def baseline_at(
+    cells: DataFrame, wanted: DataFrame, keys: Sequence[str], lookback: timedelta, min_trades: int = 10
+) -> DataFrame:
+    """The baseline of each wanted (keys, __run), from the cells that lie in the lookback and had arrived by then.
+
+    A key has at most one cell per time step and arrival, so the list that is merged is bounded by the lookback.
+    """
+    width = F.expr(f"INTERVAL {lookback // timedelta(seconds=1)} SECONDS")
+    run = F.col("__run")
+    met = cells.join(wanted, list(keys)).filter(
+        (F.col("cell") <= run) & (F.col("cell") > run - width) & (F.col("arrived") <= run)
+    )
+    parts = met.groupBy(*keys, "__run", "n_recent").agg(
+        F.array_sort(F.collect_list(F.struct("cell", "arrived", "n", *[f"{x}_{m}" for m in _MEASURES for x in ("mean", "squares")]))).alias("parts")
+    )
+
+    def merged(measure: str) -> Column:
+        zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+        def add(acc: Column, x: Column) -> Column:
+            n = acc["n"] + x["n"]
+            step = x[f"mean_{measure}"] - acc["mean"]
+            return F.struct(
+                n.alias("n"),
+                (acc["mean"] + step * x["n"] / n).alias("mean"),
+                (acc["squares"] + x[f"squares_{measure}"] + step * step * acc["n"] * x["n"] / n).alias("squares"),
+            )
+
+        return F.aggregate("parts", zero, add)
+
+    total = parts.select(*keys, "__run", "n_recent", *[merged(m).alias(m) for m in _MEASURES])
+    values = [
+        x
+        for m in _MEASURES
+        for x in (F.col(m)["mean"].alias(f"average_{m}"), F.sqrt(F.col(m)["squares"] / F.nullif(F.col(m)["n"] - 1, F.lit(0))).alias(f"stddev_{m}"))
+    ]
+    return total.select(*keys, "__run", F.col("size.n").alias("n_trades"), "n_recent", *values).filter(
+        F.col("n_trades") >= min_trades
+    )
+
+
 def zscore(value: Column, mean: Column, deviation: Column) -> Column:
     """Distance from the mean in deviations; NULL when the deviation is zero."""
     return (value - mean) / F.nullif(deviation, F.lit(0.0))

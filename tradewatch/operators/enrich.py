@@ -9,15 +9,17 @@ from tradewatch.functions.text import title_from_slug
 from tradewatch.operators.skew import salted_join
 
 
-def with_market_profile(
-    keyed: DataFrame, markets_a: DataFrame, markets_b: DataFrame, series: DataFrame, volume_scale: float = 100.0
+def market_profile(
+    markets: DataFrame, markets_a: DataFrame, markets_b: DataFrame, series: DataFrame, volume_scale: float = 100.0
 ) -> DataFrame:
-    """Left-join both market dimensions and the series onto a table with one row per market.
+    """Titles, series and volumes of the markets named in `markets`, one row each.
 
-    Meant for the per-market baseline rather than for trades: both sides then have about one row
-    per key, so no market can overload a task, and trades meet the profile in one single join.
+    Meant for the few markets that have a candidate: both dimensions are reduced to those before anything is joined.
     Venue A wins where both dimensions know the market. The scale applies to venue-A volumes.
     """
+    keyed = markets.select("market_id").filter(F.col("market_id").isNotNull()).distinct()
+    markets_a = markets_a.join(keyed, F.col("ticker") == F.col("market_id"), "left_semi")
+    markets_b = markets_b.join(keyed, F.col("id") == F.col("market_id"), "left_semi")
     titled_series = series.select(F.col("ticker").alias("a_series"), F.col("title").alias("a_series_title"))
     side_a = salted_join(
         markets_a.select(

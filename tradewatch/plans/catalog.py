@@ -37,11 +37,6 @@ def discover_markets(event_items: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def cap_rows(df: DataFrame, order: list[str], limit: int) -> DataFrame:
-    """The first `limit` rows in order, for smoke runs; 0 means all."""
-    return df.orderBy(*order).limit(limit) if limit > 0 else df
-
-
 def discovery_counts(found: DataFrame, levels: list[str]) -> DataFrame:
     """Counts per level and in total, in one pass; `level` says how many columns are filled."""
     grouped = found.rollup(*levels).agg(
@@ -64,15 +59,13 @@ def refresh_catalog_a(
     target: DataFrame,
     manual: DataFrame,
     as_of: datetime,
-    series_limit: int = 0,
 ) -> CatalogA:
     """Venue-A refresh: series table, markets upsert frozen once settled, open tickers.
 
     `series_items` has category, position and payload, `market_items` series_ticker and payload.
     Markets are taken for series with volume, under the category the series was found in.
     """
-    order = [c for c in ("category_position", "page", "position") if c in series_items.columns]
-    followed = cap_rows(traded_series(series_items), order, series_limit).select("series_ticker", "category")
+    followed = traded_series(series_items).select("series_ticker", "category")
     found = salted_join(market_items.drop("category"), followed, ["series_ticker"])
     staged = normalise_markets_a(found)
     return CatalogA(
@@ -95,13 +88,17 @@ def refresh_catalog_b(
     target: DataFrame,
     as_of: datetime,
     order: tuple[str, ...] = ("tag_position", "page", "position"),
-    markets_limit: int = 0,
 ) -> CatalogB:
     """Venue-B refresh: first-found markets, upsert frozen once closed, tradable tokens."""
-    found = cap_rows(discover_markets(event_items, list(order)), [*order, "market_position"], markets_limit)
+    found = discover_markets(event_items, list(order))
     staged = normalise_markets_b(found)
+    # the place in discovery order: of markets that share a token the later one counts
+    places = F.lit(0).cast("bigint")
+    for name in order:
+        places = places * 100_000 + F.col(name)
+    positions = found.select(F.col("id").alias("market_id"), (places * 100_000 + F.col("market_position")).alias("position"))
     return CatalogB(
         markets=upsert(target, staged, ["source", "id"], as_of, CLOSED),
-        subscriptions=tradable_markets(staged),
+        subscriptions=tradable_markets(staged).join(positions, "market_id"),
         counts=discovery_counts(found, [order[0]]),
     )

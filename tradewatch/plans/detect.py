@@ -4,17 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch import schemas
 from tradewatch.functions.coerce import instant
 from tradewatch.functions.text import alert_reason
-from tradewatch.operators.baseline import recent_trades, rolling_baseline, zscore
-from tradewatch.operators.enrich import with_market_profile
-from tradewatch.operators.skew import first_per_key, heavy_split_join
+from tradewatch.operators.baseline import (
+    baseline_at,
+    baseline_cells,
+    recent_trades,
+    rolling_baseline,
+    trade_facts,
+    trades_between,
+    zscore,
+)
+from tradewatch.operators.enrich import market_profile
+from tradewatch.operators.skew import first_per_key, heavy_split_join, salted_join
 
 
 @dataclass(frozen=True)
@@ -34,16 +42,17 @@ class DetectParams:
     dedup: str = "first"
 
 
-def _candidates(trades: DataFrame, baseline: DataFrame, as_of: datetime, params: DetectParams) -> DataFrame:
+def _large(trades: DataFrame, params: DetectParams) -> DataFrame:
+    """The cheap tests; they come before any join, so only large trades are ever shuffled."""
+    return trades.filter((F.col("notional") > params.min_notional) & (F.col("price") < params.price_cap))
+
+
+def _flagged(large: DataFrame, baseline: DataFrame, on: Sequence[str], params: DetectParams) -> DataFrame:
     size_far = F.abs("size_zscore") > params.z_limit
     notional_far = F.abs("notional_zscore") > params.z_limit
     unusual = size_far & notional_far if params.combine == "and" else size_far | notional_far
-    # The cheap tests come before the join, so only large trades are ever shuffled.
-    large = recent_trades(trades, as_of, params.lookback, params.zone).filter(
-        (F.col("notional") > params.min_notional) & (F.col("price") < params.price_cap)
-    )
     return (
-        heavy_split_join(large, baseline, list(params.keys), "n_recent")
+        heavy_split_join(large, baseline, list(on), "n_recent")
         .withColumn("size_zscore", zscore(F.col("size"), F.col("average_size"), F.col("stddev_size")))
         .withColumn(
             "notional_zscore", zscore(F.col("notional"), F.col("average_notional"), F.col("stddev_notional"))
@@ -53,13 +62,24 @@ def _candidates(trades: DataFrame, baseline: DataFrame, as_of: datetime, params:
     )
 
 
-def _baseline(trades: DataFrame, as_of: datetime, params: DetectParams) -> DataFrame:
-    return rolling_baseline(trades, as_of, params.baseline, params.min_trades, params.keys, params.lookback)
-
-
 def unusual_trades(trades: DataFrame, as_of: datetime, params: DetectParams = DetectParams()) -> DataFrame:
     """Recent trades whose size and notional both lie far from the market's baseline."""
-    return _candidates(trades, _baseline(trades, as_of, params), as_of, params)
+    baseline = rolling_baseline(trades, as_of, params.baseline, params.min_trades, params.keys, params.lookback)
+    large = _large(recent_trades(trades, as_of, params.lookback, params.zone), params)
+    return _flagged(large, baseline, params.keys, params)
+
+
+def _as_alerts(
+    found: DataFrame, markets_a: DataFrame, markets_b: DataFrame, series: DataFrame, params: DetectParams
+) -> DataFrame:
+    """Flagged trades (with detected_at) in the shape of the alerts table. Only now, for the few markets that have
+    one, are titles and volumes looked up."""
+    if params.dedup == "first":
+        found = first_per_key(found, ["alert_id"], [F.col("detected_at"), F.col("ts"), -F.col("size"), F.col("market_id")])
+    profile = market_profile(found.select("market_id"), markets_a, markets_b, series, params.volume_scale)
+    found = salted_join(found, profile, ["market_id"], "left")
+    values = ("size", "size_zscore", "average_size", "notional", "notional_zscore", "average_notional", "volume", "volume_24h")
+    return schemas.conform(found.withColumn("reason", alert_reason(*[F.col(c) for c in values])), schemas.ALERTS)
 
 
 def enriched_alerts(
@@ -71,28 +91,44 @@ def enriched_alerts(
     params: DetectParams = DetectParams(),
 ) -> DataFrame:
     """Unusual trades with titles, volumes and reason text, in the shape of the alerts table."""
-    profile = with_market_profile(_baseline(trades, as_of, params), markets_a, markets_b, series, params.volume_scale)
-    found = _candidates(trades, profile, as_of, params)
-    if params.dedup == "first":
-        found = first_per_key(found, ["alert_id"], [F.col("ts"), -F.col("size"), F.col("market_id")])
-    reason = alert_reason(
-        *[
-            F.col(c)
-            for c in (
-                "size",
-                "size_zscore",
-                "average_size",
-                "notional",
-                "notional_zscore",
-                "average_notional",
-                "volume",
-                "volume_24h",
-            )
-        ]
-    )
-    return schemas.conform(
-        found.withColumn("reason", reason).withColumn("detected_at", instant(as_of)), schemas.ALERTS
-    )
+    found = unusual_trades(trades, as_of, params).withColumn("detected_at", instant(as_of))
+    return _as_alerts(found, markets_a, markets_b, series, params)
+
+
+def run_of(at: str, every: timedelta) -> Column:
+    """The end of the run that an instant belongs to: the first whole multiple of `every` not before it."""
+    width = every // timedelta(microseconds=1)
+    return F.timestamp_micros((F.ceil(F.unix_micros(at) / F.lit(width)) * F.lit(width)).cast("bigint"))
+
+
+def judge_runs(
+    new_trades: DataFrame,
+    trades: DataFrame,
+    markets_a: DataFrame,
+    markets_b: DataFrame,
+    series: DataFrame,
+    params: DetectParams = DetectParams(),
+    every: timedelta = timedelta(minutes=15),
+) -> DataFrame:
+    """Alerts of new trades, each judged once, as of the run that its `ingested_at` falls into.
+
+    The baseline of a run has the trades that were ingested by then, so the result does not depend on how trades are
+    dealt into batches. Trades stamped after their run are not judged; those that come too late for it only count in
+    baselines. No trade's own clock moves a run.
+    """
+    run = run_of("ingested_at", every)
+    span = new_trades.agg(F.min(run).alias("low"), F.max(run).alias("high")).first()
+    if span["high"] is None:
+        return new_trades.sparkSession.createDataFrame([], schemas.ALERTS)
+    low, high = (x.astimezone(timezone.utc) for x in (span["low"], span["high"]))
+    width = F.expr(f"INTERVAL {params.lookback // timedelta(seconds=1)} SECONDS")
+    large = _large(trade_facts(new_trades.filter("size IS NOT NULL AND price IS NOT NULL"), params.zone, run.alias("__run")), params)
+    large = large.filter((F.col("ts") > F.col("__run") - width) & (F.col("ts") <= F.col("__run")))
+    wanted = large.groupBy(*params.keys, "__run").agg(F.count(F.lit(1)).alias("n_recent"))
+    cells = baseline_cells(trades_between(trades, high, high - low + params.baseline), params.keys, every)
+    baseline = baseline_at(cells, wanted, params.keys, params.baseline, params.min_trades)
+    found = _flagged(large, baseline, [*params.keys, "__run"], params).withColumn("detected_at", F.col("__run"))
+    return _as_alerts(found, markets_a, markets_b, series, params)
 
 
 def detect_anomalies(
@@ -111,8 +147,12 @@ def detect_anomalies(
     `as_of`. An alert is never detected before its trade, so ``params.lookback`` is enough for
     tables written by this job; leave it out for tables of other origin.
     """
-    known = alerts
-    if known_since is not None:
-        known = known.filter(F.col("detected_at") > instant(as_of - known_since))
+    known = alerts if known_since is None else alerts_since(alerts, as_of - known_since)
     fresh = enriched_alerts(trades, markets_a, markets_b, series, as_of, params)
     return fresh.join(known.select("alert_id"), "alert_id", "left_anti")
+
+
+def alerts_since(alerts: DataFrame, since: datetime) -> DataFrame:
+    """Alerts detected after `since`; on a table with days, older days are not opened."""
+    found = alerts.filter(F.col("detected_at") > instant(since))
+    return found.filter(F.col("detected_date") >= F.to_date(instant(since))) if "detected_date" in alerts.columns else found

@@ -11,30 +11,35 @@ from pyspark.sql import functions as F
 from tradewatch.functions.coerce import blank_to_null, instant
 from tradewatch.functions.text import alert_message, thread_key, thread_title
 from tradewatch.operators.skew import first_per_key
-from tradewatch.sources.tables import replace_days
 
 
-def pending_queue(alerts: DataFrame, limit: int = 50) -> DataFrame:
-    """The next `limit` alerts to send, numbered and grouped by thread.
+def pending_queue(alerts: DataFrame, page: int = 50) -> DataFrame:
+    """All alerts that wait to be sent, numbered, dealt into pages of `page` and grouped by thread.
 
-    The limit is the size of one cycle; it is applied as a top-k before anything is numbered, so the
-    windows below only ever see `limit` rows. Groups are ordered by their first alert; that alert
-    starts the group's thread.
+    A sender takes page after page until none is left, so no alert waits behind newer ones. Groups are ordered by their
+    first alert, which starts the group's thread. Only the counts of distinct titles meet in one task; alerts of one
+    title are numbered behind those of the titles before it.
     """
     label = F.coalesce("series_title", "title")
-    top = (
+    waiting = (
         alerts.filter(F.col("notified_at").isNull())
-        .orderBy(label.asc_nulls_first(), "detected_at", "alert_id")
-        .limit(limit)
         .withColumn("thread_key", thread_key(F.col("series_ticker"), F.col("market_id")))
+        .withColumn("__label", F.struct(label.isNotNull().alias("some"), label.alias("text")))
     )
-    in_order = W.orderBy(label.asc_nulls_first(), "detected_at", "alert_id")
+    before = W.orderBy("__label").rowsBetween(W.unboundedPreceding, -1)
+    counts = waiting.groupBy("__label").agg(F.count(F.lit(1)).alias("n"))
+    firsts = counts.select("__label", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
+    within = W.partitionBy("__label").orderBy("detected_at", "alert_id")
     group = W.partitionBy("source", "thread_key")
     return (
-        top.withColumn("queue_pos", F.row_number().over(in_order))
+        waiting.withColumn("__place", F.row_number().over(within))
+        .join(firsts.withColumnRenamed("__label", "__of"), F.col("__label").eqNullSafe(F.col("__of")))
+        .withColumn("queue_pos", F.col("__first") + F.col("__place"))
+        .withColumn("page", F.ceil(F.col("queue_pos") / F.lit(page)).cast("bigint"))
         .withColumn("group_pos", F.min("queue_pos").over(group))
         .withColumn("rank_in_group", F.row_number().over(group.orderBy("queue_pos")))
         .withColumn("is_starter", F.col("rank_in_group") == 1)
+        .drop("__label", "__of", "__place", "__first")
     )
 
 
@@ -53,10 +58,10 @@ def recent_threads(alerts: DataFrame, as_of: datetime, within: timedelta = timed
 
 
 def notifications(
-    alerts: DataFrame, as_of: datetime, limit: int = 50, within: timedelta = timedelta(hours=1)
+    alerts: DataFrame, as_of: datetime, page: int = 50, within: timedelta = timedelta(hours=1)
 ) -> DataFrame:
     """The queue with message texts; `thread_id` is the thread to reuse or NULL for a new one."""
-    queue = pending_queue(alerts, limit)
+    queue = pending_queue(alerts, page)
     threads = recent_threads(alerts, as_of, within).select(
         "source", F.col("series_ticker").alias("thread_key"), blank_to_null(F.col("thread_id")).alias("thread_id")
     )
@@ -70,6 +75,7 @@ def notifications(
         .withColumn("thread_title", F.when(F.col("is_starter") & F.col("thread_id").isNull(), new_title))
         .select(
             "queue_pos",
+            "page",
             "group_pos",
             "rank_in_group",
             "is_starter",
@@ -90,11 +96,12 @@ def notifications(
 def settle_deliveries(queue: DataFrame, deliveries: DataFrame) -> DataFrame:
     """The queue with `sent` and the thread each group ended up in.
 
-    `deliveries` holds alert_id, thread_id and ok. A group's thread is the reused one or the one its
+    `deliveries` holds alert_id, thread_id and ok; of several reports for one alert a success counts. A group's thread is the reused one or the one its
     starter opened; when the starter failed, nothing of the group counts as sent.
     """
-    group = W.partitionBy("source", "thread_key")
-    back = deliveries.select("alert_id", F.col("thread_id").alias("opened"), F.coalesce("ok", F.lit(False)).alias("ok"))
+    group = W.partitionBy(*[c for c in ("batch_id",) if c in queue.columns], "source", "thread_key")
+    ok = F.coalesce("ok", F.lit(False))
+    back = deliveries.groupBy("alert_id").agg(F.max(F.when(ok, F.col("thread_id"))).alias("opened"), F.bool_or(ok).alias("ok"))
     started = F.bool_or(F.col("is_starter") & F.coalesce("ok", F.lit(False))).over(group)
     opened = F.max(F.when(F.col("is_starter") & F.col("ok"), blank_to_null(F.col("opened")))).over(group)
     return (
@@ -106,30 +113,33 @@ def settle_deliveries(queue: DataFrame, deliveries: DataFrame) -> DataFrame:
     )
 
 
-def mark_notified(alerts: DataFrame, settled: DataFrame, as_of: datetime) -> DataFrame:
-    """The alerts table after the cycle: sent alerts get a time and, if there is one, a thread.
+def sent_state(settled: DataFrame, as_of: datetime) -> DataFrame:
+    """What a cycle adds to the table of notification state: one row per alert that was sent."""
+    return settled.filter("sent").groupBy("alert_id").agg(
+        F.max("group_thread").alias("discord_thread_id"), F.lit(instant(as_of)).alias("notified_at")
+    )
+
+
+def with_state(alerts: DataFrame, state: DataFrame) -> DataFrame:
+    """Alerts with the time and thread of their latest notification, where the state table has one.
 
-    `settled` has at most one cycle's rows, so it is broadcast and `alerts` is not shuffled.
+    The alerts table itself is only ever appended to. Of several states of an alert the latest counts.
     """
-    sent = settled.filter("sent").select("alert_id", F.lit(True).alias("__sent"), F.col("group_thread").alias("__thread"))
-    hit = F.coalesce("__sent", F.lit(False))
+    latest = state.groupBy("alert_id").agg(
+        F.max("notified_at").alias("__at"),
+        F.max_by("discord_thread_id", F.when(F.col("discord_thread_id").isNotNull(), F.struct("notified_at", "discord_thread_id"))).alias("__thread"),
+    )
     return (
-        alerts.join(F.broadcast(sent), "alert_id", "left")
-        .withColumn("notified_at", F.when(hit, instant(as_of)).otherwise(F.col("notified_at")))
+        alerts.join(latest, "alert_id", "left")
+        .withColumn("notified_at", F.coalesce("__at", "notified_at"))
         .withColumn("discord_thread_id", F.coalesce("__thread", "discord_thread_id"))
         .select(*alerts.columns)
     )
 
 
-def apply_deliveries(alerts: DataFrame, path: str, settled: DataFrame, as_of: datetime) -> None:
-    """Update the stored alerts table at `path`, which `alerts` was read from.
-
-    Only the days of sent alerts are read and rewritten; there are at most as many as queue rows.
-    """
-    sent_days = settled.filter("sent").select(F.to_date("detected_at").alias("d")).distinct().collect()
-    if sent_days:
-        touched = alerts.filter(F.col("detected_date").isin([row["d"] for row in sent_days]))
-        replace_days(mark_notified(touched, settled, as_of), path, "detected_date")
+def mark_notified(alerts: DataFrame, settled: DataFrame, as_of: datetime) -> DataFrame:
+    """The alerts after the cycle: sent alerts have a time and, if there is one, a thread."""
+    return with_state(alerts, sent_state(settled, as_of))
 
 
 def thread_buckets(settled: DataFrame) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewatch import schemas
-from tradewatch.functions.coerce import blank_to_null
+from tradewatch.functions.coerce import blank_to_null, instant
 from tradewatch.functions.text import cached_from_label
 from tradewatch.operators.asof import newest_before
 from tradewatch.operators.skew import last_per_key, salted_join
@@ -52,6 +52,22 @@ def reuse_lookup(
     ).drop("cache_key")
 
 
+def recent_debates(debates: DataFrame, requests: DataFrame, within: timedelta = timedelta(hours=3), at: str = "requested_at") -> DataFrame:
+    """The debates that could answer one of the requests: finished later than `within` before the earliest one.
+
+    A debate runs for less than a day, so on a table with days only those are opened. The bound is the small answer of
+    one aggregate over the requests.
+    """
+    first = requests.agg(F.min(at).alias("at")).first()["at"]
+    if first is None:
+        return debates.limit(0)
+    low = first.astimezone(timezone.utc) - within
+    found = debates.filter(F.col("finished_at") > instant(low))
+    if "started_date" in debates.columns:
+        found = found.filter(F.col("started_date") >= F.to_date(instant(low - timedelta(days=1))))
+    return found
+
+
 def cached_rows(looked_up: DataFrame, at: str = "requested_at") -> DataFrame:
     """Debate rows for answered requests: outcome `cached`, no cost, pointing to the reused debate."""
     hits = looked_up.filter(F.col("found").isNotNull())
@@ -105,7 +121,7 @@ def command_requests(commands: DataFrame, alerts: DataFrame) -> DataFrame:
     a command without one asks about its thread's latest alert, and drops out if there is none.
     """
     question = blank_to_null(F.trim("question"))
-    own_id = F.concat(F.lit("manual-"), F.left(surrogate_id(F.lit("manual"), F.col("command_id")), F.lit(12)))
+    own_id = F.concat(F.lit("manual-"), surrogate_id(F.lit("manual"), F.col("command_id")))
     manual = commands.filter(question.isNotNull()).select(
         own_id.alias("alert_id"),
         F.lit("manual").alias("source"),

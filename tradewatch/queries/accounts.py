@@ -119,7 +119,7 @@ def _outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished debates as rows for the debates table."""
     accounts = debate_accounts(views.transcripts(spark, sf_dir), views.BUDGET)
-    asked = views.table(spark, sf_dir, "conversations").filter(F.col("turn") == 0)
+    asked = views.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
     requests = asked.select(
         F.col("conv_id").cast("string").alias("debate_id"),
@@ -127,14 +127,18 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("manual").alias("source"),
         F.lit(None).cast("string").alias("series_ticker"),
         F.concat(F.lit("a"), "conv_id").alias("market_id"),
-        F.left("text", F.lit(40)).alias("title"),
+        F.col("text").alias("title"),
         start.alias("started_at"),
         F.timestamp_micros(F.unix_micros(start) + F.col("conv_id") * 1000000).alias("finished_at"),
         F.concat(F.lit("t"), F.col("conv_id") % 7).alias("thread_id"),
     )
     return debate_rows(accounts, requests).select(
         "debate_id", "alert_id", "source", "market_id", "title", wall("started_at"), wall("finished_at"), "outcome",
-        "turn_count", r6("total_cost_usd"), F.col("cost_by_provider").startswith("{").alias("has_costs"),
+        "turn_count", r6("total_cost_usd"),
+        *[
+            F.round(F.coalesce(F.try_element_at(F.from_json("cost_by_provider", "map<string, double>"), F.lit(p)), F.lit(0.0)) + 1e-9, 6).alias(f"{p}_usd")
+            for p in ("user", "assistant", "system", "moderator")
+        ],
         "discord_thread_id",
     )
 
@@ -253,11 +257,16 @@ SELECT debate_id, outcome, turn_count, {r6_sql("total_cost_usd", "total_cost_usd
        {r6_sql("total_cost_usd", "booked_usd")}
 FROM outcomes""",
     "debate_rows": f"""WITH {views.TRANSCRIPTS_SQL}
+, asked AS (SELECT conv_id, arg_min(text, turn) AS text FROM conversations GROUP BY conv_id), providers AS (
+  SELECT debate_id, {_COST_COLUMNS} FROM transcripts t JOIN outcomes o USING (debate_id)
+  WHERE t.turn <= o.turn_count AND NOT (outcome = 'error' AND t.turn = o.turn_count AND moderator) GROUP BY debate_id
+)
 SELECT debate_id, 'a' || debate_id AS alert_id, 'manual' AS source, 'a' || debate_id AS market_id,
-       left(text, 40) AS title, TIMESTAMP '2024-01-01' AS started_at,
+       text AS title, TIMESTAMP '2024-01-01' AS started_at,
        TIMESTAMP '2024-01-01' + to_seconds(conv_id) AS finished_at, outcome, turn_count,
-       {r6_sql("total_cost_usd", "total_cost_usd")}, TRUE AS has_costs, 't' || (conv_id % 7) AS discord_thread_id
-FROM outcomes JOIN conversations ON debate_id = CAST(conv_id AS VARCHAR) AND turn = 0""",
+       {r6_sql("total_cost_usd", "total_cost_usd")},
+       user_usd, assistant_usd, system_usd, moderator_usd, 't' || (conv_id % 7) AS discord_thread_id
+FROM outcomes JOIN asked ON debate_id = CAST(conv_id AS VARCHAR) JOIN providers USING (debate_id)""",
     "message_render": f"""WITH {views.TRANSCRIPTS_SQL}, bodies AS (
   SELECT *, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS body,
          upper(left(provider, 1)) || substr(provider, 2) AS label
@@ -272,10 +281,7 @@ FROM outcomes JOIN conversations ON debate_id = CAST(conv_id AS VARCHAR) AND tur
                    || {fixed_sql("cost_usd", 4)} || chr(10) || body END AS message
   FROM bodies
 )
-SELECT debate_id, turn, provider,
-       CASE WHEN length(message) > 1950 THEN left(message, 1932) || chr(10) || '_…[truncated]_' ELSE message END
-         AS message
-FROM messages WHERE message IS NOT NULL""",
+SELECT debate_id, turn, provider, message FROM messages WHERE message IS NOT NULL""",
     "verdict_render": f"""
 SELECT 'd' || event_id AS debate_id,
        '**Debate verdict — ' || CASE event_type WHEN 'view' THEN 'consensus' ELSE 'deadlock' END || '**' || chr(10)

@@ -7,11 +7,11 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch import schemas
-from tradewatch.plans.detect import DetectParams
+from tradewatch.functions.coerce import instant
+from tradewatch.operators.baseline import baseline_at, baseline_cells
+from tradewatch.plans.detect import DetectParams, run_of
 from tradewatch.plans.ingest import ingest_trades
 from tradewatch.queries import views
-from tradewatch.queries.detection import scored_sql
 from tradewatch.queries.shape import r6, r6_sql, wall
 from tradewatch.session import shared_folder
 from tradewatch.sources.frames import parse_frames_a, parse_frames_b, rejects_a, rejects_b
@@ -48,8 +48,7 @@ def _ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = rejects_a(views.frames_a(spark, sf_dir))
     b = rejects_b(views.frames_b(spark, sf_dir), views.tokens(spark, sf_dir))
-    # The stray number beside each event of an array frame is counted on its own.
-    return a.unionByName(b).filter(F.col("outcome") != "not_an_object")
+    return a.unionByName(b)
 
 
 def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,42 +60,65 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     running = [
         jobs.ingest_a(
             jobs.frame_stream(spark, f"{root}/frames_a"),
-            f"{root}/trades_a",
+            f"{root}/trades",
             f"{root}/state_a",
             _stamp(),
-            dedup_within="30 minutes",
+            dedup=True,
             trigger=_DRAIN,
         ),
         jobs.ingest_b(
             jobs.frame_stream(spark, f"{root}/frames_b"),
             lambda: spark.read.schema(schema).parquet(f"{root}/tokens"),
-            f"{root}/trades_b",
+            f"{root}/trades",
             f"{root}/state_b",
             _stamp(),
+            dedup=True,
             trigger=_DRAIN,
         ),
     ]
     for query in running:
         query.awaitTermination()
-    landed = [_shown(spark.read.schema(schemas.TRADES).parquet(f"{root}/trades_{v}")) for v in ("a", "b")]
-    return landed[0].unionByName(landed[1])
+    return _shown(jobs.trades_table(spark, f"{root}/trades"))
 
 
-def _stream_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+def odd_clock_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades that arrive up to an hour late; every 97th is stamped two days ahead."""
+    ahead = F.col("ts") + F.expr("INTERVAL 2 DAYS")
+    trades = views.trades(spark, sf_dir)
+    return trades.withColumn("ts", F.when(F.col("trade_id").cast("bigint") % 97 == 5, ahead).otherwise(F.col("ts")))
+
+
+STREAM_PARAMS = DetectParams(lookback=timedelta(minutes=45), baseline=timedelta(days=10), min_notional=20.0, z_limit=1.2)
+
+
+def stream_detect(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     root = shared_folder(spark, "detect")
-    append_trades(views.trades(spark, sf_dir), f"{root}/trades")
-    schema = jobs.trade_stream(spark, f"{root}/trades").schema
+    append_trades(odd_clock_trades(spark, sf_dir), f"{root}/trades")
     jobs.detect(
-        jobs.trade_stream(spark, f"{root}/trades"),
-        lambda: spark.read.schema(schema).parquet(f"{root}/trades"),
+        jobs.trade_stream(spark, f"{root}/trades", files_per_batch),
+        lambda: jobs.trades_table(spark, f"{root}/trades"),
         lambda: (views.markets_a(spark, sf_dir), views.markets_b(spark, sf_dir), views.series(spark, sf_dir)),
         f"{root}/alerts",
         f"{root}/state",
-        DetectParams(baseline=timedelta(days=30), min_notional=20.0, z_limit=1.5),
+        STREAM_PARAMS,
         trigger=_DRAIN,
     ).awaitTermination()
     return jobs.alerts_table(spark, f"{root}/alerts").select(
-        "alert_id", "source", "market_id", "trade_id", r6("notional"), r6("size_zscore"), wall("detected_at")
+        "alert_id", "source", "market_id", "trade_id", "title", r6("notional"), r6("size_zscore"), wall("detected_at")
+    )
+
+
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline of every market at the end of the last hour, from hourly cells."""
+    trades = views.trades(spark, sf_dir)
+    as_of = views.latest(trades, "ingested_at")
+    hour = timedelta(hours=1)
+    end = run_of("at", hour)
+    cells = baseline_cells(trades.filter("size IS NOT NULL AND price IS NOT NULL"), ["market_id"], hour)
+    wanted = trades.select("market_id").distinct().select("market_id", F.lit(instant(as_of)).alias("at"), F.lit(0).cast("bigint").alias("n_recent"))
+    found = baseline_at(cells, wanted.withColumn("__run", end).drop("at"), ["market_id"], timedelta(days=10))
+    return found.select(
+        "market_id", "n_trades", r6("average_size"), r6("stddev_size"), r6("average_notional"), r6("stddev_notional")
     )
 
 
@@ -106,7 +128,8 @@ QUERIES = {
     "ingest_trades": _ingest,
     "frame_rejects": _rejects,
     "stream_ingest": _stream_ingest,
-    "stream_detect": _stream_detect,
+    "stream_detect": stream_detect,
+    "baseline_from_cells": _cells,
 }
 
 _COLUMNS = "source, market_id, trade_id, ts, price, size, side"
@@ -122,12 +145,41 @@ ORACLES = {
     "stream_ingest": _BOTH,
     "frame_rejects": f"""WITH {views.FRAMES_A_SQL}, {views.FRAMES_B_SQL}
 SELECT source, outcome, count(*) AS n
-FROM (SELECT source, outcome FROM frames_a UNION ALL SELECT source, outcome FROM frames_b)
+FROM (SELECT source, outcome FROM frames_a UNION ALL SELECT source, outcome FROM frames_b
+      -- the number beside the event of an array frame
+      UNION ALL SELECT source, 'not_an_object' FROM frames_b
+      WHERE event_id % 3 = 0 AND event_id % 97 <> 0 AND event_id % 101 <> 0)
 WHERE outcome <> 'keep_alive' GROUP BY ALL""",
-    "stream_detect": f"""WITH {views.TRADES_SQL}, {scored_sql(
-        '31 DAY', '30 DAY',
-        'notional > 20 AND price < 0.90 AND abs(size_zscore) > 1.5 AND abs(notional_zscore) > 1.5')}
-SELECT alert_id, source, market_id, trade_id, {r6_sql("notional", "notional")},
-       {r6_sql("size_zscore", "size_zscore")}, as_of AS detected_at
-FROM flagged""",
+    "stream_detect": f"""WITH {views.TRADES_SQL}, odd AS (
+  SELECT * REPLACE (CASE WHEN event_id % 97 = 5 THEN ts + INTERVAL 2 DAY ELSE ts END AS ts),
+         time_bucket(INTERVAL 15 MINUTE, ingested_at - INTERVAL 1 MICROSECOND) + INTERVAL 15 MINUTE AS run
+  FROM trades
+), judged AS (
+  SELECT *, price * size AS notional, sha256(source || '|' || trade_id) AS alert_id FROM odd
+  WHERE ts > run - INTERVAL 45 MINUTE AND ts <= run AND price * size > 20 AND price < 0.90
+), baseline AS (
+  SELECT j.alert_id, avg(h.size) AS average_size, stddev_samp(h.size) AS stddev_size,
+         avg(h.price * h.size) AS average_notional, stddev_samp(h.price * h.size) AS stddev_notional
+  FROM judged j JOIN odd h ON h.market_id = j.market_id AND h.ingested_at <= j.run
+       -- cells end at whole quarters of an hour, as runs do
+       AND h.ts <= j.run AND h.ts > j.run - INTERVAL 10 DAY
+  WHERE h.size IS NOT NULL AND h.price IS NOT NULL
+  GROUP BY j.alert_id HAVING count(*) >= 10
+), scored AS (
+  SELECT j.*, (size - average_size) / nullif(stddev_size, 0) AS size_zscore,
+         (notional - average_notional) / nullif(stddev_notional, 0) AS notional_zscore
+  FROM judged j JOIN baseline USING (alert_id)
+), {views.DIMENSIONS_SQL}
+SELECT alert_id, f.source, market_id, trade_id, coalesce(a.title, b.slug_title) AS title,
+       {r6_sql("notional", "notional")}, {r6_sql("size_zscore", "size_zscore")}, run AS detected_at
+FROM scored f LEFT JOIN markets_a a ON market_id = a.ticker LEFT JOIN markets_b b ON market_id = b.id
+WHERE abs(size_zscore) > 1.2 AND abs(notional_zscore) > 1.2""",
+    "baseline_from_cells": f"""WITH {views.TRADES_SQL}, ending AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, max(ingested_at) - INTERVAL 1 MICROSECOND) + INTERVAL 1 HOUR AS run FROM trades
+)
+SELECT market_id, count(*) AS n_trades, {r6_sql("avg(size)", "average_size")}, {r6_sql("stddev_samp(size)", "stddev_size")},
+       {r6_sql("avg(price * size)", "average_notional")}, {r6_sql("stddev_samp(price * size)", "stddev_notional")}
+FROM trades, ending
+WHERE ts <= run AND ts > run - INTERVAL 10 DAY AND size IS NOT NULL AND price IS NOT NULL
+GROUP BY market_id HAVING count(*) >= 10""",
 }

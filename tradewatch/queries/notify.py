@@ -28,7 +28,7 @@ _WITHIN = timedelta(days=1)
 
 def _queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending_queue(views.alerts(spark, sf_dir)).select(
-        *[F.col(c).cast("bigint") for c in ("queue_pos", "group_pos", "rank_in_group")],
+        *[F.col(c).cast("bigint") for c in ("queue_pos", "page", "group_pos", "rank_in_group")],
         "is_starter",
         "alert_id",
         "source",
@@ -99,7 +99,7 @@ QUERIES = {
 
 _QUEUE_SQL = f"""WITH {views.ALERTS_SQL}, top AS (
   SELECT *, row_number() OVER (ORDER BY coalesce(series_title, title) NULLS FIRST, detected_at, alert_id) AS queue_pos
-  FROM alerts WHERE notified_at IS NULL QUALIFY queue_pos <= 50
+  FROM alerts WHERE notified_at IS NULL
 ), queue AS (
   SELECT *, min(queue_pos) OVER (PARTITION BY source, thread_key) AS group_pos,
          row_number() OVER (PARTITION BY source, thread_key ORDER BY queue_pos) AS rank_in_group
@@ -134,7 +134,7 @@ REQUESTS_SQL = f"""{_SETTLED_SQL}, chosen AS (
 
 ORACLES = {
     "notify_queue": f"""{_QUEUE_SQL}
-SELECT queue_pos, group_pos, rank_in_group, rank_in_group = 1 AS is_starter, alert_id, source, thread_key FROM queue""",
+SELECT queue_pos, CAST(ceil(queue_pos / 50) AS BIGINT) AS page, group_pos, rank_in_group, rank_in_group = 1 AS is_starter, alert_id, source, thread_key FROM queue""",
     "recent_threads": f"WITH {views.ALERTS_SQL}, {_THREADS_SQL} SELECT * FROM threads",
     "mark_notified": f"""{_SETTLED_SQL}
 SELECT a.alert_id, CASE WHEN s.sent THEN as_of ELSE a.notified_at END AS notified_at,
@@ -157,7 +157,7 @@ FROM chosen WHERE rn = 1""",
     "notification_texts": f"""{_SETTLED_SQL}
 SELECT alert_id, reused AS thread_id,
        CASE WHEN rank_in_group = 1 AND reused IS NULL
-            THEN left(coalesce(series_title, title, source || ': ' || market_id), 100) END AS thread_title,
+            THEN coalesce(series_title, title, source || ': ' || market_id) END AS thread_title,
        {message_sql("title", "side", "reason")} AS message
 FROM settled""",
     "thread_latest_alert": f"""WITH {views.ALERTS_SQL}

@@ -83,10 +83,14 @@ def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_alerts(alerts, f"{root}/alerts")
     append_debates(views.debates(spark, sf_dir), f"{root}/debates")
     followed = views.tokens(spark, sf_dir).select(
-        F.lit("venue_b").alias("source"), "market_id", "yes_token_id", "no_token_id"
+        F.lit("venue_b").alias("source"), "market_id", "yes_token_id", "no_token_id", F.lit(0).cast("bigint").alias("position")
     )
-    replace_subscriptions(followed.unionByName(followed.withColumn("source", F.lit("venue_a"))), f"{root}/subs")
-    replace_subscriptions(followed.filter(F.col("no_token_id").isNotNull()), f"{root}/subs")
+    both = followed.unionByName(followed.withColumn("source", F.lit("venue_a")))
+    gone = both.withColumn("source", F.lit("venue_c"))
+    for source in ("venue_a", "venue_b", "venue_c"):
+        replace_subscriptions(both.unionByName(gone), f"{root}/subs", source)
+    replace_subscriptions(followed.filter(F.col("no_token_id").isNotNull()), f"{root}/subs", "venue_b")
+    replace_subscriptions(gone.limit(0), f"{root}/subs", "venue_c")
     evolved = read_table(spark, f"{root}/alerts", schemas.ALERTS, "reviewed_by string, detected_date date")
     stored = [
         ("alerts", evolved.filter(F.col("reviewed_by").isNull()), "alert_id"),

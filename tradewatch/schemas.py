@@ -143,13 +143,13 @@ REQUESTS = _struct(
 )
 
 SUBSCRIPTIONS = _struct(
-    ("source", "text"), ("market_id", "text"), ("yes_token_id", "text"), ("no_token_id", "text")
+    ("source", "text"), ("market_id", "text"), ("yes_token_id", "text"), ("no_token_id", "text"), ("position", "long")
 )
 
 LOGS = _struct(("event", "text"), ("idx", "long"), ("timestamp", "text"), ("level", "text"))
 
 VERDICT = (
-    "probability double, summary string, key_evidence array<string>,"
+    "probability string, summary string, key_evidence array<string>,"
     " dissenters array<struct<agent: string, view: string>>"
 )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -20,7 +21,8 @@ def laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[st
     over the input. Sorted files let readers skip row groups by market.
     """
     balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    return balanced.sortWithinPartitions(*partition_by, *cluster_by)
+    order = [*partition_by, *cluster_by]
+    return balanced.sortWithinPartitions(*order) if order else balanced
 
 
 def write_table(
@@ -46,25 +48,37 @@ def with_day(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.withColumn(name, F.to_date(column))
 
 
-def append_trades(trades: DataFrame, path: str) -> None:
-    write_table(
-        with_day(trades, "ts", "trade_date"),
-        path,
-        partition_by=["trade_date"],
-        cluster_by=["source", "market_id", "ts"],
-    )
+BATCH = "batch_id"
 
 
-def append_alerts(alerts: DataFrame, path: str) -> None:
-    write_table(
-        with_day(alerts, "detected_at", "detected_date"),
-        path,
-        partition_by=["detected_date"],
-        cluster_by=["source", "market_id", "alert_id"],
+def write_batch(df: DataFrame, path: str, batch: str | None, day: str, cluster_by: Sequence[str]) -> None:
+    """The rows of one run in a folder of their own, by day. A run that is repeated replaces all it wrote before, also
+    by nothing. Without a name the rows are added under a new one."""
+    name = batch or f"r{uuid.uuid4().hex}"
+    write_table(df, f"{path}/{BATCH}={name}", "overwrite", [day], cluster_by)
+
+
+def append_trades(trades: DataFrame, path: str, batch: str | None = None) -> None:
+    write_batch(with_day(trades, "ts", "trade_date"), path, batch, "trade_date", ["source", "market_id", "ts"])
+
+
+def append_alerts(alerts: DataFrame, path: str, batch: str | None = None) -> None:
+    write_batch(
+        with_day(alerts, "detected_at", "detected_date"), path, batch, "detected_date", ["source", "market_id", "alert_id"]
     )
 
 
-def append_debates(debates: DataFrame, path: str) -> None:
+STATE = (
+    T.StructType().add("alert_id", T.StringType()).add("notified_at", T.TimestampType()).add("discord_thread_id", T.StringType())
+)
+
+
+def append_state(state: DataFrame, path: str, batch: str | None = None) -> None:
+    """Notification state of one cycle; who was told what is kept apart from the alerts."""
+    write_batch(with_day(state, "notified_at", "notified_date"), path, batch, "notified_date", ["alert_id"])
+
+
+def append_debates(debates: DataFrame, path: str, batch: str | None = None) -> None:
     """Append debate rows; struct and map columns are stored as JSON text, text stays as it is."""
     nested = (T.StructType, T.MapType, T.ArrayType)
     flat = debates.select(
@@ -73,11 +87,8 @@ def append_debates(debates: DataFrame, path: str) -> None:
             for f in debates.schema.fields
         ]
     )
-    write_table(
-        with_day(flat, "started_at", "started_date"),
-        path,
-        partition_by=["started_date"],
-        cluster_by=["source", "market_id", "finished_at"],
+    write_batch(
+        with_day(flat, "started_at", "started_date"), path, batch, "started_date", ["source", "market_id", "finished_at"]
     )
 
 
@@ -88,14 +99,10 @@ def refresh_series(series: DataFrame, path: str, as_of: datetime) -> None:
     )
 
 
-def replace_subscriptions(subscriptions: DataFrame, path: str) -> None:
-    """Replace the subscriptions of the sources present in `subscriptions`, leave other sources alone."""
-    write_table(subscriptions, path, "overwrite", ["source"], ["market_id"], "dynamic")
-
-
-def replace_days(df: DataFrame, path: str, day: str, cluster_by: Sequence[str] = ("source", "market_id")) -> None:
-    """Rewrite only the days present in `df`; it may have been read from the same table."""
-    write_table(df, path, "overwrite", [day], cluster_by, "dynamic")
+def replace_subscriptions(subscriptions: DataFrame, path: str, source: str) -> None:
+    """Replace the subscriptions of one source, also by none; other sources are left alone."""
+    own = subscriptions.filter(F.col("source") == source).drop("source")
+    write_table(own, f"{path}/source={source}", "overwrite", cluster_by=["market_id"])
 
 
 def write_transcripts(entries: DataFrame, path: str, folder: Column | None = None) -> None:
@@ -122,24 +129,31 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, extra: str
 
 
 def write_version(df: DataFrame, path: str, as_of: datetime, cluster_by: Sequence[str] = ()) -> None:
-    """Write a table's next version beside the earlier ones, for tables computed from themselves."""
-    version = f"{path}/version={micros_of(as_of)}"
-    write_table(df, version, "overwrite", cluster_by=cluster_by)
+    """Write a table's next version beside the earlier ones, for tables computed from themselves.
+
+    The version counts once its name stands in the small folder of finished versions, which is written last.
+    """
+    number = micros_of(as_of)
+    write_table(df, f"{path}/version={number}", "overwrite", cluster_by=cluster_by)
+    done = df.sparkSession.createDataFrame([(number,)], "number bigint")
+    done.coalesce(1).write.mode("overwrite").parquet(f"{path}_versions/finished={number}")
 
 
 def read_latest(
     spark: SparkSession, path: str, schema: T.StructType, before: datetime | None = None
 ) -> DataFrame:
-    """The latest version of a table, or the latest older than `before`; empty where there is none.
+    """The latest finished version of a table, or the latest older than `before`; empty where there is none.
 
     A job that writes the version of its own moment reads what came before it. Run again after a
-    failure, it starts from the same rows and replaces what it had written.
+    failure, it starts from the same rows and replaces what it had written. Only that version's files are opened.
     """
-    versions = read_if_there(spark, path, schema, "version bigint")
+    finished = read_if_there(spark, f"{path}_versions", T.StructType([T.StructField("number", T.LongType())]))
     if before is not None:
-        versions = versions.filter(F.col("version") < F.lit(micros_of(before)))
-    newest = versions.agg(F.max("version").alias("v")).first()["v"]
-    return versions.filter(F.col("version") == F.lit(newest)).select(*schema.fieldNames())
+        finished = finished.filter(F.col("number") < F.lit(micros_of(before)))
+    newest = finished.agg(F.max("number").alias("v")).first()["v"]
+    if newest is None:
+        return spark.createDataFrame([], schema)
+    return read_table(spark, f"{path}/version={newest}", schema)
 
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType, extra: str = "") -> DataFrame:

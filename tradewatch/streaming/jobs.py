@@ -6,8 +6,8 @@ repeated after a failure leaves the same rows as one that ran once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
+from collections.abc import Callable, Sequence
+from datetime import timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +15,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradewatch import schemas
-from tradewatch.plans.detect import DetectParams, detect_anomalies
+from tradewatch.operators.skew import first_per_key
+from tradewatch.plans.detect import DetectParams, alerts_since, judge_runs
 from tradewatch.sources.frames import parse_frames_a, parse_frames_b
-from tradewatch.sources.tables import read_if_there, with_day, write_table
+from tradewatch.sources.tables import BATCH, append_alerts, read_if_there, with_day, write_batch
 
 # One run per five minutes; a drain of what is there uses {"availableNow": True}.
 FLUSH = {"processingTime": "300 seconds"}
 
-_BATCH = "batch_id"
-
-
 def frame_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream
     if files_per_batch:
@@ -32,10 +30,32 @@ def frame_stream(spark: SparkSession, folder: str, files_per_batch: int | None =
     return reader.text(folder)
 
 
-def _replace_batch(df: DataFrame, path: str, day: str, batch: str) -> None:
-    write_table(
-        df.withColumn(_BATCH, F.lit(batch)), path, "overwrite", [day, _BATCH], ["source", "market_id"], "dynamic"
-    )
+def _ingest(
+    frames: DataFrame,
+    parse: Callable[[DataFrame], DataFrame],
+    out: str,
+    checkpoint: str,
+    prefix: str,
+    dedup_on: Sequence[str],
+    trigger: dict,
+) -> StreamingQuery:
+    """Parsed frames into the trades table; all venues write the same layout, a folder per batch.
+
+    With `dedup_on`, one trade of each key stays: of a batch the earliest, and none that another batch has stored for
+    the same day. Only those days are read. No trade is dropped for being late.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        mine = f"{prefix}{batch_id}"
+        trades = with_day(parse(batch), "ts", "trade_date")
+        if dedup_on:
+            trades = first_per_key(trades, dedup_on, [F.col("ts"), F.col("raw")])
+            days = [r["trade_date"] for r in trades.select("trade_date").distinct().collect() if r["trade_date"]]
+            known = trades_table(batch.sparkSession, out).filter((F.col(BATCH) != mine) & F.col("trade_date").isin(days))
+            trades = trades.join(known.select(*dedup_on), list(dedup_on), "left_anti").select(*trades.columns)
+        write_batch(trades, out, mine, "trade_date", ["source", "market_id", "ts"])
+
+    return frames.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def ingest_a(
@@ -43,26 +63,13 @@ def ingest_a(
     out: str,
     checkpoint: str,
     ingested_at: Column | None = None,
-    dedup_within: str | None = None,
+    dedup: bool = False,
     trigger: dict = FLUSH,
 ) -> StreamingQuery:
-    """Venue-A frames into the trades table through the exactly-once file sink.
-
-    `dedup_within` drops repeats of a trade id within that event-time span. The state holds one row per
-    id, and a group of copies can fill at most one batch, whose size `frame_stream` sets.
-    """
-    trades = parse_frames_a(frames, F.current_timestamp() if ingested_at is None else ingested_at)
-    if dedup_within:
-        trades = trades.withWatermark("ts", dedup_within).dropDuplicatesWithinWatermark(["source", "trade_id"])
-    return (
-        with_day(trades, "ts", "trade_date")
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("trade_date")
-        .trigger(**trigger)
-        .start()
-    )
+    """Venue-A frames into the trades table; `dedup` leaves out repeats of a trade id."""
+    stamp = F.current_timestamp() if ingested_at is None else ingested_at
+    on = ["source", "trade_id"] if dedup else []
+    return _ingest(frames, lambda batch: parse_frames_a(batch, stamp), out, checkpoint, "a", on, trigger)
 
 
 def ingest_b(
@@ -71,35 +78,33 @@ def ingest_b(
     out: str,
     checkpoint: str,
     ingested_at: Column | None = None,
+    dedup: bool = False,
     trigger: dict = FLUSH,
 ) -> StreamingQuery:
     """Venue-B frames into the trades table. `tokens` is read again for every batch, so a changed
-    subscription counts from the next batch on."""
+    subscription counts from the next batch on. One transaction can hold several trades, so `dedup` leaves out
+    only repeats that agree in all they say."""
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
+    on = ["source", "trade_id", "market_id", "ts", "price", "size", "side"] if dedup else []
+    return _ingest(frames, lambda batch: parse_frames_b(batch, tokens(), stamp), out, checkpoint, "b", on, trigger)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        trades = parse_frames_b(batch, tokens(), stamp)
-        _replace_batch(with_day(trades, "ts", "trade_date"), out, "trade_date", f"b{batch_id}")
 
-    return (
-        frames.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+def trades_table(spark: SparkSession, path: str) -> DataFrame:
+    """The trades of all venues; empty before the first batch."""
+    return read_if_there(spark, path, schemas.TRADES, f"{BATCH} string, trade_date date")
 
 
 def trade_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(_table_schema(schemas.TRADES, "trade_date"))
+    extra = T.StructType.fromDDL(f"{BATCH} string, trade_date date").fields
+    reader = spark.readStream.schema(T.StructType([*schemas.TRADES.fields, *extra]))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
 
-def _table_schema(schema: T.StructType, day: str) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(day, T.DateType())])
-
-
 def alerts_table(spark: SparkSession, path: str) -> DataFrame:
     """The alerts written by `detect`; empty before its first batch."""
-    return read_if_there(spark, path, schemas.ALERTS, f"detected_date date, {_BATCH} string")
+    return read_if_there(spark, path, schemas.ALERTS, f"{BATCH} string, detected_date date")
 
 
 def detect(
@@ -110,27 +115,23 @@ def detect(
     checkpoint: str,
     params: DetectParams = DetectParams(),
     trigger: dict | None = None,
+    every: timedelta = timedelta(minutes=15),
 ) -> StreamingQuery:
     """Flag unusual trades as they land, against the baseline of the whole trades table.
 
-    A batch is judged as of its latest trade. It looks back `params.lookback`, or further where the
-    batch itself spans more, so no trade of a batch is skipped. Alerts of other batches are not
-    repeated; those of the same batch are replaced, which makes a second attempt harmless.
+    Every trade is judged once, as of the run of `every` that its arrival belongs to; how trades are dealt into batches
+    and what clocks they carry makes no difference (see `judge_runs`). Alerts that other batches have stored are
+    not repeated; those of the same batch are replaced, which makes a second attempt harmless.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        span = batch.agg(F.min(F.unix_micros("ts")).alias("lo"), F.max(F.unix_micros("ts")).alias("hi")).first()
-        if span["hi"] is None:
-            return
-        epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-        as_of = epoch + timedelta(microseconds=span["hi"])
-        needed = timedelta(microseconds=span["hi"] - span["lo"] + 1)
-        settings = DetectParams(**{**vars(params), "lookback": max(params.lookback, needed)})
         mine = f"d{batch_id}"
-        known = alerts_table(spark, alerts_path).filter(F.col(_BATCH) != mine)
-        found = detect_anomalies(trades(), *dimensions(), known, as_of, settings)
-        _replace_batch(with_day(found, "detected_at", "detected_date"), alerts_path, "detected_date", mine)
+        found = judge_runs(batch, trades(), *dimensions(), params, every)
+        first = batch.agg(F.min("ingested_at").alias("at")).first()["at"]
+        known = alerts_table(batch.sparkSession, alerts_path).filter(F.col(BATCH) != mine)
+        if first is not None:
+            known = alerts_since(known, first.astimezone(timezone.utc) - params.lookback)
+        append_alerts(found.join(known.select("alert_id"), "alert_id", "left_anti").select(*found.columns), alerts_path, mine)
 
     return (
         new_trades.writeStream.foreachBatch(run)
