@@ -41,7 +41,53 @@ URL_RULES = {
 def op4_urls(spark, sf_dir):
     from tradewatch.llm.linkgraph import url_verdicts
 
-    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES)
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _url_sql() -> str:
+    from tradewatch.llm.linkgraph import DAMPING, FAMILY, LEAST, ROUNDS
+
+    def host(url: str) -> str:
+        lowered = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+        return f"translate(coalesce(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), ''), {lowered})"
+
+    rules, said = [], []
+    for rule in sorted(URL_RULES, key=len, reverse=True):
+        at, _, rest = rule.partition("/")
+        rules.append(f"WHEN (host = '{at}' OR host LIKE '%.{at}') AND starts_with(path, '/{rest}') THEN '{rule}'")
+        said.append(f"WHEN rule = '{rule}' THEN '{URL_RULES[rule]}'")
+    link = r"""(?i)href\s*=\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^"''\s>]+)"""
+    parts = [
+        f"p AS (SELECT page_id, html, {host('url')} AS host, "
+        "coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages)",
+        f"ruled AS (SELECT page_id, host, path, CASE {' '.join(rules)} END AS rule FROM p)",
+        f"judged AS (SELECT *, CASE {' '.join(said)} END AS said FROM ruled)",
+        "seeds AS (SELECT host, 2 * count(*) FILTER (said = 'allow') > count(*) AS good, "
+        "2 * count(*) FILTER (said = 'block') > count(*) AS bad FROM judged WHERE host <> '' GROUP BY host)",
+        f"links AS (SELECT host AS source, unnest(regexp_extract_all(html, '{link}', 1)) AS link FROM p)",
+        f"linked AS (SELECT source, {host("CASE WHEN starts_with(link, '//') THEN 'x:' || link ELSE link END")} AS target, "
+        "count(*)::DOUBLE AS links FROM links GROUP BY ALL)",
+        "hosts AS (SELECT host FROM p UNION SELECT target FROM linked)",
+        "family AS (SELECT host, regexp_extract(host, '^[^.]+\\.([^.]+\\..+|[^.]+\\.[^.]+)$', 1) AS domain FROM hosts)",
+        f"every AS (SELECT * FROM linked UNION ALL SELECT host, domain, {FAMILY} FROM family WHERE domain <> '')",
+        "edges AS (SELECT source, target, sum(links) AS links FROM every "
+        "WHERE source <> '' AND target <> '' AND source <> target GROUP BY ALL)",
+        "steps AS (SELECT 'trust' AS way, source AS a, target AS b, links / sum(links) OVER (PARTITION BY source) AS share FROM edges "
+        "UNION ALL SELECT 'distrust', target, source, links / sum(links) OVER (PARTITION BY target) FROM edges)",
+        "r0 AS (SELECT host, 'trust' AS way, 1.0::DOUBLE AS score FROM seeds WHERE good "
+        "UNION ALL SELECT host, 'distrust', 1.0 FROM seeds WHERE bad)",
+    ]
+    for k in range(ROUNDS):
+        parts.append(
+            f"r{k + 1} AS (SELECT host, way, sum(score) AS score FROM (SELECT b AS host, way, share * score * {DAMPING} AS score "
+            f"FROM steps JOIN r{k} USING (way) WHERE a = host UNION ALL SELECT host, way, score * {1 - DAMPING} FROM r0) GROUP BY ALL)"
+        )
+    parts.append(
+        "scores AS (SELECT host, coalesce(sum(score) FILTER (way = 'trust'), 0) AS trust, "
+        f"coalesce(sum(score) FILTER (way = 'distrust'), 0) AS distrust FROM r{ROUNDS} GROUP BY host)"
+    )
+    own = f"CASE WHEN coalesce(distrust, 0) >= {LEAST} AND distrust > trust THEN 'block' ELSE 'allow' END"
+    return f"WITH {', '.join(parts)} SELECT page_id, host, path, rule, coalesce(said, {own}) AS verdict FROM judged LEFT JOIN scores USING (host)"
 
 
 def op5_packed(spark, sf_dir):
@@ -132,4 +178,4 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op9_decontaminated": OP9_SQL}
+ORACLES: dict[str, str] = {"op4_urls": _url_sql(), "op9_decontaminated": OP9_SQL}
