@@ -125,8 +125,12 @@ def brute_removed(texts, length):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text("ab", max_size=50), max_size=5), st.sampled_from([8, 9, 13]))
 def test_expansion_against_brute_force(texts, length):
-    data = [x.encode() for x in texts] * 2
+    one = [x.encode() for x in texts]
+    data = one * 2
     seen = Counter(x[k : k + length] for x in data for k in range(len(x) - length + 1))
+    several = [k % 2 == 0 for k in range(len(one))]
+    copied = Counter(x[k : k + length] for x, s in zip(one, several, strict=True) for k in range(len(x) - length + 1) for _ in range(1 + s))
+    assert [x.tolist() for x in repeated(one, length, several)] == [[copied[x[k : k + length]] > 1 for k in range(len(x) - length + 1)] for x in one]
     assert [x.tolist() for x in repeated(data, length)] == [[seen[x[k : k + length]] > 1 for k in range(len(x) - length + 1)] for x in data]
 
 

@@ -5,11 +5,12 @@ Strings do not cross documents and are judged on the input.
 
 How the corpus is divided: every string of ``length`` bytes belongs to its anchor (``anchors``), and neighbours with one anchor
 form a context, the bytes they cover. Equal strings have equal anchors, so the contexts of an anchor can be judged
-without the rest of the corpus. Contexts of which nothing occurs twice by its anchor's hash go no further; of equal
-contexts two are enough to show that they repeat. Contexts of many anchors are put together, sorted by suffixes, and
+without the rest of the corpus. Contexts of which nothing occurs twice by its anchor's hash go no further; equal
+contexts are ordered once, with a mark that there are more. Contexts of many anchors are put together, sorted by suffixes, and
 expanded: the intervals of strings of 8 bytes are extended backwards, one byte at a time, all intervals of a length at once. An
 interval whose right end is new ends a run of suffixes that agree on no more bytes than its length so far; so common prefixes come out by
-rising value, and expansion stops at ``length``: places not reached by then are strings that repeat.
+rising value, and expansion stops at ``length``: an interval that is left has one string, which repeats if the interval has
+two suffixes or its suffix stands for several equal contexts.
 
 An anchor with more than ``most_contexts`` different contexts (a passage that very many documents share) is divided again. Its
 strings fall into classes by how far the anchor stands from their start, ``CLASS`` distances to a class, and by the bytes that all
@@ -43,8 +44,11 @@ LISTED = 4096
 _FIRST = 8
 
 
-def repeated(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
-    """For each text, whether the string of ``length`` bytes at each of its places occurs at another place of the texts."""
+def repeated(texts: list[bytes], length: int = LENGTH, several: list[bool] | None = None) -> list[np.ndarray]:
+    """For each text, whether the string of ``length`` bytes at each of its places occurs at another place of the texts.
+
+    ``several`` says which texts stand for several equal ones.
+    """
     sizes = np.array([len(x) for x in texts], np.int64) + 1
     # bytes of UTF-8 are at most 0xF4: shifted by one, 0 is free for the end and 255 for the border of two texts
     data = np.frombuffer(b"\xfe".join(texts) + b"\xfe", np.uint8) + np.uint8(1)
@@ -75,6 +79,8 @@ def repeated(texts: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
             break
     twice = np.empty(n, bool)
     twice[places] = ~reached[:n] | ~reached[1:]
+    if several:
+        twice[: n - 1] |= np.repeat(np.array(several, bool), sizes)
     out, at = [], 0
     for size in sizes.tolist():
         out.append(twice[at : at + max(0, size - length)])
@@ -158,11 +164,10 @@ def _expanded(length: int, batch_bytes: int):
         names, texts, held = [], [], 0
 
         def marked():
-            flags = repeated([x for x, twice in texts for _ in range(1 + twice)], length)
-            out, k = {x: [] for x in _MARKS.names}, 0
-            for (h, c), (_, twice) in zip(names, texts, strict=True):
-                begins, ends = runs(flags[k])
-                k += 1 + twice
+            flags = repeated([x for x, _ in texts], length, [twice for _, twice in texts])
+            out = {x: [] for x in _MARKS.names}
+            for (h, c), flag in zip(names, flags, strict=True):
+                begins, ends = runs(flag)
                 if len(begins):
                     for key, value in zip(out, (h, c, begins, ends), strict=True):
                         out[key].append(value)
@@ -176,7 +181,7 @@ def _expanded(length: int, batch_bytes: int):
                     names, texts, held = [], [], 0
                 names.append((h, c))
                 texts.append((context, twice))
-                held += len(context) * (1 + twice)
+                held += len(context)
         if names:
             yield marked()
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import numpy as np
 
 
-def doubled_ranks(first: np.ndarray, known: int = 1, depth: int | None = None):
+def doubled_ranks(first: np.ndarray, known: int = 1, depth: int | None = None, keep: bool = True):
     """Yield (length, ranks): the order of all suffixes by their first ``length`` symbols, the length doubling.
 
     ``first`` orders the suffixes by their first ``known`` symbols. The rank of a suffix is the number of suffixes
     that are smaller, so suffixes that agree so far share a rank. Those whose rank is their own are left alone from
-    then on. It ends when no two agree, or when ``depth`` symbols are looked at.
+    then on. It ends when no two agree, or when ``depth`` symbols are looked at. Without ``keep`` one array is changed in place.
     """
     n = len(first)
     if not n:
@@ -34,7 +34,7 @@ def doubled_ranks(first: np.ndarray, known: int = 1, depth: int | None = None):
         new = np.concatenate([[True], key[1:] != key[:-1]])
         group = np.concatenate([[True], old[1:] != old[:-1]])
         head = np.maximum.accumulate(np.where(new, place, 0))
-        rank = rank.copy()
+        rank = rank.copy() if keep else rank
         rank[active] = old + head - np.maximum.accumulate(np.where(group, place, 0))
         last = np.concatenate([new[1:], [True]])
         active = active[~(new & last)]
@@ -45,7 +45,7 @@ def doubled_ranks(first: np.ndarray, known: int = 1, depth: int | None = None):
 def suffix_array(first: np.ndarray, known: int = 1, depth: int | None = None) -> np.ndarray:
     """Suffix starts in order."""
     rank = np.zeros(0, np.int64)
-    for _, found in doubled_ranks(first, known, depth):
+    for _, found in doubled_ranks(first, known, depth, keep=False):
         rank = found
     return np.argsort(rank)
 
