@@ -42,6 +42,23 @@ def test_heavy_split_join_equals_join(spark, no_broadcast, how, heavy):
     assert rows_of(got) == rows_of(left.join(right, ["k"], how).select("n", "k", "w"))
 
 
+def test_copies_of_a_dimension_are_not_broadcast(spark):
+    left = skewed(spark)
+    right = left.groupBy("k").agg(F.count("*").alias("w"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1k")
+    try:
+        large = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+        plan = salted_join(left, large, ["k"], salts=16)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        small = salted_join(left, spark.range(5).select(F.concat(F.lit("k"), "id").alias("k")), ["k"])
+        plan = small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "__salt" not in plan
+        assert rows_of(salted_join(left, right, ["k"])) == rows_of(left.join(right, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_heavy_rows_spread_over_tasks(spark, no_broadcast):
     left = spark.range(4000).select(F.col("id").alias("n"), F.lit("hot").alias("k"))
     right = left.groupBy("k").agg(F.count("*").alias("w"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -31,12 +31,29 @@ def salted_join(
 ) -> DataFrame:
     """Join a large, possibly skewed `left` with a much smaller `right` (a dimension).
 
-    Each key of `left` is spread over `salts` tasks and `right` is repeated `salts` times. When
-    `right` is below the session's broadcast threshold, Spark broadcasts it and shuffles nothing.
+    Where Spark expects `right` to be below the session's broadcast threshold, this is a plain join: one copy of
+    `right` is broadcast and nothing is shuffled. Otherwise each key of `left` is spread over `salts` tasks and `right` is
+    repeated `salts` times; the copies, whose estimate would not grow with their number, are never broadcast.
     """
+    if 0 <= estimated_bytes(right) <= broadcast_limit(left.sparkSession):
+        return left.join(right, list(on), how)
     spread = left.withColumn(_SALT, row_salt(left, salts))
     copies = right.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, [*on, _SALT], how).drop(_SALT)
+    return spread.join(copies.hint("merge"), [*on, _SALT], how).drop(_SALT)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The size that the optimizer expects of a table."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_limit(spark: SparkSession) -> int:
+    """The session's broadcast threshold in bytes; -1 where broadcasts are off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    number = text.rstrip("bkmg")
+    unit = text[len(number) : len(number) + 1]
+    return int(number) * units.get(unit, 1)
 
 
 def heavy_split_join(

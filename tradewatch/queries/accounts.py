@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewatch.functions.text import agent_message, moderator_message, parse_decision, verdict_message
+from tradewatch import fixed
+from tradewatch.functions.text import (
+    agent_message,
+    agent_prompt,
+    moderator_message,
+    moderator_prompt,
+    parse_decision,
+    verdict_message,
+)
 from tradewatch.plans.accounting import (
     budget_flags,
     cost_by_provider,
@@ -191,7 +199,54 @@ def _verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assembled prompts of every asked turn, for agents and moderator."""
+    entries = views.transcripts(spark, sf_dir)
+    question = F.concat(F.lit("Debate "), "debate_id")
+    flags = budget_flags(turns(entries), views.BUDGET).select("debate_id", "turn", "spent_after_agents", "near_exhaustion")
+    seen = prompt_lines(entries).withColumnRenamed("turn", "of_turn").join(prompt_prefixes(entries), "debate_id")
+    shown = seen.filter(F.col("line_no") <= F.col("moderator_lines")).groupBy("debate_id", "turn", "agent_lines").agg(
+        F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("lines")
+    )
+    text = F.transform("lines", lambda x: x["line"])
+    agents = F.slice(text, 1, F.col("agent_lines").cast("int"))
+    spent, limit = F.round(F.col("spent_after_agents"), 9), F.lit(views.BUDGET)
+    return shown.join(flags, ["debate_id", "turn"]).select(
+        "debate_id",
+        "turn",
+        agent_prompt(question, agents).alias("agent_prompt"),
+        moderator_prompt(question, text, F.col("turn"), spent, limit, F.col("near_exhaustion")).alias("moderator_prompt"),
+    )
+
+
+def _verdict_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts with and without each part, fresh and reused, some with a probability in words."""
+    k = F.col("event_id")
+    said = F.when(k % 5 == 0, F.lit("likely")).when(k % 5 < 3, F.format_string("0.%02d", k % 100))
+    evidence = F.transform(F.sequence(F.lit(1), (k % 8 + 1).cast("int")), lambda x: F.concat(F.lit("point "), x.cast("string")))
+    verdict = F.struct(
+        said.alias("probability"),
+        F.when(k % 3 == 0, F.concat(F.lit("summary "), k)).alias("summary"),
+        F.when(k % 4 < 3, evidence).alias("key_evidence"),
+        F.when(k % 7 < 2, F.array(F.struct(F.lit("A").alias("agent"), F.lit("no").alias("view")))).alias("dissenters"),
+    )
+    rows = views.table(spark, sf_dir, "events").select(
+        k.alias("verdict_id"),
+        F.when(k % 11 != 0, F.to_json(verdict)).alias("verdict"),
+        F.when(k % 6 == 0, "deadlock").when(k % 6 == 1, "error").when(k % 6 == 2, "budget_exhausted").otherwise("consensus").alias("outcome"),
+        F.when(k % 9 == 0, "09:05 UTC").alias("cached_from"),
+    )
+    message = verdict_message(F.col("verdict"), F.col("outcome"), F.col("cached_from"))
+    return rows.select("verdict_id", message.alias("message"))
+
+
+def _text_sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 QUERIES = {
+    "assembled_prompts": _prompts,
+    "verdict_variants": _verdict_variants,
     "reuse_lookup": _reuse,
     "cached_debate_rows": _cached,
     "fresh_debate_runs": _fresh,
@@ -267,6 +322,38 @@ SELECT debate_id, 'a' || debate_id AS alert_id, 'manual' AS source, 'a' || debat
        {r6_sql("total_cost_usd", "total_cost_usd")},
        user_usd, assistant_usd, system_usd, moderator_usd, 't' || (conv_id % 7) AS discord_thread_id
 FROM outcomes JOIN asked ON debate_id = CAST(conv_id AS VARCHAR) JOIN providers USING (debate_id)""",
+    "assembled_prompts": f"""WITH {views.TRANSCRIPTS_SQL}, lines AS (
+  SELECT debate_id, seq, turn, '--- Turn ' || turn || ' — ' || provider || ' ---' || chr(10)
+         || coalesce(nullif(text, ''), '[error: ' || error || ']', '') AS line
+  FROM transcripts WHERE NOT moderator
+), asked AS (SELECT DISTINCT debate_id, turn FROM lines), shown AS (
+  SELECT a.debate_id, a.turn, string_agg(line, chr(10) ORDER BY seq) FILTER (l.turn < a.turn) AS before,
+         string_agg(line, chr(10) ORDER BY seq) AS upto
+  FROM asked a JOIN lines l ON l.debate_id = a.debate_id AND l.turn <= a.turn GROUP BY a.debate_id, a.turn
+)
+SELECT debate_id, turn,
+       'QUESTION: Debate ' || debate_id || chr(10) || chr(10) || CASE WHEN before IS NULL THEN {_text_sql(fixed.INITIAL)}
+         ELSE 'PRIOR TURNS:' || chr(10) || before || chr(10) || chr(10) || {_text_sql(fixed.REFINE)} END AS agent_prompt,
+       'QUESTION: Debate ' || debate_id || chr(10) || 'TURN: ' || turn || chr(10) || 'BUDGET: $'
+         || {fixed_sql("round(spent_after_agents, 9)", 3)} || ' / $0.04 used' || chr(10)
+         || CASE WHEN near_exhaustion THEN {_text_sql(fixed.WRAP_UP)} || chr(10) ELSE '' END || chr(10)
+         || 'DEBATE TRANSCRIPT:' || chr(10) || upto || chr(10) || chr(10) || {_text_sql(fixed.ASK_DECISION)} AS moderator_prompt
+FROM shown JOIN flagged USING (debate_id, turn)""",
+    "verdict_variants": """
+WITH v AS (SELECT event_id AS k FROM events), parts AS (
+  SELECT k, CASE WHEN k % 9 = 0 THEN '**Debate verdict (cached from 09:05 UTC)**' ELSE '**Debate verdict — '
+           || CASE k % 6 WHEN 0 THEN 'deadlock' WHEN 1 THEN 'error' WHEN 2 THEN 'budget exhausted' ELSE 'consensus' END || '**' END AS head,
+         CASE WHEN k % 5 = 0 THEN '**Probability YES: likely**' WHEN k % 5 < 3 THEN '**Probability YES: ' || (k % 100) || '%**' END AS prob,
+         CASE WHEN k % 3 = 0 THEN 'summary ' || k END AS summary,
+         CASE WHEN k % 4 < 3 THEN chr(10) || '_Key evidence:_' || chr(10)
+           || array_to_string([('- point ' || i) FOR i IN range(1, k % 8 + 2)], chr(10)) END AS evidence,
+         CASE WHEN k % 7 < 2 THEN chr(10) || '_Dissenters:_' || chr(10) || '- **A**: no' END AS dissent
+  FROM v
+)
+SELECT k AS verdict_id, CASE WHEN k % 11 = 0 OR (k % 5 > 2 AND k % 3 <> 0 AND k % 4 = 3 AND k % 7 > 1)
+         THEN concat_ws(chr(10), head, '_No verdict produced._')
+         ELSE concat_ws(chr(10), head, prob, summary, evidence, dissent) END AS message
+FROM parts""",
     "message_render": f"""WITH {views.TRANSCRIPTS_SQL}, bodies AS (
   SELECT *, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS body,
          upper(left(provider, 1)) || substr(provider, 2) AS label

@@ -93,15 +93,18 @@ def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_subscriptions(gone.limit(0), f"{root}/subs", "venue_c")
     evolved = read_table(spark, f"{root}/alerts", schemas.ALERTS, "reviewed_by string, detected_date date")
     stored = [
-        ("alerts", evolved.filter(F.col("reviewed_by").isNull()), "alert_id"),
-        ("debates", read_table(spark, f"{root}/debates", schemas.DEBATES), "debate_id"),
-        ("subscriptions", read_table(spark, f"{root}/subs", schemas.SUBSCRIPTIONS), "market_id"),
+        ("alerts", evolved.filter(F.col("reviewed_by").isNull()), "alert_id", ["title", "side", "reason", "discord_thread_id"]),
+        ("debates", read_table(spark, f"{root}/debates", schemas.DEBATES), "debate_id", ["series_ticker", "market_id", "title", "outcome"]),
+        ("subscriptions", read_table(spark, f"{root}/subs", schemas.SUBSCRIPTIONS), "market_id", ["yes_token_id", "no_token_id"]),
     ]
     parts = [
-        df.groupBy("source")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
-        .select(F.lit(name).alias("table_name"), "source", "n", "first_key", "last_key")
-        for name, df, key in stored
+        df.select(
+            F.lit(name).alias("table_name"),
+            "source",
+            F.col(key).alias("key"),
+            F.concat_ws("|", *[F.coalesce(c, F.lit("-")) for c in texts]).alias("payload"),
+        )
+        for name, df, key, texts in stored
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -109,11 +112,11 @@ def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _transcript_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts as JSON lines, a folder per hundred debates, read back per debate."""
     root = shared_folder(spark, "transcripts")
-    entries = views.transcripts(spark, sf_dir).filter(~F.col("moderator"))
+    entries = views.transcripts(spark, sf_dir)
     write_transcripts(entries, root, folder=F.floor(F.col("debate_id").cast("bigint") / 100))
     back = spark.read.schema(schemas.TRANSCRIPTS).json(root)
-    return back.groupBy("debate_id").agg(
-        F.count(F.lit(1)).alias("entries"), F.sum(F.length("text")).alias("chars"), F.max("seq").alias("last_seq")
+    return back.select(
+        "debate_id", "seq", "turn", "moderator", "provider", "text", r6("cost_usd"), "input_tokens", "error", "decision"
     )
 
 
@@ -157,20 +160,18 @@ SELECT source, CAST(ts AS DATE) AS day, count(*) AS trades,
        count(*) FILTER (ingested_at - ts > INTERVAL 30 MINUTE) AS late,
        CAST(max(epoch_us(ingested_at) - epoch_us(ts)) AS DOUBLE) / 1e6 AS max_delay_s
 FROM trades GROUP BY 1, 2""",
-    "layout_roundtrip": f"""WITH {views.ALERTS_SQL}, subs AS (
-  SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 1
-), rows AS (
-  SELECT 'alerts' AS table_name, source, alert_id AS k FROM alerts
-  UNION ALL
-  SELECT 'debates', CASE WHEN user_id % 2 = 0 THEN 'venue_a' ELSE 'venue_b' END, 'd' || event_id
-  FROM events WHERE event_type IN ('view', 'signup')
-  UNION ALL SELECT 'subscriptions', 'venue_b', 'm' || user_id FROM subs
-  UNION ALL SELECT 'subscriptions', 'venue_a', 'm' || user_id FROM subs
-  UNION ALL SELECT 'subscriptions', 'venue_a', 'x' || user_id FROM subs WHERE user_id % 50 = 1
-)
-SELECT table_name, source, count(*) AS n, min(k) AS first_key, max(k) AS last_key FROM rows GROUP BY 1, 2""",
-    "transcript_files": """
-SELECT CAST(conv_id AS VARCHAR) AS debate_id, count(*) AS entries, CAST(sum(length(text)) AS BIGINT) AS chars,
-       max(turn) AS last_seq
-FROM conversations GROUP BY conv_id""",
+    "layout_roundtrip": f"""WITH {views.ALERTS_SQL}, {views.DEBATES_SQL}, {views.TOKENS_SQL}
+SELECT 'alerts' AS table_name, source, alert_id AS key,
+       concat_ws('|', coalesce(title, '-'), coalesce(side, '-'), coalesce(reason, '-'), coalesce(discord_thread_id, '-')) AS payload
+FROM alerts
+UNION ALL
+SELECT 'debates', source, debate_id,
+       concat_ws('|', coalesce(series_ticker, '-'), coalesce(market_id, '-'), coalesce(title, '-'), coalesce(outcome, '-'))
+FROM debates
+UNION ALL
+SELECT 'subscriptions', s, market_id, coalesce(yes_token_id, '-') || '|' || coalesce(no_token_id, '-')
+FROM tokens, (VALUES ('venue_a'), ('venue_b')) v(s) WHERE s = 'venue_a' OR no_token_id IS NOT NULL""",
+    "transcript_files": f"""WITH {views.TRANSCRIPTS_SQL}
+SELECT debate_id, seq, turn, moderator, provider, text, {r6_sql("cost_usd", "cost_usd")}, input_tokens, error, decision
+FROM transcripts""",
 }

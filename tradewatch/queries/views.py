@@ -229,6 +229,14 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOKENS_SQL = """
+tokens AS (
+  SELECT CASE WHEN late THEN 'x' ELSE 'm' END || user_id AS market_id, 'y' || user_id AS yes_token_id,
+         CASE WHEN NOT late THEN 'n' || user_id END AS no_token_id
+  FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 1), (VALUES (FALSE), (TRUE)) v(late)
+  WHERE NOT late OR user_id % 50 = 1
+)"""
+
 FRAMES_A_SQL = """
 frames_a AS (
   SELECT event_id, user_id, event_type,
