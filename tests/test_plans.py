@@ -7,7 +7,7 @@ from tradewatch.plans.detect import enriched_alerts
 from tradewatch.queries import views
 
 SF = "/root/testdata/sf0.01"
-WRITERS = {"stream_ingest", "stream_detect", "landed_pages", "layout_roundtrip", "transcript_files"}
+WRITERS = {"stream_ingest", "stream_detect", "landed_pages", "layout_roundtrip", "transcript_files", "column_added", "series_refreshed", "intent_file"}
 
 
 def plan_of(df):

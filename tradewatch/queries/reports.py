@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +12,12 @@ from tradewatch.operators import reports
 from tradewatch.queries import views
 from tradewatch.queries.shape import r6, r6_sql, wall
 from tradewatch.session import shared_folder
+from tradewatch.sources.config import read_intent, valid_subscriptions
 from tradewatch.sources.tables import (
     append_alerts,
     append_debates,
     read_table,
+    refresh_series,
     replace_subscriptions,
     write_transcripts,
 )
@@ -120,7 +122,60 @@ def _transcript_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _column_added(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts stored before and after the table got a column; older files lack it and read as NULL."""
+    path = f"{shared_folder(spark, 'evolved')}/alerts"
+    alerts = views.alerts(spark, sf_dir)
+    old = F.col("trade_id").cast("bigint") % 2 == 0
+    append_alerts(alerts.filter(old), path, "before")
+    append_alerts(alerts.filter(~old).withColumn("reviewed_by", F.concat(F.lit("r"), F.col("trade_id"))), path, "after")
+    stored = read_table(spark, path, schemas.ALERTS, "reviewed_by string, batch_id string, detected_date date")
+    return stored.select("alert_id", "batch_id", "reviewed_by", "detected_date")
+
+
+def _series_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series table after two refreshes: only the second run's rows, under one timestamp."""
+    path = f"{shared_folder(spark, 'series')}/series"
+    series = schemas.conform(views.series(spark, sf_dir), schemas.SERIES)
+    refresh_series(series, path, datetime(2024, 1, 1, tzinfo=timezone.utc))
+    refresh_series(series.filter(F.col("title").isNotNull()), path, datetime(2024, 2, 1, tzinfo=timezone.utc))
+    return read_table(spark, path, schemas.SERIES).select("ticker", "title", wall("resolved_at"))
+
+
+def _intent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An intent file of the nations' names, written as text and read back."""
+    path = f"{shared_folder(spark, 'intent')}/intent.json"
+    names = F.array_sort(F.collect_list("n_name"))
+    body = F.struct(
+        F.struct(names.alias("categories"), F.array(F.lit("T1"), F.lit("T2")).alias("tickers")).alias("venue_a"),
+        F.struct(F.transform(names, lambda x: F.lower(x)).alias("tag_slug")).alias("venue_b"),
+        F.struct(F.lit(True).alias("enabled")).alias("debater"),
+    )
+    views.table(spark, sf_dir, "nation").agg(F.to_json(body).alias("value")).coalesce(1).write.text(path)
+    found = read_intent(spark, path)
+    rows = [("category", x) for x in found.categories] + [("ticker", x) for x in found.tickers]
+    rows += [("tag", x) for x in found.tag_slugs] + [("debates", str(found.debates_enabled)), ("publish", str(found.debates_auto_publish))]
+    return spark.createDataFrame(rows, "kind string, value string")
+
+
+def _valid_subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as token subscriptions; some lack an id, some are no object."""
+    key = F.col("c_custkey")
+    fields = F.struct(
+        F.concat(F.lit("m"), key).alias("market_id"),
+        F.when(key % 5 != 0, F.concat(F.lit("y"), key)).alias("yes_token_id"),
+        F.when(key % 7 == 0, F.lit("")).otherwise(F.concat(F.lit("n"), key)).alias("no_token_id"),
+    )
+    payload = F.when(key % 11 == 0, F.lit("[1]")).when(key % 13 == 0, F.lit("{broken")).otherwise(F.to_json(fields))
+    items = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("position"), payload.alias("payload"))
+    return valid_subscriptions(items)
+
+
 QUERIES = {
+    "column_added": _column_added,
+    "series_refreshed": _series_refreshed,
+    "intent_file": _intent,
+    "subscriptions_valid": _valid_subscriptions,
     "source_summary": _sources,
     "latest_alerts": _latest_alerts,
     "ingest_freshness": _freshness,
@@ -133,6 +188,18 @@ QUERIES = {
 }
 
 ORACLES = {
+    "column_added": f"""WITH {views.ALERTS_SQL}
+SELECT alert_id, CASE WHEN event_id % 2 = 0 THEN 'before' ELSE 'after' END AS batch_id,
+       CASE WHEN event_id % 2 <> 0 THEN 'r' || event_id END AS reviewed_by, CAST(detected_at AS DATE) AS detected_date
+FROM alerts""",
+    "series_refreshed": f"""WITH {views.DIMENSIONS_SQL}
+SELECT ticker, title, TIMESTAMP '2024-02-01' AS resolved_at FROM series WHERE title IS NOT NULL""",
+    "intent_file": """
+SELECT 'category' AS kind, n_name AS value FROM nation UNION ALL SELECT 'tag', lower(n_name) FROM nation
+UNION ALL SELECT * FROM (VALUES ('ticker', 'T1'), ('ticker', 'T2'), ('debates', 'True'), ('publish', 'True'))""",
+    "subscriptions_valid": """
+SELECT c_custkey AS position, 'm' || c_custkey AS market_id, 'y' || c_custkey AS yes_token_id, 'n' || c_custkey AS no_token_id
+FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 7 <> 0 AND c_custkey % 11 <> 0 AND c_custkey % 13 <> 0""",
     "source_summary": f"""WITH {views.TRADES_SQL}
 SELECT source, count(*) AS trades, min(ts) AS first_ts, max(ts) AS latest_ts
 FROM trades, clock WHERE CAST(ts AS DATE) = CAST(as_of AS DATE) GROUP BY source""",
