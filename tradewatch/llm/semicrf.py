@@ -8,7 +8,7 @@ and kinds are chosen together by dynamic programming over the segments that may
 segments score zero. Spans it finds are added where they do not touch base spans of their kind.
 
 The weights are learned by the likelihood of the base spans in regions where every match passes its test, from at most
-``train_docs`` documents, chosen by a hash of their text. Without such documents nothing is added.
+``train_docs`` documents, chosen by a hash of their id and text. Without such documents nothing is added.
 
 Null texts are empty and have no span. Repeated rows are judged alone. Texts of any length are read whole. An empty table
 gives no rows. Other columns are not read.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import ROW, carried, schema_of
+from tradewatch.llm.common import ROW, bounded_sample, carried, schema_of
 
 KINDS = ("email", "ip", "card", "phone")
 # fixed values: the base patterns
@@ -253,8 +253,8 @@ def masked(text: str, spans) -> str:
 
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray] | None:
     """The field's weights, learned from at most ``train_docs`` documents that have a digit or an ``@``."""
-    rows = docs.where(F.col("text").rlike("[0-9@]")).select("text").orderBy(F.xxhash64("text"), "text").limit(train_docs)
-    return train([x["text"] for x in rows.collect()])
+    rows = bounded_sample(docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]")), train_docs)
+    return train(sorted(x["text"] for x in rows.select("text").limit(train_docs).collect()))
 
 
 _COUNTS = [f"n_{kind}" for kind in KINDS]
