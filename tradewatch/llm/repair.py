@@ -42,23 +42,24 @@ FILE_SCHEMA = (
 )
 
 
-def _frequent(left: np.ndarray, right: np.ndarray, least: int):
-    """Distinct pairs that occur at least ``least`` times, as 64-bit keys by falling count, and the pair of each position.
+def _frequent(left: np.ndarray, right: np.ndarray, least: int, turn: int):
+    """Pairs that occur at least ``least`` times, as 64-bit keys by falling count, and the pair of each position.
 
-    A small table of hashed counts first leaves out the pairs that cannot be frequent, so few keys are sorted.
+    Pairs are counted in a table by their hash, one pair to a slot; a pair whose slot another one holds waits for a later
+    turn, which hashes anew. Nothing is sorted but the frequent pairs.
     """
     key = (left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)
-    slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
-    may = np.flatnonzero(np.bincount(slot, minlength=1 << _HASH_BITS)[slot] >= least)
-    found, inverse, counts = np.unique(key[may], return_inverse=True, return_counts=True)
+    slot = ((key * np.uint64(0x9E3779B97F4A7C15 + 2 * turn)) >> np.uint64(64 - _HASH_BITS)).astype(np.int64)
+    holder = np.zeros(1 << _HASH_BITS, np.uint64)
+    holder[slot] = key
+    own = holder[slot] == key
+    counts = np.bincount(slot[own], minlength=1 << _HASH_BITS)
+    often = np.flatnonzero(counts >= least)
     # pairs of one count in mixed order: in rising order, a run of them would give way to its first
-    order = np.lexsort((found * np.uint64(0xC2B2AE3D27D4EB4F), -counts))
-    order = order[counts[order] >= least]
-    rank = np.full(len(found), len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    at = np.full(len(left), len(order), np.int64)
-    at[may] = rank[inverse]
-    return found[order], at
+    often = often[np.lexsort((holder[often] * np.uint64(0xC2B2AE3D27D4EB4F), -counts[often]))]
+    rank = np.full(1 << _HASH_BITS, len(often), np.int64)
+    rank[often] = np.arange(len(often))
+    return holder[often], np.where(own, rank[slot], len(often))
 
 
 def compress(ids: np.ndarray, least: int | None = None) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
@@ -71,10 +72,10 @@ def compress(ids: np.ndarray, least: int | None = None) -> tuple[int, np.ndarray
     base = int(sequence.max(initial=0)) + 1
     least = least or max(4, len(ids) // 20_000)
     rules, spans, size = [], [], base
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         if len(sequence) < 2:
             break
-        pairs, rank = _frequent(sequence[:-1], sequence[1:], least)
+        pairs, rank = _frequent(sequence[:-1], sequence[1:], least, turn)
         if not len(pairs):
             break
         none = len(pairs)
