@@ -14,7 +14,7 @@ import unicodedata
 import numpy as np
 
 #: Chunks a Python worker keeps; beyond that it begins anew, which costs time and changes nothing.
-CACHED_CHUNKS = 1_500_000
+CACHED_CHUNKS = 1_000_000
 #: Length up to which a chunk is kept; longer ones are encoded each time.
 CACHED_CHARS = 64
 #: Letters from here on are left to the library's own rules on what a letter is.
@@ -91,6 +91,12 @@ def encoder(path: str) -> ChunkEncoder:
     return _loaded[path]
 
 
+def forget() -> None:
+    """Free the worker's chunks, for an operator that needs the memory."""
+    for own in _loaded.values():
+        own.clear()
+
+
 def encoded(texts, path: str, end_id: int):
     """Yield the ids of each text with ``end_id`` at its end, as bytes. Null texts have the end id only."""
     end = np.array([end_id], _IDS).tobytes()
