@@ -288,7 +288,7 @@ FROM found WHERE rn = 1 AND debate_id IS NOT NULL""",
   SELECT * FROM alerts WHERE discord_thread_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY discord_thread_id ORDER BY detected_at DESC, alert_id DESC) = 1
 ), manual AS (
-  SELECT 'manual-' || left(sha256('manual|' || c_custkey), 12) AS alert_id, 'Will ' || c_name || ' rise?' AS title,
+  SELECT 'manual-' || left(sha256('manual|' || c_custkey), 32) AS alert_id, 'Will ' || c_name || ' rise?' AS title,
          't' || (c_custkey % 9) AS thread_id
   FROM customer WHERE c_custkey % 3 = 0
 ), asked AS (
