@@ -122,3 +122,12 @@ def test_sql(spark):
 def test_no_python_in_the_plan(spark):
     plan = queries.op4_urls(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_long_chains_converge(spark):
+    chain = [page(1, "http://bad.net/es/1")] + [page(k + 1, f"http://h{k}.org/", (f"http://{f'h{k - 1}.org' if k > 1 else 'bad.net'}/", '"')) for k in range(1, 14)]
+    rows = url_verdicts(spark.createDataFrame(chain, "page_id long, url string, html string, host string, trust long"), RULES).collect()
+    got = {x["host"]: x for x in rows}
+    for k in range(1, 14):
+        assert abs(got[f"h{k}.org"]["distrust"] - 0.15 * 0.85**k) < 1e-9
+        assert got[f"h{k}.org"]["verdict"] == ("block" if 0.15 * 0.85**k >= LEAST else "allow")

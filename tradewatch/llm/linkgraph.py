@@ -6,11 +6,12 @@ block more than half are blocked seeds.
 
 Host edges are the absolute links of the pages, counted per pair of hosts, and an edge from a host to the domain it lies
 below: trust goes up to the domain, distrust comes down from it. Trust is a personalised PageRank from the trusted seeds along the edges; distrust is one from the blocked
-seeds along the reversed edges (who links to blocked hosts is suspect). Both start with 1 at each seed and keep ``1 - damping`` of it
-there. A host is blocked if its distrust is at least ``least`` and above its trust, else allowed.
+seeds along the reversed edges (who links to blocked hosts is suspect). Each seed gives out 1, of which ``1 - damping`` stays where it
+is at every step. Steps are added up until all that is still on its way is less than ``tolerance``, so scores are too low by less
+than that. A host is blocked if its distrust is at least ``least`` and above its trust, else allowed.
 
 Only DataFrame functions are used. A host with a third of all pages is one row of the graph: pairs are counted before they
-are shuffled. Each round is one join by source and one sum by target, stored in the shared folder.
+are shuffled. Each round is one join by source and one sum by target, stored in the shared folder, and one sum of what moved.
 
 Null urls and urls without ``://`` have an empty host and path, no rule, and are allowed unless the method learns
 otherwise of the empty host, which it cannot. Null html has no links. Repeated rows are judged alone. An empty table gives no
@@ -26,7 +27,9 @@ from pyspark.sql import functions as F
 
 from tradewatch.llm.common import stored
 
-DAMPING, ROUNDS, LEAST = 0.85, 10, 0.05
+DAMPING, LEAST, TOLERANCE = 0.85, 0.05, 1e-10
+#: Rounds that no table reaches: what is then still on its way (0.85^400 of the seeds) is below the rounding of a double.
+ROUNDS = 400
 #: Weight of the edge from a host to its domain, next to one link.
 FAMILY = 1.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -72,7 +75,7 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
     """host, trust, distrust. ``seeds``: host, trust, distrust at the start (1 for a seed, else 0)."""
 
     def shares(a: str, b: str) -> DataFrame:
@@ -88,11 +91,16 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, roun
         .select("host", "x.way", F.col("x.at").cast("double").alias("score")).where("score > 0"),
         "host-seeds",
     )
-    scores = start
+    scores = start.select("host", "way", (F.col("score") * (1 - damping)).alias("moved")).withColumn("score", F.col("moved"))
     for _ in range(rounds):
-        moved = steps.join(scores, ["host", "way"]).select(F.col("to").alias("host"), "way", (F.col("share") * F.col("score") * damping).alias("score"))
-        kept = start.withColumn("score", F.col("score") * (1 - damping))
-        scores = stored(moved.unionAll(kept).groupBy("host", "way").agg(F.sum("score").alias("score")), "host-scores")
+        moving = scores.where("moved > 0").select("host", "way", "moved")
+        moved = steps.join(moving, ["host", "way"]).select(F.col("to").alias("host"), "way", (F.col("share") * F.col("moved") * damping).alias("moved"))
+        both = moved.withColumn("score", F.col("moved")).unionAll(scores.select("host", "way", F.lit(0.0).alias("moved"), "score"))
+        scores = stored(both.groupBy("host", "way").agg(F.sum("moved").alias("moved"), F.sum("score").alias("score")), "host-scores")
+        # what the last step moved makes at most moved * damping / (1 - damping) in all later ones
+        left = scores.agg(F.sum("moved")).first()[0] or 0.0
+        if left * damping < tolerance * (1 - damping):
+            break
     return scores.groupBy("host").agg(*[F.sum(F.when(F.col("way") == x, F.col("score")).otherwise(0.0)).alias(x) for x in ("trust", "distrust")])
 
 

@@ -36,6 +36,8 @@ def op3_personal_data(spark, sf_dir):
 URL_RULES = {
     "com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block",
 }
+#: Rounds written out in the SQL: enough for tables whose hosts lie on no cycle and no longer chain.
+SQL_ROUNDS = 10
 
 
 def op4_urls(spark, sf_dir):
@@ -45,7 +47,7 @@ def op4_urls(spark, sf_dir):
 
 
 def _url_sql() -> str:
-    from tradewatch.llm.linkgraph import DAMPING, FAMILY, LEAST, ROUNDS
+    from tradewatch.llm.linkgraph import DAMPING, FAMILY, LEAST
 
     def host(url: str) -> str:
         lowered = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -77,14 +79,14 @@ def _url_sql() -> str:
         "r0 AS (SELECT host, 'trust' AS way, 1.0::DOUBLE AS score FROM seeds WHERE good "
         "UNION ALL SELECT host, 'distrust', 1.0 FROM seeds WHERE bad)",
     ]
-    for k in range(ROUNDS):
+    for k in range(SQL_ROUNDS):
         parts.append(
             f"r{k + 1} AS (SELECT host, way, sum(score) AS score FROM (SELECT b AS host, way, share * score * {DAMPING} AS score "
             f"FROM steps JOIN r{k} USING (way) WHERE a = host UNION ALL SELECT host, way, score * {1 - DAMPING} FROM r0) GROUP BY ALL)"
         )
     parts.append(
         "scores AS (SELECT host, coalesce(sum(score) FILTER (way = 'trust'), 0) AS trust, "
-        f"coalesce(sum(score) FILTER (way = 'distrust'), 0) AS distrust FROM r{ROUNDS} GROUP BY host)"
+        f"coalesce(sum(score) FILTER (way = 'distrust'), 0) AS distrust FROM r{SQL_ROUNDS} GROUP BY host)"
     )
     own = f"CASE WHEN coalesce(distrust, 0) >= {LEAST} AND distrust > trust THEN 'block' ELSE 'allow' END"
     return f"WITH {', '.join(parts)} SELECT page_id, host, path, rule, coalesce(said, {own}) AS verdict FROM judged LEFT JOIN scores USING (host)"
