@@ -33,12 +33,18 @@ def test_chunks_encode_as_whole_texts(name):
     check()
 
 
+@pytest.mark.parametrize("name", FILES)
+@pytest.mark.parametrize("text", ["İ,", "wordİ.", "İ., x", "a\nİ\nb.\n\nc", "x.\nY!!", "Dogs'. 'tis!\"", "a<|endoftext|>.", "\n.a\n"])
+def test_marks_stops_and_line_ends(name, text):
+    assert np.frombuffer(tokens.encoder(tokenizer_path(name)).encode(text), "<u4").tolist() == whole(name, text)
+
+
 def test_cache_bound_changes_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "CACHED_CHUNKS", 3)
     encoder = tokens.ChunkEncoder(tokenizer_path(FILES[0]))
     text = "one two three four five six one two, three."
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole(FILES[0], text)
-    assert len(encoder) <= 4
+    assert len(encoder) <= 4 and len(encoder.older) <= 4
 
 
 @settings(max_examples=200, deadline=None)

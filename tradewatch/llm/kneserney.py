@@ -318,7 +318,7 @@ def fit(docs: DataFrame, held_out, order: int = ORDER, max_sequences: int = MAX_
         "doc_id", "text", "lang", (fold() != 3).alias("seen")
     )
     counts = _kept_counts(stored(sequence_counts(learned, order), "language-counts"), max_sequences).toArrow()
-    langs = sorted(x for x in counts.column("lang").unique().to_pylist() if x)
+    langs = sorted(counts.column("lang").unique().to_pylist())
     numbers = {x: k for k, x in enumerate(langs)}
     lang = np.array([numbers[x] for x in counts.column("lang").to_pylist()], np.int64)
     n, own = counts.column("n").to_numpy(), counts.column("seen").to_numpy()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import stored
+from tradewatch.llm.common import ROW, carried, stored
 from tradewatch.llm.components import components
 
 SHINGLE, MOST, PARTS, BUCKET, SEED = 3, 2, 9, 64, 42
@@ -124,5 +124,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = MOST) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    stay = near_duplicates(docs, shingle, most).where("first").select(F.col("row").alias("_near_row"))
-    return docs.withColumn("_near_row", F.monotonically_increasing_id()).join(stay, "_near_row").drop("_near_row")
+    stay = near_duplicates(docs, shingle, most).where("first").select("row")
+    rows = carried(docs, [], carry=True).select(F.monotonically_increasing_id().alias("row"), ROW)
+    return rows.join(stay, "row").select(f"{ROW}.*")

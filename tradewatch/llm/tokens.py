@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer file, each distinct chunk encoded once.
 
-The tokenizers used here never join characters across a blank that follows a character other than white space, nor a
-run of letters with a comma or full stop behind it. A text is cut there, the library encodes each piece that is new
-to the worker, and the ids of a text are those of its pieces. Words of letters go straight to the library's model.
+The tokenizers used here never join characters across a blank that follows a character other than white space, nor across
+a single line end between two such characters, nor a run of letters with stops behind it (unless the run's lower case ends in
+a mark). A text is cut there, the library encodes each piece that is new to the worker, and the ids of a
+text are those of its pieces. Words of letters go straight to the library's model.
 """
 
 from __future__ import annotations
@@ -10,13 +11,16 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 
-#: Chunks a Python worker keeps; beyond that it begins anew, which costs time and changes nothing.
-CACHED_CHUNKS = 1_000_000
+#: Chunks a Python worker keeps in each of two generations; when one is full, the older one goes. That changes nothing but time.
+CACHED_CHUNKS = 600_000
 #: Length up to which a chunk is kept; longer ones are encoded each time.
 CACHED_CHARS = 64
+#: Signs that may follow a word of letters; an apostrophe may join it and angle brackets may be of a special token.
+STOPS = ".,;:!?#$%&*()-\""
 #: Letters from here on are left to the library's own rules on what a letter is.
 PLAIN_LETTERS = "\u0530"
 _IDS = np.dtype("<u4")
@@ -30,6 +34,11 @@ def _byte_letters() -> dict[int, str]:
     return {x: chr(x) for x in printable} | {x: chr(256 + k) for k, x in enumerate(others)}
 
 
+def _lowered(word: str) -> str:
+    """A word in the library's normal form: composed, each letter in lower case by itself."""
+    return "".join(map(str.lower, unicodedata.normalize("NFC", word)))
+
+
 class ChunkEncoder(dict):
     """Ids of chunks as little-endian unsigned 32-bit integers; a chunk that is asked for first is encoded."""
 
@@ -37,11 +46,12 @@ class ChunkEncoder(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
         one = self._whole("a")
         self.blanks_count = self._whole("a a") != one + one
         self.lowers = self._whole("A") == one
-        self.letters = [_byte_letters()[x] for x in range(256)]
+        self.letters = _byte_letters()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, _IDS).tobytes()
@@ -49,28 +59,45 @@ class ChunkEncoder(dict):
     def _word(self, word: str) -> bytes:
         """The ids of one run of letters with or without a blank before it."""
         if self.lowers:
-            lower = "".join(map(str.lower, unicodedata.normalize("NFC", word)))
-            if not lower.isalpha():  # a letter whose lower case has a mark of its own
-                return self._whole(word)
-            word = lower
-        spelled = word if word.isascii() and word[0] != " " else "".join([self.letters[x] for x in word.encode()])
-        return np.array([x.id for x in self.tokenizer.model.tokenize(spelled)], _IDS).tobytes()
+            word = word.lower() if word.isascii() else _lowered(word)
+        if not word.isascii():
+            spelled = word.encode().decode("latin-1").translate(self.letters)
+        else:
+            spelled = self.letters[32] + word[1:] if word[0] == " " else word
+        return array("I", [x.id for x in self.tokenizer.model.tokenize(spelled)]).tobytes()
+
+    def _letters_only(self, word: str) -> bool:
+        """Whether the library takes ``word`` as one run of letters, whatever stops follow it."""
+        if word.isascii():
+            return word.isalpha()
+        # a letter whose lower case has a mark of its own: the mark goes with what follows
+        return word.isalpha() and max(word) < PLAIN_LETTERS and not (self.lowers and not _lowered(word).isalpha())
 
     def __missing__(self, chunk: str) -> bytes:
-        core = chunk.rstrip(".,")
-        word = core[1:] if core[:1] == " " else core
-        if not word.isalpha() or max(word) >= PLAIN_LETTERS:
+        if ids := self.older.get(chunk):
+            self[chunk] = ids
+            return ids
+        core = chunk.rstrip(STOPS)
+        line = chunk.find("\n")
+        if 0 < line < len(chunk) - 1 and not chunk[line - 1].isspace() and not chunk[line + 1].isspace():
+            ids = self[chunk[:line]] + self["\n"] + self[chunk[line + 1 :]]
+        elif not self._letters_only(core[1:] if core[:1] == " " else core):
             ids = self._whole(chunk)
         elif len(core) < len(chunk):
-            ids = self[core] + self._whole(chunk[len(core) :])
+            ids = self[core] + self[chunk[len(core) :]]
         else:
             ids = self._word(chunk)
         if len(chunk) <= CACHED_CHARS:
             if len(self) >= CACHED_CHUNKS:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
     def chunks(self, text: str) -> list[str]:
         if not self.blanks_count:
             return text.split(" ")
@@ -94,7 +121,7 @@ def encoder(path: str) -> ChunkEncoder:
 def forget() -> None:
     """Free the worker's chunks, for an operator that needs the memory."""
     for own in _loaded.values():
-        own.clear()
+        own.forget()
 
 
 def encoded(texts, path: str, end_id: int):
