@@ -64,7 +64,7 @@ def test_all_that_is_kept_is_packed(stages):
 def test_registered_and_odd_rows(spark):
     assert "pipeline" in entry.queries() and sorted(x for x in entry.queries() if x.startswith("op")) == sorted(
         ["op1_token_files", "op2_shards", "op3_personal_data", "op4_urls", "op5_packed", "op6_repetition", "op7_substrings"]
-        + ["op8_near_duplicates", "op9_decontaminated", "op10_languages"]
+        + ["op8_near_duplicates", "op9_decontaminated", "op10_languages", "op11_few_sequences", "op12_manifest", "op13_clusters"]
     )
     docs = frame(spark, list(enumerate(ODD_TEXTS)) + [(None, "some text of no id"), (0, ODD_TEXTS[0])], {0: "en", 4: "en"})
     for name, stage in corpus_pipeline.STAGES[1:4]:

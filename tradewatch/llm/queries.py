@@ -160,6 +160,34 @@ def op10_languages(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "accepted")
 
 
+def op11_few_sequences(spark, sf_dir):
+    from tradewatch.llm.dominance import pack_few
+
+    packed = pack_few(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_manifest(spark, sf_dir):
+    from tradewatch.llm.merkle import folded, leaf_digest, manifest, proof_text
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tampered = F.when(hit, leaf_digest({"text": F.translate("text", upper, lower)}))
+    found = manifest(table(spark, sf_dir, "documents"), carry={"tampered": tampered})
+    again = folded(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(proof_text(F.col("proof")), 256).alias("proof_sha256"), again.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_clusters(spark, sf_dir):
+    from tradewatch.llm.centroids import cluster_vectors
+
+    found = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -177,6 +205,9 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_decontaminated": op9_decontaminated,
     "op10_languages": op10_languages,
+    "op11_few_sequences": op11_few_sequences,
+    "op12_manifest": op12_manifest,
+    "op13_clusters": op13_clusters,
     "pipeline": pipeline,
 }
 
