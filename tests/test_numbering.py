@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewatch.operators.numbering import numbered
 
@@ -20,6 +21,17 @@ def test_numbers_within_groups_and_overall(spark, tasks):
     assert [x["at"] for x in whole] == list(range(500))
 
 
+def test_ranks_of_other_groups_in_the_same_order(spark):
+    rng = random.Random(5)
+    rows = [(k, rng.choice(["x", None, "hot", "hot", "hot"])) for k in range(400)]
+    df = spark.createDataFrame(rows, "id long, g string").repartition(6)
+    got = {x["id"]: x for x in numbered(df, [-F.col("id")], name="at", ranks={"rank": ["g"]}).collect()}
+    for g in ("x", None, "hot"):
+        own = sorted((k for k, v in rows if v == g), reverse=True)
+        assert [got[k]["rank"] for k in own] == list(range(len(own)))
+        assert {got[k]["rank_first"] for k in own} == {399 - own[0]}
+
+
 def test_equal_rows_empty_tables_and_clashing_names(spark):
     same = spark.createDataFrame([(1, 2)] * 50, "__at long, `a.b` long").repartition(5)
     out = numbered(same, ["__at"])

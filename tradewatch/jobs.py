@@ -21,9 +21,18 @@ from tradewatch import schemas
 from tradewatch.functions.coerce import instant, micros_of
 from tradewatch.plans.accounting import debate_accounts, debate_rows
 from tradewatch.plans.catalog import refresh_catalog_a, refresh_catalog_b
-from tradewatch.plans.detect import DetectParams, alerts_since, detect_anomalies
+from tradewatch.plans.detect import DetectParams, detect_anomalies
 from tradewatch.plans.ingest import ingest_trades
-from tradewatch.plans.notify import debate_requests, notifications, sent_state, settle_deliveries, with_state
+from tradewatch.plans.notify import debate_requests, notifications, sent_state, with_state
+from tradewatch.plans.pending import (
+    admitted,
+    handed_out,
+    recent_after,
+    settled,
+    still_open,
+    told_threads,
+    waiting,
+)
 from tradewatch.plans.requests import (
     cached_rows,
     command_requests,
@@ -35,18 +44,23 @@ from tradewatch.plans.requests import (
 from tradewatch.session import prepare
 from tradewatch.sources.config import read_intent
 from tradewatch.sources.pages import read_pages
+from tradewatch.sources.register import NOTES, kept_notes, read_batches, unseen
 from tradewatch.sources.tables import (
     BATCH,
     STATE,
     append_alerts,
     append_debates,
     append_state,
+    append_threads,
     append_trades,
     outbox,
     read_if_there,
     read_latest,
+    read_parts,
     refresh_series,
     replace_subscriptions,
+    thread_bucket,
+    write_parts,
     write_table,
     write_version,
 )
@@ -57,6 +71,7 @@ _RUNS = (
     "debate_id string, alert_id string, source string, series_ticker string, market_id string, title string,"
     " started_at timestamp, finished_at timestamp, thread_id string"
 )
+_PENDING = {"open": schemas.PENDING, "seen": NOTES, "recent": schemas.RECENT_THREADS}
 _FINISHED = T.StructType().add("number", T.LongType())
 
 
@@ -73,15 +88,23 @@ class Warehouse:
     def trades(self) -> DataFrame:
         return read_if_there(self.spark, self.path("trades"), schemas.TRADES, f"{BATCH} string, trade_date date")
 
-    def alerts(self, as_of: datetime | None = None, kept: timedelta = timedelta(days=7)) -> DataFrame:
-        """All alerts, or with `as_of` those of the last `kept`, with who was told of them by then."""
+    def alerts(self) -> DataFrame:
+        """All alerts, with who was told of them."""
         alerts = read_if_there(self.spark, self.path("alerts"), schemas.ALERTS, f"{BATCH} string, detected_date date")
-        state = read_if_there(self.spark, self.path("alert_state"), STATE, f"{BATCH} string, notified_date date")
-        if as_of is not None:
-            alerts = alerts_since(alerts, as_of - kept)
-            low = F.to_date(instant(as_of - kept))
-            state = state.filter((F.col("notified_date") >= low) & (F.col("notified_at") < instant(as_of)))
-        return with_state(alerts, state)
+        return with_state(alerts, self.state())
+
+    def state(self) -> DataFrame:
+        return read_if_there(self.spark, self.path("alert_state"), STATE, f"{BATCH} string, notified_date date")
+
+    def pending(self, as_of: datetime) -> dict[str, DataFrame]:
+        """The open set of alerts before this run, the batches it has taken in, and the threads of late."""
+        return read_parts(self.spark, self.path("pending"), _PENDING, as_of)
+
+    def threads(self, wanted: DataFrame) -> DataFrame:
+        """The threads with sent alerts that `wanted` (thread_id) may ask for; only their folders are read."""
+        told = read_if_there(self.spark, self.path("threads"), schemas.THREADS, f"{BATCH} string, thread_bucket int")
+        buckets = wanted.select(thread_bucket(F.col("thread_id")).alias("b")).distinct().collect()
+        return told.filter(F.col("thread_bucket").isin([r["b"] for r in buckets]))
 
     def debates(self) -> DataFrame:
         return read_if_there(self.spark, self.path("debates"), schemas.DEBATES, f"{BATCH} string, started_date date")
@@ -101,7 +124,8 @@ class Warehouse:
     def landed(self, name: str, job: str, as_of: datetime, newest: bool = False) -> list[str] | None:
         """The folders `landed/<name>/run=<microseconds>` that belong to this run: landed behind the last run of the job
         and not after this one. None if there are none."""
-        runs = [x for x in self._folders(f"landed/{name}", "run") if self.since(job, as_of) < x <= micros_of(as_of)]
+        low, high = self.since(job, as_of), micros_of(as_of)
+        runs = [x for x in self._folders(f"landed/{name}", "run") if low < x <= high]
         return [self.path(f"landed/{name}/run={x}") for x in (runs[-1:] if newest else runs)] or None
 
     def batches(self, name: str, job: str, as_of: datetime) -> DataFrame:
@@ -190,25 +214,45 @@ def detect(w: Warehouse, as_of: datetime, params: DetectParams = DetectParams())
     append_alerts(found, w.path("alerts"), mine)
 
 
-def notify(w: Warehouse, as_of: datetime) -> None:
-    """Hand the waiting alerts to the sender; what an earlier cycle handed on stays in its own folder."""
-    queue = notifications(w.alerts(as_of), as_of)
-    write_table(queue, f"{w.path('outgoing')}/{BATCH}={_stamped(as_of)}", "overwrite", cluster_by=["queue_pos"])
+def notify(w: Warehouse, as_of: datetime, retry_after: timedelta | None = None) -> None:
+    """Hand the waiting alerts to the sender; what an earlier cycle handed on stays in its own folder.
+
+    Alerts of new batches join the open set, in which they stay until they are reported as sent, whatever their age. What
+    has been handed out is not handed out again before an answer, or before `retry_after` has passed.
+    """
+    mine, before = _stamped(as_of), w.pending(as_of)
+    new = unseen(w.spark, w.path("alerts"), before["seen"])
+    names = [r[BATCH] for r in new.select(BATCH).distinct().collect()]
+    fresh = read_batches(w.spark, w.path("alerts"), names, schemas.ALERTS, "detected_date date")
+    first = fresh.agg(F.min("detected_date").alias("day")).first()["day"]
+    told = w.state().filter(F.col("notified_date") >= F.lit(first)) if first else w.state().limit(0)
+    pending = admitted(before["open"], fresh, told)
+    free = waiting(pending, as_of, retry_after)
+    queue = notifications(free, as_of, told=before["recent"])
+    folder = f"{w.path('outgoing')}/{BATCH}={mine}"
+    write_table(queue, folder, "overwrite", cluster_by=["queue_pos"])
+    open_ = handed_out(pending, w.spark.read.parquet(folder), mine, as_of)
+    seen = kept_notes(before["seen"].unionByName(new))
+    write_parts({"open": open_, "seen": seen, "recent": before["recent"]}, w.path("pending"), as_of)
 
 
 def deliver(w: Warehouse, as_of: datetime) -> None:
-    """Take over what the sender reports: note who was told and hand on debate requests."""
+    """Take over what the sender reports, of this or any earlier cycle: note who was told and hand on debate requests."""
     intent = read_intent(w.spark, w.path("landed/intent.json"))
     landed = w.landed("deliveries", "deliver", as_of)
     if landed is None:
         return
-    reports = w.spark.read.schema(_DELIVERIES).json(landed)
-    queue = w.batches("outgoing", "deliver", as_of)
-    settled = settle_deliveries(queue, reports)
-    asked = debate_requests(settled, intent.debates_enabled, intent.debates_auto_publish)
-    mine = _stamped(as_of)
+    mine, before = _stamped(as_of), w.pending(as_of)
+    folder = f"{w.path('settled')}/{BATCH}={mine}"
+    write_table(settled(before["open"], w.spark.read.schema(_DELIVERIES).json(landed)), folder, "overwrite")
+    rows = w.spark.read.parquet(folder)
+    asked = debate_requests(rows.filter("started_now"), intent.debates_enabled, intent.debates_auto_publish)
     write_table(outbox(asked, "alert_id"), f"{w.path('requests')}/{BATCH}={mine}", "overwrite")
-    append_state(sent_state(settled, as_of), w.path("alert_state"), mine)
+    append_state(sent_state(rows, as_of), w.path("alert_state"), mine)
+    told = told_threads(rows, as_of)
+    append_threads(told, w.path("threads"), mine)
+    recent = recent_after(before["recent"], told, as_of)
+    write_parts({"open": still_open(rows), "seen": before["seen"], "recent": recent}, w.path("pending"), as_of)
     w.finish("deliver", as_of)
 
 
@@ -218,7 +262,7 @@ def command(w: Warehouse, as_of: datetime) -> None:
     if landed is None:
         return
     commands = w.spark.read.schema(_COMMANDS).json(landed)
-    asked = command_requests(commands, w.alerts(as_of))
+    asked = command_requests(commands, w.threads(commands))
     write_table(outbox(asked, "alert_id"), f"{w.path('requests')}/{BATCH}={_stamped(as_of)}c", "overwrite")
     w.finish("command", as_of)
 

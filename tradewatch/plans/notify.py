@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.functions.coerce import blank_to_null, instant
 from tradewatch.functions.text import alert_message, thread_key, thread_title
+from tradewatch.operators.numbering import numbered
 from tradewatch.operators.skew import first_per_key
 
 
@@ -17,29 +18,21 @@ def pending_queue(alerts: DataFrame, page: int = 50) -> DataFrame:
     """All alerts that wait to be sent, numbered, dealt into pages of `page` and grouped by thread.
 
     A sender takes page after page until none is left, so no alert waits behind newer ones. Groups are ordered by their
-    first alert, which starts the group's thread. Only the counts of distinct titles meet in one task; alerts of one
-    title are numbered behind those of the titles before it.
+    first alert, which starts the group's thread. Alerts are numbered by ranges of title and moment, and a group's alerts by
+    counts per range, so neither all alerts nor those of one title or thread meet in one task.
     """
     label = F.coalesce("series_title", "title")
-    waiting = (
-        alerts.filter(F.col("notified_at").isNull())
-        .withColumn("thread_key", thread_key(F.col("series_ticker"), F.col("market_id")))
-        .withColumn("__label", F.struct(label.isNotNull().alias("some"), label.alias("text")))
+    waiting = alerts.filter(F.col("notified_at").isNull()).withColumn(
+        "thread_key", thread_key(F.col("series_ticker"), F.col("market_id"))
     )
-    before = W.orderBy("__label").rowsBetween(W.unboundedPreceding, -1)
-    counts = waiting.groupBy("__label").agg(F.count(F.lit(1)).alias("n"))
-    firsts = counts.select("__label", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
-    within = W.partitionBy("__label").orderBy("detected_at", "alert_id")
-    group = W.partitionBy("source", "thread_key")
+    rows = numbered(waiting, [label, "detected_at", "alert_id"], name="__number", ranks={"__rank": ["source", "thread_key"]})
     return (
-        waiting.withColumn("__place", F.row_number().over(within))
-        .join(firsts.withColumnRenamed("__label", "__of"), F.col("__label").eqNullSafe(F.col("__of")))
-        .withColumn("queue_pos", F.col("__first") + F.col("__place"))
+        rows.withColumn("queue_pos", F.col("__number") + 1)
         .withColumn("page", F.ceil(F.col("queue_pos") / F.lit(page)).cast("bigint"))
-        .withColumn("group_pos", F.min("queue_pos").over(group))
-        .withColumn("rank_in_group", F.row_number().over(group.orderBy("queue_pos")))
-        .withColumn("is_starter", F.col("rank_in_group") == 1)
-        .drop("__label", "__of", "__place", "__first")
+        .withColumn("group_pos", F.col("__rank_first") + 1)
+        .withColumn("rank_in_group", F.col("__rank") + 1)
+        .withColumn("is_starter", F.col("__rank") == 0)
+        .drop("__number", "__rank", "__rank_first")
     )
 
 
@@ -58,11 +51,14 @@ def recent_threads(alerts: DataFrame, as_of: datetime, within: timedelta = timed
 
 
 def notifications(
-    alerts: DataFrame, as_of: datetime, page: int = 50, within: timedelta = timedelta(hours=1)
+    alerts: DataFrame, as_of: datetime, page: int = 50, within: timedelta = timedelta(hours=1), told: DataFrame | None = None
 ) -> DataFrame:
-    """The queue with message texts; `thread_id` is the thread to reuse or NULL for a new one."""
+    """The queue with message texts; `thread_id` is the thread to reuse or NULL for a new one.
+
+    Threads to reuse are those of `told` (alerts or threads with the time of their notification), or of `alerts` themselves.
+    """
     queue = pending_queue(alerts, page)
-    threads = recent_threads(alerts, as_of, within).select(
+    threads = recent_threads(alerts if told is None else told, as_of, within).select(
         "source", F.col("series_ticker").alias("thread_key"), blank_to_null(F.col("thread_id")).alias("thread_id")
     )
     message = alert_message(

@@ -17,11 +17,14 @@ from tradewatch.plans.notify import (
     settle_deliveries,
     thread_buckets,
 )
+from tradewatch.plans.pending import admitted, handed_out, settled as settle_reports, still_open, told_threads, waiting
 from tradewatch.plans.requests import thread_latest_alert
 from tradewatch.queries import views
 from tradewatch.queries.detection import message_sql
 from tradewatch.queries.shape import wall
-from tradewatch.sources.tables import outbox
+from tradewatch import schemas
+from tradewatch.session import shared_folder
+from tradewatch.sources.tables import STATE, outbox
 
 _WITHIN = timedelta(days=1)
 
@@ -74,6 +77,40 @@ def _outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outbox(_requests(spark, sf_dir), "alert_id")
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _late_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One handing out of all waiting alerts and two rounds of reports. Reports of one alert in four come in the second
+    round only and of one in nine never; in each round reports repeat and contradict those of successes."""
+    at, alerts = _as_of(spark, sf_dir), views.alerts(spark, sf_dir)
+    none = spark.createDataFrame([], schemas.PENDING)
+    pending = _stored(admitted(none, alerts, spark.createDataFrame([], STATE)), "open")
+    queue = _stored(notifications(waiting(pending), at, within=_WITHIN, told=alerts), "queue")
+    number = F.col("trade_id").cast("bigint")
+    reports = views.deliveries(queue).join(alerts.select("alert_id", (number % 4 == 1).alias("late"), (number % 9 == 2).alias("never")), "alert_id")
+    reports = reports.filter(~F.col("never"))
+    early, late = reports.filter(~F.col("late")), reports.filter("late")
+    denied = early.withColumn("ok", F.lit(False))
+    first = _stored(settle_reports(handed_out(pending, queue, "r1", at), early.unionByName(early).unionByName(denied)), "first")
+    second = _stored(settle_reports(still_open(first), late.unionByName(denied)), "second")
+    rounds = [(1, first), (2, second)]
+    told = [told_threads(x, at + timedelta(minutes=5 * k)).select("alert_id", F.col("discord_thread_id").alias("thread_id")) for k, x in rounds]
+    marks = [
+        x.select("alert_id", F.when(F.col("sent"), k).alias("told_in"), F.when(F.col("started_now"), k).alias("asked_in"), F.lit(None).cast("boolean").alias("waits"))
+        for k, x in rounds
+    ]
+    last = still_open(second).select(
+        "alert_id", F.lit(None).cast("int").alias("told_in"), F.lit(None).cast("int").alias("asked_in"), F.col("handed_batch").isNull().alias("waits")
+    )
+    whole = marks[0].unionByName(marks[1]).unionByName(last).groupBy("alert_id")
+    found = whole.agg(*[F.min(c).alias(c) for c in ("told_in", "asked_in")], F.bool_or("waits").alias("waits"))
+    return found.join(told[0].unionByName(told[1]), "alert_id", "left")
+
+
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     queue = notifications(views.alerts(spark, sf_dir), _as_of(spark, sf_dir), within=_WITHIN)
     return queue.select("alert_id", "thread_id", "thread_title", "message")
@@ -95,6 +132,7 @@ QUERIES = {
     "request_outbox": _outbox,
     "notification_texts": _texts,
     "thread_latest_alert": _latest,
+    "late_deliveries": _late_deliveries,
 }
 
 _QUEUE_SQL = f"""WITH {views.ALERTS_SQL}, top AS (
@@ -160,6 +198,20 @@ SELECT alert_id, reused AS thread_id,
             THEN coalesce(series_title, title, source || ': ' || market_id) END AS thread_title,
        {message_sql("title", "side", "reason")} AS message
 FROM settled""",
+    "late_deliveries": f"""{_SETTLED_SQL}, reported AS (
+  SELECT *, event_id % 4 = 1 AS late, event_id % 9 = 2 AS never FROM settled
+), grouped AS (
+  SELECT *, bool_or(ok) FILTER (rank_in_group = 1) OVER g AS start_ok, bool_or(late) FILTER (rank_in_group = 1) OVER g AS start_late,
+         bool_or(never) FILTER (rank_in_group = 1) OVER g AS start_never
+  FROM reported WINDOW g AS (PARTITION BY source, thread_key)
+), judged AS (
+  SELECT *, start_ok AND NOT start_never AS started, start_ok AND NOT start_never AND ok AND NOT never AS told FROM grouped
+)
+SELECT alert_id, CAST(CASE WHEN told THEN CASE WHEN start_late OR late THEN 2 ELSE 1 END END AS INTEGER) AS told_in,
+       CAST(CASE WHEN started THEN CASE WHEN start_late THEN 2 ELSE 1 END END AS INTEGER) AS asked_in,
+       CASE WHEN NOT told THEN NOT (start_never OR (started AND never)) END AS waits,
+       CASE WHEN told THEN group_thread END AS thread_id
+FROM judged""",
     "thread_latest_alert": f"""WITH {views.ALERTS_SQL}
 SELECT discord_thread_id, alert_id, source, series_ticker, market_id, title FROM alerts
 WHERE discord_thread_id IS NOT NULL

@@ -65,6 +65,33 @@ ALERTS = T.StructType(
     ]
 )
 
+# Of an open alert's latest handing out: empty while it waits. The group's outcome stays after a failure, for late reports.
+HANDED = _struct(
+    ("handed_batch", "text"),
+    ("handed_at", "timestamp"),
+    ("group_pos", "long"),
+    ("rank_in_group", "long"),
+    ("is_starter", "bool"),
+    ("reused_thread", "text"),
+    ("answered_ok", "bool"),
+    ("answered_thread", "text"),
+    ("group_started", "bool"),
+    ("group_thread", "text"),
+)
+PENDING = T.StructType([*ALERTS.fields, *HANDED.fields])
+
+THREADS = _struct(
+    ("discord_thread_id", "text"),
+    ("alert_id", "text"),
+    ("source", "text"),
+    ("series_ticker", "text"),
+    ("market_id", "text"),
+    ("title", "text"),
+    ("detected_at", "timestamp"),
+    ("notified_at", "timestamp"),
+)
+RECENT_THREADS = _struct(("source", "text"), ("series_ticker", "text"), ("discord_thread_id", "text"), ("notified_at", "timestamp"))
+
 MARKETS_A_STAGED = _struct(
     ("source", "text"), ("ticker", "text"), ("series_ticker", "text"), ("category", "text"), *fixed.MARKET_A_FIELDS
 )

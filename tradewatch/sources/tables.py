@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewatch.functions.coerce import instant, micros_of
+from tradewatch.sources.register import note_batch
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
@@ -63,9 +64,12 @@ def append_trades(trades: DataFrame, path: str, batch: str | None = None) -> Non
 
 
 def append_alerts(alerts: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add a run's alerts; the batch is noted in the table's register, from which notification takes what is new."""
+    name = batch or f"r{uuid.uuid4().hex}"
     write_batch(
-        with_day(alerts, "detected_at", "detected_date"), path, batch, "detected_date", ["source", "market_id", "alert_id"]
+        with_day(alerts, "detected_at", "detected_date"), path, name, "detected_date", ["source", "market_id", "alert_id"]
     )
+    note_batch(alerts.sparkSession, path, name)
 
 
 STATE = (
@@ -78,6 +82,16 @@ def append_state(state: DataFrame, path: str, batch: str | None = None) -> None:
     write_batch(with_day(state, "notified_at", "notified_date"), path, batch, "notified_date", ["alert_id"])
 
 
+def append_threads(threads: DataFrame, path: str, batch: str | None = None) -> None:
+    """Add the threads of a cycle's sent alerts, in folders by a hash of the thread, which is how they are looked up."""
+    rows = threads.withColumn("thread_bucket", thread_bucket(F.col("discord_thread_id")))
+    write_batch(rows, path, batch, "thread_bucket", ["discord_thread_id"])
+
+
+def thread_bucket(thread: Column, buckets: int = 64) -> Column:
+    return F.pmod(F.xxhash64(thread), F.lit(buckets)).cast("int")
+
+
 def append_debates(debates: DataFrame, path: str, batch: str | None = None) -> None:
     """Append debate rows; struct and map columns are stored as JSON text, text stays as it is."""
     nested = (T.StructType, T.MapType, T.ArrayType)
@@ -133,12 +147,31 @@ def write_version(df: DataFrame, path: str, as_of: datetime, cluster_by: Sequenc
 
     The version counts once its name stands in the small folder of finished versions, which is written last.
     """
+    write_table(df, f"{path}/version={micros_of(as_of)}", "overwrite", cluster_by=cluster_by)
+    finish_version(df.sparkSession, path, as_of)
+
+
+def finish_version(spark: SparkSession, path: str, as_of: datetime) -> None:
     number = micros_of(as_of)
-    write_table(df, f"{path}/version={number}", "overwrite", cluster_by=cluster_by)
-    done = df.sparkSession.createDataFrame([(number,)], "number bigint")
+    done = spark.createDataFrame([(number,)], "number bigint")
     done.coalesce(1).write.mode("overwrite").parquet(f"{path}_versions/finished={number}")
 
 
+def write_parts(parts: dict[str, DataFrame], path: str, as_of: datetime) -> None:
+    """Write a version that consists of several tables; they count together once the version is finished."""
+    for name, df in parts.items():
+        write_table(df, f"{path}/version={micros_of(as_of)}/part={name}", "overwrite")
+    finish_version(next(iter(parts.values())).sparkSession, path, as_of)
+
+
+def latest_version(spark: SparkSession, path: str, before: datetime | None = None) -> int | None:
+    """The latest finished version of a table, or the latest older than `before`."""
+    finished = read_if_there(spark, f"{path}_versions", T.StructType([T.StructField("number", T.LongType())]))
+    if before is not None:
+        finished = finished.filter(F.col("number") < F.lit(micros_of(before)))
+    return finished.agg(F.max("number").alias("v")).first()["v"]
+
+
 def read_latest(
     spark: SparkSession, path: str, schema: T.StructType, before: datetime | None = None
 ) -> DataFrame:
@@ -147,15 +180,20 @@ def read_latest(
     A job that writes the version of its own moment reads what came before it. Run again after a
     failure, it starts from the same rows and replaces what it had written. Only that version's files are opened.
     """
-    finished = read_if_there(spark, f"{path}_versions", T.StructType([T.StructField("number", T.LongType())]))
-    if before is not None:
-        finished = finished.filter(F.col("number") < F.lit(micros_of(before)))
-    newest = finished.agg(F.max("number").alias("v")).first()["v"]
+    newest = latest_version(spark, path, before)
     if newest is None:
         return spark.createDataFrame([], schema)
     return read_table(spark, f"{path}/version={newest}", schema)
 
 
+def read_parts(spark: SparkSession, path: str, schemas: dict[str, T.StructType], before: datetime | None = None) -> dict[str, DataFrame]:
+    """The tables of the latest finished version that `write_parts` wrote; empty ones where there is none."""
+    newest = latest_version(spark, path, before)
+    if newest is None:
+        return {name: spark.createDataFrame([], schema) for name, schema in schemas.items()}
+    return {name: read_table(spark, f"{path}/version={newest}/part={name}", schema) for name, schema in schemas.items()}
+
+
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType, extra: str = "") -> DataFrame:
     """`read_table`, or no rows where nothing has been written yet."""
     try:
