@@ -4,6 +4,7 @@ import json
 from datetime import datetime, timedelta, timezone
 
 from tradewatch import jobs, schemas
+from tradewatch.plans.cells import cells_between
 from tradewatch.sources.tables import append_debates
 
 NOW = datetime(2024, 6, 1, 12, tzinfo=timezone.utc)
@@ -74,6 +75,13 @@ def test_one_day(spark, tmp_path):
     jobs.ingest(w, NOW + timedelta(minutes=1))
     assert w.trades().count() == 82
 
+    # the cells beside the trades tell the same baseline, before and after they are merged
+    counts = [sum(r["n"] for r in cells_between(spark, w.path("trades"), NOW - timedelta(days=7), NOW).collect())]
+    for k in range(2):
+        jobs.compact(w, NOW + timedelta(minutes=2 + k))
+        counts.append(sum(r["n"] for r in cells_between(spark, w.path("trades"), NOW - timedelta(days=7), NOW).collect()))
+    assert counts == [82, 82, 82]
+
     for _attempt in range(2):
         jobs.detect(w, NOW)
     jobs.detect(w, NOW + timedelta(minutes=15))

@@ -136,7 +136,7 @@ def test_second_attempt_of_a_batch_adds_nothing(spark, tmp_path):
     def run(state):
         jobs.detect(
             jobs.trade_stream(spark, path),
-            lambda: jobs.trades_table(spark, path),
+            path,
             lambda: (views.markets_a(spark, SF), views.markets_b(spark, SF), views.series(spark, SF)),
             alerts,
             str(tmp_path / state),

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from tradewatch import schemas
 from tradewatch.functions.coerce import instant, micros_of
 from tradewatch.plans.accounting import debate_accounts, debate_rows
+from tradewatch.plans.cells import merge_cells, store_cells
 from tradewatch.plans.catalog import refresh_catalog_a, refresh_catalog_b
 from tradewatch.plans.detect import DetectParams, detect_anomalies
 from tradewatch.plans.ingest import ingest_trades
@@ -44,7 +45,7 @@ from tradewatch.plans.requests import (
 from tradewatch.session import prepare
 from tradewatch.sources.config import read_intent
 from tradewatch.sources.pages import read_pages
-from tradewatch.sources.register import NOTES, kept_notes, read_batches, unseen
+from tradewatch.sources.register import NOTES, kept_notes, notes_table, read_batches, unseen
 from tradewatch.sources.tables import (
     BATCH,
     STATE,
@@ -169,9 +170,15 @@ def ingest(w: Warehouse, as_of: datetime) -> None:
     frames = [w.landed(f"frames_{v}", "ingest", as_of) for v in "ab"]
     text = [w.spark.createDataFrame([], "value string") if f is None else w.spark.read.text(f) for f in frames]
     append_trades(ingest_trades(*text, tokens, instant(as_of)), w.path("trades"), _stamped(as_of))
+    store_cells(w.spark, w.path("trades"), _stamped(as_of))
     w.finish("ingest", as_of)
 
 
+def compact(w: Warehouse, as_of: datetime) -> None:
+    """Merge the baseline cells of the batches since the last time."""
+    merge_cells(w.spark, w.path("trades"), as_of)
+
+
 def refresh_a(w: Warehouse, as_of: datetime) -> None:
     """Venue-A catalogue from the series and market pages of the newest landed run."""
     pages = w.landed("series", "refresh-a", as_of, newest=True)
@@ -221,9 +228,9 @@ def notify(w: Warehouse, as_of: datetime, retry_after: timedelta | None = None)
     has been handed out is not handed out again before an answer, or before `retry_after` has passed.
     """
     mine, before = _stamped(as_of), w.pending(as_of)
-    new = unseen(w.spark, w.path("alerts"), before["seen"])
-    names = [r[BATCH] for r in new.select(BATCH).distinct().collect()]
-    fresh = read_batches(w.spark, w.path("alerts"), names, schemas.ALERTS, "detected_date date")
+    seen = {tuple(r) for r in before["seen"].collect()}
+    new = unseen(w.spark, w.path("alerts"), seen)
+    fresh = read_batches(w.spark, w.path("alerts"), {name for name, _ in new}, schemas.ALERTS, "detected_date date")
     first = fresh.agg(F.min("detected_date").alias("day")).first()["day"]
     told = w.state().filter(F.col("notified_date") >= F.lit(first)) if first else w.state().limit(0)
     pending = admitted(before["open"], fresh, told)
@@ -232,8 +239,9 @@ def notify(w: Warehouse, as_of: datetime, retry_after: timedelta | None = None)
     folder = f"{w.path('outgoing')}/{BATCH}={mine}"
     write_table(queue, folder, "overwrite", cluster_by=["queue_pos"])
     open_ = handed_out(pending, w.spark.read.parquet(folder), mine, as_of)
-    seen = kept_notes(before["seen"].unionByName(new))
-    write_parts({"open": open_, "seen": seen, "recent": before["recent"]}, w.path("pending"), as_of)
+    parts = {"open": open_, "seen": notes_table(w.spark, kept_notes(seen | new)), "recent": before["recent"]}
+    write_parts(parts, w.path("pending"), as_of)
+#: before["recent"]}, w.path("pending"), as_of)
 
 
 def deliver(w: Warehouse, as_of: datetime) -> None:
@@ -296,6 +304,7 @@ def account(w: Warehouse, as_of: datetime, limit_usd: float = 0.50) -> None:
 
 JOBS = {
     "ingest": ingest,
+    "compact": compact,
     "refresh-a": refresh_a,
     "refresh-b": refresh_b,
     "detect": detect,

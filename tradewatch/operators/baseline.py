@@ -105,6 +105,36 @@ def baseline_cells(trades: DataFrame, keys: Sequence[str], every: timedelta) ->
     return rows.groupBy(*keys, "cell", "arrived").agg(F.count(F.lit(1)).alias("n"), *spread)
 
 
+def _merged(parts: Column, measure: str) -> Column:
+    """Count, mean and squared deviations of one measure over all cells of an ordered list."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
+
+    def add(acc: Column, x: Column) -> Column:
+        n = acc["n"] + x["n"]
+        step = x[f"mean_{measure}"] - acc["mean"]
+        return F.struct(
+            n.alias("n"),
+            (acc["mean"] + step * x["n"] / n).alias("mean"),
+            (acc["squares"] + x[f"squares_{measure}"] + step * step * acc["n"] * x["n"] / n).alias("squares"),
+        )
+
+    return F.aggregate(parts, zero, add)
+
+
+def _parts(*order: str) -> Column:
+    """The cells of a group as one list, in an order that does not depend on how they were read."""
+    values = [f"{x}_{m}" for m in _MEASURES for x in ("mean", "squares")]
+    return F.array_sort(F.collect_list(F.struct(*order, "n", *values)))
+
+
+def merged_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells of several batches as one row per key, time cell and cell of arrival. A list holds at most one cell per batch."""
+    parts = cells.groupBy(*keys, "cell", "arrived").agg(_parts().alias("parts"))
+    total = parts.select(*keys, "cell", "arrived", *[_merged(F.col("parts"), m).alias(f"__{m}") for m in _MEASURES])
+    values = [F.col(f"__{m}.{x}").alias(f"{x}_{m}") for m in _MEASURES for x in ("mean", "squares")]
+    return total.select(*keys, "cell", "arrived", F.col(f"__{_MEASURES[0]}.n").alias("n"), *values)
+
+
 def baseline_at(
     cells: DataFrame, wanted: DataFrame, keys: Sequence[str], lookback: timedelta, min_trades: int = 10
 ) -> DataFrame:
@@ -117,25 +147,8 @@ def baseline_at(
     met = cells.join(wanted, list(keys)).filter(
         (F.col("cell") <= run) & (F.col("cell") > run - width) & (F.col("arrived") <= run)
     )
-    parts = met.groupBy(*keys, "__run", "n_recent").agg(
-        F.array_sort(F.collect_list(F.struct("cell", "arrived", "n", *[f"{x}_{m}" for m in _MEASURES for x in ("mean", "squares")]))).alias("parts")
-    )
-
-    def merged(measure: str) -> Column:
-        zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("squares"))
-
-        def add(acc: Column, x: Column) -> Column:
-            n = acc["n"] + x["n"]
-            step = x[f"mean_{measure}"] - acc["mean"]
-            return F.struct(
-                n.alias("n"),
-                (acc["mean"] + step * x["n"] / n).alias("mean"),
-                (acc["squares"] + x[f"squares_{measure}"] + step * step * acc["n"] * x["n"] / n).alias("squares"),
-            )
-
-        return F.aggregate("parts", zero, add)
-
-    total = parts.select(*keys, "__run", "n_recent", *[merged(m).alias(m) for m in _MEASURES])
+    parts = met.groupBy(*keys, "__run", "n_recent").agg(_parts("cell", "arrived").alias("parts"))
+    total = parts.select(*keys, "__run", "n_recent", *[_merged(F.col("parts"), m).alias(m) for m in _MEASURES])
     values = [
         x
         for m in _MEASURES

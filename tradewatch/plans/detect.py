@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -14,11 +14,9 @@ from tradewatch.functions.coerce import instant
 from tradewatch.functions.text import alert_reason
 from tradewatch.operators.baseline import (
     baseline_at,
-    baseline_cells,
     recent_trades,
     rolling_baseline,
     trade_facts,
-    trades_between,
     zscore,
 )
 from tradewatch.operators.enrich import market_profile
@@ -103,7 +101,7 @@ def run_of(at: str, every: timedelta) -> Column:
 
 def judge_runs(
     new_trades: DataFrame,
-    trades: DataFrame,
+    cells: Callable[[datetime, datetime], DataFrame],
     markets_a: DataFrame,
     markets_b: DataFrame,
     series: DataFrame,
@@ -114,7 +112,8 @@ def judge_runs(
 
     The baseline of a run has the trades that were ingested by then, so the result does not depend on how trades are
     dealt into batches. Trades stamped after their run are not judged; those that come too late for it only count in
-    baselines. No trade's own clock moves a run.
+    baselines. No trade's own clock moves a run. `cells` gives the baseline cells that end between two instants; runs end where
+    cells end, so no single trade of the past is read.
     """
     run = run_of("ingested_at", every)
     span = new_trades.agg(F.min(run).alias("low"), F.max(run).alias("high")).first()
@@ -125,8 +124,8 @@ def judge_runs(
     large = _large(trade_facts(new_trades.filter("size IS NOT NULL AND price IS NOT NULL"), params.zone, run.alias("__run")), params)
     large = large.filter((F.col("ts") > F.col("__run") - width) & (F.col("ts") <= F.col("__run")))
     wanted = large.groupBy(*params.keys, "__run").agg(F.count(F.lit(1)).alias("n_recent"))
-    cells = baseline_cells(trades_between(trades, high, high - low + params.baseline), params.keys, every)
-    baseline = baseline_at(cells, wanted, params.keys, params.baseline, params.min_trades)
+    past = cells(low - params.baseline, high)
+    baseline = baseline_at(past, wanted, params.keys, params.baseline, params.min_trades)
     found = _flagged(large, baseline, [*params.keys, "__run"], params).withColumn("detected_at", F.col("__run"))
     return _as_alerts(found, markets_a, markets_b, series, params)
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewatch.functions.coerce import instant
 from tradewatch.operators.baseline import baseline_at, baseline_cells
-from tradewatch.plans.detect import DetectParams, run_of
+from tradewatch.plans.cells import cells_between, merge_cells, store_cells
+from tradewatch.plans.detect import DetectParams
 from tradewatch.plans.ingest import ingest_trades
 from tradewatch.queries import views
 from tradewatch.queries.shape import r6, r6_sql, wall
@@ -93,10 +94,11 @@ STREAM_PARAMS = DetectParams(lookback=timedelta(minutes=45), baseline=timedelta(
 
 def stream_detect(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
     root = shared_folder(spark, "detect")
-    append_trades(odd_clock_trades(spark, sf_dir), f"{root}/trades")
+    append_trades(odd_clock_trades(spark, sf_dir), f"{root}/trades", "r0")
+    store_cells(spark, f"{root}/trades", "r0")
     jobs.detect(
         jobs.trade_stream(spark, f"{root}/trades", files_per_batch),
-        lambda: jobs.trades_table(spark, f"{root}/trades"),
+        f"{root}/trades",
         lambda: (views.markets_a(spark, sf_dir), views.markets_b(spark, sf_dir), views.series(spark, sf_dir)),
         f"{root}/alerts",
         f"{root}/state",
@@ -108,20 +110,44 @@ def stream_detect(spark: SparkSession, sf_dir: str, files_per_batch: int | None
     )
 
 
-def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The baseline of every market at the end of the last hour, from hourly cells."""
-    trades = views.trades(spark, sf_dir)
-    as_of = views.latest(trades, "ingested_at")
-    hour = timedelta(hours=1)
-    end = run_of("at", hour)
-    cells = baseline_cells(trades.filter("size IS NOT NULL AND price IS NOT NULL"), ["market_id"], hour)
-    wanted = trades.select("market_id").distinct().select("market_id", F.lit(instant(as_of)).alias("at"), F.lit(0).cast("bigint").alias("n_recent"))
-    found = baseline_at(cells, wanted.withColumn("__run", end).drop("at"), ["market_id"], timedelta(days=10))
+_HOUR = timedelta(hours=1)
+
+
+def _last_hour(trades: DataFrame):
+    """The end of the hour in which the last trade arrived."""
+    at = views.latest(trades, "ingested_at")
+    return at + (-(at - datetime(1970, 1, 1, tzinfo=timezone.utc)) % _HOUR)
+
+
+def _at_end(cells: DataFrame, trades: DataFrame, end) -> DataFrame:
+    """The baseline of every market at that moment."""
+    wanted = trades.select("market_id").distinct().select("market_id", F.lit(instant(end)).alias("__run"), F.lit(0).cast("bigint").alias("n_recent"))
+    found = baseline_at(cells, wanted, ["market_id"], timedelta(days=10))
     return found.select(
         "market_id", "n_trades", r6("average_size"), r6("stddev_size"), r6("average_notional"), r6("stddev_notional")
     )
 
 
+def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baseline of every market at the end of the last hour, from hourly cells."""
+    trades = views.trades(spark, sf_dir)
+    cells = baseline_cells(trades.filter("size IS NOT NULL AND price IS NOT NULL"), ["market_id"], _HOUR)
+    return _at_end(cells, trades, _last_hour(trades))
+
+
+def _merged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from stored cells of four batches, two of them merged, then a third; the last one's are still to be written."""
+    path, trades = f"{shared_folder(spark, 'cells')}/trades", views.trades(spark, sf_dir)
+    end = _last_hour(trades)
+    for k in range(4):
+        append_trades(trades.filter(F.col("trade_id").cast("bigint") % 4 == k), path, f"r{k}")
+        if k < 3:
+            store_cells(spark, path, f"r{k}")
+        if k in (1, 2):
+            merge_cells(spark, path, end + timedelta(seconds=k), timedelta(days=11))
+    return _at_end(cells_between(spark, path, end - timedelta(days=10), end, ["r0", "r3"]), trades, end)
+
+
 QUERIES = {
     "parse_frames_a": _parse_a,
     "parse_frames_b": _parse_b,
@@ -130,6 +156,7 @@ QUERIES = {
     "stream_ingest": _stream_ingest,
     "stream_detect": stream_detect,
     "baseline_from_cells": _cells,
+    "baseline_from_stored_cells": _merged_cells,
 }
 
 _COLUMNS = "source, market_id, trade_id, ts, price, size, side"
@@ -138,6 +165,15 @@ SELECT {_COLUMNS} FROM frames_a WHERE outcome = 'trade'
 UNION ALL
 SELECT {_COLUMNS} FROM frames_b WHERE outcome = 'trade'"""
 
+_CELLS_SQL = f"""WITH {views.TRADES_SQL}, ending AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, max(ingested_at) - INTERVAL 1 MICROSECOND) + INTERVAL 1 HOUR AS run FROM trades
+)
+SELECT market_id, count(*) AS n_trades, {r6_sql("avg(size)", "average_size")}, {r6_sql("stddev_samp(size)", "stddev_size")},
+       {r6_sql("avg(price * size)", "average_notional")}, {r6_sql("stddev_samp(price * size)", "stddev_notional")}
+FROM trades, ending
+WHERE ts <= run AND ts > run - INTERVAL 10 DAY AND size IS NOT NULL AND price IS NOT NULL
+GROUP BY market_id HAVING count(*) >= 10"""
+
 ORACLES = {
     "parse_frames_a": f"WITH {views.FRAMES_A_SQL} SELECT {_COLUMNS} FROM frames_a WHERE outcome = 'trade'",
     "parse_frames_b": f"WITH {views.FRAMES_B_SQL} SELECT {_COLUMNS} FROM frames_b WHERE outcome = 'trade'",
@@ -174,12 +210,6 @@ SELECT alert_id, f.source, market_id, trade_id, coalesce(a.title, b.slug_title)
        {r6_sql("notional", "notional")}, {r6_sql("size_zscore", "size_zscore")}, run AS detected_at
 FROM scored f LEFT JOIN markets_a a ON market_id = a.ticker LEFT JOIN markets_b b ON market_id = b.id
 WHERE abs(size_zscore) > 1.2 AND abs(notional_zscore) > 1.2""",
-    "baseline_from_cells": f"""WITH {views.TRADES_SQL}, ending AS (
-  SELECT time_bucket(INTERVAL 1 HOUR, max(ingested_at) - INTERVAL 1 MICROSECOND) + INTERVAL 1 HOUR AS run FROM trades
-)
-SELECT market_id, count(*) AS n_trades, {r6_sql("avg(size)", "average_size")}, {r6_sql("stddev_samp(size)", "stddev_size")},
-       {r6_sql("avg(price * size)", "average_notional")}, {r6_sql("stddev_samp(price * size)", "stddev_notional")}
-FROM trades, ending
-WHERE ts <= run AND ts > run - INTERVAL 10 DAY AND size IS NOT NULL AND price IS NOT NULL
-GROUP BY market_id HAVING count(*) >= 10""",
+    "baseline_from_cells": _CELLS_SQL,
+    "baseline_from_stored_cells": _CELLS_SQL,
 }

@@ -36,6 +36,18 @@ TRADES = _struct(
     ("ingested_at", "timestamp"),
 )
 
+CELLS = _struct(
+    ("source", "text"),
+    ("market_id", "text"),
+    ("cell", "timestamp"),
+    ("arrived", "timestamp"),
+    ("n", "long"),
+    ("mean_size", "double"),
+    ("squares_size", "double"),
+    ("mean_notional", "double"),
+    ("squares_notional", "double"),
+)
+
 ALERTS = T.StructType(
     [
         *_struct(

@@ -6,13 +6,14 @@ reader that knows when it last looked opens the folders from then on and no olde
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+Note = tuple[str, date]
 NOTES = T.StructType().add("batch_id", T.StringType()).add("noted_on", T.DateType())
 
 
@@ -26,8 +27,8 @@ def note_batch(spark: SparkSession, path: str, name: str) -> None:
     row.write.mode("append").parquet(f"{path}_batches/noted_on={today()}")
 
 
-def notes_since(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
-    """(batch_id, noted_on) of the batches noted on `since` or later; all where it is None."""
+def notes_since(spark: SparkSession, path: str, since: date | None = None) -> set[Note]:
+    """The (batch_id, noted_on) of batches noted on `since` or later; all where it is None. Names only, one per run."""
     folder = f"{path}_batches"
     if since is not None:
         days = [str(since + timedelta(days=k)) for k in range((today() - since).days + 2)]
@@ -37,26 +38,34 @@ def notes_since(spark: SparkSession, path: str, since: date | None = None) -> Da
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], NOTES)
-    return found.distinct()
+        return set()
+    return {tuple(r) for r in found.collect()}
 
 
-def unseen(spark: SparkSession, path: str, seen: DataFrame) -> DataFrame:
-    """The notes that are not in `seen` (a consumer's notes). Folders older than the day before its latest one are closed."""
-    last = seen.agg(F.max("noted_on").alias("day")).first()["day"]
-    notes = notes_since(spark, path, None if last is None else last - timedelta(days=1))
-    return notes.join(seen, ["batch_id", "noted_on"], "left_anti")
+def unseen(spark: SparkSession, path: str, seen: set[Note], again: bool = True) -> set[Note]:
+    """The notes that are not in `seen` (a consumer's notes). Folders older than the day before its latest one are closed.
 
+    A batch that is noted again on another day comes again, unless `again` is false.
+    """
+    last = max((day for _, day in seen), default=None)
+    notes = notes_since(spark, path, last and last - timedelta(days=1))
+    known = {name for name, _ in seen}
+    return notes - seen if again else {x for x in notes if x[0] not in known}
 
-def kept_notes(seen: DataFrame) -> DataFrame:
+
+def kept_notes(seen: set[Note]) -> set[Note]:
     """What a consumer has to remember of its notes: those of the latest two days."""
-    last = seen.agg(F.max("noted_on").alias("day")).first()["day"]
-    return seen if last is None else seen.filter(F.col("noted_on") >= F.lit(last - timedelta(days=1)))
+    last = max((day for _, day in seen), default=None)
+    return {x for x in seen if x[1] >= last - timedelta(days=1)}
+
+
+def notes_table(spark: SparkSession, notes: set[Note]) -> DataFrame:
+    return spark.createDataFrame(sorted(notes), NOTES).coalesce(1)
 
 
-def read_batches(spark: SparkSession, path: str, names: list[str], schema: T.StructType, extra: str = "") -> DataFrame:
+def read_batches(spark: SparkSession, path: str, names: Collection[str], schema: T.StructType, extra: str = "") -> DataFrame:
     """The rows of the named batches; only their folders are listed."""
     full = T.StructType([*schema.fields, *T.StructType.fromDDL(extra).fields] if extra else schema.fields)
     if not names:
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/batch_id={x}" for x in names])
+    return spark.read.schema(full).option("basePath", path).parquet(*[f"{path}/batch_id={x}" for x in sorted(names)])

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradewatch import schemas
 from tradewatch.operators.skew import first_per_key
+from tradewatch.plans.cells import CELL, cells_between, store_cells
 from tradewatch.plans.detect import DetectParams, alerts_since, judge_runs
 from tradewatch.sources.frames import parse_frames_a, parse_frames_b
 from tradewatch.sources.tables import BATCH, append_alerts, read_if_there, with_day, write_batch
@@ -54,6 +55,7 @@ def _ingest(
             known = trades_table(batch.sparkSession, out).filter((F.col(BATCH) != mine) & F.col("trade_date").isin(days))
             trades = trades.join(known.select(*dedup_on), list(dedup_on), "left_anti").select(*trades.columns)
         write_batch(trades, out, mine, "trade_date", ["source", "market_id", "ts"])
+        store_cells(batch.sparkSession, out, mine)
 
     return frames.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -109,7 +111,7 @@ def alerts_table(spark: SparkSession, path: str) -> DataFrame:
 
 def detect(
     new_trades: DataFrame,
-    trades: Callable[[], DataFrame],
+    trades_path: str,
     dimensions: Callable[[], tuple[DataFrame, DataFrame, DataFrame]],
     alerts_path: str,
     checkpoint: str,
@@ -117,16 +119,22 @@ def detect(
     trigger: dict | None = None,
     every: timedelta = timedelta(minutes=15),
 ) -> StreamingQuery:
-    """Flag unusual trades as they land, against the baseline of the whole trades table.
+    """Flag unusual trades as they land in the trades table, against the baseline cells stored beside it.
 
     Every trade is judged once, as of the run of `every` that its arrival belongs to; how trades are dealt into batches
     and what clocks they carry makes no difference (see `judge_runs`). Alerts that other batches have stored are
     not repeated; those of the same batch are replaced, which makes a second attempt harmless.
     """
 
+    if every % CELL:
+        raise ValueError("runs end where stored cells end")
+
     def run(batch: DataFrame, batch_id: int) -> None:
-        mine = f"d{batch_id}"
-        found = judge_runs(batch, trades(), *dimensions(), params, every)
+        mine, spark = f"d{batch_id}", batch.sparkSession
+        names = [r[BATCH] for r in batch.select(BATCH).distinct().collect()]
+        found = judge_runs(
+            batch, lambda low, high: cells_between(spark, trades_path, low, high, names), *dimensions(), params, every
+        )
         first = batch.agg(F.min("ingested_at").alias("at")).first()["at"]
         known = alerts_table(batch.sparkSession, alerts_path).filter(F.col(BATCH) != mine)
         if first is not None:
