@@ -6,6 +6,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 from tradewatch.llm.common import table
+from tradewatch.llm.sql import clusters_sql, manifest_sql
 
 
 def op1_token_files(spark, sf_dir):
@@ -211,4 +212,9 @@ QUERIES = {
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op4_urls": _url_sql(), "op9_decontaminated": OP9_SQL}
+ORACLES: dict[str, str] = {
+    "op4_urls": _url_sql(),
+    "op9_decontaminated": OP9_SQL,
+    "op12_manifest": manifest_sql(),
+    "op13_clusters": clusters_sql(),
+}
