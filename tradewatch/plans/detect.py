@@ -21,6 +21,7 @@ from tradewatch.operators.baseline import (
 )
 from tradewatch.operators.enrich import market_profile
 from tradewatch.operators.skew import first_per_key, heavy_split_join, salted_join
+from tradewatch.session import stored
 
 
 @dataclass(frozen=True)
@@ -70,8 +71,9 @@ def unusual_trades(trades: DataFrame, as_of: datetime, params: DetectParams = De
 def _as_alerts(
     found: DataFrame, markets_a: DataFrame, markets_b: DataFrame, series: DataFrame, params: DetectParams
 ) -> DataFrame:
-    """Flagged trades (with detected_at) in the shape of the alerts table. Only now, for the few markets that have
-    one, are titles and volumes looked up."""
+    """Flagged trades (with detected_at) in the shape of the alerts table. They are few and stored once; only now, for
+    their markets, are titles and volumes looked up."""
+    found = stored(found, "candidates")
     if params.dedup == "first":
         found = first_per_key(found, ["alert_id"], [F.col("detected_at"), F.col("ts"), -F.col("size"), F.col("market_id")])
     profile = market_profile(found.select("market_id"), markets_a, markets_b, series, params.volume_scale)

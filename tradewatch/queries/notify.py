@@ -23,7 +23,7 @@ from tradewatch.queries import views
 from tradewatch.queries.detection import message_sql
 from tradewatch.queries.shape import wall
 from tradewatch import schemas
-from tradewatch.session import shared_folder
+from tradewatch.session import stored
 from tradewatch.sources.tables import STATE, outbox
 
 _WITHIN = timedelta(days=1)
@@ -77,26 +77,20 @@ def _outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outbox(_requests(spark, sf_dir), "alert_id")
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _late_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One handing out of all waiting alerts and two rounds of reports. Reports of one alert in four come in the second
     round only and of one in nine never; in each round reports repeat and contradict those of successes."""
     at, alerts = _as_of(spark, sf_dir), views.alerts(spark, sf_dir)
     none = spark.createDataFrame([], schemas.PENDING)
-    pending = _stored(admitted(none, alerts, spark.createDataFrame([], STATE)), "open")
-    queue = _stored(notifications(waiting(pending), at, within=_WITHIN, told=alerts), "queue")
+    pending = stored(admitted(none, alerts, spark.createDataFrame([], STATE)), "open")
+    queue = stored(notifications(waiting(pending), at, within=_WITHIN, told=alerts), "queue")
     number = F.col("trade_id").cast("bigint")
     reports = views.deliveries(queue).join(alerts.select("alert_id", (number % 4 == 1).alias("late"), (number % 9 == 2).alias("never")), "alert_id")
     reports = reports.filter(~F.col("never"))
     early, late = reports.filter(~F.col("late")), reports.filter("late")
     denied = early.withColumn("ok", F.lit(False))
-    first = _stored(settle_reports(handed_out(pending, queue, "r1", at), early.unionByName(early).unionByName(denied)), "first")
-    second = _stored(settle_reports(still_open(first), late.unionByName(denied)), "second")
+    first = stored(settle_reports(handed_out(pending, queue, "r1", at), early.unionByName(early).unionByName(denied)), "first")
+    second = stored(settle_reports(still_open(first), late.unionByName(denied)), "second")
     rounds = [(1, first), (2, second)]
     told = [told_threads(x, at + timedelta(minutes=5 * k)).select("alert_id", F.col("discord_thread_id").alias("thread_id")) for k, x in rounds]
     marks = [

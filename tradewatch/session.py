@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -67,3 +67,10 @@ def shared_folder(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tradewatch-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` as a table in the shared folder: it is read by all that follows instead of computed again."""
+    path = shared_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
