@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,14 +72,23 @@ def test_open_tickers_and_delta(spark):
 
 def test_subscriptions_of_other_sources_stay(spark, tmp_path):
     from tradewatch import schemas
-    from tradewatch.sources.tables import read_table, replace_subscriptions
+    from tradewatch.sources.tables import read_subscriptions, replace_subscriptions, write_table
 
-    path = str(tmp_path / "subs")
+    path, now = str(tmp_path / "subs"), datetime(2024, 6, 1)
+
+    def stored():
+        return sorted((r["source"], r["market_id"]) for r in read_subscriptions(spark, path, "ab").collect())
+
+    assert stored() == []
     first = spark.createDataFrame([("a", "m1", "y", "n", 0), ("b", "m2", "y", "n", 1)], schemas.SUBSCRIPTIONS)
     for source in "ab":
-        replace_subscriptions(first, path, source)
-    replace_subscriptions(spark.createDataFrame([("a", "m9", "y", "n", 0)], schemas.SUBSCRIPTIONS), path, "a")
-    stored = read_table(spark, path, schemas.SUBSCRIPTIONS)
-    assert sorted((r["source"], r["market_id"]) for r in stored.collect()) == [("a", "m9"), ("b", "m2")]
-    replace_subscriptions(first.limit(0), path, "a")
-    assert [r["source"] for r in read_table(spark, path, schemas.SUBSCRIPTIONS).collect()] == ["b"]
+        replace_subscriptions(first, path, source, now)
+    before = read_subscriptions(spark, path, "ab")
+    new = spark.createDataFrame([("a", "m9", "y", "n", 0)], schemas.SUBSCRIPTIONS)
+    write_table(new.drop("source"), f"{path}/source=a/version=9999999999999999")  # a writer that broke off
+    assert stored() == [("a", "m1"), ("b", "m2")]
+    replace_subscriptions(new, path, "a", now + timedelta(hours=1))
+    assert stored() == [("a", "m9"), ("b", "m2")]
+    assert sorted(r["market_id"] for r in before.collect()) == ["m1", "m2"]  # a reader that had begun
+    replace_subscriptions(first.limit(0), path, "a", now + timedelta(hours=2))
+    assert stored() == [("b", "m2")]

@@ -58,6 +58,7 @@ from tradewatch.sources.tables import (
     read_if_there,
     read_latest,
     read_parts,
+    read_subscriptions,
     refresh_series,
     replace_subscriptions,
     thread_bucket,
@@ -157,7 +158,7 @@ class Warehouse:
         return read_if_there(self.spark, self.path("series"), schemas.SERIES)
 
     def subscriptions(self) -> DataFrame:
-        return read_if_there(self.spark, self.path("subscriptions"), schemas.SUBSCRIPTIONS)
+        return read_subscriptions(self.spark, self.path("subscriptions"))
 
 
 def _stamped(as_of: datetime) -> str:
@@ -179,6 +180,17 @@ def compact(w: Warehouse, as_of: datetime) -> None:
     merge_cells(w.spark, w.path("trades"), as_of)
 
 
+def _staging(w: Warehouse, job: str, as_of: datetime):
+    """Where a run stores what it has parsed: one folder per run, replaced when the run is repeated."""
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        folder = w.path(f"staging/{job}/{BATCH}={_stamped(as_of)}/{name}")
+        write_table(df, folder, "overwrite")
+        return w.spark.read.schema(df.schema).parquet(folder)
+
+    return stage
+
+
 def refresh_a(w: Warehouse, as_of: datetime) -> None:
     """Venue-A catalogue from the series and market pages of the newest landed run."""
     pages = w.landed("series", "refresh-a", as_of, newest=True)
@@ -187,13 +199,13 @@ def refresh_a(w: Warehouse, as_of: datetime) -> None:
     intent = read_intent(w.spark, w.path("landed/intent.json"))
     series = read_pages(w.spark, pages[0], "series", "category string, page int")
     followed = series.filter(F.col("category").isin(list(intent.categories)))
-    markets = read_pages(w.spark, pages[0].replace("/series/", "/markets/"), "markets", "series_ticker string, page int")
+    markets = read_pages(w.spark, w.path(f"landed/markets/{pages[0].rsplit('/', 1)[1]}"), "markets", "series_ticker string, page int")
     manual = w.spark.createDataFrame([(t,) for t in intent.tickers], "ticker string")
-    found = refresh_catalog_a(followed, markets, w.markets_a(as_of), manual, as_of)
+    found = refresh_catalog_a(followed, markets, w.markets_a(as_of), manual, as_of, _staging(w, "refresh-a", as_of))
     refresh_series(found.series, w.path("series"), as_of)
     write_version(found.markets, w.path("markets_a"), as_of, ["source", "category", "status"])
     tickers = found.subscriptions.select(F.lit("venue_a").alias("source"), F.col("ticker").alias("market_id"))
-    replace_subscriptions(schemas.conform(tickers, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_a")
+    replace_subscriptions(schemas.conform(tickers, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_a", as_of)
     w.finish("refresh-a", as_of)
 
 
@@ -205,10 +217,11 @@ def refresh_b(w: Warehouse, as_of: datetime) -> None:
     intent = read_intent(w.spark, w.path("landed/intent.json"))
     events = read_pages(w.spark, pages[0], "events", "tag string, page int")
     order = w.spark.createDataFrame(list(enumerate(intent.tag_slugs)), "tag_position int, tag string")
-    found = refresh_catalog_b(events.join(F.broadcast(order), "tag"), w.markets_b(as_of), as_of)
+    tagged = events.join(F.broadcast(order), "tag")
+    found = refresh_catalog_b(tagged, w.markets_b(as_of), as_of, stage=_staging(w, "refresh-b", as_of))
     write_version(found.markets, w.path("markets_b"), as_of, ["source", "closed", "accepting_orders"])
     tokens = found.subscriptions.withColumn("source", F.lit("venue_b"))
-    replace_subscriptions(schemas.conform(tokens, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_b")
+    replace_subscriptions(schemas.conform(tokens, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_b", as_of)
     w.finish("refresh-b", as_of)
 
 

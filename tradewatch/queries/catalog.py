@@ -78,11 +78,13 @@ def _traded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _event_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each stored event as a tagged page item that lists two markets and one without an id."""
     user = F.col("user_id")
-    markets = F.array(
-        F.struct(F.concat(F.lit("m"), user).alias("id")),
-        F.struct(F.lit("").alias("id")),
-        F.struct(F.concat(F.lit("m"), user * 2).alias("id")),
-    )
+    rest = [
+        F.lit(False).alias("closed"),
+        (user % 4 != 0).alias("acceptingOrders"),
+        F.concat(F.lit('["y'), user, F.lit('","n'), user, F.lit('"]')).alias("clobTokenIds"),
+    ]
+    ids = [F.concat(F.lit("m"), user), F.lit(""), F.concat(F.lit("m"), user * 2)]
+    markets = F.array(*[F.struct(x.alias("id"), *rest) for x in ids])
     tags = F.array(*[F.lit(t) for t in ("view", "click", "purchase", "signup", "error")])
     tag = F.array_position(tags, F.col("event_type"))
     return views.table(spark, sf_dir, "events").select(
@@ -204,7 +206,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_series(items).select("source", "ticker", "category", "title", "tags", r6("volume_fp"))
 
 
-def _refresh_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _refreshed_a(spark: SparkSession, sf_dir: str):
     """Parts as venue-A markets of the suppliers' series; every third is in the target already."""
     key = F.col("p_partkey")
     parts = views.table(spark, sf_dir, "part")
@@ -222,11 +224,23 @@ def _refresh_a(spark: SparkSession, sf_dir: str) -> DataFrame:
         schemas.MARKETS_A,
     )
     manual = spark.createDataFrame([("manual-1",)], "ticker string")
-    refreshed = refresh_catalog_a(_series_items(spark, sf_dir), market_items, target, manual, _RUN)
-    return refreshed.markets.select("source", "ticker", "category", "status", wall("resolved_at"))
+    return refresh_catalog_a(_series_items(spark, sf_dir), market_items, target, manual, _RUN)
 
 
-def _refresh_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _refresh_a(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zoneless(_refreshed_a(spark, sf_dir).markets)
+
+
+def _refresh_a_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series, followed tickers and counts of the same run, one under the other."""
+    found = _refreshed_a(spark, sf_dir)
+    none = F.lit(None)
+    series = found.series.select(F.lit("series").alias("output"), F.col("ticker").alias("name"), "category", none.cast("int").alias("level"), none.cast("bigint").alias("n"))
+    followed = found.subscriptions.select(F.lit("ticker"), "ticker", none.cast("string"), none.cast("int"), none.cast("bigint"))
+    return series.unionAll(followed).unionAll(found.counts.select(F.lit("count"), "series_ticker", "category", "level", "n"))
+
+
+def _refreshed_b(spark: SparkSession, sf_dir: str):
     """Stored events as tagged pages; the markets found first, less those closed in the target."""
     items = _event_items(spark, sf_dir)
     target = schemas.conform(
@@ -242,7 +256,19 @@ def _refresh_b(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         schemas.MARKETS_B,
     )
-    return refresh_catalog_b(items, target, _RUN).markets.select("source", "id", "event_id", "closed", wall("resolved_at"))
+    return refresh_catalog_b(items, target, _RUN)
+
+
+def _refresh_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zoneless(_refreshed_b(spark, sf_dir).markets)
+
+
+def _refresh_b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed_b(spark, sf_dir).subscriptions
+
+
+def _refresh_b_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed_b(spark, sf_dir).counts
 
 
 QUERIES = {
@@ -262,6 +288,9 @@ QUERIES = {
     "landed_pages": _pages,
     "catalog_refresh_a": _refresh_a,
     "catalog_refresh_b": _refresh_b,
+    "catalog_refresh_a_outputs": _refresh_a_outputs,
+    "catalog_refresh_b_tokens": _refresh_b_tokens,
+    "catalog_refresh_b_counts": _refresh_b_counts,
 }
 
 
@@ -301,6 +330,32 @@ WITH items AS (
   FROM markets
 )"""
 
+_REFRESH_A_SQL = f"""
+WITH followed AS (
+  SELECT 'ticker-' || s_suppkey AS series_ticker, 'c' || s_nationkey AS category
+  FROM supplier
+  WHERE s_suppkey % 3 < 2 AND s_suppkey % 1000 + {[f for f, _, _ in _S].index("volume_fp")} > 0
+), staged AS (
+  SELECT 'venue_a' AS source, f.series_ticker, f.category, {payloads.expected_sql(_A, "p_partkey")}
+  FROM part JOIN followed f ON f.series_ticker = 'ticker-' || (p_partkey % 13)
+)"""
+
+_REFRESH_B_SQL = f"""{_DISCOVER_SQL}, staged AS (
+  SELECT 'venue_b' AS source, id, CAST(event_id AS VARCHAR) AS event_id, FALSE AS closed, user_id % 4 <> 0 AS accepting_orders,
+         '["y' || user_id || '","n' || user_id || '"]' AS clob_token_ids_raw, 'y' || user_id AS yes_token_id, 'n' || user_id AS no_token_id,
+         tag_position, page, position, market_position
+  FROM found WHERE rn = 1
+)"""
+
+
+def _taken_sql(schema, key: str, frozen: str) -> str:
+    """The rows after an upsert of `fresh` into `target`."""
+    columns = [
+        f"CASE WHEN s.{key} IS NOT NULL AND NOT coalesce({frozen}, FALSE) THEN s.{c} ELSE t.{c} END AS {c}" for c in schema.names
+    ]
+    return f"SELECT {', '.join(columns)} FROM fresh s FULL JOIN target t ON s.{key} = t.{key}"
+
+
 ORACLES = {
     "normalise_markets_a": f"""
 SELECT 'venue_a' AS source, p_brand AS series_ticker, p_type AS category, {payloads.expected_sql(_A, "p_partkey")}
@@ -368,30 +423,36 @@ SELECT added, removed, added + removed > 0 AS changed FROM counts""",
 SELECT 'venue_a' AS source, 's' || c_custkey AS ticker, lower(c_mktsegment) AS category, c_name AS title,
        '["' || c_mktsegment || '"]' AS tags, {r6_sql("c_acctbal", "volume_fp")}
 FROM customer""",
-    "catalog_refresh_a": f"""
-WITH followed AS (
-  SELECT 'ticker-' || s_suppkey AS series_ticker, 'c' || s_nationkey AS category
-  FROM supplier
-  WHERE s_suppkey % 3 < 2 AND s_suppkey % 1000 + {[f for f, _, _ in _S].index("volume_fp")} > 0
-), staged AS (
-  SELECT 'ticker-' || p_partkey AS ticker, f.category, 'status-' || p_partkey AS status
-  FROM part JOIN followed f ON f.series_ticker = 'ticker-' || (p_partkey % 13)
-), target AS (
-  SELECT 'ticker-' || p_partkey AS ticker, p_partkey % 2 = 0 AS settled FROM part WHERE p_partkey % 3 = 0
+    "catalog_refresh_a": f"""{_REFRESH_A_SQL}, target AS (
+  SELECT 'venue_a' AS source, 'ticker-' || p_partkey AS ticker, 'old' AS category, TIMESTAMP '2020-01-01' AS resolved_at,
+         CASE WHEN p_partkey % 2 = 0 THEN TIMESTAMP '2023-01-01' END AS settlement_ts
+         {_nulls(schemas.MARKETS_A, {"source", "ticker", "category", "settlement_ts", "resolved_at"})}
+  FROM part WHERE p_partkey % 3 = 0
+), fresh AS (SELECT *, TIMESTAMP '2024-02-01' AS resolved_at FROM staged)
+{_taken_sql(schemas.MARKETS_A, "ticker", "t.settlement_ts IS NOT NULL")}""",
+    "catalog_refresh_a_outputs": f"""{_REFRESH_A_SQL}
+SELECT 'series' AS output, 'ticker-' || s_suppkey AS name, CASE s_suppkey % 3 WHEN 0 THEN 'own' ELSE 'c' || s_nationkey END AS category,
+       CAST(NULL AS INTEGER) AS level, CAST(NULL AS BIGINT) AS n
+FROM supplier
+UNION ALL SELECT 'ticker', 'manual-1', NULL, NULL, NULL
+UNION ALL SELECT 'count', series_ticker, category, 2 - (grouping(category) + grouping(series_ticker)), count(*)
+FROM staged GROUP BY ROLLUP (category, series_ticker)""",
+    "catalog_refresh_b": f"""{_REFRESH_B_SQL}, target AS (
+  SELECT DISTINCT 'venue_b' AS source, 'm' || user_id AS id, 'old' AS event_id, TIMESTAMP '2020-01-01' AS resolved_at,
+         CASE user_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS closed
+         {_nulls(schemas.MARKETS_B, {"source", "id", "event_id", "closed", "resolved_at"})}
+  FROM events
+), fresh AS (
+  SELECT source, id, event_id, closed, accepting_orders, clob_token_ids_raw, yes_token_id, no_token_id, '[]' AS event_tag_slugs,
+         TIMESTAMP '2024-02-01' AS resolved_at
+         {_nulls(schemas.MARKETS_B, {"source", "id", "event_id", "closed", "accepting_orders", "clob_token_ids_raw", "yes_token_id", "no_token_id", "event_tag_slugs", "resolved_at"})}
+  FROM staged
 )
-SELECT 'venue_a' AS source, ticker,
-       CASE WHEN s.ticker IS NOT NULL AND NOT coalesce(t.settled, FALSE) THEN s.category ELSE 'old' END AS category,
-       CASE WHEN s.ticker IS NOT NULL AND NOT coalesce(t.settled, FALSE) THEN s.status END AS status,
-       CASE WHEN s.ticker IS NOT NULL AND NOT coalesce(t.settled, FALSE) THEN TIMESTAMP '2024-02-01'
-            ELSE TIMESTAMP '2020-01-01' END AS resolved_at
-FROM staged s FULL JOIN target t USING (ticker)""",
-    "catalog_refresh_b": f"""{_DISCOVER_SQL}, target AS (
-  SELECT DISTINCT 'm' || user_id AS id, CASE user_id % 3 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS closed FROM events
-), staged AS (SELECT id, CAST(event_id AS VARCHAR) AS event_id FROM found WHERE rn = 1)
-SELECT 'venue_b' AS source, id,
-       CASE WHEN coalesce(t.closed, FALSE) OR s.id IS NULL THEN 'old' ELSE s.event_id END AS event_id,
-       CASE WHEN coalesce(t.closed, FALSE) OR s.id IS NULL THEN t.closed END AS closed,
-       CASE WHEN coalesce(t.closed, FALSE) OR s.id IS NULL THEN TIMESTAMP '2020-01-01' ELSE TIMESTAMP '2024-02-01' END
-         AS resolved_at
-FROM staged s FULL JOIN target t USING (id)""",
+{_taken_sql(schemas.MARKETS_B, "id", "coalesce(t.closed, FALSE)")}""",
+    "catalog_refresh_b_tokens": f"""{_REFRESH_B_SQL}
+SELECT id AS market_id, yes_token_id, no_token_id,
+       row_number() OVER (ORDER BY tag_position, page, position, market_position) - 1 AS position
+FROM staged WHERE accepting_orders""",
+    "catalog_refresh_b_counts": f"""{_REFRESH_B_SQL}
+SELECT tag_position, 1 - grouping(tag_position) AS level, count(*) AS n FROM staged GROUP BY ROLLUP (tag_position)""",
 }

@@ -16,12 +16,16 @@ from tradewatch.sources.config import read_intent, valid_subscriptions
 from tradewatch.sources.tables import (
     append_alerts,
     append_debates,
+    read_subscriptions,
     read_table,
     refresh_series,
     replace_subscriptions,
+    write_table,
     write_transcripts,
 )
 
+_RUN = datetime(2024, 2, 1)
+
 
 def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = views.trades(spark, sf_dir)
@@ -90,14 +94,16 @@ def _layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = followed.unionByName(followed.withColumn("source", F.lit("venue_a")))
     gone = both.withColumn("source", F.lit("venue_c"))
     for source in ("venue_a", "venue_b", "venue_c"):
-        replace_subscriptions(both.unionByName(gone), f"{root}/subs", source)
-    replace_subscriptions(followed.filter(F.col("no_token_id").isNotNull()), f"{root}/subs", "venue_b")
-    replace_subscriptions(gone.limit(0), f"{root}/subs", "venue_c")
+        replace_subscriptions(both.unionByName(gone), f"{root}/subs", source, _RUN)
+    replace_subscriptions(followed.filter(F.col("no_token_id").isNotNull()), f"{root}/subs", "venue_b", _RUN + timedelta(hours=1))
+    replace_subscriptions(gone.limit(0), f"{root}/subs", "venue_c", _RUN + timedelta(hours=1))
+    # a run that broke off before its end does not count
+    write_table(followed.limit(1).drop("source"), f"{root}/subs/source=venue_a/version=9999999999999999")
     evolved = read_table(spark, f"{root}/alerts", schemas.ALERTS, "reviewed_by string, detected_date date")
     stored = [
         ("alerts", evolved.filter(F.col("reviewed_by").isNull()), "alert_id", ["title", "side", "reason", "discord_thread_id"]),
         ("debates", read_table(spark, f"{root}/debates", schemas.DEBATES), "debate_id", ["series_ticker", "market_id", "title", "outcome"]),
-        ("subscriptions", read_table(spark, f"{root}/subs", schemas.SUBSCRIPTIONS), "market_id", ["yes_token_id", "no_token_id"]),
+        ("subscriptions", read_subscriptions(spark, f"{root}/subs", ("venue_a", "venue_b", "venue_c")), "market_id", ["yes_token_id", "no_token_id"]),
     ]
     parts = [
         df.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,8 +57,8 @@ def normalise_markets_a(items: DataFrame, source: str = "venue_a") -> DataFrame:
     )
 
 
-def normalise_series(items: DataFrame, source: str = "venue_a") -> DataFrame:
-    """Series payloads (`payload`, `category` = the queried category) as series rows."""
+def normalise_series(items: DataFrame, source: str = "venue_a", more: Sequence[Column] = ()) -> DataFrame:
+    """Series payloads (`payload`, `category` = the queried category) as series rows, with `more` columns over `items`."""
     fields = [("ticker", "ticker", "text"), *[(name, name, kind) for name, kind in fixed.SERIES_FIELDS]]
     wanted = parse_schema([("category", "text"), *[(f, k) for f, _, k in fields]])
     parsed = computed_once(items, p=json_object(F.col("payload"), wanted))
@@ -64,11 +66,12 @@ def normalise_series(items: DataFrame, source: str = "venue_a") -> DataFrame:
         F.lit(source).alias("source"),
         F.coalesce(blank_to_null(F.col("p.category")), F.col("category")).alias("category"),
         *_from_fields("p", fields),
-    ).select(*[c for c in schemas.SERIES.fieldNames() if c != "resolved_at"])
+        F.struct(F.lit(0).alias("none"), *more).alias("__more"),
+    ).select(*[c for c in schemas.SERIES.fieldNames() if c != "resolved_at"], "__more.*").drop("none")
 
 
-def normalise_markets_b(items: DataFrame, source: str = "venue_b") -> DataFrame:
-    """Venue-B market payloads (`payload`, `event`) as staged market rows.
+def normalise_markets_b(items: DataFrame, source: str = "venue_b", more: Sequence[Column] = ()) -> DataFrame:
+    """Venue-B market payloads (`payload`, `event`) as staged market rows, with `more` columns over `items`.
 
     The two outcomes become parallel YES/NO columns, taken from JSON array texts.
     """
@@ -82,7 +85,7 @@ def normalise_markets_b(items: DataFrame, source: str = "venue_b") -> DataFrame:
         items,
         p=json_object(F.col("payload"), wanted),
         ev=json_object(F.col("event"), "id string, ticker string, slug string, title string, tags string"),
-    ).select("p", "ev", *_from_fields("p", own))
+    ).select("p", "ev", *_from_fields("p", own), F.struct(F.lit(0).alias("none"), *more).alias("__more"))
     return parsed.select(
         F.lit(source).alias("source"),
         F.col("ev.id").alias("event_id"),
@@ -96,4 +99,5 @@ def normalise_markets_b(items: DataFrame, source: str = "venue_b") -> DataFrame:
         F.expr(to_double(text_array_item("outcome_prices_raw", 1))).alias("yes_price"),
         F.expr(to_double(text_array_item("outcome_prices_raw", 2))).alias("no_price"),
         *_from_fields("p", fixed.MARKET_B_FIELDS),
-    ).select(*schemas.MARKETS_B_STAGED.fieldNames())
+        "__more",
+    ).select(*schemas.MARKETS_B_STAGED.fieldNames(), "__more.*").drop("none")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewatch import schemas
 from tradewatch.functions.coerce import instant, micros_of
 from tradewatch.sources.register import note_batch
 
@@ -113,10 +114,23 @@ def refresh_series(series: DataFrame, path: str, as_of: datetime) -> None:
     )
 
 
-def replace_subscriptions(subscriptions: DataFrame, path: str, source: str) -> None:
-    """Replace the subscriptions of one source, also by none; other sources are left alone."""
+def replace_subscriptions(subscriptions: DataFrame, path: str, source: str, as_of: datetime) -> None:
+    """Replace the subscriptions of one source, also by none; other sources are left alone.
+
+    The new set is written beside the old one and counts once it is finished, so a reader in between sees the old set.
+    """
     own = subscriptions.filter(F.col("source") == source).drop("source")
-    write_table(own, f"{path}/source={source}", "overwrite", cluster_by=["market_id"])
+    write_version(own, f"{path}/source={source}", as_of, ["market_id"])
+
+
+def read_subscriptions(spark: SparkSession, path: str, sources: Sequence[str] = ("venue_a", "venue_b")) -> DataFrame:
+    """The latest finished set of each source."""
+    own = T.StructType([f for f in schemas.SUBSCRIPTIONS.fields if f.name != "source"])
+    parts = [read_latest(spark, f"{path}/source={x}", own).withColumn("source", F.lit(x)) for x in sources]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.select(*schemas.SUBSCRIPTIONS.names)
 
 
 def write_transcripts(entries: DataFrame, path: str, folder: Column | None = None) -> None:
@@ -186,12 +200,12 @@ def read_latest(
     return read_table(spark, f"{path}/version={newest}", schema)
 
 
-def read_parts(spark: SparkSession, path: str, schemas: dict[str, T.StructType], before: datetime | None = None) -> dict[str, DataFrame]:
+def read_parts(spark: SparkSession, path: str, parts: dict[str, T.StructType], before: datetime | None = None) -> dict[str, DataFrame]:
     """The tables of the latest finished version that `write_parts` wrote; empty ones where there is none."""
     newest = latest_version(spark, path, before)
     if newest is None:
-        return {name: spark.createDataFrame([], schema) for name, schema in schemas.items()}
-    return {name: read_table(spark, f"{path}/version={newest}/part={name}", schema) for name, schema in schemas.items()}
+        return {name: spark.createDataFrame([], schema) for name, schema in parts.items()}
+    return {name: read_table(spark, f"{path}/version={newest}/part={name}", schema) for name, schema in parts.items()}
 
 
 def read_if_there(spark: SparkSession, path: str, schema: T.StructType, extra: str = "") -> DataFrame:
