@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Chunks a Python worker keeps in each of two generations; when one is full, the older one goes. That changes nothing but time.
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 450_000
 #: Length up to which a chunk is kept; longer ones are encoded each time.
 CACHED_CHARS = 64
 #: Signs that may follow a word of letters; an apostrophe may join it and angle brackets may be of a special token.
