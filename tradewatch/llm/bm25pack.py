@@ -26,6 +26,8 @@ from tradewatch.llm import tokens
 WINDOW = 2048
 SHARD_IDS = 1 << 22
 QUERY_TERMS = 16
+#: Chunks that the encoder keeps beside a shard.
+KEPT_CHUNKS = 450_000
 K1, B = 1.2, 0.75
 #: Sequence ids of a partition begin at a multiple of this.
 SEQUENCES = 1 << 36
@@ -166,7 +168,7 @@ def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int):
 
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for name, ids in zip(batch.column("doc_id").to_pylist(), tokens.encoded(texts, tokenizer, end_id), strict=True):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), tokens.encoded(texts, tokenizer, end_id, KEPT_CHUNKS), strict=True):
                 names.append(name)
                 held.append(ids)
                 n += len(ids) // 4

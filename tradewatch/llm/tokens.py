@@ -16,7 +16,7 @@ from array import array
 import numpy as np
 
 #: Chunks a Python worker keeps in each of two generations; when one is full, the older one goes. That changes nothing but time.
-CACHED_CHUNKS = 450_000
+CACHED_CHUNKS = 600_000
 #: Length up to which a chunk is kept; longer ones are encoded each time.
 CACHED_CHARS = 64
 #: Signs that may follow a word of letters; an apostrophe may join it and angle brackets may be of a special token.
@@ -47,6 +47,7 @@ class ChunkEncoder(dict):
 
         super().__init__()
         self.older: dict[str, bytes] = {}
+        self.kept = CACHED_CHUNKS
         self.tokenizer = Tokenizer.from_file(path)
         one = self._whole("a")
         self.blanks_count = self._whole("a a") != one + one
@@ -88,7 +89,7 @@ class ChunkEncoder(dict):
         else:
             ids = self._word(chunk)
         if len(chunk) <= CACHED_CHARS:
-            if len(self) >= CACHED_CHUNKS:
+            if len(self) >= self.kept:
                 self.older = dict(self)
                 self.clear()
             self[chunk] = ids
@@ -124,9 +125,13 @@ def forget() -> None:
         own.forget()
 
 
-def encoded(texts, path: str, end_id: int):
-    """Yield the ids of each text with ``end_id`` at its end, as bytes. Null texts have the end id only."""
+def encoded(texts, path: str, end_id: int, kept: int = CACHED_CHUNKS):
+    """Yield the ids of each text with ``end_id`` at its end, as bytes. Null texts have the end id only.
+
+    ``kept`` bounds the chunks of a generation, for operators that need memory of their own.
+    """
     end = np.array([end_id], _IDS).tobytes()
     own = encoder(path)
+    own.kept = kept
     for text in texts:
         yield own.encode(text or "") + end
