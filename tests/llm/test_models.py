@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.rows import LONG, ODD_TEXTS, frame
 from tradewatch.llm import queries
-from tradewatch.llm.kneserney import END, START, Calibration, Models, _sequences, fit, fold, predict, sequence_counts
+from tradewatch.llm.kneserney import END, START, Calibration, _sequences, fit, fitted, fold, predict, sequence_counts
 from tradewatch.llm.semicrf import KINDS, PATTERNS, all_spans, base_spans, best_segments, candidates, find_personal_data, holds, luhn, masked, train, written
 from tradewatch.llm.semicrf import fit as fit_field
 
@@ -41,7 +41,13 @@ def brute_chance(counts, order, sequence):
     return chance(sequence)
 
 
-def test_smoothing_against_brute_force():
+def models_of(spark, words, part_rows=1_000_000):
+    sequences, n = _sequences(words, ORDER)
+    rows = [("x", False, s, int(k)) for s, k in zip(sequences, n, strict=True)]
+    return fitted(spark.createDataFrame(rows, "lang string, seen boolean, sequence string, n long"), ORDER, part_rows)[0]
+
+
+def test_smoothing_against_brute_force(spark):
     words = Counter({"abab": 3, "ba": 2, "aé": 1, "b": 5})
     sequences, n = _sequences(words, ORDER)
     counts = dict(zip(sequences, n.tolist(), strict=True))
@@ -51,7 +57,7 @@ def test_smoothing_against_brute_force():
         for k in range(1, len(s)):
             want[s[max(0, k - ORDER + 1) : k + 1]] += m
     assert counts == want
-    models = Models(["x"], np.zeros(len(counts), int), list(counts), np.array(list(counts.values())), ORDER)
+    models = models_of(spark, words)
     for word in ["abab", "ba", "zzz", "a", "bé", "abé"]:
         s = START + word + END
         nats = -sum(math.log(brute_chance(counts, ORDER, s[max(0, k - ORDER + 1) : k + 1])) for k in range(1, len(s)))
@@ -59,10 +65,16 @@ def test_smoothing_against_brute_force():
         assert chars[0] == len(word) + 1 and abs(got[0, 0] - nats) < 1e-4 * nats
 
 
-def test_probabilities_sum_to_at_most_one():
-    words = Counter({"abc": 2, "acb": 1, "bb": 1})
-    sequences, n = _sequences(words, ORDER)
-    models = Models(["x"], np.zeros(len(n), int), sequences, n, ORDER)
+def test_files_of_any_size_predict_the_same(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.001", "documents")
+    whole, small = (fit(docs, F.coalesce(fold() == 2, F.lit(False)), part_rows=n) for n in (10**9, 5000))
+    assert len(whole[0].files) == 1 and len(small[0].files) > 10 and whole[0].langs == small[0].langs
+    got, want = (sorted(map(str, predict(docs, *x).collect())) for x in (small, whole))
+    assert got == want
+
+
+def test_probabilities_sum_to_at_most_one(spark):
+    models = models_of(spark, Counter({"abc": 2, "acb": 1, "bb": 1}))
     ends = [math.exp(-models.word_bits(["a" + c])[0][0, 0] + models.word_bits(["a" + c + "q"])[0][0, 0] * 0) for c in "abc"]
     assert all(0 < x < 1 for x in ends)
 

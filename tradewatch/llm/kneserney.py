@@ -4,7 +4,8 @@ A text's words (runs without white space, in lower case, those with a letter) ar
 sign. A character depends on up to ``order - 1`` characters before it in its word. The longest sequences are counted over
 all learned rows; shorter ones count in how many ways they are continued to the left (at a word's start, where there
 is only one way, as often as they occur). Each order is discounted by its own D = n1 / (n1 + 2 n2) and interpolated with the
-shorter one. Sequences are kept as 64-bit hashes in one sorted array, with a column per language.
+shorter one. Shares and weights are computed by Spark over all counted sequences and kept as a table of 64-bit hashes with a value
+per language, sorted and cut into files of about ``part_rows`` rows (sorted hash arrays).
 
 A text goes to the language with the lowest cross-entropy per character. ``score`` is the posterior of that language, at a
 temperature fitted on labelled rows that the fitted models have not seen; ``accepted`` is false where the cross-entropy lies
@@ -13,8 +14,9 @@ more than ``FURTHEST`` spreads above the median of those rows of its language an
 limit at will.
 Both are fitted on at most ``calibration_rows`` rows.
 
-The model is sent to the executors. Its size is bounded: if there are more than ``max_sequences`` sequences, the rarest are left out
-(the least count that fits; a usual cut-off of such models, which the backed-off orders absorb).
+The files lie in the shared folder and are handed to the executors as files of the job; neither the driver nor a task ever holds
+more than one of them, whatever the size of the model. A task looks its distinct sequences up in one file after the other, so
+predictions do not depend on ``part_rows``.
 
 Texts that are null or have no letter are ``und`` with score 0, not accepted. Rows without language or id are not learned
 from. With no learned language all is ``und``. Repeated rows count as often as they occur. Other columns are not read.
@@ -26,14 +28,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.parquet as pq
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewatch.llm import tokens
 from tradewatch.llm.common import ROW, bounded_sample, carried, schema_of, stored
 
 ORDER = 5
-MAX_SEQUENCES = 2_000_000
+#: Rows of a model's file, which is what a task holds of the model at a time.
+PART_ROWS = 1_000_000
 CALIBRATION_ROWS = 20_000
 START, END = "\u0002", "\u0003"
 UNKNOWN_CHARS = 1 << 12
@@ -44,6 +49,8 @@ _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 HELD_WORDS = 150_000
 #: Characters of texts that are told apart at once.
 HELD_CHARS = 1 << 22
+#: Distinct words whose sequences are looked up at once.
+ASKED_WORDS = 50_000
 
 
 def fold(doc_id="doc_id"):
@@ -126,61 +133,111 @@ def sequence_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return counted.groupBy("lang", "seen", "sequence").agg(F.sum("n").alias("n"))
 
 
-def _smoothed(points: np.ndarray, last: np.ndarray, sizes: np.ndarray, n: np.ndarray, order: int):
-    """((sequence, share), (context, weight of the shorter context)) of one language, sequences as hashes.
+def _hashes(strings: list[str]) -> np.ndarray:
+    """``hash_of`` of each string."""
+    points = np.frombuffer("".join(strings).encode("utf-32-le", "replace"), "<u4")
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    last, out = np.cumsum(sizes) - 1, np.zeros(len(strings), np.uint64)
+    for length in np.unique(sizes).tolist():
+        own = sizes == length
+        out[own] = _around(points, last[own], length)
+    return out
+
+
+def smoothed(counts: DataFrame, langs: list[str]) -> DataFrame:
+    """early, sequence, shares, backs: per language (in the order of ``langs``) the discounted share of a sequence (0 where it
+    does not occur) and the weight of the shorter context behind it as a context (1 where it is none).
 
-    A sequence is known by the place of its last character; the shorter one without its first ends there as well.
+    ``counts`` has lang, seen, sequence, n; ``early`` rows are the model of what is ``seen``, the others that of everything.
     """
-    seen, given, contexts, weights = [], [], [], []
-    ends, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for length in range(order, 0, -1):
-        raw = sizes == length
-        at, value = np.concatenate([ends, last[raw]]), np.concatenate([counts, n[raw]])
-        hashes, first, inverse = np.unique(_around(points, at, length), return_index=True, return_inverse=True)
-        at, value = at[first], np.bincount(inverse, value, minlength=len(hashes)).astype(np.int64)
-        once, twice = int((value == 1).sum()), int((value == 2).sum())
-        discount = once / (once + 2 * twice) if once else 0.5
-        context, inverse = np.unique(_around(points, at - 1, length - 1), return_inverse=True)
-        total, kinds = np.bincount(inverse, value), np.bincount(inverse)
-        seen.append(hashes)
-        given.append(np.maximum(value - discount, 0) / total[inverse] if len(at) else np.zeros(0))
-        contexts.append(context)
-        weights.append(discount * kinds / total if len(at) else np.zeros(0))
-        # each distinct sequence is one way in which the shorter one is continued to the left
-        ends, counts = at, np.ones(len(at), np.int64)
-    return (np.concatenate(seen), np.concatenate(given)), (np.concatenate(contexts), np.concatenate(weights))
+    lang = (F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1).cast("int")
+    rows = counts.select(F.explode(F.when(F.col("seen"), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))).alias("early"), lang.alias("lang"), "sequence", "n")
+    size = F.length("sequence")
+    cut = rows.select("early", "lang", "sequence", "n", F.explode(F.sequence(F.lit(2), size)).alias("size"))
+    whole = F.when(F.col("size") == size, F.col("n")).otherwise(0)
+    ends = cut.select("early", "lang", F.expr("right(sequence, size)").alias("sequence"), whole.alias("n")).groupBy("early", "lang", "sequence").agg(F.sum("n").alias("n"))
+    # each distinct sequence is one way in which the shorter one is continued to the left; whole ones count as often as they occur
+    either = F.array(F.struct("sequence", "n"), F.struct(F.expr("substring(sequence, 2)").alias("sequence"), F.lit(1).cast("long").alias("n")))
+    valued = ends.select("early", "lang", F.inline(either)).groupBy("early", "lang", "sequence").agg(F.sum("n").alias("value")).where("value > 0")
+    valued = stored(valued.withColumn("size", F.length("sequence")), "language-values")
+    # one row per model, language and length
+    levels = valued.groupBy("early", "lang", "size").agg(F.count_if(F.col("value") == 1).alias("once"), F.count_if(F.col("value") == 2).alias("twice"))
+    discount = F.when(F.col("once") > 0, F.col("once") / (F.col("once") + 2 * F.col("twice"))).otherwise(0.5)
+    levels = levels.select("early", "lang", "size", discount.alias("discount"))
+    # a context has at most as many rows as there are characters
+    same = Window.partitionBy("early", "lang", "context")
+    shared = (
+        valued.join(F.broadcast(levels), ["early", "lang", "size"])
+        .withColumn("context", F.expr("left(sequence, size - 1)"))
+        .withColumn("total", F.sum("value").over(same))
+        .withColumn("kinds", F.count(F.lit(1)).over(same))
+        .withColumn("first", F.row_number().over(same.orderBy("sequence")) == 1)
+    )
+    share = F.struct("sequence", (F.greatest(F.col("value") - F.col("discount"), F.lit(0.0)) / F.col("total")).alias("share"), F.lit(None).cast("double").alias("back"))
+    back = F.struct(F.col("context").alias("sequence"), F.lit(None).cast("double").alias("share"), (F.col("discount") * F.col("kinds") / F.col("total")).alias("back"))
+    both = shared.select("early", "lang", F.inline(F.when(F.col("first"), F.array(share, back)).otherwise(F.array(share))))
+
+    def by_lang(name, missing):
+        own = [F.coalesce(F.max(F.when(F.col("lang") == k, F.col(name))), F.lit(missing)).cast("float") for k in range(len(langs))]
+        return F.array(*own).alias(f"{name}s")
+
+    return both.groupBy("early", "sequence").agg(by_lang("share", 0.0), by_lang("back", 1.0))
+
+
+def hashed(rows: DataFrame) -> DataFrame:
+    """early, hash, shares, backs."""
+
+    def run(batches):
+        for batch in batches:
+            hashes = _hashes(batch.column("sequence").to_pylist()).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("early"), pa.array(hashes), batch.column("shares"), batch.column("backs")], ["early", "hash", "shares", "backs"])
+
+    return rows.mapInArrow(run, "early boolean, hash long, shares array<float>, backs array<float>")
+
+
+def _files(spark: SparkSession, rows: DataFrame, part_rows: int) -> list[str]:
+    """The model as sorted files of about ``part_rows`` rows that every executor can open."""
+    parts = max(1, -(-rows.count() // part_rows))
+    kept = stored(rows.select("hash", "shares", "backs").repartitionByRange(parts, "hash").sortWithinPartitions("hash"), "language-model")
+    names = sorted(kept.inputFiles())
+    for name in names:
+        spark.sparkContext.addFile(name)
+    return [name.rsplit("/", 1)[1] for name in names]
+
+
+#: The file that was opened last; a model of one file is read once per worker.
+_opened: dict[str, tuple] = {}
+
+
+def _part(name: str, langs: int):
+    """The hashes of a file, ascending, and its shares and backs by language."""
+    if name not in _opened:
+        _opened.clear()
+        rows = pq.read_table(SparkFiles.get(name), use_threads=False).combine_chunks()
+        tables = [rows.column(x).combine_chunks().flatten().to_numpy().reshape(-1, langs) for x in ("shares", "backs")]
+        _opened[name] = (rows.column("hash").to_numpy(), *tables)
+    return _opened[name]
 
 
 class Models:
-    """Sorted hashes with, per language, the discounted share of a sequence and the weight of the shorter context."""
-
-    def __init__(self, langs: list[str], lang: np.ndarray, sequences: list[str], n: np.ndarray, order: int = ORDER):
-        """The longest sequences with their counts; ``lang`` is the number of each one's language."""
-        self.langs, self.order = langs, order
-        points = np.frombuffer("".join(sequences).encode("utf-32-le", "replace"), "<u4")
-        sizes = np.fromiter(map(len, sequences), np.int64, len(sequences))
-        last = np.cumsum(sizes) - 1
-        shares, backs = [], []
-        for k in range(len(langs)):
-            own = lang == k
-            for kind, found in zip((shares, backs), _smoothed(points, last[own], sizes[own], n[own], order), strict=True):
-                kind.append((k, *found))
-        self.shares, self.backs = self._sorted(shares, 0.0), self._sorted(backs, 1.0)
-
-    def _sorted(self, parts, missing: float):
-        hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for _, h, _ in parts]]))
-        table = np.full((len(hashes), max(1, len(self.langs))), missing, np.float32)
-        for k, own, values in parts:
-            table[np.searchsorted(hashes, own), k] = values
-        return hashes, table
-
-    @staticmethod
-    def _found(table, keys: np.ndarray, missing: float) -> np.ndarray:
-        hashes, values = table
-        if not len(hashes):
-            return np.full((len(keys), values.shape[1]), missing, np.float32)
-        at = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
-        return np.where((hashes[at] == keys)[:, None], values[at], np.float32(missing))
+    """The languages and the files with, per language, the discounted share of a sequence and the weight of the shorter context."""
+
+    def __init__(self, langs: list[str], files: list[str], order: int = ORDER):
+        self.langs, self.files, self.order = langs, files, order
+
+    def _found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares and backs of ascending keys, one file after the other."""
+        shares = np.zeros((len(keys), len(self.langs)), np.float32)
+        backs = np.ones((len(keys), len(self.langs)), np.float32)
+        for name in self.files:
+            hashes, own_shares, own_backs = _part(name, len(self.langs))
+            if not len(hashes):
+                continue
+            low, high = np.searchsorted(keys, hashes[0]), np.searchsorted(keys, hashes[-1], side="right")
+            at = np.searchsorted(hashes, keys[low:high])
+            there = np.flatnonzero(hashes[at] == keys[low:high])
+            shares[low + there], backs[low + there] = own_shares[at[there]], own_backs[at[there]]
+        return shares, backs
 
     def word_bits(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy of each word by language (nats, summed over its characters and its end), and how many they are."""
@@ -188,13 +245,15 @@ class Models:
         at = np.flatnonzero(place > 0)
         _, first, inverse = np.unique(_windows(points, place, self.order)[at], return_index=True, return_inverse=True)
         ends = at[first]
-        # what is asked for: each distinct sequence once, with all its shorter forms
+        # what is asked for: each distinct sequence once, with all its shorter forms and their contexts
+        longer = [np.flatnonzero(place[ends] + 1 >= length) for length in range(1, self.order + 1)]
+        asked = [_around(points, ends[x] - back, length - back) for length, x in enumerate(longer, 1) for back in (0, 1)]
+        keys, where = np.unique(np.concatenate(asked).view(np.int64), return_inverse=True)
+        shares, backs = self._found(keys)
+        parts = np.split(where, np.cumsum([len(x) for x in asked])[:-1])
         chance = np.full((len(ends), len(self.langs)), 1.0 / UNKNOWN_CHARS)
-        for length in range(1, self.order + 1):
-            longer = np.flatnonzero(place[ends] + 1 >= length)
-            whole = _around(points, ends[longer], length)
-            context = _around(points, ends[longer] - 1, length - 1)
-            chance[longer] = self._found(self.shares, whole, 0.0) + self._found(self.backs, context, 1.0) * chance[longer]
+        for x, whole, context in zip(longer, parts[::2], parts[1::2], strict=True):
+            chance[x] = shares[whole] + backs[context] * chance[x]
         nats = -np.log(chance)[inverse]
         out = np.zeros((len(words), len(self.langs)))
         begins = np.flatnonzero(np.concatenate([[True], owner[at][1:] != owner[at][:-1]]))
@@ -220,8 +279,8 @@ class Models:
         use = np.fromiter(map(has_letter, listed), bool, len(listed))
         nats, chars = np.zeros((len(listed), len(self.langs))), np.zeros(len(listed), np.int64)
         spelled = np.flatnonzero(use)
-        for k in range(0, len(spelled), 100_000):
-            part = spelled[k : k + 100_000]
+        for k in range(0, len(spelled) if self.langs else 0, ASKED_WORDS):
+            part = spelled[k : k + ASKED_WORDS]
             nats[part], chars[part] = self.word_bits([listed[x] for x in part.tolist()])
         counts = np.array([len(x) for x in found], np.int64)
         flat = np.fromiter((x for own in found for x in own), np.int64, int(counts.sum()))
@@ -297,34 +356,23 @@ def posterior(table: np.ndarray, n: np.ndarray, temperature: float) -> np.ndarra
     return out / out.sum(1, keepdims=True)
 
 
-def _kept_counts(counts: DataFrame, limit: int) -> DataFrame:
-    """All sequences, or those with the least count at which no more than ``limit`` are left."""
-    n = F.col("n")
-    sizes = counts.groupBy("lang", "sequence").agg(F.sum("n").alias("n")).groupBy(F.least(n, F.lit(1000)).alias("n")).count().collect()
-    above = sorted(((x["n"], x["count"]) for x in sizes), reverse=True)
-    total, least = 0, 1
-    for count, rows in above:
-        total += rows
-        if total > limit:
-            least = count + 1
-            break
-    return counts if least == 1 else counts.where(n >= least)
+def fitted(counts: DataFrame, order: int = ORDER, part_rows: int = PART_ROWS) -> tuple[Models, Models]:
+    """The models of all of ``counts`` (lang, seen, sequence, n) and of what is ``seen``."""
+    langs = sorted(x["lang"] for x in counts.select("lang").distinct().collect())
+    if not langs:
+        return Models([], [], order), Models([], [], order)
+    spark, rows = counts.sparkSession, stored(hashed(smoothed(counts, langs)), "language-shares")
+    return tuple(Models(langs, _files(spark, rows.where(own), part_rows), order) for own in (~F.col("early"), F.col("early")))
 
 
-def fit(docs: DataFrame, held_out, order: int = ORDER, max_sequences: int = MAX_SEQUENCES, calibration_rows: int = CALIBRATION_ROWS):
+def fit(docs: DataFrame, held_out, order: int = ORDER, part_rows: int = PART_ROWS, calibration_rows: int = CALIBRATION_ROWS):
     """(models, calibration) learned from the rows of ``docs`` for which the column ``held_out`` is false."""
     spark = docs.sparkSession
     learned = docs.where(~held_out & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select(
         "doc_id", "text", "lang", (fold() != 3).alias("seen")
     )
-    counts = _kept_counts(stored(sequence_counts(learned, order), "language-counts"), max_sequences).toArrow()
-    langs = sorted(counts.column("lang").unique().to_pylist())
-    numbers = {x: k for k, x in enumerate(langs)}
-    lang = np.array([numbers[x] for x in counts.column("lang").to_pylist()], np.int64)
-    n, own = counts.column("n").to_numpy(), counts.column("seen").to_numpy()
-    sequences = counts.column("sequence").to_pylist()
-    models = Models(langs, lang, sequences, n, order)
-    early = Models(langs, lang[own], [x for x, seen in zip(sequences, own.tolist(), strict=True) if seen], n[own], order)
+    models, early = fitted(stored(sequence_counts(learned, order), "language-counts"), order, part_rows)
+    langs = models.langs
     rows = bounded_sample(learned.where(~F.col("seen")), calibration_rows)
     sent = spark.sparkContext.broadcast(early)
 
