@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tradewatch.operators.subscribe import delta_counts, open_tickers, subscription_delta
 from tradewatch.operators.upsert import CLOSED, SETTLED, upsert
+from tradewatch.sources.buckets import read_buckets, upsert_buckets
 
 AS_OF = datetime(2024, 6, 1)
 OLD = datetime(2024, 1, 1)
@@ -92,3 +93,41 @@ def test_subscriptions_of_other_sources_stay(spark, tmp_path):
     assert sorted(r["market_id"] for r in before.collect()) == ["m1", "m2"]  # a reader that had begun
     replace_subscriptions(first.limit(0), path, "a", now + timedelta(hours=2))
     assert stored() == [("b", "m2")]
+
+
+KEYS = ["source", "ticker"]
+
+
+def test_only_changed_buckets_are_written(spark, tmp_path):
+    path = str(tmp_path / "markets")
+    first = markets(spark, [(f"m{k}", "old", k % 2 == 0, None) for k in range(200)]).drop("resolved_at")
+    schema = markets(spark, []).schema
+
+    def stage(rows, days):
+        return upsert_buckets(rows, path, schema, KEYS, OLD + timedelta(days=days), SETTLED, buckets=16)
+
+    def stored(**more):
+        return {r["ticker"]: (r["title"], r["resolved_at"]) for r in read_buckets(spark, path, schema, **more).collect()}
+
+    assert stored() == {} and stage(first.limit(0), 0) == [] and stored() == {}
+    assert stage(first, 1) == list(range(16)) and len(stored()) == 200
+    changed = markets(spark, [("m7", "new", False, None), *[(f"m{k}", "new", False, None) for k in range(0, 200, 2)]])
+    for _attempt in range(2):
+        assert len(stage(changed.drop("resolved_at"), 2)) == 1
+        assert len(list((tmp_path / "markets").glob("version=*/__bucket=*"))) == 17
+    after = stored()
+    assert after.pop("m7") == ("new", OLD + timedelta(days=2)) and set(after.values()) == {("old", OLD + timedelta(days=1))}
+    assert len(after) == 199 and stored(before=OLD + timedelta(days=2))["m7"][0] == "old"
+    assert stage(markets(spark, [("m8", "new", False, None)]).drop("resolved_at"), 3) == []
+    # the number of buckets is the table's own
+    added = markets(spark, [("m200", "new", False, None)]).drop("resolved_at")
+    assert len(upsert_buckets(added, path, schema, KEYS, OLD + timedelta(days=4), SETTLED, buckets=5)) == 1
+    assert len(stored()) == 201
+
+
+def test_two_staged_rows_of_a_frozen_key_fail(spark, tmp_path):
+    path, schema = str(tmp_path / "markets"), markets(spark, []).schema
+    rows = markets(spark, [("m", "old", True, None)]).drop("resolved_at")
+    upsert_buckets(rows, path, schema, KEYS, OLD, SETTLED)
+    with pytest.raises(Exception, match="more than one staged row"):
+        upsert_buckets(rows.union(rows), path, schema, KEYS, AS_OF, SETTLED)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tradewatch import schemas
 from tradewatch.functions.coerce import instant, micros_of
+from tradewatch.operators.upsert import CLOSED, SETTLED
 from tradewatch.plans.accounting import debate_accounts, debate_rows
 from tradewatch.plans.cells import merge_cells, store_cells
 from tradewatch.plans.catalog import refresh_catalog_a, refresh_catalog_b
@@ -43,6 +44,7 @@ from tradewatch.plans.requests import (
     valid_requests,
 )
 from tradewatch.session import prepare
+from tradewatch.sources.buckets import read_buckets, upsert_buckets
 from tradewatch.sources.config import read_intent
 from tradewatch.sources.pages import read_pages
 from tradewatch.sources.register import NOTES, kept_notes, notes_table, read_batches, unseen
@@ -56,7 +58,6 @@ from tradewatch.sources.tables import (
     append_trades,
     outbox,
     read_if_there,
-    read_latest,
     read_parts,
     read_subscriptions,
     refresh_series,
@@ -64,7 +65,6 @@ from tradewatch.sources.tables import (
     thread_bucket,
     write_parts,
     write_table,
-    write_version,
 )
 
 _DELIVERIES = "alert_id string, thread_id string, ok boolean"
@@ -74,6 +74,9 @@ _RUNS = (
     " started_at timestamp, finished_at timestamp, thread_id string"
 )
 _PENDING = {"open": schemas.PENDING, "seen": NOTES, "recent": schemas.RECENT_THREADS}
+#: Folders of runs are told apart by their leading digits: 10^11 microseconds, some 28 hours.
+_DAY_DIGITS = 11
+_DAY = 10**_DAY_DIGITS
 _FINISHED = T.StructType().add("number", T.LongType())
 
 
@@ -127,7 +130,7 @@ class Warehouse:
         """The folders `landed/<name>/run=<microseconds>` that belong to this run: landed behind the last run of the job
         and not after this one. None if there are none."""
         low, high = self.since(job, as_of), micros_of(as_of)
-        runs = [x for x in self._folders(f"landed/{name}", "run") if low < x <= high]
+        runs = [x for x in self._runs(f"landed/{name}", low, high) if low < x <= high]
         return [self.path(f"landed/{name}/run={x}") for x in (runs[-1:] if newest else runs)] or None
 
     def batches(self, name: str, job: str, as_of: datetime) -> DataFrame:
@@ -140,19 +143,25 @@ class Warehouse:
             return self.spark.createDataFrame([], f"{BATCH} string")
         return rows.filter((at > low) & (at <= high))
 
-    def _folders(self, name: str, key: str) -> list[int]:
-        """The numbers of the folders below; names only, no file is opened."""
+    def _runs(self, name: str, low: int, high: int) -> list[int]:
+        """The numbers of the folders `run=<microseconds>` below, of the days from `low` to `high`: what landed on earlier days
+        is not listed again. Names only, no file is opened."""
+        days = range(low // _DAY, high // _DAY + 1) if low >= 10 * _DAY else []
+        names = ",".join(f"{day}{'?' * _DAY_DIGITS}" for day in days) or "*"
+        files = self.spark.read.format("binaryFile").option("basePath", self.path(name))
         try:
-            files = self.spark.read.format("binaryFile").load(self.path(name))
-        except AnalysisException:
+            found = files.load(f"{self.path(name)}/run={{{names}}}").select("run").distinct().collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             return []
-        return sorted(int(r[key]) for r in files.select(key).distinct().collect()) if key in files.columns else []
+        return sorted(int(r["run"]) for r in found)
 
     def markets_a(self, before: datetime | None = None) -> DataFrame:
-        return read_latest(self.spark, self.path("markets_a"), schemas.MARKETS_A, before)
+        return read_buckets(self.spark, self.path("markets_a"), schemas.MARKETS_A, before)
 
     def markets_b(self, before: datetime | None = None) -> DataFrame:
-        return read_latest(self.spark, self.path("markets_b"), schemas.MARKETS_B, before)
+        return read_buckets(self.spark, self.path("markets_b"), schemas.MARKETS_B, before)
 
     def series(self) -> DataFrame:
         return read_if_there(self.spark, self.path("series"), schemas.SERIES)
@@ -203,7 +212,8 @@ def refresh_a(w: Warehouse, as_of: datetime) -> None:
     manual = w.spark.createDataFrame([(t,) for t in intent.tickers], "ticker string")
     found = refresh_catalog_a(followed, markets, w.markets_a(as_of), manual, as_of, _staging(w, "refresh-a", as_of))
     refresh_series(found.series, w.path("series"), as_of)
-    write_version(found.markets, w.path("markets_a"), as_of, ["source", "category", "status"])
+    keys, order = ["source", "ticker"], ["source", "category", "status"]
+    upsert_buckets(found.staged, w.path("markets_a"), schemas.MARKETS_A, keys, as_of, SETTLED, cluster_by=order)
     tickers = found.subscriptions.select(F.lit("venue_a").alias("source"), F.col("ticker").alias("market_id"))
     replace_subscriptions(schemas.conform(tickers, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_a", as_of)
     w.finish("refresh-a", as_of)
@@ -219,7 +229,9 @@ def refresh_b(w: Warehouse, as_of: datetime) -> None:
     order = w.spark.createDataFrame(list(enumerate(intent.tag_slugs)), "tag_position int, tag string")
     tagged = events.join(F.broadcast(order), "tag")
     found = refresh_catalog_b(tagged, w.markets_b(as_of), as_of, stage=_staging(w, "refresh-b", as_of))
-    write_version(found.markets, w.path("markets_b"), as_of, ["source", "closed", "accepting_orders"])
+    staged = found.staged.select(*schemas.MARKETS_B_STAGED.names)
+    keys, order = ["source", "id"], ["source", "closed", "accepting_orders"]
+    upsert_buckets(staged, w.path("markets_b"), schemas.MARKETS_B, keys, as_of, CLOSED, cluster_by=order)
     tokens = found.subscriptions.withColumn("source", F.lit("venue_b"))
     replace_subscriptions(schemas.conform(tokens, schemas.SUBSCRIPTIONS), w.path("subscriptions"), "venue_b", as_of)
     w.finish("refresh-b", as_of)
@@ -254,7 +266,6 @@ def notify(w: Warehouse, as_of: datetime, retry_after: timedelta | None = None)
     open_ = handed_out(pending, w.spark.read.parquet(folder), mine, as_of)
     parts = {"open": open_, "seen": notes_table(w.spark, kept_notes(seen | new)), "recent": before["recent"]}
     write_parts(parts, w.path("pending"), as_of)
-#: before["recent"]}, w.path("pending"), as_of)
 
 
 def deliver(w: Warehouse, as_of: datetime) -> None:

@@ -15,7 +15,7 @@ SETTLED = "settlement_ts IS NOT NULL"
 CLOSED = "coalesce(closed, false)"
 
 
-def _one_per_key(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_per_key(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Fail when two staged rows share a key. Copies are counted before the shuffle."""
     grouped = staged.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.any_value(F.struct(*staged.columns)).alias("s")
@@ -41,7 +41,7 @@ def upsert(
     reads `target`: write it to a new path.
     """
     if dedup_order is None:
-        incoming = _one_per_key(staged, keys)
+        incoming = one_per_key(staged, keys)
     else:
         incoming = first_per_key(staged, keys, dedup_order).select(*keys, F.struct(*staged.columns).alias("s"))
     current = target.select(

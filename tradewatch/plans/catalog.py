@@ -59,6 +59,7 @@ class CatalogA:
     markets: DataFrame
     subscriptions: DataFrame
     counts: DataFrame
+    staged: DataFrame
 
 
 def refresh_catalog_a(
@@ -83,6 +84,7 @@ def refresh_catalog_a(
         markets=upsert(target, staged, ["source", "ticker"], as_of, SETTLED),
         subscriptions=open_tickers(staged, manual),
         counts=discovery_counts(staged, ["category", "series_ticker"]),
+        staged=staged,
     )
 
 

@@ -20,6 +20,7 @@ from tradewatch.plans.catalog import (
 from tradewatch.queries import payloads, views
 from tradewatch.queries.shape import r6, r6_sql, wall
 from tradewatch.session import shared_folder
+from tradewatch.sources.buckets import read_buckets, upsert_buckets
 from tradewatch.sources.pages import normalise_markets_a, normalise_markets_b, normalise_series, read_pages
 
 _A = [("ticker", "ticker", "text"), *[(name, name, kind) for name, kind in fixed.MARKET_A_FIELDS]]
@@ -142,6 +143,17 @@ def _upsert(spark: SparkSession, sf_dir: str, key: str, freeze: str) -> DataFram
     return _zoneless(upsert(target, staged, ["source", key], _RUN, freeze))
 
 
+def _upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs over one stored table: all of the target, the staged rows, and one row for which one bucket is written."""
+    target, staged = _catalog(spark, sf_dir, "ticker")
+    path, keys = shared_folder(spark, "markets"), ["source", "ticker"]
+    one = target.groupBy("source").agg(F.min_by(F.struct(*staged.columns), "ticker").alias("s")).select("s.*")
+    one = one.withColumn("title", F.lit("last"))
+    for rows, at in ((target.drop("resolved_at"), datetime(2020, 1, 1)), (staged, _RUN), (one, datetime(2024, 3, 1))):
+        upsert_buckets(rows, path, target.schema, keys, at, SETTLED)
+    return _zoneless(read_buckets(spark, path, target.schema))
+
+
 def _upsert_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert(spark, sf_dir, "ticker", SETTLED)
 
@@ -281,6 +293,7 @@ QUERIES = {
     "discovery_counts_by_tag": _counts_by_tag,
     "upsert_freeze_settled": _upsert_settled,
     "upsert_freeze_closed": _upsert_closed,
+    "upsert_stored_runs": _upsert_runs,
     "subscriptions_open": _open,
     "subscriptions_tradable": _tradable,
     "subscription_delta": _delta,
@@ -301,6 +314,9 @@ def _nulls(schema, present: set[str]) -> str:
     )
 
 
+_SETTLED_SQL = "CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS settlement_ts"
+
+
 def _upsert_sql(key: str, state: str, frozen: str) -> str:
     return f"""
 WITH base AS (
@@ -391,9 +407,16 @@ FROM part GROUP BY ROLLUP (p_type, p_brand)""",
     "discovery_counts_by_tag": f"""{_DISCOVER_SQL}
 SELECT event_type, 1 - grouping(event_type) AS level, count(*) AS n FROM found WHERE rn = 1
 GROUP BY ROLLUP (event_type)""",
-    "upsert_freeze_settled": _upsert_sql(
-        "ticker", "CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS settlement_ts", "settlement_ts IS NOT NULL"
-    ),
+    "upsert_freeze_settled": _upsert_sql("ticker", _SETTLED_SQL, "settlement_ts IS NOT NULL"),
+    "upsert_stored_runs": f"""
+WITH second AS ({_upsert_sql("ticker", _SETTLED_SQL, "settlement_ts IS NOT NULL")}),
+first AS (SELECT min('o' || o_orderkey) AS ticker FROM orders WHERE o_orderkey % 3 <> 0),
+one AS (SELECT 'o' || o_orderkey AS ticker, o_totalprice AS volume FROM orders
+        WHERE 'o' || o_orderkey = (SELECT ticker FROM first) AND o_orderstatus <> 'F')
+SELECT s.source, s.ticker, CASE WHEN o.ticker IS NULL THEN s.title ELSE 'last' END AS title,
+       CASE WHEN o.ticker IS NULL THEN s.volume ELSE o.volume END AS volume, s.settlement_ts,
+       CASE WHEN o.ticker IS NULL THEN s.resolved_at ELSE TIMESTAMP '2024-03-01 00:00:00' END AS resolved_at
+FROM second s LEFT JOIN one o ON o.ticker = s.ticker""",
     "upsert_freeze_closed": _upsert_sql(
         "id",
         "CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS closed",
