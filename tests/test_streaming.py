@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tradewatch import schemas
 from tradewatch.queries import views
 from tradewatch.queries.ingest import STREAM_PARAMS, odd_clock_trades, stream_detect
-from tradewatch.sources.frames import parse_frames_a, parse_frames_b
+from tradewatch.sources.frames import parse_frames_a, parse_frames_b, rejects_a
 from tradewatch.sources.tables import append_trades
 from tradewatch.streaming import jobs
 
@@ -180,3 +180,22 @@ def test_shared_folder_needs_a_setting_on_a_cluster():
     assert session.shared_folder(Fake(**{"spark.checkpoint.dir": "hdfs:///x/"}), "a").startswith("hdfs:///x/a-")
     with pytest.raises(RuntimeError):
         session.shared_folder(Fake(**{"spark.master": "yarn"}), "a")
+
+
+def test_rejects_are_kept_once(spark, tmp_path):
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    lines = views.frames_a(spark, SF).limit(300).union(spark.createDataFrame([("garbage",), ("",)], "value string")).cache()
+    lines.repartition(2).write.text(folder)
+
+    def drain(checkpoint):
+        jobs.ingest_a(jobs.frame_stream(spark, folder), out, checkpoint, stamp(), trigger=DRAIN).awaitTermination()
+        kept = jobs.rejects_table(spark, out)
+        return {r["outcome"]: r["count"] for r in kept.groupBy("outcome").count().collect()}, kept
+
+    want = {r["outcome"]: r["n"] for r in rejects_a(lines).collect() if r["outcome"] != "trade"}
+    # a checkpoint that was lost makes the same batch run again
+    for checkpoint in (state, state + "-again"):
+        counts, kept = drain(checkpoint)
+        assert counts == want and counts["bad_json"] >= 2
+    assert kept.filter("frame = 'garbage'").count() == 1
+    lines.unpersist()

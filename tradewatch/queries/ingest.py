@@ -52,7 +52,8 @@ def _rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
-def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _drained(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the trades table after both venues' frames went through the streams."""
     root = shared_folder(spark, "ingest")
     views.frames_a(spark, sf_dir).write.text(f"{root}/frames_a")
     views.frames_b(spark, sf_dir).write.text(f"{root}/frames_b")
@@ -79,7 +80,16 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     for query in running:
         query.awaitTermination()
-    return _shown(jobs.trades_table(spark, f"{root}/trades"))
+    return f"{root}/trades"
+
+
+def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(jobs.trades_table(spark, _drained(spark, sf_dir)))
+
+
+def _stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = jobs.rejects_table(spark, _drained(spark, sf_dir))
+    return kept.groupBy("source", "outcome").agg(F.count(F.lit(1)).alias("n"), F.count("frame").alias("n_frames"))
 
 
 def odd_clock_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +164,7 @@ QUERIES = {
     "ingest_trades": _ingest,
     "frame_rejects": _rejects,
     "stream_ingest": _stream_ingest,
+    "stream_rejects": _stream_rejects,
     "stream_detect": stream_detect,
     "baseline_from_cells": _cells,
     "baseline_from_stored_cells": _merged_cells,
@@ -174,18 +185,21 @@ FROM trades, ending
 WHERE ts <= run AND ts > run - INTERVAL 10 DAY AND size IS NOT NULL AND price IS NOT NULL
 GROUP BY market_id HAVING count(*) >= 10"""
 
-ORACLES = {
-    "parse_frames_a": f"WITH {views.FRAMES_A_SQL} SELECT {_COLUMNS} FROM frames_a WHERE outcome = 'trade'",
-    "parse_frames_b": f"WITH {views.FRAMES_B_SQL} SELECT {_COLUMNS} FROM frames_b WHERE outcome = 'trade'",
-    "ingest_trades": _BOTH,
-    "stream_ingest": _BOTH,
-    "frame_rejects": f"""WITH {views.FRAMES_A_SQL}, {views.FRAMES_B_SQL}
+_REJECTS_SQL = f"""WITH {views.FRAMES_A_SQL}, {views.FRAMES_B_SQL}
 SELECT source, outcome, count(*) AS n
 FROM (SELECT source, outcome FROM frames_a UNION ALL SELECT source, outcome FROM frames_b
       -- the number beside the event of an array frame
       UNION ALL SELECT source, 'not_an_object' FROM frames_b
       WHERE event_id % 3 = 0 AND event_id % 97 <> 0 AND event_id % 101 <> 0)
-WHERE outcome <> 'keep_alive' GROUP BY ALL""",
+WHERE outcome <> 'keep_alive' GROUP BY ALL"""
+
+ORACLES = {
+    "parse_frames_a": f"WITH {views.FRAMES_A_SQL} SELECT {_COLUMNS} FROM frames_a WHERE outcome = 'trade'",
+    "parse_frames_b": f"WITH {views.FRAMES_B_SQL} SELECT {_COLUMNS} FROM frames_b WHERE outcome = 'trade'",
+    "ingest_trades": _BOTH,
+    "stream_ingest": _BOTH,
+    "frame_rejects": _REJECTS_SQL,
+    "stream_rejects": f"""SELECT *, n AS n_frames FROM ({_REJECTS_SQL}) WHERE outcome <> 'trade'""",
     "stream_detect": f"""WITH {views.TRADES_SQL}, odd AS (
   SELECT * REPLACE (CASE WHEN event_id % 97 = 5 THEN ts + INTERVAL 2 DAY ELSE ts END AS ts),
          time_bucket(INTERVAL 15 MINUTE, ingested_at - INTERVAL 1 MICROSECOND) + INTERVAL 15 MINUTE AS run

@@ -202,3 +202,11 @@ def conform(df, schema: T.StructType):
             for f in schema.fields
         ]
     )
+
+REJECTS = (
+    T.StructType()
+    .add("source", T.StringType())
+    .add("outcome", T.StringType())
+    .add("frame", T.StringType())
+    .add("ingested_at", T.TimestampType())
+)

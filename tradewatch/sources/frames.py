@@ -33,7 +33,7 @@ def _complete(trades: DataFrame) -> DataFrame:
 def messages_a(frames: DataFrame) -> DataFrame:
     """The `type` and `msg` of frames; both NULL for text that is no JSON object."""
     return computed_once(frames, frame=json_object(F.col("value"), _FRAME_A)).select(
-        F.col("frame").isNotNull().alias("is_object"), "frame.type", "frame.msg"
+        "value", F.col("frame").isNotNull().alias("is_object"), "frame.type", "frame.msg"
     )
 
 
@@ -46,6 +46,7 @@ def _fields_a(messages: DataFrame, source: str, ingested_at: Column) -> DataFram
         size=F.expr(f"CAST(try_cast({to_double('m.count_fp')} AS BIGINT) AS DOUBLE)"),
     )
     return fields.select(
+        "value",
         "is_object",
         "type",
         F.lit(source).alias("source"),
@@ -73,7 +74,7 @@ def parse_frames_a(frames: DataFrame, ingested_at: Column, source: str = "venue_
 def events_b(frames: DataFrame) -> DataFrame:
     """One row per event of a frame, which holds one event or an array of them: text and fields."""
     events = frames.filter(F.trim("value") != fixed.KEEPALIVE_B).select(
-        F.explode_outer(json_items(F.col("value"))).alias("event")
+        "value", F.explode_outer(json_items(F.col("value"))).alias("event")
     )
     return computed_once(events, e=F.when(F.col("event").startswith("{"), F.from_json("event", _EVENT_B)))
 
@@ -105,6 +106,7 @@ def _fields_b(events: DataFrame, routes: DataFrame, source: str, ingested_at: Co
         size=F.expr(to_double("e.size")),
     )
     parsed = fields.select(
+        "value",
         "event",
         F.col("e.event_type").alias("event_type"),
         F.col("e.asset_id").alias("asset_id"),
@@ -130,9 +132,9 @@ def parse_frames_b(
     return _complete(_fields_b(trades, routing(tokens), source, ingested_at, "inner"))
 
 
-def rejects_a(frames: DataFrame, source: str = "venue_a") -> DataFrame:
-    """What became of venue-A frames: counts per outcome."""
-    fields = _fields_a(messages_a(frames), source, F.lit(None))
+def judged_a(frames: DataFrame, ingested_at: Column, source: str = "venue_a") -> DataFrame:
+    """What became of each venue-A frame, in one parse: the columns of a trade, `outcome` and the text of the `frame`."""
+    fields = _fields_a(messages_a(frames), source, ingested_at)
     complete = F.lit(True)
     for name in ("market_id", "trade_id", "ts", "price", "size"):
         complete = complete & F.col(name).isNotNull()
@@ -143,18 +145,14 @@ def rejects_a(frames: DataFrame, source: str = "venue_a") -> DataFrame:
         .when(complete, "trade")
         .otherwise("bad_trade")
     )
-    return fields.groupBy("source", outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    return fields.select(*TRADES.fieldNames(), outcome.alias("outcome"), F.col("value").alias("frame"))
 
 
-def rejects_b(frames: DataFrame, tokens: DataFrame, source: str = "venue_b") -> DataFrame:
-    """What became of venue-B events: counts per outcome; keep-alive lines are not counted."""
-    fields = _fields_b(
-        events_b(frames).withColumn("event", F.coalesce("event", F.lit(""))),
-        routing(tokens),
-        source,
-        F.lit(None),
-        "left",
-    )
+def judged_b(frames: DataFrame, tokens: DataFrame, ingested_at: Column, source: str = "venue_b") -> DataFrame:
+    """What became of each venue-B event, in one parse: as `judged_a`; `frame` is the event's text, or that of the whole frame
+    if it holds none. Keep-alive lines are left out."""
+    events = events_b(frames).withColumn("event", F.coalesce("event", F.lit("")))
+    fields = _fields_b(events, routing(tokens), source, ingested_at, "left")
     complete = F.lit(True)
     for name in ("trade_id", "ts", "price", "size"):
         complete = complete & F.col(name).isNotNull()
@@ -168,4 +166,28 @@ def rejects_b(frames: DataFrame, tokens: DataFrame, source: str = "venue_b") ->
         .when(complete, "trade")
         .otherwise("bad_trade")
     )
-    return fields.groupBy("source", outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    text = F.when(F.col("event") == "", F.col("value")).otherwise(F.col("event"))
+    return fields.select(*TRADES.fieldNames(), outcome.alias("outcome"), text.alias("frame"))
+
+
+def trades_of(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("outcome") == "trade").select(*TRADES.fieldNames())
+
+
+def rejects_of(judged: DataFrame) -> DataFrame:
+    """The frames that are no trades, with the reason."""
+    return judged.filter(F.col("outcome") != "trade").select("source", "outcome", "frame", "ingested_at")
+
+
+def _outcomes(judged: DataFrame) -> DataFrame:
+    return judged.groupBy("source", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def rejects_a(frames: DataFrame, source: str = "venue_a") -> DataFrame:
+    """What became of venue-A frames: counts per outcome."""
+    return _outcomes(judged_a(frames, F.lit(None), source))
+
+
+def rejects_b(frames: DataFrame, tokens: DataFrame, source: str = "venue_b") -> DataFrame:
+    """What became of venue-B events: counts per outcome; keep-alive lines are not counted."""
+    return _outcomes(judged_b(frames, tokens, F.lit(None), source))

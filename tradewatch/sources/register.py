@@ -22,9 +22,12 @@ def today() -> date:
 
 
 def note_batch(spark: SparkSession, path: str, name: str) -> None:
-    """Note that the batch `name` of the table at `path` is complete. Noting it again does no harm."""
+    """Note that the batch `name` of the table at `path` is complete. Noting it again does no harm.
+
+    Each note has a folder of its own, so that several streams can note batches of one table at the same time.
+    """
     row = spark.createDataFrame([(name,)], "batch_id string").coalesce(1)
-    row.write.mode("append").parquet(f"{path}_batches/noted_on={today()}")
+    row.write.mode("overwrite").parquet(f"{path}_batches/noted_on={today()}/note={name}")
 
 
 def notes_since(spark: SparkSession, path: str, since: date | None = None) -> set[Note]:
@@ -39,7 +42,7 @@ def notes_since(spark: SparkSession, path: str, since: date | None = None) -> se
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return set()
-    return {tuple(r) for r in found.collect()}
+    return {tuple(r) for r in found.select("batch_id", "noted_on").collect()}
 
 
 def unseen(spark: SparkSession, path: str, seen: set[Note], again: bool = True) -> set[Note]:

@@ -64,6 +64,10 @@ def append_trades(trades: DataFrame, path: str, batch: str | None = None) -> Non
     write_batch(with_day(trades, "ts", "trade_date"), path, batch, "trade_date", ["source", "market_id", "ts"])
 
 
+def append_rejects(rejects: DataFrame, path: str, batch: str | None = None) -> None:
+    write_batch(with_day(rejects, "ingested_at", "rejected_date"), path, batch, "rejected_date", ["source", "outcome"])
+
+
 def append_alerts(alerts: DataFrame, path: str, batch: str | None = None) -> None:
     """Add a run's alerts; the batch is noted in the table's register, from which notification takes what is new."""
     name = batch or f"r{uuid.uuid4().hex}"

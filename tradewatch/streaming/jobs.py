@@ -18,8 +18,8 @@ from tradewatch import schemas
 from tradewatch.operators.skew import first_per_key
 from tradewatch.plans.cells import CELL, cells_between, store_cells
 from tradewatch.plans.detect import DetectParams, alerts_since, judge_runs
-from tradewatch.sources.frames import parse_frames_a, parse_frames_b
-from tradewatch.sources.tables import BATCH, append_alerts, read_if_there, with_day, write_batch
+from tradewatch.sources.frames import judged_a, judged_b, rejects_of, trades_of
+from tradewatch.sources.tables import BATCH, append_alerts, append_rejects, read_if_there, with_day, write_batch
 
 # One run per five minutes; a drain of what is there uses {"availableNow": True}.
 FLUSH = {"processingTime": "300 seconds"}
@@ -33,7 +33,7 @@ def frame_stream(spark: SparkSession, folder: str, files_per_batch: int | None =
 
 def _ingest(
     frames: DataFrame,
-    parse: Callable[[DataFrame], DataFrame],
+    judge: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
     prefix: str,
@@ -42,20 +42,27 @@ def _ingest(
 ) -> StreamingQuery:
     """Parsed frames into the trades table; all venues write the same layout, a folder per batch.
 
+    Frames are parsed once per batch, into a folder beside the checkpoint that the next batch overwrites. What is no trade goes
+    with its reason to the table of rejects beside the trades, also in a folder per batch.
+
     With `dedup_on`, one trade of each key stays: of a batch the earliest, and none that another batch has stored for
     the same day. Only those days are read. No trade is dropped for being late.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        mine = f"{prefix}{batch_id}"
-        trades = with_day(parse(batch), "ts", "trade_date")
+        mine, spark = f"{prefix}{batch_id}", batch.sparkSession
+        parsed = judge(batch)
+        parsed.write.mode("overwrite").parquet(f"{checkpoint}_parsed")
+        parsed = spark.read.schema(parsed.schema).parquet(f"{checkpoint}_parsed")
+        append_rejects(rejects_of(parsed), f"{out}_rejects", mine)
+        trades = with_day(trades_of(parsed), "ts", "trade_date")
         if dedup_on:
             trades = first_per_key(trades, dedup_on, [F.col("ts"), F.col("raw")])
             days = [r["trade_date"] for r in trades.select("trade_date").distinct().collect() if r["trade_date"]]
-            known = trades_table(batch.sparkSession, out).filter((F.col(BATCH) != mine) & F.col("trade_date").isin(days))
+            known = trades_table(spark, out).filter((F.col(BATCH) != mine) & F.col("trade_date").isin(days))
             trades = trades.join(known.select(*dedup_on), list(dedup_on), "left_anti").select(*trades.columns)
         write_batch(trades, out, mine, "trade_date", ["source", "market_id", "ts"])
-        store_cells(batch.sparkSession, out, mine)
+        store_cells(spark, out, mine)
 
     return frames.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -71,7 +78,7 @@ def ingest_a(
     """Venue-A frames into the trades table; `dedup` leaves out repeats of a trade id."""
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
     on = ["source", "trade_id"] if dedup else []
-    return _ingest(frames, lambda batch: parse_frames_a(batch, stamp), out, checkpoint, "a", on, trigger)
+    return _ingest(frames, lambda batch: judged_a(batch, stamp), out, checkpoint, "a", on, trigger)
 
 
 def ingest_b(
@@ -88,7 +95,7 @@ def ingest_b(
     only repeats that agree in all they say."""
     stamp = F.current_timestamp() if ingested_at is None else ingested_at
     on = ["source", "trade_id", "market_id", "ts", "price", "size", "side"] if dedup else []
-    return _ingest(frames, lambda batch: parse_frames_b(batch, tokens(), stamp), out, checkpoint, "b", on, trigger)
+    return _ingest(frames, lambda batch: judged_b(batch, tokens(), stamp), out, checkpoint, "b", on, trigger)
 
 
 def trades_table(spark: SparkSession, path: str) -> DataFrame:
@@ -96,6 +103,11 @@ def trades_table(spark: SparkSession, path: str) -> DataFrame:
     return read_if_there(spark, path, schemas.TRADES, f"{BATCH} string, trade_date date")
 
 
+def rejects_table(spark: SparkSession, trades_path: str) -> DataFrame:
+    """The frames that became no trades, of all venues."""
+    return read_if_there(spark, f"{trades_path}_rejects", schemas.REJECTS, f"{BATCH} string, rejected_date date")
+
+
 def trade_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     extra = T.StructType.fromDDL(f"{BATCH} string, trade_date date").fields
     reader = spark.readStream.schema(T.StructType([*schemas.TRADES.fields, *extra]))
