@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.llm.rows import LONG, ODD_TEXTS, frame
 from tradewatch.llm import queries
 from tradewatch.llm.kneserney import END, START, Calibration, _sequences, fit, fitted, fold, predict, sequence_counts
-from tradewatch.llm.semicrf import KINDS, PATTERNS, all_spans, base_spans, best_segments, candidates, find_personal_data, holds, luhn, masked, train, written
+from tradewatch.llm.semicrf import EMAIL_TOKENS, KINDS, PATTERNS, TRAIN_REGIONS, all_spans, base_spans, best_segments, candidates, find_personal_data, holds, lessons, luhn, masked, train, written
 from tradewatch.llm.semicrf import fit as fit_field
 
 ORDER = 3
@@ -153,6 +154,43 @@ def test_decoding_against_all_segmentations(parts, seed):
     assert abs(sum(float(weights[x[2]] @ x[5]) for x in got) - best(0)) < 1e-9
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["4", "44", "4465758382889437", "1.2.3.4", " ", "-", "  ", "+", "(", ".", "a@b.c", "x"]), max_size=45))
+def test_candidates_against_all_runs_of_tokens(parts):
+    text = "".join(parts)
+    places = [m.span() for m in re.finditer("[A-Za-z]+|[0-9]+|[^A-Za-z0-9]", text)]
+    runs = [(k, i, j) for k in KINDS for i in range(len(places)) for j in range(i, len(places)) if k != "email" or j - i < EMAIL_TOKENS]
+    want = {(k, places[i][0], places[j][1]) for k, i, j in runs if PATTERNS[k].fullmatch(text[places[i][0] : places[j][1]])}
+    assert {x[2:5] for x in candidates(text, 0, len(text))[1]} == {x for x in want if holds(x[0], text[x[1] : x[2]])}
+
+
+def test_a_card_digit_by_digit_beside_a_number():
+    card = " ".join("4111111111111111")
+    text = f"9 {card} 9 1 2"
+    assert base_spans(text)[0] == []
+    found = candidates(text, 0, len(text))[1]
+    assert ("card", 2, 2 + len(card)) in {x[2:5] for x in found}
+    weights = train([f"they pay {' '.join(x)} more" for x in ("4465758382889437", "4111111111111111") for _ in range(20)])
+    assert any(k == "card" and a >= 2 for k, a, _ in all_spans(f"9 {card} end", weights)[1])
+    start = time.time()
+    candidates(" ".join("4" * 20_000), 0, 39_999)
+    assert time.time() - start < 20
+
+
+def test_lessons_are_bounded_and_whole():
+    texts = ["pay 4465758382889437 now " * 200, "x" * 40 + " 10.2.3.44 end", "4465758382889437 " * 2]
+    got = [lessons(x) for x in texts]
+    assert len(got[0]) == TRAIN_REGIONS and got[2] == []
+    for excerpt, begin, stop, spans in got[0] + got[1]:
+        assert len(excerpt) < 100 and spans and all(PATTERNS[k].fullmatch(excerpt[a:b]) and begin <= a < b <= stop for k, a, b in spans)
+
+
+def test_the_sample_has_every_kind(spark):
+    many = [(k, f"mail a{k}@b.org") for k in range(400)] + [(1000 + k, "pay 4465758382889437 now") for k in range(3)]
+    weights = fit_field(frame(spark, many), train_docs=80)
+    assert weights["card"].any() and weights["email"].any() and not weights["ip"].any()
+
+
 def test_field_finds_what_greedy_matches_lose():
     random.seed(1)
     texts = [f"words {random.choice(['call', 'pay', 'at'])} {x} more words" for x in ("4465758382889437", "10.2.3.44", "+1 (449) 555-9658", "a.b@c.org") * 20]

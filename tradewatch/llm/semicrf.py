@@ -2,13 +2,14 @@
 
 Base spans are the leftmost matches of one pattern per kind that pass the kind's test (octets, Luhn sum, digits). They stay.
 Where a greedy match fails its test, as a card number with another number behind it, the parts are lost. There a
-semi-Markov field scores whole segments: a candidate is a run of at most ``MOST_TOKENS`` tokens that could be of a kind, and its
-score adds weights of features of the whole span (its test, its length, its separators, what stands around it). Boundaries
+semi-Markov field scores whole segments: a candidate is a run of tokens that could be of a kind, as long as the kind can be (a
+card typed digit by digit has 37 tokens), and its score adds weights of features of the whole span (its test, its length, its separators, what stands around it). Boundaries
 and kinds are chosen together by dynamic programming over the segments that may end at each token; tokens outside of
 segments score zero. Spans it finds are added where they do not touch base spans of their kind.
 
-The weights are learned by the likelihood of the base spans in regions where every match passes its test, from at most
-``train_docs`` documents, chosen by a hash of their id and text. Without such documents nothing is added.
+The weights are learned by the likelihood of the base spans in regions where every match passes its test, from about
+``train_docs`` documents: a quarter of them for each kind, among those that may hold it, chosen by a hash of their id and text. Only
+regions leave the executors, at most ``TRAIN_REGIONS`` of ``TRAIN_CHARS`` characters a document. Without any nothing is added.
 
 Null texts are empty and have no span. Repeated rows are judged alone. Texts of any length are read whole. An empty table
 gives no rows. Other columns are not read.
@@ -18,13 +19,14 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import ROW, bounded_sample, carried, schema_of
+from tradewatch.llm.common import ROW, carried, schema_of
 
 KINDS = ("email", "ip", "card", "phone")
 # fixed values: the base patterns
@@ -36,9 +38,21 @@ PATTERNS = {
 }
 #: A run of digits is tried from its start only; later starts in it cannot match where the first does not.
 _IP = re.compile("(?<![0-9])" + PATTERNS["ip"].pattern)
-MOST_TOKENS = 24
+#: What may part the digits of a kind, and the least and most digits it has.
+DIGITS = {"card": (" -", 14, 19), "phone": (" ().-", 10, 15)}
+#: Longer addresses are no candidates. None is lost by that: every match of the pattern is a base span.
+EMAIL_TOKENS = 24
 CONTEXT = 24
 TRAIN_DOCS = 2000
+#: Of a document, at most this many regions of at most so many characters are learned from.
+TRAIN_REGIONS, TRAIN_CHARS = 10, 1000
+#: A document that does not match has no base span of the kind.
+_MAY_HOLD = {
+    "email": "@[A-Za-z0-9-]+[.]",
+    "ip": "[0-9][.][0-9]+[.][0-9]+[.][0-9]",
+    "card": "[0-9]([ -]?[0-9]){13}",
+    "phone": "[+][0-9][ ().0-9-]{8,}[0-9]",
+}
 _MARK = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
 _NAME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -107,7 +121,7 @@ def features(text: str, kind: str, a: int, b: int, tokens: int) -> np.ndarray:
     return np.array(
         [
             1.0,
-            tokens / MOST_TOKENS,
+            tokens / EMAIL_TOKENS,
             left.isalnum(),
             right.isalnum(),
             bool(re.search(r"[0-9][\x20.-]$", text[max(0, a - 2) : a])),
@@ -120,22 +134,51 @@ def features(text: str, kind: str, a: int, b: int, tokens: int) -> np.ndarray:
     )
 
 
+def _digit_ends(text: str, places: list[tuple[int, int]], first: int, kind: str):
+    """The tokens at which a card or phone that begins with token ``first`` may end: as many digits as the kind can have,
+    however they are parted."""
+    marks, least, most = DIGITS[kind]
+    digits, parted = 0, False
+    for j in range(first, len(places)):
+        start, end = places[j]
+        if "0" <= text[start] <= "9":
+            digits, parted = digits + end - start, False
+            if digits > most:
+                return
+            if digits >= least:
+                yield j
+        elif j > first and (text[start] not in marks or parted and kind == "card"):
+            return
+        else:
+            parted = True
+
+
 def candidates(text: str, a: int, b: int):
     """(first token, token behind, kind, start, end, features) of all segments of a region that could be of a kind."""
     places = [m.span() for m in _TOKEN.finditer(text, a, b)]
+    ats = [k for k, (start, _) in enumerate(places) if text[start] == "@"]
     out = []
+
+    def add(i: int, j: int, kind: str) -> None:
+        start, end = places[i][0], places[j][1]
+        span = text[start:end]
+        if PATTERNS[kind].fullmatch(span) and holds(kind, span):
+            out.append((i, j + 1, kind, start, end, features(text, kind, start, end, j + 1 - i)))
+
     for i, (start, _) in enumerate(places):
-        if not (text[start].isascii() and (text[start].isalnum() or text[start] in "+._%-")):
-            continue
-        for j in range(i, min(len(places), i + MOST_TOKENS)):
-            end = places[j][1]
-            if not (text[end - 1].isascii() and (text[end - 1].isalnum() or text[end - 1] == "-")):
-                continue
-            span = text[start:end]
-            for kind in KINDS:
-                if PATTERNS[kind].fullmatch(span) and holds(kind, span):
-                    out.append((i, j + 1, kind, start, end, features(text, kind, start, end, j + 1 - i)))
-    return len(places), out
+        if "0" <= text[start] <= "9":
+            if i + 7 <= len(places):
+                add(i, i + 6, "ip")
+            for j in _digit_ends(text, places, i, "card"):
+                add(i, j, "card")
+        elif text[start] == "+":
+            for j in _digit_ends(text, places, i, "phone"):
+                add(i, j, "phone")
+        at = bisect_left(ats, i + 1)
+        if text[start] in _NAME and at < len(ats):
+            for j in range(ats[at] + 1, min(len(places), i + EMAIL_TOKENS)):
+                add(i, j, "email")
+    return len(places), sorted(out, key=lambda x: (x[0], x[1], KINDS.index(x[2])))
 
 
 def regions(text: str, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -199,18 +242,35 @@ def gradient(n: int, found, gold: set, weights: dict[str, np.ndarray]):
     return out
 
 
-def train(texts: list[str], rounds: int = 12, rate: float = 0.5, penalty: float = 1e-3) -> dict[str, np.ndarray] | None:
-    """Weights per kind by gradient ascent on regions in which every match passes its test; None without any."""
-    examples = []
-    for text in texts:
-        spans, failed = base_spans(text)
-        lost = regions(text, failed)
-        for a, b in regions(text, [(x, y) for _, x, y in spans]):
-            if any(x < b and a < y for x, y in lost):
-                continue
-            n, found = candidates(text, a, b)
-            if found:
-                examples.append((n, found, {x for x in spans if a <= x[1] < b}))
+def lessons(text: str) -> list[tuple[str, int, int, list[tuple[str, int, int]]]]:
+    """(excerpt, begin, end, base spans) of the regions of a text in which every match passes its test."""
+    spans, failed = base_spans(text)
+    lost = regions(text, failed)
+    out, at = [], 0
+    for a, b in regions(text, [(x, y) for _, x, y in spans]):
+        while at < len(lost) and lost[at][1] <= a:
+            at += 1
+        if b - a > TRAIN_CHARS or at < len(lost) and lost[at][0] < b:
+            continue
+        left = max(0, a - CONTEXT)
+        out.append((text[left : b + 2], a, b, left))
+    every = -(-len(out) // TRAIN_REGIONS) if out else 1
+    own = []
+    for excerpt, a, b, left in out[::every]:
+        low, high = bisect_left(spans, a, key=lambda x: x[1]), bisect_left(spans, b, key=lambda x: x[1])
+        own.append((excerpt, a - left, b - left, [(k, x - left, y - left) for k, x, y in spans[low:high]]))
+    return own
+
+
+def train(texts: list[str]) -> dict[str, np.ndarray] | None:
+    """Weights per kind, learned from the lessons of some texts; None without any."""
+    return learned([x for text in texts for x in lessons(text)])
+
+
+def learned(given, rounds: int = 12, rate: float = 0.5, penalty: float = 1e-3) -> dict[str, np.ndarray] | None:
+    """Weights per kind by gradient ascent on lessons; None without any."""
+    examples = [(*candidates(text, a, b), {tuple(x) for x in spans}) for text, a, b, spans in given]
+    examples = [x for x in examples if x[1]]
     if not examples:
         return None
     weights = {kind: np.zeros(len(FEATURES)) for kind in KINDS}
@@ -251,12 +311,32 @@ def masked(text: str, spans) -> str:
     return "".join([*out, text[at:]])
 
 
+_LESSON = "excerpt string, begin int, stop int, spans array<struct<kind: string, a: int, b: int>>"
+
+
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray] | None:
-    """The field's weights, learned from at most ``train_docs`` documents that have a digit or an ``@``."""
-    rows = bounded_sample(docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]")), train_docs)
-    return train(sorted(x["text"] for x in rows.select("text").limit(train_docs).collect()))
+    """The field's weights, learned from about ``train_docs`` documents, a quarter for each kind that they may hold."""
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
+    may = {kind: F.coalesce(F.col("text").rlike(pattern), F.lit(False)) for kind, pattern in _MAY_HOLD.items()}
+    n = docs.agg(*[F.count_if(x).alias(kind) for kind, x in may.items()]).first()
+    each = max(1, train_docs // len(KINDS))
+    limits = {kind: 1 << 30 if n[kind] <= each else int(0.95 * each / n[kind] * (1 << 30)) for kind in KINDS}
+    chosen = F.lit(False)
+    for kind, limit in limits.items():
+        chosen |= may[kind] & (place < limit)
+
+    def run(batches):
+        for batch in batches:
+            found = [x for text in batch.column("text").to_pylist() for x in lessons(text)]
+            rows = [{"excerpt": t, "begin": a, "stop": b, "spans": [{"kind": k, "a": x, "b": y} for k, x, y in s]} for t, a, b, s in found]
+            yield pa.RecordBatch.from_pylist(rows, _ARROW_LESSON)
+
+    rows = docs.where(chosen).select("text").mapInArrow(run, _LESSON).collect()
+    return learned(sorted((x["excerpt"], x["begin"], x["stop"], [tuple(s) for s in x["spans"]]) for x in rows))
 
 
+_SPAN = pa.struct([("kind", pa.string()), ("a", pa.int32()), ("b", pa.int32())])
+_ARROW_LESSON = pa.schema([("excerpt", pa.string()), ("begin", pa.int32()), ("stop", pa.int32()), ("spans", pa.list_(_SPAN))])
 _COUNTS = [f"n_{kind}" for kind in KINDS]
 
 
