@@ -1,5 +1,7 @@
 import hashlib
+import pickle
 import random
+import tracemalloc
 import re
 from collections import Counter
 
@@ -13,7 +15,7 @@ from tests.oracle import connect, duck_rows, rows_of
 from tradewatch.llm import queries
 from tradewatch.llm.anchors import anchors
 from tradewatch.llm.bwtdedup import remove_repeats, repeated
-from tradewatch.llm.fmindex import FmIndex, WaveletMatrix, Windows, find_benchmark, judged, words_of
+from tradewatch.llm.fmindex import BLOCK_WINDOWS, FmIndex, WaveletMatrix, Windows, blocks_of, find_benchmark, judged, words_of
 from tradewatch.llm.suffixes import common_prefixes, doubled_ranks, suffix_array
 from tradewatch.llm.suffixrules import measured, repetition_rules
 
@@ -71,8 +73,8 @@ def brute_benchmark(docs, items, window=13):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 400])
-def test_benchmark_against_brute_force(spark, block_bytes):
+@pytest.mark.parametrize("block_windows", [1 << 19, 7])
+def test_benchmark_against_brute_force(spark, block_windows):
     random.seed(5)
     words = [f"w{k}" for k in range(12)] + ["Éa", "b1"]
     texts = [" ".join(random.choices(words, k=random.randrange(0, 60))) for _ in range(30)] + ODD_TEXTS
@@ -81,13 +83,13 @@ def test_benchmark_against_brute_force(spark, block_bytes):
     texts[12] = texts[3].upper() + " A B " + texts[11].upper()
     docs = [(k % 35, x) for k, x in enumerate(texts)]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = judged(find_benchmark(frame(spark, docs), bench, shard_words=100, sample=4, block_bytes=block_bytes)).collect()
+    found = judged(find_benchmark(frame(spark, docs), bench, shard_words=100, sample=4, block_windows=block_windows)).collect()
     got = [(x["doc_id"], x["n_words"], x["n_hit"], x["n_items"], x["items_sha256"], x["contaminated"]) for x in found]
     want = [(d, *x) for (d, _), x in zip(docs, brute_benchmark(docs, items), strict=True)]
     assert sorted(got) == sorted(want)
     for x in found:  # removal spans are the hit words of the text
         text = next(t for d, t in docs if d == x["doc_id"] and len(words_of(t)) == x["n_words"]) if x["removal"] else None
-        if block_bytes > 1000 and text and sum(d == x["doc_id"] for d, _ in docs) == 1:
+        if block_windows > 1000 and text and sum(d == x["doc_id"] for d, _ in docs) == 1:
             cut = "".join(text[a["start"] : a["stop"]] + " " for a in x["removal"])
             assert len(words_of(cut)) == x["n_hit"]
 
@@ -99,6 +101,42 @@ def test_benchmark_empty_tables(spark):
     assert Windows([]).occurrences(np.array([0, 0]))[0].tolist() == []
 
 
+def test_blocks_have_a_bound_and_all_windows():
+    random.seed(2)
+    words = [f"w{k}".encode() for k in range(5)]
+    items = [(k, b" ".join(random.choices(words, k=random.choice([0, 1, 12, 13, 14, 90]))).decode()) for k in range(40)]
+
+    def windows(blocks):
+        found = {}
+        for block in map(Windows, blocks):
+            names = {v: k for k, v in block.vocabulary.items()}
+            for k, (row, n) in enumerate(zip(block.patterns.tolist(), block.lengths.tolist(), strict=True)):
+                found.setdefault(tuple(names[x] for x in row[:n]), set()).update(block.items_of(np.array([k])))
+        return found
+
+    small = list(blocks_of(items, most=10))
+    sizes = [sum(max(1, len(w) - 12) for _, w in block) for block in small]
+    assert set(sizes[:-1]) == {10} and sizes[-1] <= 10
+    want = {}
+    for item, text in items:
+        w = words_of(text)
+        for k in range(max(1, len(w) - 12)) if w else ():
+            want.setdefault(tuple(w[k : k + 13]), set()).add(item)
+    assert windows(small) == windows(blocks_of(items)) == want
+
+
+def test_memory_of_a_full_block():
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 200_000, BLOCK_WINDOWS + 500))
+    tracemalloc.start()
+    first, second = blocks_of([(1, text)])
+    block = Windows(first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(block.lengths) == BLOCK_WINDOWS and len(second[0][1]) == 500
+    assert peak < 300 << 20 and len(pickle.dumps(block)) < 60 << 20
+
+
 def test_benchmark_sql(spark):
     sf = "/root/testdata/sf0.001"
     df = queries.op9_decontaminated(spark, sf)

@@ -9,8 +9,8 @@ do not use become separators, and runs of other words that are shorter than ever
 out; this loses nothing. What is left is indexed: suffix array, its Burrows-Wheeler transform in a wavelet matrix, and
 every ``sample``-th position. All windows step backwards together; occurrences are located by walking to a sampled position.
 
-The windows are sent to the executors in blocks of benchmark items of at most ``block_bytes`` of text; more items mean
-more passes over the documents.
+The benchmark is read partition by partition and its windows are sent to the executors in blocks of at most ``block_windows``, as flat
+arrays; an item that does not fit goes on in the next block. More windows mean more passes over the documents.
 
 Null texts have no words and are not contaminated; null or wordless items have no window. Repeated rows are judged
 alone; repeated items count once by their id. Empty tables give no rows, or rows without hits. Other columns are not read.
@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import ROW, carried, schema_of
+from tradewatch.llm.common import ROW, carried, ranges, schema_of
 from tradewatch.llm.suffixes import WaveletMatrix, suffix_array
 
 WINDOW = 13
 LEAST_SHARE = 20
 SHARD_WORDS = 1 << 21
 SAMPLE = 8
-BLOCK_BYTES = 16 << 20
+BLOCK_WINDOWS = 1 << 19
 #: A word of the text as it is written, capitals included.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _TABLE = bytes(
@@ -73,7 +73,7 @@ class FmIndex:
         alive = np.arange(len(lengths))
         for back in range(int(lengths.max(initial=0))):
             alive = alive[(lengths[alive] > back) & (low[alive] < high[alive])]
-            symbol = patterns[alive, lengths[alive] - 1 - back]
+            symbol = patterns[alive, lengths[alive] - 1 - back].astype(np.int64)
             start = self.below[symbol]
             low[alive] = start + self.tree.rank(symbol, low[alive])
             high[alive] = start + self.tree.rank(symbol, high[alive])
@@ -96,22 +96,35 @@ class FmIndex:
 
 
 class Windows:
-    """The distinct windows of a block of benchmark items, as numbers of their words, and whose they are."""
+    """The distinct windows of a block of pieces (item, words), as numbers of their words, and whose they are: flat arrays."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], window: int = WINDOW):
+    def __init__(self, pieces: list[tuple[int | None, list[bytes]]], window: int = WINDOW):
         self.vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set] = {}
-        for item, text in items:
-            numbers = [self.vocabulary.setdefault(x, len(self.vocabulary) + 2) for x in words_of(text)]
-            for k in range(max(1, len(numbers) - window + 1)) if numbers else ():
-                found.setdefault(tuple(numbers[k : k + window]), set()).add(item)
-        self.lengths = np.array([len(x) for x in found], np.int64)
-        self.patterns = np.zeros((len(found), int(self.lengths.max(initial=1))), np.int64)
-        for k, numbers in enumerate(found):
-            self.patterns[k, : len(numbers)] = numbers
-        self.items = list(found.values())
+        self.names = [item for item, _ in pieces]
+        rows = [np.zeros((0, window), np.int32)]
+        for _, words in pieces:
+            given = (self.vocabulary.setdefault(x, len(self.vocabulary) + 2) for x in words)
+            numbers = np.zeros(max(window, len(words)), np.int32)
+            numbers[: len(words)] = np.fromiter(given, np.int32, len(words))
+            rows.append(np.lib.stride_tricks.sliding_window_view(numbers, window))
+        owner = np.repeat(np.arange(len(pieces)), [len(x) for x in rows[1:]]) if pieces else np.zeros(0, np.int64)
+        every = np.concatenate(rows)
+        # equal rows are equal as strings of bytes
+        _, first, which = np.unique(every.view(np.dtype((np.void, 4 * window))).ravel(), return_index=True, return_inverse=True)
+        self.patterns = every[first]
+        self.lengths = (self.patterns > 0).sum(1)
+        # the pieces of each window, window by window
+        pairs = np.unique(which * max(1, len(pieces)) + owner)
+        self.owner = (pairs % max(1, len(pieces))).astype(np.int32)
+        self.starts = np.searchsorted(pairs // max(1, len(pieces)), np.arange(len(first) + 1))
         self.shortest = int(self.lengths.min(initial=window))
 
+    def items_of(self, which: np.ndarray) -> set[int | None]:
+        """The items that any of the windows belongs to."""
+        which = np.unique(which)
+        places, _ = ranges(self.starts[which], self.starts[which + 1] - self.starts[which])
+        return {self.names[x] for x in np.unique(self.owner[places]).tolist()}
+
     def occurrences(self, numbers: np.ndarray, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
         """(window, position) of every occurrence in a sequence of word numbers, 0 for other words."""
         edge = np.diff(np.concatenate([[0], (numbers > 0).astype(np.int8), [0]]))
@@ -133,6 +146,24 @@ class Windows:
         return which, origin[index.locate(rows)]
 
 
+def blocks_of(items, window: int = WINDOW, most: int = BLOCK_WINDOWS):
+    """Blocks of pieces (item, words) of (item, text) rows with at most ``most`` windows; an item may go on in the next block."""
+    block, room = [], most
+    for item, text in items:
+        words = words_of(text)
+        total = max(1, len(words) - window + 1) if words else 0
+        done = 0
+        while done < total:
+            n = min(room, total - done)
+            block.append((item, words[done : done + n + window - 1]))
+            done, room = done + n, room - n
+            if not room:
+                yield block
+                block, room = [], most
+    if block:
+        yield block
+
+
 def _union(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
     """Disjoint runs (last exclusive) that cover the same places."""
     order = np.argsort(first, kind="stable")
@@ -163,8 +194,7 @@ def _searched(windows, sample: int, shard_words: int, carry: bool):
                 out["spans"].append([{"first": x, "last": y} for x, y in spans])
                 places = [m.span() for m in WORD.finditer(texts[k])] if spans else []
                 out["removal"].append([{"start": places[x][0], "stop": places[y - 1][1]} for x, y in spans])
-                found = set().union(*[block.items[w] for w in np.unique(which[a:b]).tolist()])
-                out["items"].append(sorted(found, key=lambda x: (x is None, x or 0)))
+                out["items"].append(sorted(block.items_of(which[a:b]), key=lambda x: (x is None, x or 0)))
             found = pa.RecordBatch.from_pydict(out, _ARROW)
             return found.append_column(ROW, pa.concat_arrays(whole)) if carry else found
 
@@ -193,22 +223,22 @@ def _searched(windows, sample: int, shard_words: int, carry: bool):
 
 def find_benchmark(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, sample: int = SAMPLE,
-    block_bytes: int = BLOCK_BYTES, carry: bool = False,
+    block_windows: int = BLOCK_WINDOWS, carry: bool = False,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, spans (hit words, last exclusive), removal (the same in code points), items
     and, with ``carry``, the row itself as a struct."""
     spark = docs.sparkSession
-    items = benchmark.select("item_id", "text")
-    total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
     rows = carried(docs, ["doc_id", "text"], carry).withColumn("_row", F.monotonically_increasing_id())
     rows = rows.select("doc_id", "text", "_row", *[ROW] * carry)
     found = []
-    for k in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        windows = spark.sparkContext.broadcast(Windows([tuple(x) for x in own], window))
+    items = benchmark.select("item_id", "text").toLocalIterator()
+    for block in blocks_of(items, window, block_windows):
+        windows = spark.sparkContext.broadcast(Windows(block, window))
+        found.append(rows.mapInArrow(_searched(windows, sample, shard_words, carry), schema_of(SCHEMA, docs, carry)))
+    if not found:
+        windows = spark.sparkContext.broadcast(Windows([], window))
         found.append(rows.mapInArrow(_searched(windows, sample, shard_words, carry), schema_of(SCHEMA, docs, carry)))
-    if blocks == 1:
+    if len(found) == 1:
         return found[0].drop("_row")
     together = found[0]
     for other in found[1:]:
