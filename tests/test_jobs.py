@@ -82,10 +82,15 @@ def test_one_day(spark, tmp_path):
         counts.append(sum(r["n"] for r in cells_between(spark, w.path("trades"), NOW - timedelta(days=7), NOW).collect()))
     assert counts == [82, 82, 82]
 
+    for _attempt in range(2):
+        jobs.pack_batches(w, NOW + timedelta(minutes=5))
+    assert w.trades().count() == 82
+
     for _attempt in range(2):
         jobs.detect(w, NOW)
     jobs.detect(w, NOW + timedelta(minutes=15))
     alerts = {r["market_id"]: r for r in w.alerts().collect()}
+    jobs.pack_batches(w, NOW + timedelta(minutes=16))
     assert w.alerts().count() == 2
     assert (alerts["S1-M1"]["title"], alerts["S1-M1"]["series_title"], alerts["S1-M1"]["volume"]) == ("renamed", "Series one", 3000.0)
     assert (alerts["77"]["title"], alerts["77"]["series_title"], alerts["77"]["side"]) == ("Will It Rain?", "Rain", "no")

@@ -21,7 +21,7 @@ from tradewatch import schemas
 from tradewatch.functions.coerce import instant, micros_of
 from tradewatch.operators.upsert import CLOSED, SETTLED
 from tradewatch.plans.accounting import debate_accounts, debate_rows
-from tradewatch.plans.cells import merge_cells, store_cells
+from tradewatch.plans.cells import cells_path, merge_cells, store_cells
 from tradewatch.plans.catalog import refresh_catalog_a, refresh_catalog_b
 from tradewatch.plans.detect import DetectParams, detect_anomalies
 from tradewatch.plans.ingest import ingest_trades
@@ -46,6 +46,7 @@ from tradewatch.plans.requests import (
 from tradewatch.session import prepare
 from tradewatch.sources.buckets import read_buckets, upsert_buckets
 from tradewatch.sources.config import read_intent
+from tradewatch.sources.packed import pack, read_packed
 from tradewatch.sources.pages import read_pages
 from tradewatch.sources.register import NOTES, kept_notes, notes_table, read_batches, unseen
 from tradewatch.sources.tables import (
@@ -91,11 +92,13 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
     def trades(self) -> DataFrame:
-        return read_if_there(self.spark, self.path("trades"), schemas.TRADES, f"{BATCH} string, trade_date date")
+        """The trades of all finished batches, packed or not."""
+        path = self.path("trades")
+        return read_packed(self.spark, path, schemas.TRADES, "trade_date", cells_path(path))
 
     def alerts(self) -> DataFrame:
         """All alerts, with who was told of them."""
-        alerts = read_if_there(self.spark, self.path("alerts"), schemas.ALERTS, f"{BATCH} string, detected_date date")
+        alerts = read_packed(self.spark, self.path("alerts"), schemas.ALERTS, "detected_date")
         return with_state(alerts, self.state())
 
     def state(self) -> DataFrame:
@@ -189,6 +192,13 @@ def compact(w: Warehouse, as_of: datetime) -> None:
     merge_cells(w.spark, w.path("trades"), as_of)
 
 
+def pack_batches(w: Warehouse, as_of: datetime) -> None:
+    """Copy the batches of trades and alerts that were noted since the last time into packs of even files; once a day is enough."""
+    trades, alerts = w.path("trades"), w.path("alerts")
+    pack(w.spark, trades, schemas.TRADES, "trade_date", ["source", "market_id", "ts"], as_of, cells_path(trades))
+    pack(w.spark, alerts, schemas.ALERTS, "detected_date", ["source", "market_id", "alert_id"], as_of)
+
+
 def _staging(w: Warehouse, job: str, as_of: datetime):
     """Where a run stores what it has parsed: one folder per run, replaced when the run is repeated."""
 
@@ -329,6 +339,7 @@ def account(w: Warehouse, as_of: datetime, limit_usd: float = 0.50) -> None:
 JOBS = {
     "ingest": ingest,
     "compact": compact,
+    "pack": pack_batches,
     "refresh-a": refresh_a,
     "refresh-b": refresh_b,
     "detect": detect,

@@ -26,7 +26,8 @@ KEYS = ("source", "market_id")
 _DAY = T.StructType().add("cell_date", T.DateType())
 
 
-def _of(trades_path: str) -> str:
+def cells_path(trades_path: str) -> str:
+    """Where the cells of a trades table lie; its batches are noted under the same path."""
     return f"{trades_path.rstrip('/')}_cells"
 
 
@@ -35,16 +36,16 @@ def store_cells(spark: SparkSession, trades_path: str, batch: str) -> None:
     folder = f"{trades_path}/{BATCH}={batch}"
     trades = read_table(spark, folder, schemas.TRADES).filter("size IS NOT NULL AND price IS NOT NULL")
     cells = baseline_cells(trades, KEYS, CELL)
-    write_batch(with_day(cells, "cell", "cell_date"), _of(trades_path), batch, "cell_date", list(KEYS))
-    note_batch(spark, _of(trades_path), batch)
+    write_batch(with_day(cells, "cell", "cell_date"), cells_path(trades_path), batch, "cell_date", list(KEYS))
+    note_batch(spark, cells_path(trades_path), batch)
 
 
 def _stored(spark: SparkSession, trades_path: str) -> tuple[DataFrame, DataFrame, set[Note]]:
     """(merged cells, cells of the batches since, notes of all of them)."""
-    merged = read_parts(spark, f"{_of(trades_path)}_merged", {"cells": schemas.CELLS, "seen": NOTES})
+    merged = read_parts(spark, f"{cells_path(trades_path)}_merged", {"cells": schemas.CELLS, "seen": NOTES})
     seen = {tuple(r) for r in merged["seen"].collect()}
-    new = unseen(spark, _of(trades_path), seen, again=False)
-    since = read_batches(spark, _of(trades_path), {name for name, _ in new}, T.StructType([*schemas.CELLS.fields, *_DAY.fields]))
+    new = unseen(spark, cells_path(trades_path), seen, again=False)
+    since = read_batches(spark, cells_path(trades_path), {name for name, _ in new}, T.StructType([*schemas.CELLS.fields, *_DAY.fields]))
     return merged["cells"], since, seen | new
 
 
@@ -71,4 +72,4 @@ def merge_cells(spark: SparkSession, trades_path: str, as_of: datetime, kept: ti
     with. A batch must not be written again once it has been merged for two days."""
     merged, since, notes = _stored(spark, trades_path)
     both = merged.unionByName(since.select(*schemas.CELLS.names)).filter(F.col("cell") > instant(as_of - kept))
-    write_parts({"cells": merged_cells(both, KEYS), "seen": notes_table(spark, kept_notes(notes))}, f"{_of(trades_path)}_merged", as_of)
+    write_parts({"cells": merged_cells(both, KEYS), "seen": notes_table(spark, kept_notes(notes))}, f"{cells_path(trades_path)}_merged", as_of)

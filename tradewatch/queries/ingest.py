@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradewatch import schemas
 from tradewatch.functions.coerce import instant
 from tradewatch.operators.baseline import baseline_at, baseline_cells
 from tradewatch.plans.cells import cells_between, merge_cells, store_cells
@@ -16,6 +17,8 @@ from tradewatch.queries import views
 from tradewatch.queries.shape import r6, r6_sql, wall
 from tradewatch.session import shared_folder
 from tradewatch.sources.frames import parse_frames_a, parse_frames_b, rejects_a, rejects_b
+from tradewatch.sources.packed import pack, read_packed
+from tradewatch.sources.register import note_batch
 from tradewatch.sources.tables import append_trades
 from tradewatch.streaming import jobs
 
@@ -158,6 +161,25 @@ def _merged_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _at_end(cells_between(spark, path, end - timedelta(days=10), end, ["r0", "r3"]), trades, end)
 
 
+def _packed_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trades from six batches: three in one pack, one in the next, one of them written again, two not packed yet."""
+    path, trades = f"{shared_folder(spark, 'packed')}/trades", views.trades(spark, sf_dir)
+
+    def land(k: int) -> None:
+        append_trades(trades.filter(F.col("trade_id").cast("bigint") % 6 == k), path, f"r{k}")
+        note_batch(spark, path, f"r{k}")
+
+    packed_at = datetime(2024, 2, 1, tzinfo=timezone.utc)
+    for batches in ((0, 1, 2), (3,), (4, 5, 1)):
+        for k in batches:
+            land(k)
+        if 4 not in batches:
+            pack(spark, path, schemas.TRADES, "trade_date", ["source", "market_id", "ts"], packed_at + timedelta(days=batches[0]))
+    return read_packed(spark, path, schemas.TRADES, "trade_date").select(
+        *["source", "market_id", "trade_id", wall("ts"), "price", "size", "side", "raw", wall("ingested_at"), "batch_id", "trade_date"]
+    )
+
+
 QUERIES = {
     "parse_frames_a": _parse_a,
     "parse_frames_b": _parse_b,
@@ -168,6 +190,7 @@ QUERIES = {
     "stream_detect": stream_detect,
     "baseline_from_cells": _cells,
     "baseline_from_stored_cells": _merged_cells,
+    "packed_trades": _packed_trades,
 }
 
 _COLUMNS = "source, market_id, trade_id, ts, price, size, side"
@@ -226,4 +249,8 @@ FROM scored f LEFT JOIN markets_a a ON market_id = a.ticker LEFT JOIN markets_b
 WHERE abs(size_zscore) > 1.2 AND abs(notional_zscore) > 1.2""",
     "baseline_from_cells": _CELLS_SQL,
     "baseline_from_stored_cells": _CELLS_SQL,
+    "packed_trades": f"""WITH {views.TRADES_SQL}
+SELECT source, market_id, trade_id, ts, price, size, side, raw, ingested_at,
+       'r' || event_id % 6 AS batch_id, CAST(ts AS DATE) AS trade_date
+FROM trades""",
 }
