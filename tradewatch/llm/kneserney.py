@@ -128,6 +128,7 @@ def sequence_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
                 if sum(map(len, held.values())) > HELD_WORDS:
                     yield from handed()
         yield from handed()
+        _let_go()
 
     counted = docs.select("text", "lang", "seen").mapInArrow(run, "lang string, seen boolean, sequence string, n long")
     return counted.groupBy("lang", "seen", "sequence").agg(F.sum("n").alias("n"))
@@ -205,10 +206,16 @@ def _files(spark: SparkSession, rows: DataFrame, part_rows: int) -> list[str]:
     return [name.rsplit("/", 1)[1] for name in names]
 
 
-#: The file that was opened last; a model of one file is read once per worker.
+#: The file that was opened last; a model of one file is read once per task.
 _opened: dict[str, tuple] = {}
 
 
+def _let_go() -> None:
+    """Free what a task has held: its worker process stays, beside those of other stages' tasks."""
+    _opened.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def _part(name: str, langs: int):
     """The hashes of a file, ascending, and its shares and backs by language."""
     if name not in _opened:
@@ -380,6 +387,7 @@ def fit(docs: DataFrame, held_out, order: int = ORDER, part_rows: int = PART_ROW
         for batch in batches:
             table, n = sent.value.texts(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(table.tolist(), pa.list_(pa.float64())), pa.array(n)], ["lang", "table", "n"])
+        _let_go()
 
     seen = rows.select("text", "lang").mapInArrow(run, "lang string, table array<double>, n long").collect()
     return models, Calibration(langs, [tuple(x) for x in seen])
@@ -405,5 +413,6 @@ def predict(docs: DataFrame, models: Models, calibration: Calibration, carry: bo
                 + [batch.column(x) for x in [ROW] * carry],
                 ["doc_id", "lang_pred", "score", "cross_entropy", "accepted"] + [ROW] * carry,
             )
+        _let_go()
 
     return carried(docs, ["doc_id", "text"], carry).mapInArrow(run, schema_of(schema, docs, carry))
