@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.rows import LONG, ODD_TEXTS, frame
 from tradewatch.llm import queries
-from tradewatch.llm.kneserney import END, START, Calibration, _sequences, fit, fitted, fold, predict, sequence_counts
+from tradewatch.llm.kneserney import END, START, Calibration, _sequences, fit, fitted, fold, measured, predict, sequence_counts
 from tradewatch.llm.semicrf import EMAIL_TOKENS, KINDS, PATTERNS, TRAIN_REGIONS, all_spans, base_spans, best_segments, candidates, find_personal_data, holds, lessons, luhn, masked, train, written
 from tradewatch.llm.semicrf import fit as fit_field
 
@@ -231,3 +231,28 @@ def test_junk_and_long_rows_in_the_calibration_do_not_lift_the_limit():
     assert got.mean() > 0.99
     junk = calibration.accepts(np.full(4, 6.0), np.array([0, 1, 0, 1]), np.array([100, 100, 2000, 2000]))
     assert not junk.any()
+
+
+def test_calibration_counts_all_rows(spark):
+    texts = F.concat(F.lit("the old fox "), F.repeat(F.lit("runs home "), F.pmod(F.xxhash64("id"), F.lit(9)).cast("int")))
+    mixed = F.when(F.col("id") % 2 == 0, texts).otherwise(F.concat(F.lit("der alte Fuchs "), texts))
+    docs = spark.range(90_000).select(F.col("id").alias("doc_id"), mixed.alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("de").alias("lang"))
+    _, calibration = fit(docs, F.coalesce(fold() == 2, F.lit(False)))
+    unseen = docs.where(fold() == 3).count()
+    assert unseen > 20_000 and calibration.rows == unseen
+
+
+def test_counted_calibration_against_the_rows(spark):
+    rng = np.random.default_rng(3)
+    n = rng.integers(20, 4000, 700)
+    table = np.stack([2 + rng.normal(0, 0.1, 700), 2.4 + rng.normal(0, 0.3, 700)], 1)
+    label = table.argmin(1)
+    got = measured(label, table, n)
+    rows = spark.createDataFrame(list(zip(*[x.tolist() for x in got.values()], strict=True)), list(got))
+    counted = Calibration.counted(["en", "fr"], rows)
+    listed = Calibration(["en", "fr"], [(("en", "fr")[k], t, m) for k, t, m in zip(label.tolist(), table, n.tolist(), strict=True)])
+    assert (counted.temperature, counted.usual, counted.rows) == (listed.temperature, listed.usual, 700)
+    for k, bands in counted.usual.items():
+        own = (table.argmin(1) == k) & (n >= bands[-1][0])
+        assert abs(bands[-1][1] - np.median(table.min(1)[own])) < 1 / 256 and own.sum() >= 30
+    assert Calibration.counted(["en"], rows.where("false")).limit is None

@@ -39,16 +39,6 @@ def ranges(starts, lengths):
     return np.arange(len(owner)) - before[owner] + np.asarray(starts)[owner], owner
 
 
-def bounded_sample(df: DataFrame, most: int) -> DataFrame:
-    """All rows of (doc_id, text, ...) or, if there are more than ``most``, about 0.95 * ``most`` of them, chosen by a hash
-    of id and text. No task and no sort sees more than its own rows."""
-    n = df.count()
-    if n <= most:
-        return df
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
-    return df.where(place < int(0.95 * most / n * (1 << 30)))
-
-
 #: Column in which whole rows go through an operator, safe from clashing names.
 ROW = "_doc"
 

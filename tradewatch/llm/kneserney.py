@@ -12,7 +12,8 @@ temperature fitted on labelled rows that the fitted models have not seen; ``acce
 more than ``FURTHEST`` spreads above the median of those rows of its language and length (calibrated rejection). Spreads are
 1.4826 * median absolute deviation, so up to half of a band's rows may be junk, mislabelled or very long without moving the
 limit at will.
-Both are fitted on at most ``calibration_rows`` rows.
+Both are fitted on all of those rows: each task scores its own, and Spark counts them by language, length (quarters of an octave)
+and cross-entropy (steps of 1/256 nat). Medians, bands and deviations are those of the counts, whose number does not grow with the rows.
 
 The files lie in the shared folder and are handed to the executors as files of the job; neither the driver nor a task ever holds
 more than one of them, whatever the size of the model. A task looks its distinct sequences up in one file after the other, so
@@ -34,12 +35,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradewatch.llm import tokens
-from tradewatch.llm.common import ROW, bounded_sample, carried, schema_of, stored
+from tradewatch.llm.common import ROW, carried, schema_of, stored
 
 ORDER = 5
 #: Rows of a model's file, which is what a task holds of the model at a time.
 PART_ROWS = 1_000_000
-CALIBRATION_ROWS = 20_000
+#: Calibration counts rows at this many steps a nat, and lengths at this many steps an octave.
+STEPS, LENGTHS = 256, 4
+#: What the posterior's temperature may be.
+TEMPERATURES = (0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0)
 START, END = "\u0002", "\u0003"
 UNKNOWN_CHARS = 1 << 12
 #: Spreads above the median that are still accepted, the least spread (nats), and rows a band of lengths needs.
@@ -308,34 +312,53 @@ def _around(points: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def measured(label: np.ndarray, table: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """What calibration takes of labelled rows: where each is counted, its characters, and its loss at each temperature."""
+    truth = np.arange(len(n)), label
+    losses = [-np.log(posterior(table, n, t)[truth] + 1e-12) for t in TEMPERATURES]
+    length, step = np.floor(LENGTHS * np.log2(n)), np.rint(STEPS * table.min(1))
+    out = {"own": table.argmin(1), "length": length.astype(np.int64), "step": step.astype(np.int64), "n": n}
+    return out | {f"loss{k}": x for k, x in enumerate(losses)}
+
+
 class Calibration:
     """The temperature of the posterior, and what cross-entropy is usual for a language and a length."""
 
     def __init__(self, langs: list[str], rows=()):
         """``rows``: (lang, cross-entropies, characters) of labelled rows that the models have not seen."""
-        self.temperature, self.usual, self.limit = 0.1, {}, None
+        self.temperature, self.usual, self.limit, self.rows = 0.1, {}, None, 0
         rows = [(langs.index(x), np.array(c), n) for x, c, n in rows if n and x in langs]
-        if not rows:
-            return
-        label = np.array([x for x, _, _ in rows])
-        table, n = np.stack([c for _, c, _ in rows]), np.array([n for _, _, n in rows])
-
-        def loss(t):
-            return -np.log(posterior(table, n, t)[np.arange(len(n)), label] + 1e-12).mean()
-
-        self.temperature = min((0.01, 0.02, 0.05, 0.1, 0.2, 0.5, 1.0), key=loss)
-        best, own = table.min(1), table.argmin(1)
-        centre = np.array([np.median(best[own == k]) if (own == k).any() else np.inf for k in range(len(langs))])
+        if rows:
+            found = measured(np.array([x for x, _, _ in rows]), np.stack([c for _, c, _ in rows]), np.array([n for _, _, n in rows]))
+            ones = np.ones(len(rows), np.int64)
+            self._count([found[f"loss{k}"].sum() for k in range(len(TEMPERATURES))], *[found[x] for x in ("own", "length", "step")], ones, found["n"])
+
+    @classmethod
+    def counted(cls, langs: list[str], rows: DataFrame) -> Calibration:
+        """From a table of what ``measured`` gives for each row."""
+        self, names = cls(langs), [f"loss{k}" for k in range(len(TEMPERATURES))]
+        counts = [F.count(F.lit(1)).alias("rows"), F.min("n").alias("shortest")]
+        cells = stored(rows.groupBy("own", "length", "step").agg(*counts, *[F.sum(x).alias(x) for x in names]), "language-calibration")
+        found = cells.select("own", "length", "step", "rows", "shortest").toArrow()
+        if found.num_rows:
+            self._count(list(cells.agg(*map(F.sum, names)).first()), *[x.to_numpy() for x in found.columns])
+        return self
+
+    def _count(self, losses, own, length, step, rows, shortest) -> None:
+        """Settle everything by cells of ``rows`` rows each."""
+        self.temperature, self.rows = TEMPERATURES[int(np.argmin(losses))], int(rows.sum())
+        best, centre = step / STEPS, np.full(int(own.max()) + 1, np.inf)
+        for k in np.unique(own).tolist():
+            centre[k] = _median(best[own == k], rows[own == k])
         # what a language with few rows is measured by: the deviations of all languages
-        pooled = max(LEAST_SPREAD, _spread(best - centre[own]))
+        pooled = max(LEAST_SPREAD, _spread(best - centre[own], rows))
         for k in np.unique(own).tolist():
             at = np.flatnonzero(own == k)
-            at = at[np.argsort(n[at], kind="stable")]
-            parts = np.array_split(at, max(1, min(len(at) // BAND_ROWS, int(np.log2(n[at[-1]] / n[at[0]])) + 1)))
-            self.usual[k] = [
-                (int(n[x[0]]), float(np.median(best[x])), max(LEAST_SPREAD, _spread(best[x])) if len(x) >= BAND_ROWS else max(pooled, _spread(best[x])))
-                for x in parts
-            ]
+            self.usual[k] = []
+            for x in _bands(at, length[at], rows[at]):
+                spread = _spread(best[x], rows[x])
+                least = LEAST_SPREAD if rows[x].sum() >= BAND_ROWS else pooled
+                self.usual[k].append((int(shortest[x].min()), _median(best[x], rows[x]), max(least, spread)))
         self.limit = FURTHEST
 
     def accepts(self, best: np.ndarray, own: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -352,9 +375,32 @@ class Calibration:
         return (n > 0) & (best <= most)
 
 
-def _spread(values: np.ndarray) -> float:
+def _bands(cells: np.ndarray, length: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """The cells in bands of neighbouring lengths with about as many rows each, at most one an octave, none with few."""
+    lengths, place = np.unique(length, return_inverse=True)
+    many = np.bincount(place, rows)
+    parts = max(1, min(int(many.sum()) // BAND_ROWS, int((lengths[-1] - lengths[0]) / LENGTHS) + 1))
+    band, number, held = np.zeros(len(lengths), np.int64), 0, 0
+    for k, n in enumerate(many.tolist()):
+        band[k], held = number, held + n
+        if held * parts >= many.sum():
+            number, held = number + 1, 0
+    if held and number:  # what is left over belongs to the last band
+        band[band == number] = number - 1
+    return [cells[band[place] == b] for b in np.unique(band).tolist()]
+
+
+def _median(values: np.ndarray, rows: np.ndarray) -> float:
+    """The median where each value stands for so many rows."""
+    order = np.argsort(values, kind="stable")
+    upto, half = np.cumsum(rows[order]), rows.sum() / 2
+    low, high = np.searchsorted(upto, half, side="left"), np.searchsorted(upto, half, side="right")
+    return float(values[order[[low, high]]].mean())
+
+
+def _spread(values: np.ndarray, rows: np.ndarray) -> float:
     """The standard deviation, by the median absolute deviation."""
-    return float(1.4826 * np.median(np.abs(values - np.median(values))))
+    return 1.4826 * _median(np.abs(values - _median(values, rows)), rows)
 
 
 def posterior(table: np.ndarray, n: np.ndarray, temperature: float) -> np.ndarray:
@@ -372,25 +418,31 @@ def fitted(counts: DataFrame, order: int = ORDER, part_rows: int = PART_ROWS) ->
     return tuple(Models(langs, _files(spark, rows.where(own), part_rows), order) for own in (~F.col("early"), F.col("early")))
 
 
-def fit(docs: DataFrame, held_out, order: int = ORDER, part_rows: int = PART_ROWS, calibration_rows: int = CALIBRATION_ROWS):
+def fit(docs: DataFrame, held_out, order: int = ORDER, part_rows: int = PART_ROWS):
     """(models, calibration) learned from the rows of ``docs`` for which the column ``held_out`` is false."""
     spark = docs.sparkSession
     learned = docs.where(~held_out & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select(
         "doc_id", "text", "lang", (fold() != 3).alias("seen")
     )
     models, early = fitted(stored(sequence_counts(learned, order), "language-counts"), order, part_rows)
-    langs = models.langs
-    rows = bounded_sample(learned.where(~F.col("seen")), calibration_rows)
+    if not models.langs:
+        return models, Calibration([])
     sent = spark.sparkContext.broadcast(early)
 
     def run(batches):
+        models = sent.value
+        place = {x: k for k, x in enumerate(models.langs)}
         for batch in batches:
-            table, n = sent.value.texts(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(table.tolist(), pa.list_(pa.float64())), pa.array(n)], ["lang", "table", "n"])
+            table, n = models.texts(batch.column("text").to_pylist())
+            label = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
+            use = (n > 0) & (label >= 0)
+            found = measured(label[use], table[use], n[use])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found.values()], list(found))
         _let_go()
 
-    seen = rows.select("text", "lang").mapInArrow(run, "lang string, table array<double>, n long").collect()
-    return models, Calibration(langs, [tuple(x) for x in seen])
+    schema = "own long, length long, step long, n long, " + ", ".join(f"loss{k} double" for k in range(len(TEMPERATURES)))
+    rows = learned.where(~F.col("seen")).select("text", "lang").mapInArrow(run, schema)
+    return models, Calibration.counted(models.langs, rows)
 
 
 def predict(docs: DataFrame, models: Models, calibration: Calibration, carry: bool = False) -> DataFrame:
