@@ -1,6 +1,7 @@
 """What the plans of registered queries must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tradewatch import queries as entry
 from tradewatch.plans.detect import enriched_alerts
@@ -70,3 +71,9 @@ def test_days_of_stored_tables_are_pruned(spark, tmp_path):
         plan = plan_of(df)
         filters = plan[plan.index("PartitionFilters: [") :].split("]")[0]
         assert "_date" in filters
+
+
+@pytest.mark.parametrize("name", ["normalise_markets_b"])
+def test_payloads_of_one_file_are_parsed_by_many_tasks(spark, name):
+    rows = entry.queries()[name](spark, SF)
+    assert rows.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism

@@ -54,7 +54,7 @@ _OUTCOMES = r"""concat('"outcomes": "[\\"Yes\\",\\"No\\"]", "outcomePrices": ',
 
 
 def _markets_b(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = views.table(spark, sf_dir, "customer").select(
+    items = views.spread_table(spark, sf_dir, "customer", "c_custkey").select(
         payloads.render(_B, "c_custkey", _OUTCOMES).alias("payload"), F.expr(_EVENT).alias("event")
     )
     return _zoneless(normalise_markets_b(items))

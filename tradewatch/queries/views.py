@@ -34,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table dealt by its key to at least three tasks a core, for queries that make a long text of each short row.
+
+    A scan deals out bytes: a file of millions of short rows may be one task's, with all that is made of them.
+    """
+    tasks = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table(spark, sf_dir, name).repartition(tasks, key)
+
+
 def latest(df: DataFrame, column: str) -> datetime:
     """The largest instant of a column as a literal, so that time bounds reach the scan."""
     micros = df.agg(F.max(F.unix_micros(column)).alias("m")).first()["m"]
