@@ -73,7 +73,7 @@ def test_days_of_stored_tables_are_pruned(spark, tmp_path):
         assert "_date" in filters
 
 
-@pytest.mark.parametrize("name", ["normalise_markets_b"])
+@pytest.mark.parametrize("name", ["normalise_markets_a", "normalise_markets_b", "normalise_series"])
 def test_payloads_of_one_file_are_parsed_by_many_tasks(spark, name):
     rows = entry.queries()[name](spark, SF)
     assert rows.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism

@@ -36,7 +36,7 @@ def _zoneless(df: DataFrame) -> DataFrame:
 
 
 def _markets_a(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = views.table(spark, sf_dir, "part").select(
+    items = views.spread_table(spark, sf_dir, "part", "p_partkey").select(
         payloads.render(_A, "p_partkey").alias("payload"),
         F.col("p_brand").alias("series_ticker"),
         F.col("p_type").alias("category"),
@@ -62,7 +62,7 @@ def _markets_b(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _series_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     category = """concat('"category": ', CASE s_suppkey % 3 WHEN 0 THEN '"own"' WHEN 1 THEN '""' ELSE 'null' END)"""
-    return views.table(spark, sf_dir, "supplier").select(
+    return views.spread_table(spark, sf_dir, "supplier", "s_suppkey").select(
         payloads.render(_S, "s_suppkey", category).alias("payload"),
         F.concat(F.lit("c"), F.col("s_nationkey")).alias("category"),
     )
