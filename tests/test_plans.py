@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tradewatch import queries as entry
 from tradewatch.plans.detect import enriched_alerts
-from tradewatch.queries import views
+from tradewatch.queries import catalog, views
 
 SF = "/root/testdata/sf0.01"
 WRITERS = {"stream_ingest", "stream_detect", "landed_pages", "layout_roundtrip", "transcript_files", "column_added", "series_refreshed", "intent_file"}
@@ -77,3 +77,8 @@ def test_days_of_stored_tables_are_pruned(spark, tmp_path):
 def test_payloads_of_one_file_are_parsed_by_many_tasks(spark, name):
     rows = entry.queries()[name](spark, SF)
     assert rows.select(F.spark_partition_id()).distinct().count() >= spark.sparkContext.defaultParallelism
+
+
+def test_a_refresh_stages_markets_by_many_tasks(spark):
+    staged = catalog._refreshed_a(spark, SF).staged
+    assert len(staged.inputFiles()) >= spark.sparkContext.defaultParallelism

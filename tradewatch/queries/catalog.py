@@ -221,7 +221,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _refreshed_a(spark: SparkSession, sf_dir: str):
     """Parts as venue-A markets of the suppliers' series; every third is in the target already."""
     key = F.col("p_partkey")
-    parts = views.table(spark, sf_dir, "part")
+    parts = views.spread_table(spark, sf_dir, "part", "p_partkey")
     market_items = parts.select(
         payloads.render(_A, "p_partkey").alias("payload"), F.concat(F.lit("ticker-"), key % 13).alias("series_ticker")
     )
