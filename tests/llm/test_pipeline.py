@@ -71,3 +71,13 @@ def test_registered_and_odd_rows(spark):
         assert stage(spark, docs, SF).columns == docs.columns, name
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.where("false"), SF).count() == 0
+
+
+def test_kept_chunks_change_no_row(spark):
+    from tests.llm.rows import ODD_TEXTS, frame
+    from tradewatch.llm.bm25pack import pack_documents
+    from tradewatch.llm.queries import tokenizer_path
+
+    docs = frame(spark, list(enumerate(ODD_TEXTS))).coalesce(1)
+    few, many = (sorted(map(str, pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), kept=n).collect())) for n in (3, 1 << 20))
+    assert few == many

@@ -26,8 +26,8 @@ from tradewatch.llm import tokens
 WINDOW = 2048
 SHARD_IDS = 1 << 22
 QUERY_TERMS = 16
-#: Chunks that the encoder keeps beside a shard.
-KEPT_CHUNKS = 450_000
+#: Chunks that the encoder keeps beside a shard, and where no earlier stage has left its workers' memory behind.
+KEPT_CHUNKS, KEPT_ALONE = 450_000, 900_000
 K1, B = 1.2, 0.75
 #: Sequence ids of a partition begin at a multiple of this.
 SEQUENCES = 1 << 36
@@ -147,7 +147,7 @@ def _powers(pieces: list[tuple[int, int, int]], total: int) -> list[list[tuple[i
     return out
 
 
-def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int):
+def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int, kept: int):
     def run(batches):
         sequence = TaskContext.get().partitionId() * SEQUENCES
         names, held, n = [], [], 0
@@ -168,7 +168,7 @@ def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int):
 
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for name, ids in zip(batch.column("doc_id").to_pylist(), tokens.encoded(texts, tokenizer, end_id, KEPT_CHUNKS), strict=True):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), tokens.encoded(texts, tokenizer, end_id, kept), strict=True):
                 names.append(name)
                 held.append(ids)
                 n += len(ids) // 4
@@ -182,15 +182,15 @@ def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int):
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, shard_ids: int = SHARD_IDS
+    docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, shard_ids: int = SHARD_IDS, kept: int = KEPT_CHUNKS
 ) -> DataFrame:
     """One row per piece: doc_id, start (ids of the document before it), length, ids_crc32, doc_tokens, sequence_id, offset,
-    seed (whether it seeded its window)."""
+    seed (whether it seeded its window). ``kept`` bounds the encoder's chunks of a generation, which changes nothing but time."""
     return (
         docs.select("doc_id", "text")
         .withColumn("_deal", F.xxhash64("doc_id", "text", F.monotonically_increasing_id()))
         .repartition("_deal")
         .sortWithinPartitions("_deal")
         .select("doc_id", "text")
-        .mapInArrow(_packed(tokenizer, end_id, window, shard_ids), SCHEMA)
+        .mapInArrow(_packed(tokenizer, end_id, window, shard_ids, kept), SCHEMA)
     )
