@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tests.llm.rows import LONG, ODD_TEXTS, frame
 from tradewatch.llm import queries
 from tradewatch.llm.kneserney import END, START, Calibration, _sequences, fit, fitted, fold, measured, predict, sequence_counts
-from tradewatch.llm.semicrf import EMAIL_TOKENS, KINDS, PATTERNS, TRAIN_REGIONS, all_spans, base_spans, best_segments, candidates, find_personal_data, holds, lessons, luhn, masked, train, written
+from tradewatch.llm.semicrf import EMAIL_TOKENS, KINDS, PATTERNS, TRAIN_REGIONS, added_up, all_spans, base_spans, best_segments, candidates, counted_lessons, find_personal_data, groups, holds, lessons, luhn, masked, train, written
 from tradewatch.llm.semicrf import fit as fit_field
 
 ORDER = 3
@@ -256,3 +256,48 @@ def test_counted_calibration_against_the_rows(spark):
         own = (table.argmin(1) == k) & (n >= bands[-1][0])
         assert abs(bands[-1][1] - np.median(table.min(1)[own])) < 1 / 256 and own.sum() >= 30
     assert Calibration.counted(["en"], rows.where("false")).limit is None
+
+
+def brute_lesson(text, spans, weights):
+    """Log-likelihood of the base spans in a region that is the whole text, over all segmentations."""
+    n, found = candidates(text, 0, len(text))
+
+    def scores(at):
+        if at == n:
+            return [0.0]
+        own = [(float(weights[x[2]] @ x[5]), x[1]) for x in found if x[0] == at]
+        return scores(at + 1) + [s + rest for s, j in own for rest in scores(j)]
+
+    gold = sum(float(weights[x[2]] @ x[5]) for x in found if x[2:5] in set(spans))
+    return gold - np.logaddexp.reduce(scores(0))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["1.2.3.4", " ", "5", ".", "66", "a@b.c", "x"]), min_size=1, max_size=6), st.integers(0, 9))
+def test_groups_of_candidates_against_all_segmentations(parts, seed):
+    text = "".join(parts)
+    spans = [x for x in base_spans(text)[0]]
+    flat = np.random.default_rng(seed).normal(size=36)
+    counted = Counter(groups(text, 0, len(text), spans)).items()
+    got = added_up(counted, flat)
+    assert abs(got[1] - brute_lesson(text, spans, dict(zip(KINDS, flat.reshape(4, 9), strict=True)))) < 1e-9
+    for k in np.flatnonzero(got[2:38]).tolist():  # gradient and covariance against small steps
+        small = np.zeros(36)
+        small[k] = 1e-5
+        more, less = added_up(counted, flat + small), added_up(counted, flat - small)
+        assert abs((more[1] - less[1]) / 2e-5 - got[2 + k]) < 1e-5
+        assert np.abs((more[2:38] - less[2:38]) / 2e-5 + got[38:].reshape(36, 36)[k]).max() < 1e-5
+
+
+def test_the_field_learns_from_all_documents(spark):
+    def text(k):
+        words = ["see", "visa", "call", "mail", "host"][k % 5]
+        return f"{words} {['4465758382889437', '10.2.3.44', '+1 (449) 555-9658', 'a.b@c.org'][k * 7 % 11 % 4]} and " * (1 + 19 * (k % 500 == 0))
+
+    texts = [text(k) for k in range(4000)] + ["pay " + "10.2.3.44 " * 150 + "end"]
+    told = sum(counted_lessons(texts).values())
+    weights = fit_field(frame(spark, list(enumerate(texts))))
+    want = train(texts)
+    assert told == 4000 + 8 * 19 + 150 and all(np.allclose(weights[k], want[k], atol=1e-6) for k in KINDS)
+    assert not np.allclose(weights["card"], train(texts[::2])["card"], atol=1e-6)
+    assert fit_field(frame(spark, [(1, "no such data"), (2, None)])) is None

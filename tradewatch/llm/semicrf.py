@@ -7,9 +7,12 @@ card typed digit by digit has 37 tokens), and its score adds weights of features
 and kinds are chosen together by dynamic programming over the segments that may end at each token; tokens outside of
 segments score zero. Spans it finds are added where they do not touch base spans of their kind.
 
-The weights are learned by the likelihood of the base spans in regions where every match passes its test, from about
-``train_docs`` documents: a quarter of them for each kind, among those that may hold it, chosen by a hash of their id and text. Only
-regions leave the executors, at most ``TRAIN_REGIONS`` of ``TRAIN_CHARS`` characters a document. Without any nothing is added.
+The weights are learned by the likelihood of the base spans in all regions of all documents where every match passes its test.
+Candidates of a region that share no token, also not through others, are independent, so a lesson is a group of candidates
+that do. It depends on no text, only on how the candidates overlap and on what is seen of them. Spark counts equal lessons, and
+Newton's method climbs the mean penalised likelihood: in each round tasks add up value, gradient and curvature over
+the counted lessons, so neither the driver nor a task holds all of them. The function is concave: the weights do not depend on
+the order of rows. Without any lesson nothing is added.
 
 Null texts are empty and have no span. Repeated rows are judged alone. Texts of any length are read whole. An empty table
 gives no rows. Other columns are not read.
@@ -19,14 +22,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from bisect import bisect_left
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewatch.llm.common import ROW, carried, schema_of
+from tradewatch.llm.common import ROW, carried, schema_of, stored
 
 KINDS = ("email", "ip", "card", "phone")
 # fixed values: the base patterns
@@ -43,9 +48,12 @@ DIGITS = {"card": (" -", 14, 19), "phone": (" ().-", 10, 15)}
 #: Longer addresses are no candidates. None is lost by that: every match of the pattern is a base span.
 EMAIL_TOKENS = 24
 CONTEXT = 24
-TRAIN_DOCS = 2000
-#: Of a document, at most this many regions of at most so many characters are learned from.
+#: Where learning is asked to be bounded: at most this many regions of a document, of at most so many characters.
 TRAIN_REGIONS, TRAIN_CHARS = 10, 1000
+#: Weight of the squared weights, the gain of mean likelihood below which learning ends, and its rounds at most.
+PENALTY, LEAST_GAIN, ROUNDS = 1e-3, 1e-7, 50
+#: Distinct lessons a task holds before it hands on their counts.
+HELD_LESSONS = 20_000
 #: A document that does not match has no base span of the kind.
 _MAY_HOLD = {
     "email": "@[A-Za-z0-9-]+[.]",
@@ -222,39 +230,129 @@ def best_segments(n: int, found, weights: dict[str, np.ndarray]):
     return out[::-1]
 
 
-def gradient(n: int, found, gold: set, weights: dict[str, np.ndarray]):
-    """Of the log-likelihood of the segments in ``gold`` (kind, start, end): what is seen in them less what is expected."""
-    scores = [float(weights[x[2]] @ x[5]) for x in found]
-    by_end: dict[int, list[int]] = {}
-    by_start: dict[int, list[int]] = {}
-    for k, x in enumerate(found):
-        by_end.setdefault(x[1], []).append(k)
-        by_start.setdefault(x[0], []).append(k)
-    forward, backward = np.zeros(n + 1), np.zeros(n + 1)
-    for j in range(1, n + 1):
-        forward[j] = np.logaddexp.reduce([forward[j - 1], *[forward[found[k][0]] + scores[k] for k in by_end.get(j, ())]])
-    for i in range(n - 1, -1, -1):
-        backward[i] = np.logaddexp.reduce([backward[i + 1], *[backward[found[k][1]] + scores[k] for k in by_start.get(i, ())]])
-    out = {kind: np.zeros(len(FEATURES)) for kind in KINDS}
-    for k, (i, j, kind, start, end, seen) in enumerate(found):
-        chance = np.exp(forward[i] + scores[k] + backward[j] - forward[n])
-        out[kind] += (((kind, start, end) in gold) - chance) * seen
+#: Numbers a lesson has of each candidate: where it begins and ends, kind, whether it is a base span, tokens, and the other
+#: features as bits.
+_NUMBERS = 6
+_SIZE = len(KINDS) * len(FEATURES)
+
+
+def groups(text: str, a: int, b: int, spans) -> list[bytes]:
+    """The lessons of a region: its candidates, cut into groups that share no token, each as numbers. Places are
+    numbered within the group, since only their order counts."""
+    gold, out, own, end = {tuple(x) for x in spans}, [], [], 0
+
+    def close() -> None:
+        at = {x: k for k, x in enumerate(sorted({x for c in own for x in c[:2]}))}
+        numbers = array("I")
+        for i, j, kind, start, stop, seen in own:
+            bits = sum(1 << k for k, x in enumerate(seen[2:].tolist()) if x)
+            numbers.extend((at[i], at[j], KINDS.index(kind), (kind, start, stop) in gold, j - i, bits))
+        out.append(numbers.tobytes())
+
+    for x in candidates(text, a, b)[1]:
+        if own and x[0] >= end:
+            close()
+            own, end = [], 0
+        own.append(x)
+        end = max(end, x[1])
+    if own:
+        close()
     return out
 
 
-def lessons(text: str) -> list[tuple[str, int, int, list[tuple[str, int, int]]]]:
-    """(excerpt, begin, end, base spans) of the regions of a text in which every match passes its test."""
+def moments(lesson: bytes, weights: np.ndarray):
+    """(log-likelihood, gradient, covariance of what is seen, their places among all weights) of the base spans of a lesson.
+
+    For each place, all segmentations up to it have a total, a mean and a mean square of the sum of what is seen in them.
+    """
+    rows = np.frombuffer(lesson, array("I").typecode).reshape(-1, _NUMBERS).astype(np.int64)
+    every = np.zeros((len(rows), len(KINDS), len(FEATURES)))
+    every[np.arange(len(rows)), rows[:, 2]] = np.column_stack(
+        [np.ones(len(rows)), rows[:, 4] / EMAIL_TOKENS, rows[:, 5:] >> np.arange(len(FEATURES) - 2) & 1]
+    )
+    every = every.reshape(len(rows), _SIZE)
+    places = np.flatnonzero(every.any(0))
+    every = every[:, places]
+    scores = every @ weights[places]
+    by_end: dict[int, list[int]] = {}
+    last: dict[int, int] = {}
+    for k, (i, j) in enumerate(rows[:, :2].tolist()):
+        by_end.setdefault(j, []).append(k)
+        last[i] = max(last.get(i, 0), j)
+    done: dict[int, list[int]] = {}
+    state = {0: (0.0, np.zeros(len(places)), np.zeros((len(places), len(places))))}
+    n = int(rows[:, 1].max())
+    for i in range(n):
+        done.setdefault(max(last.get(i, 0), i + 1), []).append(i)
+    for j in range(1, n + 1):
+        parts = [state[j - 1]]
+        for k in by_end.get(j, ()):
+            total, mean, square = state[int(rows[k, 0])]
+            both = np.outer(every[k], mean)
+            parts.append((total + scores[k], mean + every[k], square + both + both.T + np.outer(every[k], every[k])))
+        total = float(np.logaddexp.reduce([x[0] for x in parts]))
+        chances = [np.exp(x[0] - total) for x in parts]
+        state[j] = (total, *(sum(c * x[m] for c, x in zip(chances, parts, strict=True)) for m in (1, 2)))
+        for i in done.get(j, ()):  # no candidate begins there any more
+            del state[i]
+    total, mean, square = state[n]
+    gold = rows[:, 3] > 0
+    return float(scores[gold].sum()) - total, every[gold].sum(0) - mean, square - np.outer(mean, mean), places
+
+
+def added_up(counted, weights: np.ndarray) -> np.ndarray:
+    """Number, log-likelihood, gradient and covariance, in a row, of (lesson, how often) together."""
+    n, value, slope, spread = 0, 0.0, np.zeros(_SIZE), np.zeros((_SIZE, _SIZE))
+    for lesson, times in counted:
+        own, step, square, places = moments(lesson, weights)
+        n += times
+        value += times * own
+        slope[places] += times * step
+        spread[np.ix_(places, places)] += times * square
+    return np.concatenate([[n, value], slope, spread.ravel()])
+
+
+def climbed(sums) -> dict[str, np.ndarray] | None:
+    """Weights per kind with the highest mean penalised likelihood, by Newton's method; ``sums`` gives what ``added_up`` does
+    for all lessons at given weights. None without any lesson."""
+
+    def seen_from(weights: np.ndarray):
+        found = sums(weights)
+        n = max(1.0, found[0])
+        spread = found[2 + _SIZE :].reshape(_SIZE, _SIZE) / n + PENALTY * np.eye(_SIZE)
+        return found[0], found[1] / n - PENALTY / 2 * weights @ weights, found[2 : 2 + _SIZE] / n - PENALTY * weights, spread
+
+    weights = np.zeros(_SIZE)
+    n, value, slope, spread = seen_from(weights)
+    if not n:
+        return None
+    for _ in range(ROUNDS):
+        step = np.linalg.solve(spread, slope)
+        gain = float(slope @ step)
+        if gain < LEAST_GAIN:
+            break
+        n, there, slope, spread = seen_from(weights + step)
+        while there < value + gain / 1000 and np.abs(step).max() > 1e-6:  # too far: half the way
+            step, gain = step / 2, gain / 2
+            n, there, slope, spread = seen_from(weights + step)
+        weights, value = weights + step, there
+    return {kind: own.copy() for kind, own in zip(KINDS, weights.reshape(len(KINDS), -1), strict=True)}
+
+
+def lessons(text: str, bounded: bool = True) -> list[tuple[str, int, int, list[tuple[str, int, int]]]]:
+    """(excerpt, begin, end, base spans) of the regions of a text in which every match passes its test; all of them, or a
+    bounded number."""
     spans, failed = base_spans(text)
     lost = regions(text, failed)
     out, at = [], 0
     for a, b in regions(text, [(x, y) for _, x, y in spans]):
         while at < len(lost) and lost[at][1] <= a:
             at += 1
-        if b - a > TRAIN_CHARS or at < len(lost) and lost[at][0] < b:
+        if bounded and b - a > TRAIN_CHARS or at < len(lost) and lost[at][0] < b:
             continue
         left = max(0, a - CONTEXT)
         out.append((text[left : b + 2], a, b, left))
-    every = -(-len(out) // TRAIN_REGIONS) if out else 1
+    every = -(-len(out) // TRAIN_REGIONS) if out and bounded else 1
     own = []
     for excerpt, a, b, left in out[::every]:
         low, high = bisect_left(spans, a, key=lambda x: x[1]), bisect_left(spans, b, key=lambda x: x[1])
@@ -262,26 +360,15 @@ def lessons(text: str) -> list[tuple[str, int, int, list[tuple[str, int, int]]]]
     return own
 
 
-def train(texts: list[str]) -> dict[str, np.ndarray] | None:
-    """Weights per kind, learned from the lessons of some texts; None without any."""
-    return learned([x for text in texts for x in lessons(text)])
+def counted_lessons(texts, bounded: bool = False) -> Counter:
+    """The lessons of some texts and how often each occurs."""
+    return Counter(x for text in texts for given in lessons(text or "", bounded) for x in groups(*given))
 
 
-def learned(given, rounds: int = 12, rate: float = 0.5, penalty: float = 1e-3) -> dict[str, np.ndarray] | None:
-    """Weights per kind by gradient ascent on lessons; None without any."""
-    examples = [(*candidates(text, a, b), {tuple(x) for x in spans}) for text, a, b, spans in given]
-    examples = [x for x in examples if x[1]]
-    if not examples:
-        return None
-    weights = {kind: np.zeros(len(FEATURES)) for kind in KINDS}
-    squares = {kind: np.full(len(FEATURES), 1e-6) for kind in KINDS}
-    for _ in range(rounds):
-        for n, found, gold in examples:
-            for kind, step in gradient(n, found, gold, weights).items():
-                step = step - penalty * weights[kind]
-                squares[kind] += step**2
-                weights[kind] += rate * step / np.sqrt(squares[kind])
-    return weights
+def train(texts: list[str]) -> dict[str, np.ndarray] | None:
+    """Weights per kind, learned from all lessons of some texts; None without any."""
+    counted = counted_lessons(texts)
+    return climbed(lambda weights: added_up(counted.items(), weights))
 
 
 def all_spans(text: str, weights: dict[str, np.ndarray] | None):
@@ -311,11 +398,58 @@ def masked(text: str, spans) -> str:
     return "".join([*out, text[at:]])
 
 
-_LESSON = "excerpt string, begin int, stop int, spans array<struct<kind: string, a: int, b: int>>"
+_ARROW_LESSON = pa.schema([("lesson", pa.binary()), ("n", pa.int64())])
+_ARROW_SUM = pa.schema([("place", pa.int32()), ("value", pa.float64())])
 
 
-def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray] | None:
-    """The field's weights, learned from about ``train_docs`` documents, a quarter for each kind that they may hold."""
+def _told(bounded: bool):
+    def run(batches):
+        held: Counter = Counter()
+
+        def counts():
+            return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.binary()), pa.array(held.values(), pa.int64())], schema=_ARROW_LESSON)
+
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                held.update(counted_lessons([text], bounded))
+                if len(held) >= HELD_LESSONS:
+                    yield counts()
+                    held.clear()
+        yield counts()
+
+    return run
+
+
+def _summed(weights: np.ndarray):
+    def run(batches):
+        rows = ((x, n) for batch in batches for x, n in zip(batch.column("lesson").to_pylist(), batch.column("n").to_pylist(), strict=True))
+        found = added_up(rows, weights)
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(found[at])], schema=_ARROW_SUM)
+
+    return run
+
+
+def fit(docs: DataFrame, train_docs: int | None = None) -> dict[str, np.ndarray] | None:
+    """The field's weights, learned from all documents. With ``train_docs`` from a bounded number of regions of about so many of
+    them, a quarter for each kind that they may hold; no query asks for that."""
+    if train_docs:
+        docs = _some(docs, train_docs)
+    told = docs.select("text").mapInArrow(_told(bool(train_docs)), "lesson binary, n long")
+    counted = stored(told.groupBy("lesson").agg(F.sum("n").alias("n")), "lessons")
+
+    def sums(weights: np.ndarray) -> np.ndarray:
+        out = np.zeros(2 + _SIZE + _SIZE**2)
+        parts = counted.mapInArrow(_summed(weights), "place int, value double")
+        for place, value in parts.groupBy("place").agg(F.sum("value")).collect():
+            out[place] = value
+        return out
+
+    return climbed(sums)
+
+
+def _some(docs: DataFrame, train_docs: int) -> DataFrame:
+    """About ``train_docs`` documents, a quarter for each kind that they may hold."""
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     may = {kind: F.coalesce(F.col("text").rlike(pattern), F.lit(False)) for kind, pattern in _MAY_HOLD.items()}
     n = docs.agg(*[F.count_if(x).alias(kind) for kind, x in may.items()]).first()
@@ -324,19 +458,9 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, np.ndarray]
     chosen = F.lit(False)
     for kind, limit in limits.items():
         chosen |= may[kind] & (place < limit)
-
-    def run(batches):
-        for batch in batches:
-            found = [x for text in batch.column("text").to_pylist() for x in lessons(text)]
-            rows = [{"excerpt": t, "begin": a, "stop": b, "spans": [{"kind": k, "a": x, "b": y} for k, x, y in s]} for t, a, b, s in found]
-            yield pa.RecordBatch.from_pylist(rows, _ARROW_LESSON)
-
-    rows = docs.where(chosen).select("text").mapInArrow(run, _LESSON).collect()
-    return learned(sorted((x["excerpt"], x["begin"], x["stop"], [tuple(s) for s in x["spans"]]) for x in rows))
+    return docs.where(chosen)
 
 
-_SPAN = pa.struct([("kind", pa.string()), ("a", pa.int32()), ("b", pa.int32())])
-_ARROW_LESSON = pa.schema([("excerpt", pa.string()), ("begin", pa.int32()), ("stop", pa.int32()), ("spans", pa.list_(_SPAN))])
 _COUNTS = [f"n_{kind}" for kind in KINDS]
 
 
