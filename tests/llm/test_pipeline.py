@@ -81,3 +81,57 @@ def test_kept_chunks_change_no_row(spark):
     docs = frame(spark, list(enumerate(ODD_TEXTS))).coalesce(1)
     few, many = (sorted(map(str, pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), kept=n).collect())) for n in (3, 1 << 20))
     assert few == many
+
+
+def test_texts_of_an_arrow_array_have_the_ids_of_each_text():
+    import random
+
+    import pyarrow as pa
+
+    from tradewatch.llm import tokens
+    from tradewatch.llm.queries import tokenizer_path
+
+    random.seed(4)
+    parts = ["the", "The", "fox,", " ", "  ", "\n", " \n", "\u2003 ", "\x1c ", "\u00e9t\u00e9.", "it's", "42", "<|x|>", "\u0130I", "a.\nB", "", " b", "c "]
+    random_texts = ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(300)]
+    texts = [*ODD_TEXTS, *random_texts, None, "", " ", "one two", "the fox, the fox,"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = tokenizer_path(name)
+        library = tokens.ChunkEncoder(path)._whole
+        want = [library(x or "") + b"\x01\0\0\0" for x in texts]
+        for kept, held in ((3, 40), (1 << 20, 1 << 23)):
+            tokens.forget()
+            tokens.HELD_BYTES, before = held, tokens.HELD_BYTES
+            try:
+                assert list(tokens.encoded(pa.array(texts, pa.string()), path, 1, kept)) == want
+                assert list(tokens.encoded(pa.array([], pa.string()), path, 1, kept)) == []
+            finally:
+                tokens.HELD_BYTES = before
+    tokens.forget()
+
+
+def test_a_chunk_of_many_texts_is_looked_up_once(monkeypatch):
+    import pyarrow as pa
+
+    from tradewatch.llm import tokens
+    from tradewatch.llm.queries import tokenizer_path
+
+    asked = []
+    own = tokens.ChunkEncoder(tokenizer_path("byte_bpe_50k.json"))
+    monkeypatch.setattr(tokens, "encoder", lambda path: own)
+    monkeypatch.setattr(tokens.ChunkEncoder, "__getitem__", lambda self, x: asked.append(x) or (self.get(x) or self.__missing__(x)))
+    list(tokens.encoded(pa.array(["first fox home"] + ["then fox home"] * 500), "any", 1))
+    assert asked.count(" fox") == asked.count(" home") == 1
+
+
+def test_python_white_space_before_a_blank():
+    import sys
+
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from tradewatch.llm.tokens import _WIDE
+
+    spaces = [chr(x) for x in range(sys.maxunicode) if chr(x).isspace()]
+    assert pc.all(pc.match_substring_regex(pa.array([f"a{x} b" for x in spaces]), _WIDE)).as_py()
+    assert not pc.any(pc.match_substring_regex(pa.array(["a b", "a", " ", "\u00e9 b"]), _WIDE)).as_py()

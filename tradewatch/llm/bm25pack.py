@@ -167,8 +167,8 @@ def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int, kept: int)
             return pa.RecordBatch.from_pydict(out, _ARROW)
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for name, ids in zip(batch.column("doc_id").to_pylist(), tokens.encoded(texts, tokenizer, end_id, kept), strict=True):
+            found = tokens.encoded(batch.column("text"), tokenizer, end_id, kept)
+            for name, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 names.append(name)
                 held.append(ids)
                 n += len(ids) // 4
