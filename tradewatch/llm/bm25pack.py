@@ -147,7 +147,7 @@ def _powers(pieces: list[tuple[int, int, int]], total: int) -> list[list[tuple[i
     return out
 
 
-def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int, kept: int):
+def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int, kept: int, together: bool):
     def run(batches):
         sequence = TaskContext.get().partitionId() * SEQUENCES
         names, held, n = [], [], 0
@@ -167,7 +167,8 @@ def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int, kept: int)
             return pa.RecordBatch.from_pydict(out, _ARROW)
 
         for batch in batches:
-            found = tokens.encoded(batch.column("text"), tokenizer, end_id, kept)
+            texts = batch.column("text")
+            found = tokens.encoded(texts if together else texts.to_pylist(), tokenizer, end_id, kept)
             for name, ids in zip(batch.column("doc_id").to_pylist(), found, strict=True):
                 names.append(name)
                 held.append(ids)
@@ -182,15 +183,17 @@ def _packed(tokenizer: str, end_id: int, window: int, shard_ids: int, kept: int)
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, shard_ids: int = SHARD_IDS, kept: int = KEPT_CHUNKS
+    docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = WINDOW, shard_ids: int = SHARD_IDS, kept: int = KEPT_CHUNKS,
+    together: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start (ids of the document before it), length, ids_crc32, doc_tokens, sequence_id, offset,
-    seed (whether it seeded its window). ``kept`` bounds the encoder's chunks of a generation, which changes nothing but time."""
+    seed (whether it seeded its window). ``kept`` bounds the encoder's chunks of a generation, which changes nothing but time; so does
+    ``together``, by which equal chunks of many texts are looked up once, at the cost of some memory."""
     return (
         docs.select("doc_id", "text")
         .withColumn("_deal", F.xxhash64("doc_id", "text", F.monotonically_increasing_id()))
         .repartition("_deal")
         .sortWithinPartitions("_deal")
         .select("doc_id", "text")
-        .mapInArrow(_packed(tokenizer, end_id, window, shard_ids, kept), SCHEMA)
+        .mapInArrow(_packed(tokenizer, end_id, window, shard_ids, kept, together), SCHEMA)
     )

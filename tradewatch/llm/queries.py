@@ -96,7 +96,8 @@ def _url_sql() -> str:
 def op5_packed(spark, sf_dir):
     from tradewatch.llm.bm25pack import KEPT_ALONE, pack_documents
 
-    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=1, kept=KEPT_ALONE)
+    docs = table(spark, sf_dir, "documents")
+    return pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end_id=1, kept=KEPT_ALONE, together=True)
 
 
 def op6_repetition(spark, sf_dir):
